@@ -9,6 +9,7 @@ DECIMAL_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 SPECIAL_PATTERN = r"^[+-]?(?i:nan|inf|infinity)$"
 BOOLEAN_PATTERN = r"^(?i:true|false)$"
+NAN_TEXTS = ["nan", "+nan", "-nan"]
 
 
 def is_numeric(col: Column) -> Column:
@@ -23,8 +24,13 @@ def to_double(col: Column, lenient: bool = False) -> Column:
 
 
 def is_nan_text(col: Column) -> Column:
-    """True where the value reads as NaN; never null."""
-    return F.coalesce(F.isnan(col.try_cast("double")), F.lit(False))
+    """True where the text reads as NaN; null for null."""
+    return F.lower(col).isin(NAN_TEXTS)
+
+
+def widen_float(col: Column) -> Column:
+    """A float as the double that reads the same in text."""
+    return col.cast("string").cast("double")
 
 
 def value_to_string(col: Column, kind: T.DataType) -> Column:
@@ -34,7 +40,7 @@ def value_to_string(col: Column, kind: T.DataType) -> Column:
     ``12345678.0`` and ``0.00001``, not ``1.2345678E7`` and ``1.0E-5``.
     """
     if isinstance(kind, T.FloatType):
-        return value_to_string(col.cast("double"), T.DoubleType())
+        return value_to_string(widen_float(col), T.DoubleType())
     if not isinstance(kind, T.DoubleType):
         return col.cast("string")
     size = F.abs(col)
@@ -44,6 +50,6 @@ def value_to_string(col: Column, kind: T.DataType) -> Column:
     return (
         F.when(plain, col.cast("string"))
         .when(whole, F.concat(col.cast("bigint").cast("string"), F.lit(".0")))
-        .when(size < 1e15, F.when(digits.endswith("."), col.cast("string")).otherwise(digits))
+        .when((size < 1e15) & (digits.try_cast("double") == col), digits)
         .otherwise(col.cast("string"))
     )

@@ -26,8 +26,8 @@ def strip(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    """True for a text of white space only, null for null."""
-    return strip(col) == ""
+    """True for a text of white space only, null for null. Looks no further than the first other character."""
+    return F.ltrim(col, F.lit(WHITESPACE)) == ""
 
 
 def is_missing(col: Column) -> Column:

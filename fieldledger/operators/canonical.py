@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldledger.functions.numbers import is_nan_text
 from fieldledger.functions.periods import drop_future
-from fieldledger.functions.text import is_missing
+from fieldledger.functions.text import is_blank, is_missing
 from fieldledger.operators.columns import quoted, require_columns
 from fieldledger.schemas import POINT
 from fieldledger.settings import PointRules
@@ -67,7 +67,7 @@ def known_units(df: DataFrame, prefixes: Sequence[str], column: str = "ORG_UNIT"
 def blank_to_null(col: Column) -> Column:
     """Null where the text is blank or reads as NaN."""
     text = col.cast("string")
-    return F.when(~(is_missing(text) | is_nan_text(text)), col)
+    return F.when(~(is_blank(text) | is_nan_text(text)), col)
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

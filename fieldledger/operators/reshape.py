@@ -5,15 +5,55 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from fieldledger.functions.numbers import value_to_string
+from fieldledger.functions.numbers import is_nan_text, value_to_string, widen_float
+from fieldledger.functions.text import is_blank
 from fieldledger.operators.columns import quoted
 
 
-def _texts(df: DataFrame, names: Sequence[str]) -> dict:
+def _explode_values(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """One row per id row and value column: the ids, ``_at`` (index in ``_order``), ``_number``, ``_text``.
+
+    Doubles and texts go into one array each and a position is exploded, so that a test or a format
+    is compiled once and not once per column. Forms have hundreds of columns; generated code that
+    grows with all of them is soon too long for the JVM to optimise. The arrays are built below the
+    explode, hence once per row.
+    """
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    numbers, texts = _order(df, values)
+    doubles = [widen_float(quoted(c)) if isinstance(kinds[c], T.FloatType) else quoted(c) for c in numbers]
+    strings = [quoted(c).cast("string") for c in texts]
+    exploded = df.select(
+        *[quoted(c) for c in ids],
+        F.array(*doubles).cast("array<double>").alias("_numbers"),
+        F.array(*strings).cast("array<string>").alias("_texts"),
+    ).select("*", F.explode(F.array(*[F.lit(i) for i in range(len(doubles) + len(strings))])).alias("_at"))
+    return exploded.select(
+        *[quoted(c) for c in ids],
+        "_at",
+        F.get("_numbers", F.col("_at")).alias("_number"),
+        F.get("_texts", F.col("_at") - len(doubles)).alias("_text"),
+    )
+
+
+def _value() -> Column:
+    """Text of an exploded value; at most one of its two parts is given."""
+    return F.when(F.col("_number").isNotNull(), value_to_string(F.col("_number"), T.DoubleType())).otherwise(
+        F.col("_text")
+    )
+
+
+def _order(df: DataFrame, values: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Value columns as those of floating-point numbers, then all others."""
     kinds = {field.name: field.dataType for field in df.schema.fields}
-    return {name: value_to_string(quoted(name), kinds[name]) for name in names}
+    numbers = [c for c in values if isinstance(kinds[c], (T.DoubleType, T.FloatType))]
+    return numbers, [c for c in values if c not in set(numbers)]
+
+
+def _lookup(items: Sequence[str | None], at: str) -> Column:
+    """Item at a position of a constant list."""
+    return F.get(F.array(*[F.lit(item).cast("string") for item in items]), F.col(at))
 
 
 def unpivot_long(
@@ -25,31 +65,39 @@ def unpivot_long(
 ) -> DataFrame:
     """One row per id row and value column, values as text, nulls kept."""
     names = list(values) if values is not None else [c for c in df.columns if c not in set(ids)]
-    texts = _texts(df, names)
     if not names:
         empty = F.lit(None).cast("string")
         return df.select(*[quoted(c) for c in ids], empty.alias(variable), empty.alias(value)).where("false")
-    wide = df.select(*[quoted(c) for c in ids], *[texts[c].alias(c) for c in names])
-    return wide.unpivot([quoted(c) for c in ids], [quoted(c) for c in names], variable, value)
+    numbers, texts = _order(df, names)
+    # The value comes out of an explode of one element, so that a later test on it cannot be pushed
+    # down into a second evaluation of the formatting.
+    return _explode_values(df, ids, names).select(
+        *[quoted(c) for c in ids],
+        _lookup(numbers + texts, "_at").alias(variable),
+        F.explode(F.array(_value())).alias(value),
+    )
 
 
 def unpivot_mapped(
     df: DataFrame, ids: Sequence[str], targets: Sequence[tuple[str, str, str | None]], value: str = "VALUE"
 ) -> DataFrame:
-    """Unpivot and map in one step: one row per id row and target.
+    """Unpivot and map in one step: one row per id row and target with a usable value.
 
     ``targets`` holds (column, target id, combination). Only mapped columns are named, so the scan
-    reads no other, and the mapping itself needs no join.
+    reads no other, and the mapping itself needs no join. Values that are null, blank or NaN are
+    dropped before numbers are formatted.
     """
-    texts = _texts(df, sorted({name for name, _, _ in targets}))
-    kind = f"array<struct<DX_UID:string,COC:string,{value}:string>>"
-    points = F.array(
-        *[
-            F.struct(F.lit(uid).alias("DX_UID"), F.lit(combo).cast("string").alias("COC"), texts[name].alias(value))
-            for name, uid, combo in targets
-        ]
-    ).cast(kind)
-    return df.select(*[quoted(c) for c in ids], F.inline(points))
+    names = [name for name, _, _ in targets]
+    numbers, _ = _order(df, names)
+    ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
+    number, text = F.col("_number"), F.col("_text")
+    usable = (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
+    return _explode_values(df, ids, [t[0] for t in ordered]).where(usable).select(
+        *[quoted(c) for c in ids],
+        _lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
+        _lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
+        _value().alias(value),
+    )
 
 
 _RANK = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]

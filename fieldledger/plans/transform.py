@@ -8,13 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.functions.periods import drop_future
-from fieldledger.operators.canonical import (
-    as_points,
-    blank_to_null,
-    default_if_missing,
-    drop_nulls,
-    known_units,
-)
+from fieldledger.operators.canonical import as_points, known_units
 from fieldledger.operators.columns import require_columns
 from fieldledger.operators.derive import derive
 from fieldledger.operators.reshape import read_targets, unpivot_mapped
@@ -52,17 +46,19 @@ def canonical_points(
                 *[F.lit(None).alias(c) for c in ("VALUE", "DATA_TYPE")],
             )
         )
+    targets = [(name, uid, combo or rules.default_combo) for name, uid, combo in targets]
     long = unpivot_mapped(wide, [rules.period, rules.unit], targets)
     points = long.select(
         F.col(rules.period).alias("PERIOD"),
         F.col(rules.unit).alias("ORG_UNIT"),
         "DX_UID",
-        default_if_missing(F.col("COC"), rules.default_combo).alias("CATEGORY_OPTION_COMBO"),
+        F.col("COC").alias("CATEGORY_OPTION_COMBO"),
         F.lit(rules.default_combo).alias("ATTRIBUTE_OPTION_COMBO"),
-        blank_to_null(F.col("VALUE")).alias("VALUE"),
+        "VALUE",
         F.lit("DATA_ELEMENT").alias("DATA_TYPE"),
     )
-    return drop_nulls(as_points(points))
+    # Units and values are given by now and the rest is constant, so no further null test is needed.
+    return as_points(points)
 
 
 def transform(
