@@ -16,7 +16,8 @@ GROUPS = ("period", "point_class")
 def content_bucket(columns: Sequence[str], buckets: int) -> Column:
     """Bucket of a row by its content; the same on every run and on every engine."""
     text = F.concat_ws("\x01", *[quoted(c).cast("string") for c in columns])
-    return F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % buckets
+    number = F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int") % buckets
+    return F.coalesce(number, F.lit(0))
 
 
 def number_batches(
@@ -39,27 +40,26 @@ def number_batches(
         points.withColumn("_bucket", content_bucket(names, buckets))
         .groupBy("_bucket", *[quoted(c) for c in names])
         .agg(F.count(F.lit(1)).alias("_copies"))
+        # One struct for the group: never null, so the join below adds no null filter to one of the two
+        # uses of this frame (Spark then shares its shuffle), and groups with null fields match.
+        .withColumn("_group", F.struct(*group))
     )
 
-    sizes = counted.groupBy(*group, "_bucket").agg(F.sum("_copies").alias("_size"))
-    before = W.partitionBy(*group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    shifts = sizes.select(
-        *[quoted(g).alias("_g_" + g) for g in groups],
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"),
-    )
+    sizes = counted.groupBy("_group", "_bucket").agg(F.sum("_copies").alias("_size"))
+    before = W.partitionBy("_group").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    shifts = sizes.select(F.col("_group").alias("_g"), F.col("_bucket").alias("_b"), shift.alias("_shift"))
 
-    inside = W.partitionBy(*group, "_bucket").orderBy(*rest).rowsBetween(W.unboundedPreceding, 0)
+    # Window and join use the same keys, so the rows are not shuffled again for the join.
+    inside = W.partitionBy("_group", "_bucket").orderBy(*rest).rowsBetween(W.unboundedPreceding, 0)
     placed = counted.withColumn("_end", F.sum("_copies").over(inside))
-    same = placed["_bucket"] == shifts["_b"]
-    for g in groups:
-        same = same & placed[g].eqNullSafe(shifts["_g_" + g])
+    same = (placed["_group"] == shifts["_g"]) & (placed["_bucket"] == shifts["_b"])
     end = F.col("_end") + F.col("_shift")
     ranged = placed.join(shifts, same).select(
         *[quoted(c) for c in names], (end - F.col("_copies")).alias("_from"), end.alias("_to")
     )
 
-    first, last = F.floor(F.col("_from") / size), F.floor((F.col("_to") - 1) / size)
+    first, last = F.expr(f"_from div {size}"), F.expr(f"(_to - 1) div {size}")
     parts = ranged.withColumn("batch_no", F.explode(F.sequence(first, last)))
     parts = parts.repartition(*group, "batch_no")
     start = F.col("batch_no") * size

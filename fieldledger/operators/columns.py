@@ -62,10 +62,11 @@ def sort_rows(df: DataFrame, within: str | None = None) -> DataFrame:
 
     With ``within`` the order holds inside each value of that column, as for files written per
     period: rows are range-partitioned on all columns, that one first, so that a period of any size
-    spreads over many tasks and no task needs more than its own range.
+    spreads over many tasks. A running number as last range key parts equal rows too.
     """
-    order = [quoted(name) for name in df.columns]
+    names = [c for c in df.columns if c != within]
+    order = [quoted(c) for c in ([within] if within else []) + names]
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
     if within is None:
-        return df.orderBy(*order)
-    first = [quoted(within)] + [quoted(name) for name in df.columns if name != within]
-    return df.repartitionByRange(*first).sortWithinPartitions(*first)
+        return numbered.orderBy(*order, "_tie").drop("_tie")
+    return numbered.repartitionByRange(*order, "_tie").sortWithinPartitions(*order).drop("_tie")

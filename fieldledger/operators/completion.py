@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from fieldledger.operators.keys import key_columns, keys_match
+
+LOG_KEYS = ["PERIOD", "ORG_UNIT"]
+
 
 def unprocessed_units(requested: DataFrame, processed: DataFrame) -> DataFrame:
     """Requested (``PERIOD``, ``ORG_UNIT``) rows that the log lacks; null log entries are ignored."""
-    done = processed.where(F.col("ORG_UNIT").isNotNull()).select(
-        F.col("PERIOD").alias("_period"), F.col("ORG_UNIT").alias("_unit")
-    )
-    match = (requested["PERIOD"] == done["_period"]) & (requested["ORG_UNIT"] == done["_unit"])
-    return requested.join(done, match, "left_anti")
+    done = processed.where(F.col("ORG_UNIT").isNotNull()).select(*key_columns(processed, LOG_KEYS))
+    return requested.join(done, keys_match(requested, done, LOG_KEYS), "left_anti")
 
 
 def first_registrations(registrations: DataFrame, order: str = "seq") -> DataFrame:

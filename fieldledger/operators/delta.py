@@ -3,25 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from fieldledger.operators.columns import quoted
+from fieldledger.operators.keys import key_columns, key_rows, keys_match
 from fieldledger.schemas import POINT_KEYS
 
 
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str):
-    return reduce(and_, [left[k] == right[prefix + k] for k in keys])
-
-
 def delta(
     current: DataFrame,
     posted: DataFrame | None,
     keys: Sequence[str] = POINT_KEYS,
     value: str = "VALUE",
     posted_unique: bool = False,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """Current rows that are new or whose value changed, with a ``change_type``.
 
@@ -34,15 +30,20 @@ def delta(
     and as a current row equals at most one of the values left, the join never handles more pairs than
     current rows plus result rows. Both join inputs are plain shuffles, so that adaptive execution can
     split a hot key. ``posted_unique`` skips the count where the snapshot is known to have unique keys.
+
+    The join strategy is Spark's choice. Its size estimate is good for stored snapshots, but does not
+    see that an unpivot multiplies rows: ``join_hint="merge"`` keeps such a snapshot from being broadcast.
     """
     if posted is None:
         return current.withColumn("change_type", F.lit("new"))
-    old = posted.select(*[quoted(k).alias("_k_" + k) for k in keys], quoted(value).cast("string").alias("_old"))
+    old = posted.select(*key_columns(posted, keys), quoted(value).cast("string").alias("_old"))
     if posted_unique:
         old = old.withColumn("_n", F.lit(1).cast("bigint"))
     else:
         old = old.groupBy(*old.columns).agg(F.count(F.lit(1)).alias("_n"))
-    joined = current.join(old, _match(current, old, keys, "_k_"), "left")
+    if join_hint is not None:
+        old = old.hint(join_hint)
+    joined = current.join(old, keys_match(current, old, keys), "left")
     kept = joined.where(F.col("_n").isNull() | (quoted(value).cast("string") != F.col("_old")))
     kind = F.when(F.col("_n").isNull(), "new").otherwise("changed")
     columns = [quoted(c) for c in current.columns]
@@ -56,8 +57,8 @@ def removed(
     current: DataFrame, posted: DataFrame, keys: Sequence[str] = POINT_KEYS, value: str = "VALUE"
 ) -> DataFrame:
     """Posted rows whose keys are gone, with a null value: the points to delete."""
-    now = current.select(*[quoted(k).alias("_k_" + k) for k in keys])
-    gone = posted.join(now, _match(posted, now, keys, "_k_"), "left_anti")
+    now = key_rows(current, keys)
+    gone = posted.join(now, keys_match(posted, now, keys), "left_anti")
     kind = dict(gone.dtypes)[value]
     return gone.withColumn(value, F.lit(None).cast(kind)).withColumn("change_type", F.lit("removed"))
 
@@ -105,9 +106,9 @@ def next_snapshot(
     """Snapshot after a publish: current points, but rejected keys keep what was posted before."""
     if rejected is None:
         return current
-    bad = rejected.select(*[quoted(k).alias("_k_" + k) for k in keys]).distinct()
-    accepted = current.join(bad, _match(current, bad, keys, "_k_"), "left_anti")
+    bad = key_rows(rejected, keys)
+    accepted = current.join(bad, keys_match(current, bad, keys), "left_anti")
     if posted is None:
         return accepted
-    kept = posted.join(bad, _match(posted, bad, keys, "_k_"), "left_semi")
+    kept = posted.join(bad, keys_match(posted, bad, keys), "left_semi")
     return accepted.unionByName(kept.select(*[quoted(c) for c in current.columns]))

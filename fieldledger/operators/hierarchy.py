@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldledger.operators.keys import key_rows, keys_match
+
 
 # The fields two units are compared on, and the last version without geometry.
 COMPARED = ["id", "name", "shortName", "openingDate", "closedDate", "parent", "geometry"]
@@ -83,10 +85,11 @@ def unit_payload(action: Column) -> Column:
     )
 
 
-def units_to_create(source: DataFrame, target: DataFrame) -> DataFrame:
+def units_to_create(source: DataFrame, target: DataFrame, order: str = "seq") -> DataFrame:
     """Source units whose id the target lacks; repeated source rows stay."""
-    known = target.select(F.col("id").alias("_id"))
-    return source.where(F.col("id").isNotNull()).join(known, source["id"] == known["_id"], "left_anti")
+    known = key_rows(target.select("id", order), ["id"])
+    given = source.where(F.col("id").isNotNull())
+    return given.join(known, keys_match(given, known, ["id"]), "left_anti")
 
 
 def units_to_update(source: DataFrame, target: DataFrame, order: str = "seq") -> DataFrame:
@@ -113,7 +116,7 @@ def alignment_actions(
     A unit to create that lacks a mandatory field is reported ``NOTVALID`` and has no payload.
     """
     source, target = prepare_units(source, version), prepare_units(target, version)
-    create = units_to_create(source, target).withColumn("action", F.lit("CREATE"))
+    create = units_to_create(source, target, order).withColumn("action", F.lit("CREATE"))
     update = units_to_update(source, target, order).withColumn("action", F.lit("UPDATE"))
     actions = create.unionByName(update)
     sendable = (F.col("action") == "UPDATE") | is_valid_unit(require_parent)

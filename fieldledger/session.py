@@ -18,6 +18,9 @@ def build_session(app_name: str = "fieldledger", master: str | None = None, **co
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # A shuffled join hashes its smaller side instead of sorting both where every partition of
+        # that side turns out to be small.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
     )
     if master:
         builder = builder.master(master)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from fieldledger.operators.columns import check_choice, quoted
+from fieldledger.operators.columns import check_choice, quoted, sort_rows
 from fieldledger.sources.paths import file_system
 from fieldledger.sources.tabular import FORMATS
 
@@ -25,11 +25,7 @@ def write_stage(
     df = df.where(quoted(period).isNotNull())
     if period != "PERIOD":
         df = df.withColumn("PERIOD", quoted(period).cast("int"))
-    if ordered:
-        order = ["PERIOD"] + [c for c in df.columns if c != "PERIOD"]
-        shaped = df.repartitionByRange(*[quoted(c) for c in order]).sortWithinPartitions(*[quoted(c) for c in order])
-    else:
-        shaped = df.hint("rebalance", "PERIOD")
+    shaped = sort_rows(df, within="PERIOD") if ordered else df.hint("rebalance", "PERIOD")
     writer = shaped.write.mode("overwrite").partitionBy("PERIOD").option("partitionOverwriteMode", "dynamic")
     if file_format == "csv":
         writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)

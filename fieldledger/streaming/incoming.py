@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldledger.functions.periods import previous_months
 from fieldledger.operators.delta import delta
+from fieldledger.operators.keys import key_rows, keys_match
 from fieldledger.plans.publish import PublishPaths, plan_changes, write_batches
 from fieldledger.schemas import POINT, POINT_KEYS
 from fieldledger.sinks.stages import write_stage
@@ -36,9 +37,8 @@ def upsert_snapshot(points: DataFrame, posted: DataFrame | None) -> DataFrame:
         return points
     periods = points.select(F.col("PERIOD").alias("_period")).distinct()
     same = posted.join(periods, posted["PERIOD"] == periods["_period"], "left_semi")
-    keys = points.select(*[F.col(k).alias("_k_" + k) for k in POINT_KEYS]).distinct()
-    match = [same[k] == keys["_k_" + k] for k in POINT_KEYS]
-    return points.unionByName(same.join(keys, match, "left_anti"))
+    keys = key_rows(points, POINT_KEYS)
+    return points.unionByName(same.join(keys, keys_match(same, keys, POINT_KEYS), "left_anti"))
 
 
 def publish_arrivals(
