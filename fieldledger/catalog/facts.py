@@ -10,6 +10,7 @@ from fieldledger.catalog import inputs
 from fieldledger.catalog.registry import query, table
 from fieldledger.functions.numbers import DECIMAL_PATTERN, is_numeric, value_to_string
 from fieldledger.functions.periods import (
+    distinct_periods,
     in_periods,
     is_month,
     iso_date,
@@ -259,9 +260,11 @@ _NUMERIC_SQL = f"coalesce(regexp_matches(VALUE, '{DECIMAL_PATTERN}'), false)"
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for name in ("events", "part", "orders"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(_TEXTS_SQL.replace("AS VARCHAR", "AS STRING"))
+    tables = {name: table(spark, sf_dir, name) for name in ("events", "part", "orders")}
+    text = _TEXTS_SQL.replace("AS VARCHAR", "AS STRING")
+    for name in tables:
+        text = text.replace(f"FROM {name}", f"FROM {{{name}}}")
+    return spark.sql(text, **tables)
 
 
 @query(
@@ -366,6 +369,12 @@ def period_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+@query(f"SELECT DISTINCT {inputs.ORDER_PERIOD} AS PERIOD FROM orders")
+def period_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periods that occur."""
+    return distinct_periods(table(spark, sf_dir, "orders").selectExpr(f"{inputs.ORDER_PERIOD} AS PERIOD"))
+
+
 @query(
     f"""SELECT o_orderkey, {inputs.ORDER_PERIOD} AS periode, strftime(o_orderdate, '%Y-%m-%d') AS updated_at FROM orders
     WHERE {inputs.ORDER_PERIOD} BETWEEN 199603 AND 199811 AND strftime(o_orderdate, '%Y-%m-%d') >= '1997-02-10'"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldledger.functions.periods import of_periods, period_values
 from fieldledger.operators.columns import check_choice
 from fieldledger.operators.completion import (
     completion_outcomes,
@@ -68,9 +69,7 @@ def settle_completion(
     outcomes = spark.read.parquet(f"{out_path}/outcomes")
     if log_path:
         new = newly_processed(outcomes, mark_uncompleted)
-        touched = new.select(F.col("PERIOD").alias("_period")).distinct()
-        existing = read_processed(spark, log_path)
-        existing = existing.join(touched, existing["PERIOD"] == touched["_period"], "left_semi")
+        existing = of_periods(read_processed(spark, log_path), period_values(new))
         write_stage(merge_processed(existing, new), log_path)
     counts = statuses.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in IMPORT_COUNTS])
     return outcome_tallies(outcomes), counts

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldledger.functions.periods import of_periods, period_values
 from fieldledger.operators.batches import batch_payloads, batch_points
 from fieldledger.operators.canonical import drop_nulls
 from fieldledger.operators.columns import check_choice
@@ -149,15 +150,12 @@ def settle_publish(
     if dry_run:
         return summary
     rejected = canonical_keys(spark.read.parquet(paths.rejected))
-    touched = spark.read.parquet(paths.changes).select(F.col("period").alias("_period")).distinct()
+    touched = period_values(spark.read.parquet(paths.changes), "period")
     stages = [
         read_stage(spark, path, file_format, only, periods, POINT)
         for path in (transformed_path, pushed_path)
     ]
-    current, posted = [
-        df.join(touched, df["PERIOD"] == touched["_period"], "left_semi") if df is not None else None
-        for df in stages
-    ]
+    current, posted = [of_periods(df, touched) if df is not None else None for df in stages]
     write_stage(next_snapshot(drop_nulls(current), posted, rejected), pushed_path, file_format)
     return summary
 

@@ -17,7 +17,7 @@ FORMATS = ["csv", "parquet"]
 FETCH_PREFIX = 10_000
 STAGE_PREFIX = 1_000
 # Fixed value: the period at the end of a flat stage file's name.
-PERIOD_IN_NAME = r"_([0-9]{6})\.[^/]*$"
+PERIOD_IN_NAME = r"_([0-9]{6})\.[^/]*(/[^/]*)?$"
 
 
 def _csv(spark: SparkSession, multi_line: bool):
@@ -35,8 +35,26 @@ def header_names(raw: Sequence[str | None]) -> list[str]:
     return names
 
 
-def infer_types(texts: DataFrame, prefix: int) -> list[T.DataType]:
-    """Types that every given cell of the first ``prefix`` rows fits; one small aggregate.
+def first_rows(texts: DataFrame, prefix: int, multi_line: bool) -> DataFrame:
+    """The first ``prefix`` rows of a CSV dataset, files taken in order of path.
+
+    Files are opened one, two, four, … at a time until there are enough rows, so that a large dataset
+    is not touched as a whole; what comes back is at most ``prefix`` rows.
+    """
+    spark = texts.sparkSession
+    files = sorted(texts.inputFiles())
+    reader = _csv(spark, multi_line).schema(texts.schema).option("header", True)
+    count, rows = 1, []
+    while files:
+        rows = reader.csv(files[:count]).take(prefix)
+        if len(rows) >= prefix or count >= len(files):
+            break
+        count *= 2
+    return spark.createDataFrame(rows, texts.schema)
+
+
+def infer_types(texts: DataFrame) -> list[T.DataType]:
+    """Types that every given cell fits; one small aggregate over the prefix of a dataset.
 
     Tried in the order whole number, number, boolean; a column without a value is text.
     """
@@ -50,7 +68,7 @@ def infer_types(texts: DataFrame, prefix: int) -> list[T.DataType]:
             F.count_if(cell.rlike(DECIMAL_PATTERN) | cell.rlike(SPECIAL_PATTERN)).alias(f"{name}_number"),
             F.count_if(cell.rlike(BOOLEAN_PATTERN)).alias(f"{name}_boolean"),
         ]
-    row = texts.limit(prefix).agg(*tests).first()
+    row = texts.agg(*tests).first()
     kinds: list[T.DataType] = []
     for name in texts.columns:
         n = row[f"{name}_all"]
@@ -98,7 +116,7 @@ def read_csv(
     slots = [f"c{i}" for i in range(len(names))]
     text_schema = T.StructType([T.StructField(slot, T.StringType()) for slot in slots])
     texts = _csv(spark, multi_line).schema(text_schema).option("header", True).csv(path)
-    kinds = infer_types(texts, prefix)
+    kinds = infer_types(first_rows(texts, prefix, multi_line))
     cells = [lenient_cell(F.col(slot), kind).alias(slot) for slot, kind in zip(slots, kinds, strict=True)]
     return texts.select(*cells).toDF(*names)
 
@@ -136,13 +154,14 @@ def _read_csv_stage(spark: SparkSession, path: str, schema: T.StructType | None)
     reader = _csv(spark, True).option("header", True)
     if schema is not None:
         return reader.schema(schema).csv(path)
-    texts = reader.csv(path)
-    cells = [name for name in texts.columns if name != "PERIOD"]
-    slots = [f"c{i}" for i in range(len(cells))]
-    plain = texts.toDF(*[slots[cells.index(n)] if n != "PERIOD" else n for n in texts.columns])
-    kinds = infer_types(plain.select(*slots), STAGE_PREFIX)
+    named = reader.csv(path)
+    names = [name for name in named.columns if name != "PERIOD"]
+    slots = [f"c{i}" for i in range(len(names))]
+    cells = T.StructType([T.StructField(slot, T.StringType()) for slot in slots])
+    texts = reader.schema(T.StructType([*cells.fields, T.StructField("PERIOD", T.IntegerType())])).csv(path)
+    kinds = infer_types(first_rows(texts.select(*slots), STAGE_PREFIX, True))
     typed = [lenient_cell(F.col(s), k).alias(s) for s, k in zip(slots, kinds, strict=True)]
-    return plain.select(*typed, "PERIOD").toDF(*cells, "PERIOD")
+    return texts.select(*typed, "PERIOD").toDF(*names, "PERIOD")
 
 
 def period_in_name(path: Column) -> Column:
@@ -159,12 +178,14 @@ def read_flat_stage(
 ) -> DataFrame:
     """Flat stage files named ``<name>_<YYYYMM>.<format>``, with ``PERIOD`` taken from the name.
 
-    Files of other formats are passed over. The period test is on file metadata only.
+    Such a file may be a folder of parts. Files of other formats are passed over.
     """
     check_choice(file_format, FORMATS, "file format")
     if file_format == "csv":
-        df = _csv(spark, True).option("header", True).option("pathGlobFilter", "*.csv").csv(path)
+        reader = _csv(spark, True).option("header", True).option("pathGlobFilter", "*.csv")
+        df = reader.option("recursiveFileLookup", True).csv(path)
     else:
-        df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        df = reader.option("recursiveFileLookup", True).parquet(path)
     named = df.select("*", period_in_name(F.col("_metadata.file_path")).alias("PERIOD"))
     return select_periods(named.where(F.col("PERIOD").isNotNull()), only, list(periods) if periods else None)

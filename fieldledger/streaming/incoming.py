@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldledger.functions.periods import previous_months
+from fieldledger.functions.periods import of_periods, period_values, previous_months
 from fieldledger.operators.delta import delta
 from fieldledger.operators.keys import key_rows, keys_match
 from fieldledger.plans.publish import PublishPaths, plan_changes, write_batches
@@ -32,13 +32,11 @@ def late_changes(current: DataFrame, posted: DataFrame, as_of: date, count: int
 
 
 def upsert_snapshot(points: DataFrame, posted: DataFrame | None) -> DataFrame:
-    """Arrived points, and those posted rows of the same periods whose keys did not arrive."""
+    """Arrived points, and the posted rows whose keys did not arrive."""
     if posted is None:
         return points
-    periods = points.select(F.col("PERIOD").alias("_period")).distinct()
-    same = posted.join(periods, posted["PERIOD"] == periods["_period"], "left_semi")
     keys = key_rows(points, POINT_KEYS)
-    return points.unionByName(same.join(keys, keys_match(same, keys, POINT_KEYS), "left_anti"))
+    return points.unionByName(posted.join(keys, keys_match(posted, keys, POINT_KEYS), "left_anti"))
 
 
 def publish_arrivals(
@@ -55,6 +53,8 @@ def publish_arrivals(
         arrived.write.mode("overwrite").parquet(f"{root}/arrived")
     points = spark.read.schema(POINT).parquet(f"{root}/arrived")
     posted = read_stage(spark, pushed_path, schema=POINT)
+    if posted is not None:
+        posted = of_periods(posted, period_values(points))
     paths = PublishPaths(root)
     if not is_complete(spark, paths.changes):
         plan_changes(points, posted).write.mode("overwrite").parquet(paths.changes)
