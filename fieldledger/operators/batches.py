@@ -91,13 +91,12 @@ def batch_payloads(
     check_choice(import_strategy, IMPORT_STRATEGIES, "import strategy")
     point = F.struct("batch_pos", point_struct().alias("point"))
     grouped = batched.groupBy("period", "point_class", "batch_no").agg(
-        F.min("batch_id").alias("batch_id"),
         F.count(F.lit(1)).alias("n_points"),
         F.array_sort(F.collect_list(point)).alias("_points"),
     )
     values = F.transform("_points", lambda p: p["point"]).alias("dataValues")
     return grouped.select(
-        "batch_id",
+        batch_id().alias("batch_id"),
         "period",
         "point_class",
         "batch_no",

@@ -115,7 +115,9 @@ def alignment_actions(
 
     A unit to create that lacks a mandatory field is reported ``NOTVALID`` and has no payload.
     """
-    source, target = prepare_units(source, version), prepare_units(target, version)
+    # Level and path are neither compared nor sent, so they are not shuffled either.
+    sent = [*COMPARED, order]
+    source, target = prepare_units(source.select(*sent), version), prepare_units(target.select(*sent), version)
     create = units_to_create(source, target, order).withColumn("action", F.lit("CREATE"))
     update = units_to_update(source, target, order).withColumn("action", F.lit("UPDATE"))
     actions = create.unionByName(update)
