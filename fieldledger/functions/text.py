@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -35,15 +33,13 @@ def is_missing(col: Column) -> Column:
     return col.isNull() | is_blank(col)
 
 
-@lru_cache(maxsize=1)
-def _marks() -> dict[int, None]:
-    """Every combining mark, as a deletion table for ``str.translate``."""
-    return {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
-
-
 def clean_name(text: str) -> str:
-    """Plain lower-case name: no accents, no punctuation but ``-`` and ``_``, spaces as ``_``."""
-    plain = unicodedata.normalize("NFD", text).translate(_marks())
+    """Plain lower-case name: no accents, no punctuation but ``-`` and ``_``, spaces as ``_``.
+
+    Decomposed accents are combining marks, which are no word characters, so the pattern drops them
+    along with the punctuation.
+    """
+    plain = text if text.isascii() else unicodedata.normalize("NFD", text)
     return NOT_IN_NAMES.sub("", plain).strip().replace(" ", "_").lower()
 
 

@@ -1,5 +1,7 @@
 """Text, number and period functions on edge values."""
 
+import sys
+import unicodedata
 from datetime import date
 
 import pytest
@@ -31,6 +33,11 @@ def test_clean_name(raw, cleaned):
     assert text.clean_name(raw) == cleaned
 
 
+def test_cleaning_drops_every_combining_mark():
+    marks = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))]
+    assert len(marks) > 500 and all(text.NOT_IN_NAMES.match(m) for m in marks)
+
+
 def test_clean_text_column_equals_clean_name(spark):
     values = ["Déjà vu (x)", None, "한글 É", "x" * 5000 + "é"]
     expected = [text.clean_name(v) if v is not None else None for v in values]
