@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from fieldledger.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("FIELDLEDGER_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,13 +17,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry_point.queries()[name](spark, SF_DIR)
-    assert differences(df, con, entry_point.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(df, con, ORACLES[name]) is None
 
 
 def test_entry(spark):
