@@ -37,8 +37,8 @@ def split_item(text: str) -> tuple[str, str]:
 
 
 def codes(text: str) -> np.ndarray:
-    data, offsets = buffers(pa.array([text]))
-    return words_of(data, offsets, lower=True, separators=SEPARATORS).code
+    data, offsets = buffers(pa.array([text]), fold=True)
+    return words_of(data, offsets, separators=SEPARATORS).code
 
 
 def grams(code: np.ndarray) -> np.ndarray:
@@ -183,7 +183,7 @@ def matches(
     kind = arrow_schema(f"x {MATCH}").field(0).type
 
     def best(data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float]]:
-        words = words_of(data, offsets, lower=True, separators=SEPARATORS)
+        words = words_of(data, offsets, separators=SEPARATORS)
         out: dict[tuple[int, int], tuple[float, float, float]] = {}
         for begin, end, row, item, score in zip(*search(index, words.code, words.first, threshold), strict=True):
             inside = words.code[begin:end]
@@ -196,7 +196,7 @@ def matches(
 
     @F.arrow_udf(MATCH)
     def find(texts: pa.Array) -> pa.Array:
-        data, offsets = buffers(texts)
+        data, offsets = buffers(texts, fold=True)
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         names = [f.name for f in kind.value_type]
         for low, high in row_blocks(offsets, SCAN_BYTES):
@@ -223,7 +223,7 @@ def find_leaks(
     Test items are indexed for BM25, with impacts divided by the score an item gives itself, so that ``threshold`` is a
     share of a full match. Every passage of every document is a query; block maxima prune as in block-max WAND, and all
     items at or above the threshold come back. A match is verified by the runs of four words of the item's question
-    and of its answer that stand in the passage. Words are compared in ASCII lower case, without punctuation.
+    and of its answer that stand in the passage. Words are compared in lower case, without punctuation.
 
     An index holds at most about ``ITEMS_PER_INDEX`` items, so its size has a bound; a larger benchmark is taken in
     blocks, each of which queries all documents. Documents are not shuffled; memory holds a megabyte of text or one text.

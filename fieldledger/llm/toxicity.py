@@ -15,44 +15,57 @@ from fieldledger.llm.words import buffers, row_blocks, words_of
 
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 SCAN_BYTES = 1 << 20
+# Bytes of the beginnings that count as features of a word beside the word itself: stems of inflected words.
+PREFIXES = (5, 6, 7)
+# Minus the logarithm of the E-value of a text without a listed word; evidence is cut at the opposite.
+FAINTEST = -8.0
 ROWS = "doc_id long, held_out boolean, score double, predicted int, max_segment double, segments array<struct<first:int,last:int,score:double,e_value:double>>"
 
 
 @dataclass
 class ToxicityModel:
-    """Codes of the tokens that speak for toxicity with their log-odds, and the calibration.
+    """Codes of the words and stems that speak for toxicity, with log-odds, and the calibration.
 
-    Any other token scores ``gap``. ``decay`` and ``scale`` are the extreme-value parameters of clean text: a text of n
-    tokens has ``scale * n * exp(-decay * s)`` chance segments of score ``s`` or more. ``coefficients`` are those of the
-    logistic calibration of the two aggregated features.
+    A word scores its own log-odds if it is listed, or else those of its longest listed stem; any other word scores
+    ``gap``. ``decay`` and ``scale`` are the extreme-value parameters of clean text: a text of n words has
+    ``scale * n * exp(-decay * s)`` chance segments of score ``s`` or more. ``coefficients`` are those of the logistic
+    calibration of the two aggregated features.
     """
 
     tokens: np.ndarray
     odds: np.ndarray
     gap: float
-    decay: float
-    scale: float
-    coefficients: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0, -3.0]))
+    decay: float = 1.0
+    scale: float = 1.0
+    coefficients: np.ndarray = field(default_factory=lambda: np.array([0.0, 0.0, -4.0]))
 
 
-def token_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = buffers(pa.array(texts, pa.string()))
-    words = words_of(data, offsets, lower=True, separators=SEPARATORS)
-    return words.code, words.first
+def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Codes of the words, then of their stems of each length, and where each text's words begin."""
+    words = words_of(data, offsets, separators=SEPARATORS, prefixes=PREFIXES)
+    return [words.code, *words.prefix], words.first
 
 
 def log_odds(
-    code: np.ndarray, first: np.ndarray, label: np.ndarray, prior: float = 200.0, least_docs: int = 3, least_z: float = 3.0
+    codes: list[np.ndarray],
+    first: np.ndarray,
+    label: np.ndarray,
+    prior: float = 200.0,
+    least_docs: int = 3,
+    least_z: float = 3.0,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens whose log-odds between toxic and other texts are surely positive, under a Dirichlet prior.
+    """Features whose log-odds between toxic and other texts are surely positive, under a Dirichlet prior.
 
-    A token counts once per text. The prior gives each token ``prior`` pseudo-texts in proportion to its share of all
-    texts, so that rare tokens stay near zero; the variance of the log-odds gives the z-value.
+    A feature counts once per text. The prior gives each one ``prior`` pseudo-texts in proportion to its share of all
+    texts, so that rare ones stay near zero; the variance of the log-odds gives the z-value.
     """
-    text = np.repeat(np.arange(len(label)), np.diff(first))
+    text = np.tile(np.repeat(np.arange(len(label)), np.diff(first)), len(codes))
+    code = np.concatenate(codes)
+    text, code = text[code != 0], code[code != 0]
     order = np.lexsort((text, code))
     code, text = code[order], text[order]
-    fresh = np.concatenate([[True], (code[1:] != code[:-1]) | (text[1:] != text[:-1])]) if len(code) else np.zeros(0, bool)
+    fresh = np.ones(len(code), bool)
+    fresh[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
     code, text = code[fresh], text[fresh]
     tokens, at = np.unique(code, return_inverse=True)
     toxic = np.bincount(at, weights=label[text], minlength=len(tokens))
@@ -66,6 +79,29 @@ def log_odds(
     return tokens[good], delta[good].clip(0, 8)
 
 
+def listed(codes: list[np.ndarray], model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of words with a listed feature, and the place of the most specific one in the model."""
+    none = np.zeros(0, np.int64)
+    if not len(model.tokens):
+        return none, none
+    # Few words are in the lexicon: sixteen bits of the code tell most others apart.
+    maybe = np.zeros(1 << 16, dtype=bool)
+    maybe[(model.tokens & np.uint64(0xFFFF)).astype(np.int64)] = True
+    words, places = [], []
+    for code in codes[:1] + codes[:0:-1]:  # the word itself, then its stems from the longest on
+        hits = np.flatnonzero(maybe[(code & np.uint64(0xFFFF)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(model.tokens, code[hits]), len(model.tokens) - 1)
+        same = model.tokens[at] == code[hits]
+        words.append(hits[same])
+        places.append(at[same])
+    word, place = np.concatenate(words), np.concatenate(places)
+    order = np.argsort(word, kind="stable")
+    word, place = word[order], place[order]
+    best = np.ones(len(word), bool)
+    best[1:] = word[1:] != word[:-1]
+    return word[best], place[best]
+
+
 def extreme_values(share: np.ndarray, odds: np.ndarray, gap: float) -> tuple[float, float]:
     """Decay and scale of chance segments, where tokens occur with ``share`` in clean text.
 
@@ -110,69 +146,64 @@ def segments(scores: np.ndarray, place: np.ndarray, gap: float) -> list[tuple[in
     return [(begin, end, high - low) for begin, end, low, high, _ in open_]
 
 
-def features(found: list[tuple[int, int, float]], n: int, model: ToxicityModel, most_e: float = 0.1) -> tuple:
-    """Evidence of all significant segments, that of the strongest one, and the segments with their E-values."""
-    kept = []
+def features(found: list[tuple[int, int, float]], n: int, model: ToxicityModel, most_e: float = 0.1) -> tuple[tuple, list]:
+    """Evidence of the significant segments and of the strongest one; the segments with their E-values."""
+    kept, evidence, strongest = [], 0.0, FAINTEST
     for first, last, score in found:
-        e_value = model.scale * n * float(np.exp(-model.decay * score))
-        if e_value <= most_e:
-            kept.append((first, last, score, e_value))
-    evidence = sum(-np.log(x[3]) for x in kept)
-    strongest = max((-np.log(model.scale * n) + model.decay * s for _, _, s in found), default=0.0)
-    return float(np.log1p(evidence)), float(np.log1p(max(0.0, strongest))), kept
-
-
-def scan(code: np.ndarray, first: np.ndarray, model: ToxicityModel) -> Iterator[tuple[int, int, list]]:
-    """Texts with a toxic token: text number, number of tokens, maximal segments."""
-    if not len(model.tokens):
+        against = model.decay * score - float(np.log(model.scale * n))  # minus the logarithm of the E-value
+        strongest = max(strongest, against)
+        if against >= -np.log(most_e):
+            kept.append((first, last, score, float(np.exp(-against))))
+            evidence += against
+    return (float(np.log1p(evidence)), float(min(strongest, -FAINTEST))), kept
+
+
+def scan(codes: list[np.ndarray], first: np.ndarray, model: ToxicityModel) -> Iterator[tuple[int, int, list]]:
+    """Texts with a listed word: text number, number of words, maximal segments."""
+    hits, place = listed(codes, model)
+    if not len(hits):
         return
-    # Few tokens of a text are in the lexicon: sixteen bits of the code tell most others apart.
-    maybe = np.zeros(1 << 16, dtype=bool)
-    maybe[(model.tokens & np.uint64(0xFFFF)).astype(np.int64)] = True
-    hits = np.flatnonzero(maybe[(code & np.uint64(0xFFFF)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(model.tokens, code[hits]), len(model.tokens) - 1)
-    same = model.tokens[at] == code[hits]
-    hits, odds = hits[same], model.odds[at[same]]
+    odds = model.odds[place]
     text = np.searchsorted(first, hits, side="right") - 1
     edges = np.flatnonzero(np.diff(text)) + 1
     for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(hits)], strict=True):
-        if high > low:
-            t = int(text[low])
-            found = segments(odds[low:high], hits[low:high] - first[t], model.gap)
-            yield t, int(first[t + 1] - first[t]), found
+        t = int(text[low])
+        yield t, int(first[t + 1] - first[t]), segments(odds[low:high], hits[low:high] - first[t], model.gap)
 
 
 def fit(sample: list[tuple[str, int]], gap: float = -0.35) -> ToxicityModel:
     """Learn the log-odds, the extreme-value parameters and the calibration from texts and labels.
 
     The calibration uses scores of texts whose log-odds come from the other half of the sample, so that it sees the
-    noise of new texts. Without both labels the model calls nothing toxic.
+    noise of new texts. Without both labels the model says the same of every text.
     """
     label = np.array([y for _, y in sample], dtype=float)
     if len(sample) < 4 or label.min() == label.max():
-        base = float(label.mean()) if len(sample) else 0.0
-        empty = np.zeros(0, np.uint64)
-        return ToxicityModel(empty, np.zeros(0), gap, 1.0, 1.0, np.array([0.0, 0.0, -4.0 if base < 0.5 else 4.0]))
-    texts = [t for t, _ in sample]
-    code, first = token_codes(texts)
+        none = np.zeros(0)
+        sure = 4.0 if len(sample) and label.mean() > 0.5 else -4.0
+        return ToxicityModel(np.zeros(0, np.uint64), none, gap, coefficients=np.array([0.0, 0.0, sure]))
+    data, offsets = buffers(pa.array([t for t, _ in sample], pa.string()), fold=True)
+    codes, first = word_features(data, offsets)
+
+    def chosen(rows: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        at = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
+        return [c[at] for c in codes], np.concatenate([[0], np.cumsum(first[rows + 1] - first[rows])])
 
     def learned(rows: np.ndarray) -> ToxicityModel:
-        chosen = np.concatenate([code[first[r] : first[r + 1]] for r in rows])
-        starts = np.concatenate([[0], np.cumsum(first[rows + 1] - first[rows])])
-        tokens, odds = log_odds(chosen, starts, label[rows])
-        clean_rows = rows[label[rows] == 0]
-        clean = np.sort(np.concatenate([code[first[r] : first[r + 1]] for r in clean_rows]))
-        count = np.searchsorted(clean, tokens, side="right") - np.searchsorted(clean, tokens)
-        decay, scale = extreme_values((count + 0.5) / (len(clean) + 0.5 * len(tokens) + 1), odds, gap)
-        return ToxicityModel(tokens, odds, gap, decay, scale)
-
-    every = np.arange(len(texts))
-    x = np.zeros((len(texts), 2))
+        model = ToxicityModel(*log_odds(*chosen(rows), label[rows]), gap)
+        clean, _ = chosen(rows[label[rows] == 0])
+        _, place = listed(clean, model)
+        share = (np.bincount(place, minlength=len(model.tokens)) + 0.5) / (len(clean[0]) + 0.5 * len(model.tokens) + 1)
+        model.decay, model.scale = extreme_values(share, model.odds, gap)
+        return model
+
+    every = np.arange(len(sample))
+    x = np.tile([0.0, FAINTEST], (len(sample), 1))
     for half in (0, 1):
         model = learned(every[every % 2 != half])
-        for t, n, found in scan(code, first, model):
+        for t, n, found in scan(codes, first, model):
             if t % 2 == half:
-                x[t] = features(found, n, model)[:2]
+                x[t], _ = features(found, n, model)
     model = learned(every)
     model.coefficients = logistic_fit(x, label)
     return model
@@ -196,9 +227,9 @@ def score_toxicity(
 ) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted``, ``max_segment`` and the significant ``segments`` of each row.
 
-    Tokens are runs of letters and digits in ASCII lower case. One scan over a text's token log-odds finds all its maximal
-    scoring segments; each has an E-value, the number of chance segments as good in a clean text as long. The evidence
-    of the significant ones and of the best one is calibrated to a probability. Segments give first and last token.
+    Words are runs of letters and digits in lower case. One scan over a text's log-odds finds all its maximal scoring
+    segments; each has an E-value, the number of chance segments as good in a clean text as long. The evidence
+    of the significant ones and of the best one is calibrated to a probability. Segments give first and last word.
 
     The model has a bounded size. Documents are not shuffled; memory holds a megabyte of text or one long text at a time.
     Null or empty text, and text without listed tokens, gets the score of no evidence and no segments. Null ids are not
@@ -207,19 +238,17 @@ def score_toxicity(
     schema = arrow_schema(ROWS)
 
     def probability(x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(x @ model.coefficients[:2] + model.coefficients[2], -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(x @ model.coefficients[:-1] + model.coefficients[-1], -30, 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column(2))
-            x = np.zeros((batch.num_rows, 2))
+            data, offsets = buffers(batch.column(2), fold=True)
+            x = np.tile([0.0, FAINTEST], (batch.num_rows, 1))
             best = np.zeros(batch.num_rows)
             passages: list[list] = [[] for _ in range(batch.num_rows)]
             for low, high in row_blocks(offsets, SCAN_BYTES):
-                words = words_of(data, offsets[low : high + 1], lower=True, separators=SEPARATORS)
-                for t, n, found in scan(words.code, words.first, model):
-                    evidence, strongest, kept = features(found, n, model)
-                    x[low + t] = evidence, strongest
+                for t, n, found in scan(*word_features(data, offsets[low : high + 1]), model):
+                    x[low + t], kept = features(found, n, model)
                     best[low + t] = max(s for _, _, s in found)
                     passages[low + t] = [
                         {"first": f, "last": l, "score": s, "e_value": e} for f, l, s, e in kept

@@ -66,13 +66,17 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     code: np.ndarray
+    # Codes of the words' first bytes, for each length asked for; 0 for words that are not longer.
+    prefix: list[np.ndarray]
 
 
-def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a column of texts; null counts as empty."""
+def buffers(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a column of texts, if asked in Unicode lower case; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if fold:
+        texts = pc.utf8_lower(texts)
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
@@ -88,7 +92,7 @@ def row_blocks(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, i
         low = high
 
 
-def _piece(data, lows, highs, seed, lower, inside) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _piece(data, lows, highs, seed, lower, inside, prefixes) -> tuple[np.ndarray, ...]:
     """Words of one piece; ``lows`` and ``highs`` are where texts begin and end in it."""
     of_byte, up, down = _tables(seed, lower)
     if len(data) >= len(up):  # one word longer than a piece
@@ -106,7 +110,11 @@ def _piece(data, lows, highs, seed, lower, inside) -> tuple[np.ndarray, np.ndarr
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(of_byte[data] * up[: len(data)], out=total[1:])
     code = (total[end] - total[start]) * down[start]
-    return start, end, mix(code + (end - start).astype(np.uint64))
+    begins = []
+    for size in prefixes:
+        part = (total[np.minimum(start + size, end)] - total[start]) * down[start]
+        begins.append(np.where(end - start > size, mix(part ^ np.uint64(size)), np.uint64(0)))
+    return start, end, mix(code + (end - start).astype(np.uint64)), *begins
 
 
 def _cut(data, offsets, inside, at: int, stop: int, limit: int) -> int:
@@ -136,6 +144,7 @@ def words_of(
     lower: bool = False,
     seed: int = 0,
     separators: bytes = ASCII_SPACE,
+    prefixes: tuple[int, ...] = (),
     limit: int = PIECE,
 ) -> Words:
     """Words between ``separators`` of the texts at ``offsets``; ``lower`` makes A-Z equal to a-z."""
@@ -145,15 +154,15 @@ def words_of(
     while at < stop:
         cut = _cut(data, offsets, inside, at, stop, limit)
         edges = offsets[(offsets >= at) & (offsets <= cut)] - at
-        start, end, code = _piece(data[at:cut], edges, edges, seed, lower, inside)
-        parts.append((start + at, end + at, code))
+        start, end, *codes = _piece(data[at:cut], edges, edges, seed, lower, inside, prefixes)
+        parts.append((start + at, end + at, *codes))
         at = cut
     if parts:
-        start, end, code = (np.concatenate(x) for x in zip(*parts, strict=True))
+        start, end, code, *begins = (np.concatenate(x) for x in zip(*parts, strict=True))
     else:
         start = end = np.zeros(0, np.int64)
-        code = np.zeros(0, np.uint64)
-    return Words(np.searchsorted(start, offsets), start, end, code)
+        code, *begins = (np.zeros(0, np.uint64) for _ in range(1 + len(prefixes)))
+    return Words(np.searchsorted(start, offsets), start, end, code, begins)
 
 
 def windows(code: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
