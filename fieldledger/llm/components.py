@@ -43,7 +43,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         both = edges  # a's smaller neighbours
-    least = both.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_least"))
+    # Written first: a join straight on an aggregate of the same key could not split a hub.
+    least = keep(both.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_least")), "least")
     joined = both.join(least, both["a"] == least["_a"])
     root = F.least("a", "_least")
     if larger:

@@ -196,7 +196,7 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     Members of a probe are walked in blocks of about ``WALK``, so a probe with very many is spread over many tasks. Sets
     are fetched by joins that adaptive execution splits; a probe's set goes once to each of its blocks.
     """
-    sized = pairs.groupBy(F.col("a").alias("_a")).agg(F.ceil(F.count(F.lit(1)) / WALK).alias("_blocks"))
+    sized = keep(pairs.groupBy(F.col("a").alias("_a")).agg(F.ceil(F.count(F.lit(1)) / WALK).alias("_blocks")), "sizes")
     blocked = pairs.join(sized, pairs["a"] == sized["_a"]).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("_blocks")).alias("block")
     )
@@ -241,7 +241,9 @@ def candidate_sets(docs: DataFrame, heads: DataFrame, bounds: Bounds) -> DataFra
     texts = docs.select(row_key().alias("row"), "text")
     texts = texts.join(chosen, texts["row"] == chosen["_row"], "left_semi").select("text")
     whole = texts.mapInArrow(whole_sets, SETS).select("key", "n", F.explode("code").alias("code"))
-    counts = whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Written first: a join straight on an aggregate of the same key could not split a frequent shingle.
+    whole = keep(whole, "survivors")
+    counts = keep(whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
     ranked = whole.join(counts, whole["code"] == counts["_code"]).select("key", "n", "df", "code")
     sets = ranked.groupBy("key").agg(
         F.max("n").alias("n"), F.array_sort(F.array_distinct(F.collect_list(F.struct("df", "code")))).alias("ranked")
@@ -279,6 +281,7 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
         mark = F.struct(F.xxhash64(F.lit(turn), "key"), F.col("key").alias("key"), F.col("n").alias("n"))
         leaders = rows.groupBy(F.col("code").alias("_code")).agg(F.min(mark).alias("leader"), F.max("key").alias("last"), F.min("key").alias("first"))
         leaders = leaders.where("first <> last").select("_code", F.col("leader.key").alias("a"), F.col("leader.n").alias("m"))
+        leaders = keep(leaders, "leaders")
         pairs = (
             rows.join(leaders, rows["code"] == leaders["_code"])
             .where((F.col("a") != F.col("key")) & fits)
@@ -287,7 +290,7 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
         )
         if links is not None:
             pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
-        found = verified(pairs, sets, bounds)
+        found = verified(keep(pairs, "pairs"), sets, bounds)
         links = keep(found if links is None else links.unionByName(found), "star-links")
     joined = components(links)
     labelled = rows.join(joined.withColumnRenamed("key", "_key"), rows["key"] == F.col("_key"), "left").select(
@@ -299,6 +302,7 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
         .where("low <> high")
         .select("_code")
     )
+    several = keep(several, "several")
     rest = keep(labelled.join(several, labelled["code"] == several["_code"], "left_semi"), "open-prefixes")
     other = rest.select(
         F.col("code").alias("_code"),
@@ -314,7 +318,7 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
         .select(F.col("key").alias("a"), "b")
         .distinct()
     )
-    links = links.unionByName(verified(pairs, sets, bounds))
+    links = links.unionByName(verified(keep(pairs, "pairs"), sets, bounds))
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared").distinct()
 
 
@@ -344,6 +348,7 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str) -> DataFr
         .join(degree, classes["key"] == degree["_k"], "left")
         .select(F.col("key").alias("_key"), "first_of_all", "n_links")
     )
+    named = keep(named, "classes")
     own = heads.select("doc_id", "row", "n", "key")
     return own.join(named, own["key"] == named["_key"], "left").select(
         "doc_id",
