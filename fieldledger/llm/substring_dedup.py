@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fieldledger.llm.store import arrow_schema, keep, row_key
@@ -19,8 +20,8 @@ SCAN_BYTES = 1 << 20
 # Codes, and bytes of text, held by a task before equal codes are joined and handed on.
 FLUSH_CODES, FLUSH_BYTES = 2_000_000, 16 << 20
 
-ANCHORS = "doc_id long, row long, n_words long, sha string, code array<long>, at array<int>, known array<int>"
-WINDOWS = "doc_id long, row long, text string, code array<long>, more array<long>, at array<int>, known array<int>"
+ANCHORS = "id long, doc_id long, row long, n_words long, sha string, code array<long>, at array<int>, known array<int>"
+WINDOWS = "id long, doc_id long, text string, code array<long>, more array<int>, at array<int>, known array<int>"
 RESULT = "doc_id long, n_words long, n_removed long, kept_text string"
 
 
@@ -52,11 +53,22 @@ def ranges(first: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(mask)])[first]
 
 
+class Numbers:
+    """Ids of the rows a task writes, the same when the task is run again; neighbours differ in the last bits only."""
+
+    def __init__(self) -> None:
+        self.next = TaskContext.get().partitionId() << 33
+
+    def take(self, count: int) -> np.ndarray:
+        self.next += count
+        return np.arange(self.next - count, self.next)
+
+
 def find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Anchors of each text. Those a task sees twice are known to be repeated, and one of them is handed on."""
     schema, size = arrow_schema(ANCHORS), window - PERIOD + 1
     held: list[tuple] = []
-    count = 0
+    count, ids = 0, Numbers()
 
     def flush() -> pa.RecordBatch:
         lengths = np.concatenate([x[4] for x in held])
@@ -69,6 +81,7 @@ def find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         sent = ranges(first, stands)
         return columns(
             {
+                "id": ids.take(len(lengths)),
                 "doc_id": pa.concat_arrays([x[0] for x in held]),
                 "row": pa.concat_arrays([x[1] for x in held]),
                 "n_words": np.concatenate([x[2] for x in held]),
@@ -107,25 +120,25 @@ def find_anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
 
 
 def find_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Codes of the windows around repeated anchors, of 128 bits; handed on like anchors."""
+    """Codes of the windows around repeated anchors, of 96 bits; handed on like anchors."""
     schema = arrow_schema(WINDOWS)
     held: list[tuple] = []
-    count = size = 0
+    count, size, ids = 0, 0, Numbers()
 
     def flush() -> pa.RecordBatch:
-        lengths = np.concatenate([x[3] for x in held])
+        lengths = np.concatenate([x[2] for x in held])
         first = np.concatenate([[0], np.cumsum(lengths)])
-        code, more, at = (np.concatenate([x[k] for x in held]) for k in (4, 5, 6))
+        code, more, at = (np.concatenate([x[k] for x in held]) for k in (3, 4, 5))
         repeated, stands = repeats(code, more)
         marked = np.where(repeated, -at - 1, at).astype(np.int32)
         sent = ranges(first, stands)
         return columns(
             {
+                "id": ids.take(len(lengths)),
                 "doc_id": pa.concat_arrays([x[0] for x in held]),
-                "row": pa.concat_arrays([x[1] for x in held]),
-                "text": pa.concat_arrays([x[2] for x in held]),
+                "text": pa.concat_arrays([x[1] for x in held]),
                 "code": lists_of(signed(code[stands]), sent),
-                "more": lists_of(signed(more[stands]), sent),
+                "more": lists_of(more[stands].view(np.int32), sent),
                 "at": lists_of(marked[stands], sent),
                 "known": lists_of(at[repeated].astype(np.int32), ranges(first, repeated)),
             },
@@ -133,16 +146,16 @@ def find_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         )
 
     for batch in batches:
-        data, offsets = buffers(batch.column(2))
+        data, offsets = buffers(batch.column(1))
         for low, high in row_blocks(offsets, SCAN_BYTES):
             block = offsets[low : high + 1]
             words = words_of(data, block)
             codes = windows(words.code, window)
-            also = windows(words_of(data, block, seed=1).code, window, seed=1)
+            also = (windows(words_of(data, block, seed=1).code, window, seed=1) >> np.uint64(32)).astype(np.uint32)
             lengths, places = [], []
             for k in range(high - low):
                 n = int(words.first[k + 1] - words.first[k])
-                anchors = batch.column(3)[low + k].values.to_numpy()
+                anchors = batch.column(2)[low + k].values.to_numpy()
                 edge = np.zeros(max(1, n - window + 2), dtype=np.int32)
                 np.add.at(edge, np.clip(anchors - PERIOD + 1, 0, n - window + 1), 1)
                 np.add.at(edge, np.clip(anchors + 1, 0, n - window + 1), -1)
@@ -152,7 +165,7 @@ def find_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
             at = np.concatenate(places)
             where = at + np.repeat(words.first[:-1], lengths)
             rows = slice(low, high)
-            own = [batch.column(k)[rows] for k in range(3)]
+            own = [batch.column(k)[rows] for k in range(2)]
             held.append((*own, np.array(lengths), codes[where], also[where], at))
             count += len(at)
             size += int(block[-1] - block[0])
@@ -184,17 +197,17 @@ def cut_words(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 
 
 def seen_elsewhere(sent: DataFrame, codes: list[str]) -> DataFrame:
-    """Positions of codes that another task has handed on as well, as one list per row.
+    """Positions of codes that another task has handed on as well, as one list per row (``id``).
 
     A task hands each value on once, so a value has at most one row per task, however often it occurs.
     """
     rows = W.partitionBy(*codes)
     shared = sent.withColumn("n", F.count(F.lit(1)).over(rows)).where("n > 1 AND at >= 0")
-    return shared.groupBy("row").agg(F.collect_set("at").alias("found"))
+    return shared.groupBy("id").agg(F.collect_set("at").alias("found"))
 
 
 def dedup_substrings(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row's ``doc_id``, ``n_words``, ``n_removed``, ``kept_text`` (null: nothing removed) and ``kept_sha256``.
+    """Each row's ``doc_id``, ``n_words``, ``n_removed``, ``kept_text`` (null: no part was looked at, so nothing is removed) and ``kept_sha256``.
 
     Words are separated by ASCII white space. Removed is every word in a run of ``window`` words whose sequence also begins
     elsewhere, in this text or another, judged on the input. ``kept_sha256`` is that of the kept words joined by spaces.
@@ -202,7 +215,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id: str = "doc_id",
     1. At positions on a difference cover modulo 21, the code of the next ``window - 20`` words is an anchor. Two equal
        windows hold equal anchors at the same offset, so a quarter of the positions is enough.
     2. Anchors that occur twice send their position back to their text, where they are extended to all windows that hold
-       them. Those windows, few where texts are not copies, are compared by 128 bits.
+       them. Those windows, few where texts are not copies, are compared by 96 bits.
     3. Texts with repeated windows lose the words under them.
 
     Equal codes are joined inside each task before a shuffle, so a passage in a third of all texts, or a third of all texts
@@ -219,29 +232,29 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id: str = "doc_id",
     keyed = rows.select("doc_id", row_key().alias("row"), "text")
     anchors = keep(keyed.mapInArrow(lambda x: find_anchors(x, window), ANCHORS), "anchors")
 
-    sent = anchors.select("row", F.explode(F.arrays_zip("code", "at")).alias("x")).select("row", "x.code", "x.at")
-    elsewhere = seen_elsewhere(sent, ["code"])
-    local = anchors.where(F.size("known") > 0).select("row", F.col("known").alias("found"))
-    marks = (
-        elsewhere.unionByName(local)
-        .groupBy("row")
-        .agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("anchors"))
-        .withColumnRenamed("row", "_row")
+    sent = anchors.select("id", F.explode(F.arrays_zip("code", "at")).alias("x")).select("id", "x.code", "x.at")
+    elsewhere = seen_elsewhere(sent, ["code"]).withColumnRenamed("id", "_id")
+    known = anchors.select("id", "row", "known")
+    marked_rows = (
+        known.join(elsewhere, known["id"] == elsewhere["_id"], "left")
+        .where("size(known) > 0 OR found IS NOT NULL")
+        .select("row", F.concat("known", F.coalesce("found", F.array().cast("array<int>"))).alias("both"))
+        .groupBy(F.col("row").alias("_row"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("both"))).alias("anchors"))
     )
-    marked = keyed.join(marks, keyed["row"] == marks["_row"]).select("doc_id", "row", "text", "anchors")
+    marks = keep(marked_rows, "marks")
+    marked = keyed.join(marks, keyed["row"] == marks["_row"]).select("doc_id", "text", "anchors")
     candidates = keep(marked.mapInArrow(lambda x: find_windows(x, window), WINDOWS), "windows")
 
-    sent = candidates.select("row", F.explode(F.arrays_zip("code", "more", "at")).alias("x"))
-    elsewhere = keep(seen_elsewhere(sent.select("row", "x.code", "x.more", "x.at"), ["code", "more"]), "repeated")
-    found = elsewhere.withColumnRenamed("row", "_row")
-    repeated = candidates.join(found, candidates["row"] == found["_row"], "left")
-    repeated = repeated.where("size(known) > 0 OR found IS NOT NULL").select("doc_id", "text", "known", "found")
+    sent = candidates.select("id", F.explode(F.arrays_zip("code", "more", "at")).alias("x"))
+    elsewhere = seen_elsewhere(sent.select("id", "x.code", "x.more", "x.at"), ["code", "more"])
+    found = elsewhere.withColumnRenamed("id", "_id")
+    repeated = candidates.join(found, candidates["id"] == found["_id"], "left").select("doc_id", "text", "known", "found")
     cut = repeated.mapInArrow(lambda x: cut_words(x, window), RESULT)
 
-    touched = elsewhere.select("row").unionByName(candidates.where(F.size("known") > 0).select("row"))
-    touched = touched.distinct().withColumnRenamed("row", "_row")
-    whole = anchors.join(touched, anchors["row"] == touched["_row"], "left_anti")
+    whole = anchors.join(marks.select("_row"), anchors["row"] == marks["_row"], "left_anti")
     none = F.lit(None).cast("string").alias("kept_text")
-    return whole.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), none, F.col("sha").alias("kept_sha256")).unionByName(
+    nothing = F.lit(0).cast("long").alias("n_removed")
+    return whole.select("doc_id", "n_words", nothing, none, F.col("sha").alias("kept_sha256")).unionByName(
         cut.select("doc_id", "n_words", "n_removed", "kept_text", F.sha2("kept_text", 256).alias("kept_sha256"))
     )
