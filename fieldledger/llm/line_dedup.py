@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldledger.llm.store import keep
+
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,6 +60,8 @@ def dedup_lines(
         .where(F.col("_docs") >= min_docs)
         .select(F.col("_h1").alias("_k1"), F.col("_h2").alias("_k2"), "_last")
     )
+    # Written first: a join straight on an aggregate of the same key could not split a line that most documents hold.
+    common = keep(common, "common-lines")
     gone = (
         lines.join(common, (lines["_h1"] == common["_k1"]) & (lines["_h2"] == common["_k2"]))
         .where(~F.col("_id").eqNullSafe(F.col("_last")))
