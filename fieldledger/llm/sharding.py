@@ -146,5 +146,7 @@ def shard_documents(
     blocks = rows // (shards * BLOCK_ROWS) + 4
     quota = max(1, rows // shards)
     for turn in range(max(1, rounds)):
-        nodes = keep(place(wishes(nodes, hub_votes(nodes, shards, quota), shards), rows, shards, blocks), f"shard-{turn}")
+        # Written first: a join straight on an aggregate of the same key could not split a large hub.
+        votes = keep(hub_votes(nodes, shards, quota), "hub-votes")
+        nodes = keep(place(wishes(nodes, votes, shards), rows, shards, blocks), f"shard-{turn}")
     return nodes
