@@ -8,10 +8,12 @@ from fieldledger.llm.store import is_training
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, parts: int, held_out: int, doc_id: str = "doc_id"
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, parts: int, held_out: int, doc_id: str = "doc_id", most_bytes: int = 16 << 20
 ) -> list[tuple[str, int]]:
     """At most ``rows`` texts with their label, drawn by a hash of the id among the rows that may be learned from.
 
+    Texts that would take the sample over ``most_bytes`` are left out of it; scoring knows no such bound.
+
     Labels are cut to that number before they meet the texts, so the broadcast side has a proven bound and the texts
     are not shuffled. Null texts and labels other than 0 and 1 are left out. An id with both labels is left out.
     """
@@ -27,7 +29,12 @@ def labelled_sample(
     )
     found = docs.select(docs[doc_id].alias("_doc"), docs["text"].alias("_text")).where("_text IS NOT NULL")
     joined = found.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).select("_id", "_label", "_text")
-    got = {(r["_id"], r["_text"]): r["_label"] for r in joined.toLocalIterator()}
+    got, size = {}, 0
+    for r in joined.toLocalIterator():
+        length = len(r["_text"].encode())
+        if size + length <= most_bytes and (r["_id"], r["_text"]) not in got:
+            got[r["_id"], r["_text"]] = r["_label"]
+            size += length
     return [(text, label) for (_, text), label in sorted(got.items(), key=lambda x: x[0])]
 
 

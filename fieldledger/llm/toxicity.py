@@ -59,7 +59,7 @@ def log_odds(
     A feature counts once per text. The prior gives each one ``prior`` pseudo-texts in proportion to its share of all
     texts, so that rare ones stay near zero; the variance of the log-odds gives the z-value.
     """
-    text = np.tile(np.repeat(np.arange(len(label)), np.diff(first)), len(codes))
+    text = np.tile(np.repeat(np.arange(len(label), dtype=np.int32), np.diff(first)), len(codes))
     code = np.concatenate(codes)
     text, code = text[code != 0], code[code != 0]
     order = np.lexsort((text, code))
@@ -210,7 +210,7 @@ def fit(sample: list[tuple[str, int]], gap: float = -0.35) -> ToxicityModel:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, rows: int = 6_000, parts: int = 4, held_out: int = 2
+    docs: DataFrame, labels: DataFrame, rows: int = 4_000, parts: int = 4, held_out: int = 2
 ) -> ToxicityModel:
     """``fit`` on at most ``rows`` labelled texts that may be learned from; the rest of the labels is never read."""
     return fit(labelled_sample(docs, labels, "toxic", rows, parts, held_out))
