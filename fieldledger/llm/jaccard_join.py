@@ -239,14 +239,15 @@ def candidate_sets(docs: DataFrame, heads: DataFrame, bounds: Bounds) -> DataFra
         .select(F.col("row").alias("_row"))
     )
     texts = docs.select(row_key().alias("row"), "text")
-    texts = texts.join(chosen, texts["row"] == chosen["_row"], "left_semi").select("text")
-    whole = texts.mapInArrow(whole_sets, SETS).select("key", "n", F.explode("code").alias("code"))
+    # Of rows that repeat, one is enough; the join has already brought them together.
+    texts = texts.join(chosen, texts["row"] == chosen["_row"], "left_semi").groupBy("row").agg(F.first("text").alias("text"))
+    whole = texts.select("text").mapInArrow(whole_sets, SETS).select("key", "n", F.explode("code").alias("code"))
     # Written first: a join straight on an aggregate of the same key could not split a frequent shingle.
     whole = keep(whole, "survivors")
     counts = keep(whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
     ranked = whole.join(counts, whole["code"] == counts["_code"]).select("key", "n", "df", "code")
     sets = ranked.groupBy("key").agg(
-        F.max("n").alias("n"), F.array_sort(F.array_distinct(F.collect_list(F.struct("df", "code")))).alias("ranked")
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "code"))).alias("ranked")
     )
     enough = F.size("ranked") >= F.ceil(F.col("n") * bounds.per_cent / 100)
     return sets.where(enough).select("key", "n", F.transform("ranked", lambda x: x["code"]).alias("codes"))
@@ -268,8 +269,8 @@ def prefix_rows(sets: DataFrame, bounds: Bounds) -> DataFrame:
 def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
     """Links (``a``, ``b``, ``shared``) that connect exactly the sets that chains of similar pairs connect.
 
-    Star rounds: under each shingle of the prefixes, every set is compared with one leader, so a group of copies costs one
-    comparison each. Then every pair of sets that share a prefix shingle but are not connected yet is compared, if sizes
+    Star rounds: each shingle of the prefixes has a leader, and every set is compared with the one it meets most often, so
+    a group of copies costs one comparison each. Then every pair of sets that share a prefix shingle but are not connected yet is compared, if sizes
     and what remains behind the shingle allow the overlap. Similar sets always share a prefix shingle, so no
     connection is missed; pairs that are already connected need no comparison.
     """
@@ -282,11 +283,16 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
         leaders = rows.groupBy(F.col("code").alias("_code")).agg(F.min(mark).alias("leader"), F.max("key").alias("last"), F.min("key").alias("first"))
         leaders = leaders.where("first <> last").select("_code", F.col("leader.key").alias("a"), F.col("leader.n").alias("m"))
         leaders = keep(leaders, "leaders")
+        # Each set is compared with the leader that stands under most of its shingles.
+        best = F.max(F.struct("n_codes", "a"))
         pairs = (
             rows.join(leaders, rows["code"] == leaders["_code"])
             .where((F.col("a") != F.col("key")) & fits)
-            .select("a", F.col("key").alias("b"))
-            .distinct()
+            .groupBy("a", "key")
+            .agg(F.count(F.lit(1)).alias("n_codes"))
+            .groupBy("key")
+            .agg(best.alias("best"))
+            .select(F.col("best.a").alias("a"), F.col("key").alias("b"))
         )
         if links is not None:
             pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
