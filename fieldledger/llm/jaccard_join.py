@@ -254,7 +254,7 @@ def candidate_sets(docs: DataFrame, heads: DataFrame, bounds: Bounds) -> DataFra
 
 
 def prefix_rows(sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """``code``, ``key``, ``n`` and ``at`` of the shared shingles in each set's prefix.
+    """``code``, ``key``, ``n``, ``alone`` (shingles no other set has) and ``at`` of the shared shingles in each prefix.
 
     The order of a set is: shingles that no other set has, then the others from rare to frequent. The first kind takes up its
     part of the prefix and needs no row.
@@ -263,7 +263,7 @@ def prefix_rows(sets: DataFrame, bounds: Bounds) -> DataFrame:
     length = n - F.ceil(n * bounds.per_cent / 100) + 1 - alone
     first = F.slice("codes", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))
     rows = sets.select("key", "n", alone.alias("alone"), F.posexplode(first).alias("at", "code"))
-    return rows.select("code", "key", "n", (F.col("at") + F.col("alone")).alias("at"))
+    return rows.select("code", "key", "n", "alone", (F.col("at") + F.col("alone")).alias("at"))
 
 
 def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
@@ -279,7 +279,10 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
     fits = F.least("n", "m") >= F.ceil(F.greatest("n", "m") * bounds.per_cent / 100)
     links = None
     for turn in range(rounds):
-        mark = F.struct(F.xxhash64(F.lit(turn), "key"), F.col("key").alias("key"), F.col("n").alias("n"))
+        # First the set with the smallest share of shingles of its own, which is nearest to what a group was copied
+        # from; then one drawn by hash.
+        share = F.col("alone") / F.col("n") if turn == 0 else F.lit(0.0)
+        mark = F.struct(share.alias("s"), F.xxhash64(F.lit(turn), "key").alias("h"), F.col("key").alias("key"), F.col("n").alias("n"))
         leaders = rows.groupBy(F.col("code").alias("_code")).agg(F.min(mark).alias("leader"), F.max("key").alias("last"), F.min("key").alias("first"))
         leaders = leaders.where("first <> last").select("_code", F.col("leader.key").alias("a"), F.col("leader.n").alias("m"))
         leaders = keep(leaders, "leaders")
