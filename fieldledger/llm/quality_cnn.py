@@ -163,8 +163,10 @@ def gradients(model: QualityModel, rows: np.ndarray, first: np.ndarray, label: n
     return [d_embed, d_filters, back.sum(axis=0), error @ top, error @ mean, np.array([error.sum()])]
 
 
-def fit(sample: list[tuple[str, int]], epochs: int = 10, batch: int = 48, most_halves: int = 24) -> QualityModel:
-    """Train with Adam. In each epoch a text gives one stretch of at most ``most_halves`` half chunks.
+def fit(
+    sample: list[tuple[str, int]], epochs: int = 10, batch: int = 48, most_halves: int = 24, least_steps: int = 300
+) -> QualityModel:
+    """Train with Adam, a small sample for more epochs. In each epoch a text gives one stretch of at most ``most_halves`` half chunks.
 
     Without both labels, the model gives every text the share of label 1 in the sample, or 0.5 without a sample.
     """
@@ -179,7 +181,9 @@ def fit(sample: list[tuple[str, int]], epochs: int = 10, batch: int = 48, most_h
     random = np.random.default_rng(5)
     first_moment = [np.zeros_like(a, dtype=np.float64) for a in model.arrays()]
     second_moment = [np.zeros_like(a, dtype=np.float64) for a in model.arrays()]
-    step, steps = 0, epochs * -(-len(raw) // batch)
+    batches = -(-len(raw) // batch)
+    epochs = max(epochs, -(-least_steps // batches))
+    step, steps = 0, epochs * batches
     for _ in range(epochs):
         order = random.permutation(len(raw))
         for low in range(0, len(raw), batch):

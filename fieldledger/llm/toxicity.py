@@ -186,7 +186,7 @@ def fit(sample: list[tuple[str, int]], gap: float = -0.35) -> ToxicityModel:
     codes, first = word_features(data, offsets)
 
     def chosen(rows: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        at = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
+        at = np.concatenate([np.zeros(0, np.int64), *(np.arange(first[r], first[r + 1]) for r in rows)])
         return [c[at] for c in codes], np.concatenate([[0], np.cumsum(first[rows + 1] - first[rows])])
 
     def learned(rows: np.ndarray) -> ToxicityModel:
@@ -198,11 +198,14 @@ def fit(sample: list[tuple[str, int]], gap: float = -0.35) -> ToxicityModel:
         return model
 
     every = np.arange(len(sample))
+    half_of = np.zeros(len(sample), dtype=int)
+    for value in (0, 1):  # each half has its share of both labels
+        half_of[label == value] = np.arange(int((label == value).sum())) % 2
     x = np.tile([0.0, FAINTEST], (len(sample), 1))
     for half in (0, 1):
-        model = learned(every[every % 2 != half])
+        model = learned(every[half_of != half])
         for t, n, found in scan(codes, first, model):
-            if t % 2 == half:
+            if half_of[t] == half:
                 x[t], _ = features(found, n, model)
     model = learned(every)
     model.coefficients = logistic_fit(x, label)

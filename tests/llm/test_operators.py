@@ -1,0 +1,382 @@
+"""Each operator against plain Python on a small table with nulls, empty and long texts, ties and repeated rows."""
+
+import base64
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+from conftest import sha
+
+from fieldledger.llm import (
+    bpe_replay,
+    decontamination,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    quality_cnn,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
+from fieldledger.llm.components import components
+from fieldledger.llm.words import buffers, words_of
+
+
+def result(df, *columns):
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+def test_words_agree_with_split(rows):
+    texts = [t for _, t in rows]
+    data, offsets = buffers(pa.array(texts))
+    for limit in (1 << 20, 64):
+        words = words_of(data, offsets, lower=True, limit=limit)
+        code = {}
+        for k, text in enumerate(texts):
+            own = (text or "").encode().lower().split()
+            span = slice(words.first[k], words.first[k + 1])
+            got = [bytes(data[a:b]).lower() for a, b in zip(words.start[span], words.end[span], strict=True)]
+            assert got == own
+            for w, c in zip(own, words.code[span].tolist(), strict=True):
+                assert code.setdefault(w, c) == c
+        assert len(set(code.values())) == len(code)
+
+
+def test_line_dedup(docs, rows):
+    keys = defaultdict(set)
+
+    def key(line):
+        return "".join(c.lower() if c.isascii() else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= 40:
+                keys[key(line)].add(i)
+    common = {k: max(ids) for k, ids in keys.items() if len(ids) >= 5}
+    assert common
+    want = Counter()
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (key(x) in common and common[key(x)] != i)]
+        want[i, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
+    got = line_dedup.dedup_lines(docs)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    assert result(got, "doc_id", "n_lines", "n_dropped", "kept_text") == want
+
+
+def test_substring_dedup(docs, rows):
+    starts = Counter()
+    for _, text in rows:
+        words = (text or "").encode().split()
+        starts.update(tuple(words[k : k + 35]) for k in range(len(words) - 34))
+    want = Counter()
+    for i, text in rows:
+        words = (text or "").encode().split()
+        gone = set()
+        for k in range(len(words) - 34):
+            if starts[tuple(words[k : k + 35])] > 1:
+                gone.update(range(k, k + 35))
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone)
+        want[i, len(words), len(gone), sha(kept)] += 1
+    got = result(substring_dedup.dedup_substrings(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == want
+    assert any(0 < n[2] < n[1] for n in want)
+
+
+def similar(rows):
+    """Set sizes and the rows reached by links, by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        if len(words) < 5:
+            sets.append({tuple(words)} if words else set())
+        else:
+            sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and 100 * both >= 80 * len(sets[a] | sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    return sets, group
+
+
+def test_jaccard_join(docs, rows):
+    sets, group = similar(rows)
+    want = Counter()
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[x][0] for x in range(len(rows)) if group[x] == group[k] and rows[x][0] is not None]
+        want[i, len(sets[k]), min(ids) if ids else None] += 1
+    got = result(jaccard_join.jaccard_classes(docs), "doc_id", "n_shingles", "component_id")
+    assert got == want
+
+
+def test_near_duplicates_leave_one_of_each_group(docs, rows):
+    sets, group = similar(rows)
+    kept = jaccard_join.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    want = set()
+    for k, (i, text) in enumerate(rows):
+        members = [rows[x] for x in range(len(rows)) if group[x] == group[k]]
+        first = min(members, key=lambda m: (m[0] is None, m[0] if m[0] is not None else 0))
+        if not sets[k] or (i, text) == first:
+            want.add((i, text))
+    assert got == Counter(want)
+
+
+def test_long_chains_are_one_component(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "a long, b long")
+    got = {r["key"]: r["component"] for r in components(links).collect()}
+    assert got == {**{k: 0 for k in range(61)}, 100: 100, 101: 100}
+
+
+def test_trie_walk_counts_overlaps():
+    rng = np.random.default_rng(0)
+    bounds = jaccard_join.Bounds(80)
+    probe = np.sort(rng.choice(1000, 100, replace=False))
+    members = [np.sort(np.unique(np.concatenate([probe[: 100 - k], rng.choice(1000, k)]))) for k in (0, 5, 9, 12, 40) for _ in range(6)]
+    members.sort(key=lambda m: m.tolist())
+    values = [probe, *members]
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([1] * len(values)),
+            pa.array([0] + [1] * len(members)),
+            pa.array(range(len(values))),
+            pa.array([len(v) for v in values]),
+            pa.array([v.tolist() for v in values], pa.list_(pa.int64())),
+        ],
+        names=["a", "role", "key", "n", "codes"],
+    )
+    got = {(r["b"], r["shared"]) for out in jaccard_join.walk_trie(iter([batch]), bounds, step=7) for r in out.to_pylist()}
+    want = set()
+    for k, m in enumerate(members, start=1):
+        both = len(np.intersect1d(probe, m))
+        if 100 * both >= 80 * (len(probe) + len(m) - both):
+            want.add((k, both))
+    assert got == want and 0 < len(want) < len(members)
+
+
+def test_bpe_is_that_of_tiktoken_and_decodes(docs, rows):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = bpe_replay.encode_documents(docs, path, public_tokenizers.PATTERN)
+    got = result(bpe_replay.digest_tokens(tokens, path), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    want = Counter()
+    for i, text in rows:
+        ids = known.encode_ordinary(text or "")
+        want[i, len(ids), sha(",".join(map(str, ids))), sha(text or "")] += 1
+    assert got == want
+
+
+def test_merges_of_lower_rank_that_come_up_late():
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"abcd": 257, b"abc": 258, b"aa": 259, b"aaa": 260, b"cd": 261}
+    vocabulary = bpe_replay.Vocabulary(ranks)
+    known = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcd"), rng.integers(1, 30))) for _ in range(300)]
+    encoder = bpe_replay.Encoder(vocabulary, r"[\s\S]+")
+    assert [x.tolist() for x in encoder.encode(words)] == [known.encode_ordinary(w) for w in words]
+
+
+def test_sharding_law(docs, rows):
+    got = sharding.shard_documents(docs, shards=7).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    counts = Counter(r["shard"] for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1 and len(counts) == 7
+    for shard, n in counts.items():
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(n))
+    by_text = {(i, t): ((len((t or "").encode()) + 16), zlib.crc32((t or "").encode())) for i, t in rows}
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in got} == {(i, *v) for (i, _), v in by_text.items()}
+
+
+def test_sharding_keeps_copies_together(spark):
+    rows = [(k, f"t{k % 30}" if k < 300 else f"own {k}") for k in range(1000)] + [(k, "large") for k in range(1000, 1500)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=10).collect()
+    homes, largest = defaultdict(Counter), Counter()
+    for r in got:
+        text = rows[r["doc_id"]][1]
+        (largest if text == "large" else homes[text])[r["shard"]] += 1
+    cut = sum(sum(c.values()) - max(c.values()) for t, c in homes.items() if not t.startswith("own"))
+    assert cut <= 20  # 270 in expectation where shards are drawn
+    assert len(largest) <= 7
+
+
+def test_quality_rules(docs, rows):
+    got = {(r["doc_id"], r["text"]): r for r in quality_rules.apply_rules(docs).collect()}
+    for i, text in rows:
+        words = (text or "").encode().split()
+        seen = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        repeat = {k + j for k in range(len(words) - 7) if seen[tuple(words[k : k + 8])] > 1 for j in range(8)}
+        lines = [x for x in (text or "").split("\n") if x.encode().split()]
+        r = got[i, text]
+        want = (len(words), sum(len(w.decode()) for w in words), len(lines) - len(set(lines)), len(repeat))
+        assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (len(words) < 20 or 100 * len(repeat) > 30 * len(words))
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_quality_rules_judge_lines(spark):
+    prose = "A plain sentence of many words that nobody would want to lose from a text, and then a second one about rivers."
+    more = "Quite another line follows here, with its own words on boats, bridges and the people who cross them daily."
+    poor = ["home | news | sport | about | contact", "#### $$$$ &&&& words", "BUY!! NOW!! CHEAP!! OFFER!!", "We use cookies here", "....."]
+    texts = [prose + "\n" + more, "\n".join([prose, *poor]), "\n".join(poor * 8 + [prose[:30]])]
+    got = quality_rules.apply_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    first, second, third = got.orderBy("doc_id").collect()
+    assert first["kept"] and first["cleaned_text"] == texts[0]
+    assert second["cleaned_text"] == prose
+    assert not third["kept"]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    texts = ["What is the name of the river that runs through the old town? It is the silver river of the north.",
+             "First line of a test item with several words\nand its answer in seven plain words", "", None, "..."]
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def test_decontamination(spark, items):
+    whole = [r["text"] for r in items.orderBy("item_id").collect()]
+    filler = "unrelated words about weather and stones " * 40
+    texts = [whole[0], filler + whole[0].upper() + filler, filler, whole[0].split("?")[0], None, "",
+             filler + whole[1].replace("\n", " ") + " " + whole[0], "It is the silver river of the north."]
+    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id long, text string, score int")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, items).collect()}
+    assert found == {(0, 0), (1, 0), (6, 0), (6, 1)}
+    kept = decontamination.drop_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 7]
+
+
+def test_search_finds_every_item_above_the_threshold():
+    rng = np.random.default_rng(2)
+    words = [f"w{k}" for k in range(400)]
+    items = [(k, " ".join(rng.choice(words, rng.integers(5, 40)))) for k in range(90)]
+    index = decontamination.build_index(items)
+    texts = [" ".join(rng.choice(words, 150)) + " " + items[k][1] for k in range(60)]
+    data, offsets = buffers(pa.array(texts))
+    got_words = words_of(data, offsets, separators=decontamination.SEPARATORS)
+    begin, end, _, item, score = decontamination.search(index, got_words.code, got_words.first, 0.4)
+    got = {(int(b), int(i)): s for b, i, s in zip(begin, item, score, strict=True)}
+    step, want = index.length, {}
+    for k in range(len(texts)):
+        low, high = got_words.first[k], got_words.first[k + 1]
+        for at in range(max(1, -(-(high - low) // step) - 1)):
+            a = low + at * step
+            terms = set(got_words.code[a : min(a + 2 * step, high)].tolist())
+            for i in range(len(items)):
+                mine = [p for t in range(len(index.terms)) if int(index.terms[t]) in terms for p in range(index.first[t], index.first[t + 1]) if index.item[p] == i]
+                total = float(index.impact[mine].sum())
+                if total >= 0.4:
+                    want[int(a), i] = total
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-4 for k in want)
+
+
+def test_segments_are_the_maximal_ones():
+    def slow(values):
+        if not values:
+            return []
+        best = max(((sum(values[a:b]), -(b - a), -a) for a in range(len(values)) for b in range(a + 1, len(values) + 1)))
+        if best[0] <= 0:
+            return []
+        a = -best[2]
+        b = a - best[1]
+        after = [(x + b, y + b, s) for x, y, s in slow(values[b:])]
+        return slow(values[:a]) + [(a, b - 1, best[0])] + after
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        place = np.flatnonzero(rng.random(25) < 0.35)
+        scores = rng.integers(1, 9, len(place)).astype(float) + rng.random(len(place)) / 100
+        values = [-0.7] * 25
+        for p, s in zip(place, scores, strict=True):
+            values[p] = s
+        got = [(f, l, round(s, 6)) for f, l, s in toxicity.segments(scores, place, -0.7)]
+        assert got == [(f, l, round(s, 6)) for f, l, s in slow(values)]
+
+
+def test_classifiers_take_every_row(docs, rows):
+    texts = [(t, k % 2) for k, (_, t) in enumerate(rows) if t]
+    scored = [
+        quality_cnn.score_quality(docs, quality_cnn.fit(texts[:20], epochs=1, least_steps=1)),
+        quality_cnn.score_quality(docs, quality_cnn.fit([])),
+        toxicity.score_toxicity(docs, toxicity.fit(texts)),
+        toxicity.score_toxicity(docs, toxicity.fit([])),
+    ]
+    for df in scored:
+        got = df.collect()
+        assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+        assert all(0 <= r["score"] <= 1 and r["predicted"] in (0, 1) for r in got)
+        assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % (3 if df is scored[0] or df is scored[1] else 4) == (1 if df is scored[0] or df is scored[1] else 2)) for r in got)
+
+
+def test_languages(docs, rows):
+    model = language_id.fit([("the house of the man " * 5, "en"), ("das haus und der mann " * 5, "de")] * 20)
+    got = {(r["doc_id"]): r for r in language_id.identify(docs, model).collect()}
+    und = {i for i, t in rows if not any(c.isalpha() for c in t or "")}
+    assert {i for i, r in got.items() if r["lang_pred"] == "und"} >= und - {None}
+    alone = language_id.identify(docs, language_id.fit([])).collect()
+    assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in alone)
+
+
+def test_network_sees_long_texts_whole():
+    model = quality_cnn.new_model()
+    text = np.random.default_rng(6).integers(32, 120, 5 * quality_cnn.SCAN_BYTES + 77).astype(np.uint8)
+    offsets = np.array([0, len(text)])
+    rows, first = quality_cnn.half_chunks(text, offsets)
+    top, mean = quality_cnn.pooled(quality_cnn.responses(model, rows), first)
+    whole = top @ model.top + mean @ model.mean + model.bias
+    assert np.allclose(whole, quality_cnn.logits(model, text, offsets), atol=1e-4)
+
+
+def test_network_gradients():
+    model = quality_cnn.new_model()
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(32, 120, n).astype(np.uint8) for n in (5, 130, 700)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    rows, first = quality_cnn.half_chunks(np.concatenate(texts), offsets)
+    label = np.array([1.0, 0.0, 1.0], dtype=np.float32)
+
+    def loss():
+        top, mean = quality_cnn.pooled(quality_cnn.responses(model, rows), first)
+        p = 1 / (1 + np.exp(-(top @ model.top + mean @ model.mean + model.bias).astype(np.float64)))
+        return float(-(label * np.log(p) + (1 - label) * np.log(1 - p)).mean())
+
+    grads = quality_cnn.gradients(model, rows, first, label)
+    for value, grad in zip(model.arrays(), grads, strict=True):
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        old, step = value[at], 1e-3
+        value[at] = old + step
+        more = loss()
+        value[at] = old - step
+        less = loss()
+        value[at] = old
+        assert abs((more - less) / (2 * step) - grad[at]) < 0.1 * abs(grad[at]) + 1e-4
+
+
+def test_empty_tables(spark, no_docs, items):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = bpe_replay.encode_documents(no_docs, path, public_tokenizers.PATTERN)
+    for df in (
+        line_dedup.dedup_lines(no_docs),
+        substring_dedup.dedup_substrings(no_docs),
+        jaccard_join.jaccard_classes(no_docs),
+        jaccard_join.drop_near_duplicates(no_docs),
+        sharding.shard_documents(no_docs),
+        quality_rules.apply_rules(no_docs),
+        decontamination.find_leaks(no_docs, items),
+        decontamination.find_leaks(no_docs, items.limit(0)),
+        bpe_replay.digest_tokens(tokens, path),
+        language_id.identify(no_docs, language_id.train(no_docs)),
+        quality_cnn.score_quality(no_docs, quality_cnn.fit([])),
+        toxicity.score_toxicity(no_docs, toxicity.fit([])),
+    ):
+        assert df.collect() == []
