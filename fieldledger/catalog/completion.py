@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog import inputs
 from fieldledger.catalog.registry import query, table
+from fieldledger.functions.periods import months_between
 from fieldledger.operators import completion
 from fieldledger.sources.landed import explode_registrations
 
@@ -19,9 +20,10 @@ REGISTRATIONS = [
     "o_orderkey AS seq",
 ]
 REGISTRATIONS_SQL = f"SELECT {', '.join(REGISTRATIONS)} FROM orders"
-# Requested: every customer for each of two months.
-REQUESTED_SQL = """SELECT CAST(m AS INTEGER) AS PERIOD, concat('C', c_custkey) AS ORG_UNIT
-  FROM customer, (SELECT unnest([199701, 199702]) AS m)"""
+# Requested: every customer for each month of the orders.
+REQUESTED_SQL = """SELECT CAST(year(m) * 100 + month(m) AS INTEGER) AS PERIOD, concat('C', c_custkey) AS ORG_UNIT
+  FROM customer, (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)),
+    INTERVAL 1 MONTH)) AS m FROM orders)"""
 PROCESSED = [f"{inputs.ORDER_PERIOD} AS PERIOD", "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE concat('C', o_custkey) END AS ORG_UNIT"]
 PROCESSED_ROWS = "o_orderpriority = '1-URGENT'"
 PROCESSED_SQL = f"SELECT {', '.join(PROCESSED)} FROM orders WHERE {PROCESSED_ROWS}"
@@ -32,7 +34,8 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = F.explode(F.array(F.lit(199701), F.lit(199702))).alias("PERIOD")
+    dates = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    months = F.explode(months_between(F.lit(dates["a"].date()), F.lit(dates["b"].date()))).alias("PERIOD")
     return table(spark, sf_dir, "customer").select(months, F.concat(F.lit("C"), "c_custkey").alias("ORG_UNIT"))
 
 

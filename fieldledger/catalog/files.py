@@ -101,7 +101,7 @@ def form_to_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PUBLISH_KEYS = " AND ".join(f"c.{k} = r.{k}" for k in POINT_KEYS)
 _CYCLE_SQL = f"""WITH c AS ({inputs.ORDER_POINTS_SQL}), p AS ({inputs.ORDER_EARLIER_SQL}),
-    r AS (SELECT c.* FROM c WHERE PERIOD % 100 = 1 AND CATEGORY_OPTION_COMBO = 'cocLow' AND NOT EXISTS (
+    r AS (SELECT c.* FROM c WHERE (PERIOD % 100 = 1 AND CATEGORY_OPTION_COMBO = 'cocLow' OR PERIOD % 100 IN (2, 3)) AND NOT EXISTS (
       SELECT 1 FROM p r WHERE {_PUBLISH_KEYS} AND (c.VALUE = r.VALUE OR r.VALUE IS NULL)))
   SELECT c.* FROM c ANTI JOIN r ON {_PUBLISH_KEYS}
   UNION ALL SELECT c.* FROM p c SEMI JOIN r ON {_PUBLISH_KEYS}"""
@@ -111,7 +111,8 @@ _CYCLE_SQL = f"""WITH c AS ({inputs.ORDER_POINTS_SQL}), p AS ({inputs.ORDER_EARL
 def publish_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delta, batches, responses that reject some points, and the snapshot that follows.
 
-    Before it a dry run, which must leave the snapshot alone.
+    Batches of February are never answered and those of March fail. Before it a dry run, which must leave the
+    snapshot alone.
     """
     done, pushed, out = (scratch_dir(spark, name) for name in ("transformed", "pushed", "out"))
     write_stage(inputs.order_points(spark, sf_dir), done)
@@ -122,9 +123,13 @@ def publish_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         rejected = (F.col("period") % 100 == 1) & (F.col("categoryOptionCombo") == "cocLow")
         # The positions of one batch are at most its size.
         positions = F.collect_list(F.when(rejected, F.col("batch_pos"))).alias("rejectedIndexes")
-        replies = spark.read.parquet(paths.points).groupBy("batch_id").agg(positions).select(
-            "batch_id", F.lit(200).alias("status_code"),
-            F.to_json(F.struct(F.struct("rejectedIndexes").alias("response"))).alias("body"),
+        failed = F.min("period") % 100 == 3
+        answered = spark.read.parquet(paths.points).where("period % 100 <> 2").groupBy("batch_id")
+        good = F.to_json(F.struct(F.struct("rejectedIndexes").alias("response")))
+        replies = answered.agg(positions, failed.alias("failed")).select(
+            "batch_id",
+            F.when(F.col("failed"), 409).otherwise(200).alias("status_code"),
+            F.when(F.col("failed"), '{"status":"ERROR"}').otherwise(good).alias("body"),
         )
         settle_publish(spark, done, pushed, paths, replies, dry_run)
     return read_stage(spark, pushed, schema=POINT)
@@ -154,14 +159,14 @@ def non_numeric_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(199701 AS INTEGER) AS PERIOD, ORG_UNIT FROM (SELECT DISTINCT concat('C', o_custkey) AS ORG_UNIT, first_value(
-        o_orderstatus = 'F' AND o_orderpriority <> '5-LOW') OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS ok
-      FROM orders WHERE year(o_orderdate) = 1997 AND month(o_orderdate) = 1) WHERE ok"""
+    f"""SELECT DISTINCT PERIOD, ORG_UNIT FROM (SELECT {inputs.ORDER_PERIOD} AS PERIOD, concat('C', o_custkey) AS ORG_UNIT, first_value(
+        o_orderstatus = 'F' AND o_orderpriority <> '5-LOW') OVER (PARTITION BY o_custkey, {inputs.ORDER_PERIOD} ORDER BY o_orderkey) AS ok
+      FROM orders) WHERE ok"""
 )
 def completion_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole completion run, repeated; the log holds each pushed unit once."""
     log, out = scratch_dir(spark, "log"), scratch_dir(spark, "out")
-    units = requested(spark, sf_dir).where("PERIOD = 199701")
+    units = requested(spark, sf_dir)
     for run in range(2):
         plan = completion_plan.prepare_completion(
             spark, units, registrations(spark, sf_dir), "dsTarget", log, f"{out}/plan={run}"

@@ -18,7 +18,9 @@ _ON = " AND ".join(f"c.{k} = p.{k}" for k in inputs.KEYS_SQL.split(", "))
 def _delta_sql(current: str, posted: str) -> str:
     return f"""
       SELECT c.*, 'new' AS change_type FROM ({current}) c ANTI JOIN ({posted}) p ON {_ON}
-      UNION ALL SELECT c.*, 'changed' FROM ({current}) c JOIN ({posted}) p ON {_ON} WHERE c.VALUE <> p.VALUE"""
+      UNION ALL SELECT c.*, 'changed' FROM ({current}) c JOIN (
+        SELECT {inputs.KEYS_SQL}, min(VALUE) AS lo, max(VALUE) AS hi FROM ({posted}) GROUP BY ALL) p ON {_ON}
+      WHERE c.VALUE <> lo OR c.VALUE <> hi"""
 
 
 @query(_delta_sql(inputs.ORDER_POINTS_SQL, inputs.ORDER_EARLIER_SQL))
@@ -66,7 +68,7 @@ def delta_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of a delta run."""
     current = inputs.points(spark, sf_dir)
-    return cdc.delta_counts(current, cdc.delta(current, inputs.earlier_points(spark, sf_dir)))
+    return cdc.delta_counts(current, cdc.delta(current, inputs.earlier_points(spark, sf_dir), join_hint="merge"))
 
 
 @query(

@@ -21,36 +21,37 @@ def delta(
 ) -> DataFrame:
     """Current rows that are new or whose value changed, with a ``change_type``.
 
-    A row is new when no posted row has its keys, and comes out once per posted row of its keys with
-    another value (so more than once only where posted keys repeat). Null values never count as
-    changed, and null keys never match.
+    A row is new when no posted row has its keys, and changed when a posted row of its keys has another value; it comes
+    out once either way. Null values never count as changed, and null keys never match. Where posted keys repeat with
+    different values, every current value differs from one of them, so all current rows of the key are changed until the
+    snapshot holds one value again.
 
-    One left join does the work of an anti join and an inner join. Posted rows are first counted per
-    (keys, value), with partial aggregation on the map side: copies of one posted row shrink to one,
-    and as a current row equals at most one of the values left, the join never handles more pairs than
-    current rows plus result rows. Both join inputs are plain shuffles, so that adaptive execution can
-    split a hot key. ``posted_unique`` skips the count where the snapshot is known to have unique keys.
+    One left join does the work of an anti join and an inner join. Posted rows are first reduced to the least and greatest
+    value of their keys, on the map side too, so the join gives at most the current rows. They are grouped by one struct,
+    which leaves the join a plain shuffle of each side: adaptive execution can split a hot key of the current rows.
+    ``posted_unique`` skips the grouping where the snapshot is known to have unique keys.
 
     The join strategy is Spark's choice. Its size estimate is good for stored snapshots, but does not
     see that an unpivot multiplies rows: ``join_hint="merge"`` keeps such a snapshot from being broadcast.
     """
     if posted is None:
         return current.withColumn("change_type", F.lit("new"))
-    old = posted.select(*key_columns(posted, keys), quoted(value).cast("string").alias("_old"))
+    names = key_columns(posted, keys)
+    old_value = quoted(value).cast("string")
     if posted_unique:
-        old = old.withColumn("_n", F.lit(1).cast("bigint"))
+        old = posted.select(*names, F.lit(1).cast("bigint").alias("_n"), old_value.alias("_low"), old_value.alias("_high"))
     else:
-        old = old.groupBy(*old.columns).agg(F.count(F.lit(1)).alias("_n"))
+        grouped = posted.groupBy(F.struct(*names).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(old_value).alias("_low"), F.max(old_value).alias("_high")
+        )
+        old = grouped.select("_key.*", "_n", "_low", "_high")
     if join_hint is not None:
         old = old.hint(join_hint)
     joined = current.join(old, keys_match(current, old, keys), "left")
-    kept = joined.where(F.col("_n").isNull() | (quoted(value).cast("string") != F.col("_old")))
+    now = quoted(value).cast("string")
+    kept = joined.where(F.col("_n").isNull() | (now != F.col("_low")) | (now != F.col("_high")))
     kind = F.when(F.col("_n").isNull(), "new").otherwise("changed")
-    columns = [quoted(c) for c in current.columns]
-    if posted_unique:
-        return kept.select(*columns, kind.alias("change_type"))
-    copies = F.array_repeat(kind, F.coalesce(F.col("_n"), F.lit(1)).cast("int"))
-    return kept.select(*columns, F.explode(copies).alias("change_type"))
+    return kept.select(*[quoted(c) for c in current.columns], kind.alias("change_type"))
 
 
 def removed(

@@ -86,15 +86,28 @@ def rejected_points(batched: DataFrame, parsed: DataFrame) -> DataFrame:
     return batched.join(rejected_positions(parsed), ["batch_id", "batch_pos"], "left_semi")
 
 
+def accepted_batches(parsed: DataFrame) -> DataFrame:
+    """Ids of the batches with an answer that could be read, is no HTTP error and does not say ERROR."""
+    fine = ~F.col("parse_failed") & (F.coalesce(F.col("status_code"), F.lit(200)) < 400)
+    status = F.coalesce(F.col("r.status"), F.lit(""))
+    return parsed.groupBy("batch_id").agg(F.bool_and(fine & (status != "ERROR")).alias("ok")).where("ok").select("batch_id")
+
+
+def held_points(batched: DataFrame, parsed: DataFrame) -> DataFrame:
+    """The points nobody accepted: those of batches without a good answer, and those at rejected positions."""
+    unanswered = batched.join(accepted_batches(parsed), "batch_id", "left_anti")
+    return unanswered.unionByName(rejected_points(batched, parsed)).distinct()
+
+
 def server_errors(parsed: DataFrame) -> DataFrame:
     """Responses with a server error and its message: any of them must stop a publish."""
     message = F.coalesce(
         F.col("r.message"),
-        F.concat(F.lit("HTTP "), F.col("status_code").cast("string"), F.lit(" error with no message")),
+        F.concat(F.lit("HTTP "), F.col("status_code").cast("string"), F.lit(" without a message")),
     )
     failed = parsed.where((F.col("status_code") >= 500) & (F.col("status_code") < 600))
     return failed.select(
-        "batch_id", "status_code", F.concat(F.lit("Server error: "), message).alias("message")
+        "batch_id", "status_code", F.concat(F.lit("Import stopped by the server: "), message).alias("message")
     )
 
 

@@ -17,16 +17,17 @@ from fieldledger.operators.batches import batch_payloads, batch_points
 from fieldledger.operators.canonical import drop_nulls
 from fieldledger.operators.columns import check_choice
 from fieldledger.operators.delta import delta, delta_with_deletes, next_snapshot
-from fieldledger.operators.points import classify_points, payload_rows, point_struct
+from fieldledger.operators.points import classify_points, point_struct
 from fieldledger.operators.responses import (
     check_server_errors,
     fold_counts,
+    held_points,
     import_errors,
     parse_responses,
     rejected_points,
 )
 from fieldledger.schemas import IMPORT_STRATEGIES, PAYLOAD_FIELDS, POINT
-from fieldledger.sinks.stages import write_payloads, write_stage
+from fieldledger.sinks.stages import drop_periods, write_payloads, write_stage
 from fieldledger.sources.tabular import read_stage
 
 # Fixed value: points per batch of the main job.
@@ -63,6 +64,14 @@ class PublishPaths:
     def rejected(self) -> str:
         return f"{self.root}/rejected"
 
+    @property
+    def held(self) -> str:
+        return f"{self.root}/held"
+
+    @property
+    def responses(self) -> str:
+        return f"{self.root}/responses"
+
     @property
     def errors(self) -> str:
         return f"{self.root}/errors"
@@ -138,10 +147,13 @@ def settle_publish(
 ) -> dict[str, int]:
     """Fold the responses, report errors and rejected points, and move the snapshot on.
 
-    A server error raises before the snapshot moves. A dry run never moves it, and rejected points
-    keep what was posted before. Only periods with changes are rewritten.
+    A server error raises before the snapshot moves. A dry run never moves it. A point is accepted only if its batch has
+    an answer that is no error and does not reject its position; every other point keeps what was posted before and is
+    sent again. Only periods with changes are rewritten, and a period that has no points left is dropped.
     """
-    parsed = parse_responses(responses)
+    # Written once, as four steps read them.
+    parse_responses(responses).write.mode("overwrite").parquet(paths.responses)
+    parsed = spark.read.parquet(paths.responses)
     check_server_errors(parsed)
     batched = spark.read.parquet(paths.points)
     import_errors(parsed).write.mode("overwrite").parquet(paths.errors)
@@ -149,14 +161,20 @@ def settle_publish(
     summary = fold_counts(parsed).first().asDict()
     if dry_run:
         return summary
-    rejected = canonical_keys(spark.read.parquet(paths.rejected))
+    held_points(batched, parsed).write.mode("overwrite").parquet(paths.held)
+    held = canonical_keys(spark.read.parquet(paths.held))
     touched = period_values(spark.read.parquet(paths.changes), "period")
     stages = [
         read_stage(spark, path, file_format, only, periods, POINT)
         for path in (transformed_path, pushed_path)
     ]
     current, posted = [of_periods(df, touched) if df is not None else None for df in stages]
-    write_stage(next_snapshot(drop_nulls(current), posted, rejected), pushed_path, file_format)
+    if current is None:
+        current = spark.createDataFrame([], POINT)
+    snapshot = next_snapshot(drop_nulls(current), posted, held)
+    left = set(period_values(snapshot, "PERIOD"))
+    write_stage(snapshot, pushed_path, file_format)
+    drop_periods(spark, pushed_path, [p for p in touched if p not in left])
     return summary
 
 
@@ -164,8 +182,3 @@ def point_report(points: DataFrame) -> DataFrame:
     """Ignored and deleted points of payload rows, with their class and JSON form."""
     classified = classify_points(points).where(F.col("point_class") != "valid")
     return classified.withColumn("point", F.to_json(point_struct()))
-
-
-def preview_payload(points: DataFrame) -> DataFrame:
-    """Payload rows of canonical points with class and JSON form, without batches."""
-    return classify_points(payload_rows(points)).withColumn("point", F.to_json(point_struct()))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,17 +29,9 @@ def build_session(app_name: str = "fieldledger", master: str | None = None, **co
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder the cluster shares (``spark.checkpoint.dir``).
+    """A fresh path under the folder the cluster shares.
 
-    A machine-local folder is used only where that setting is missing, as in tests.
+    That is ``spark.checkpoint.dir``, or a folder in the warehouse where it is unset; never a machine-local one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldledger-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def checkpoint(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
-    return df.checkpoint(eager=True)

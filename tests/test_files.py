@@ -15,7 +15,7 @@ from fieldledger.plans.ingest import clean_submissions, ingest
 from fieldledger.plans.publish import PublishPaths, prepare_publish, settle_publish
 from fieldledger.plans.quality import report_non_numeric
 from fieldledger.plans.transform import transform
-from fieldledger.session import checkpoint, scratch_dir
+from fieldledger.session import scratch_dir
 from fieldledger.settings import Derivations, PointRules
 from fieldledger.sinks.stages import replace_parquet, write_stage, write_table
 from fieldledger.sources import landed, paths, tabular
@@ -276,7 +276,6 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     assert delta(snapshot, snapshot).count() == 0
 
 
-def test_scratch_and_checkpoint(spark):
+def test_scratch(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
-    assert checkpoint(spark.range(3)).count() == 3

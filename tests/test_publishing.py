@@ -131,11 +131,11 @@ def test_response_errors(spark):
 def test_server_errors(spark):
     got = {r.batch_id: r.message for r in responses.server_errors(parsed(spark)).collect()}
     assert got == {
-        "server": "Server error: boom",
-        "text": "Server error: HTTP 502 error with no message",
-        "silent": "Server error: HTTP 503 error with no message",
+        "server": "Import stopped by the server: boom",
+        "text": "Import stopped by the server: HTTP 502 without a message",
+        "silent": "Import stopped by the server: HTTP 503 without a message",
     }
-    with pytest.raises(RuntimeError, match="Server error: boom"):
+    with pytest.raises(RuntimeError, match="Import stopped by the server: boom"):
         responses.check_server_errors(parsed(spark, {"server", "top"}))
     responses.check_server_errors(parsed(spark, {"top", "conflict"}))
 
@@ -151,3 +151,10 @@ def test_completion_status(spark):
     assert got["conflict"] == ("failed", 1, 0)
     assert got["text"] == ("parse_failed", 1, 0) and got["silent"] == ("parse_failed", 1, 0)
     assert got["server"][0] == "failed" and got["neither"] == ("pushed", 0, 0) and got["top"] == ("pushed", 0, 0)
+
+
+def test_points_without_a_good_answer_are_held(spark):
+    names = ("top", "neither", "nested", "conflict", "text", "none")
+    batched = spark.createDataFrame([(n, k, f"{n}{k}") for n in names for k in (0, 1)], "batch_id string, batch_pos int, dx string")
+    got = sorted(r.dx for r in responses.held_points(batched, parsed(spark)).collect())
+    assert got == ["conflict0", "conflict1", "nested1", "none0", "none1", "text0", "text1"]
