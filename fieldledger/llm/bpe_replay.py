@@ -18,8 +18,8 @@ from fieldledger.llm.words import buffers, row_blocks
 
 # Distinct words replayed at once, as bytes, and words whose tokens are remembered between replays.
 REPLAY_BYTES = 4 << 20
-TEXT_BYTES = 8 << 20
-REMEMBERED = 200_000
+TEXT_BYTES = 4 << 20
+REMEMBERED = 100_000
 
 
 class Vocabulary:
@@ -164,40 +164,55 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         self.vocabulary = vocabulary
         self.cut = regex.compile(pattern).findall
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Words are numbered; the tokens of word ``k`` are ``tokens[first[k]]`` up to ``tokens[first[k + 1]]``."""
+        self.known: dict[str, int] = {}
+        self.tokens, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, words: Iterable[str]) -> None:
         """Remember the tokens of ``words``; a word that is itself a token needs no merges."""
-        ranks, new = self.vocabulary.ranks, []
+        ranks, whole, new = self.vocabulary.ranks, [], []
         for w in words:
             if w not in self.known:
-                whole = ranks.get(w.encode())
-                if whole is None:
+                token = ranks.get(w.encode())
+                if token is None:
                     new.append(w)
                 else:
-                    self.known[w] = np.array([whole], dtype=np.int32)
-        while new:
-            taken, size = 0, 0
-            while taken < len(new) and size < REPLAY_BYTES:
-                size += len(new[taken])
-                taken += 1
-            part, new = new[:taken], new[taken:]
-            tokens, first = replay([w.encode() for w in part], self.vocabulary)
-            tokens = tokens.astype(np.int32)
-            for k, w in enumerate(part):
-                self.known[w] = tokens[first[k] : first[k + 1]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text. Words are kept for the next call while there are few enough."""
+                    self.known[w] = len(self.first) - 1 + len(whole)
+                    whole.append(token)
+        self._add(np.array(whole, np.int32), np.arange(1, len(whole) + 1))
+        low = 0
+        while low < len(new):
+            high, size = low, 0
+            while high < len(new) and size < REPLAY_BYTES:
+                size += len(new[high])
+                high += 1
+            tokens, first = replay([w.encode() for w in new[low:high]], self.vocabulary)
+            self.known.update(zip(new[low:high], range(len(self.first) - 1, len(self.first) - 1 + high - low)))
+            self._add(tokens.astype(np.int32), first[1:])
+            low = high
+
+    def _add(self, tokens: np.ndarray, ends: np.ndarray) -> None:
+        self.first = np.concatenate([self.first, len(self.tokens) + ends])
+        self.tokens = np.concatenate([self.tokens, tokens])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the texts, one after the other, and where each text's begin.
+
+        Words are kept for the next call while there are few enough.
+        """
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.forget()
         cuts = [self.cut(t) for t in texts]
         self.learn({w for words in cuts for w in words})
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([self.known[w] for w in words]) if words else none for words in cuts]
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids.tolist()))
+        counts = np.array([len(words) for words in cuts], dtype=np.int64)
+        word = np.fromiter((self.known[w] for words in cuts for w in words), np.int64, int(counts.sum()))
+        sizes = self.first[word + 1] - self.first[word]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(self.first[word] - ends[:-1], sizes)
+        return self.tokens[at], ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,9 +232,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "do
         for batch in batches:
             texts = batch.column(1)
             for low, high in row_blocks(buffers(texts)[1], TEXT_BYTES):
-                ids = encoder.encode([t or "" for t in texts[low:high].to_pylist()])
-                first = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                flat, first = encoder.encode([t or "" for t in texts[low:high].to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], lists.cast(schema.field(1).type)], schema=schema)
 
