@@ -45,7 +45,7 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and their digests."""
     path = public_tokenizers.path(VOCABULARY)
-    return bpe_replay.digest_tokens(bpe_replay.encode_documents(docs, path, public_tokenizers.PATTERN), path)
+    return bpe_replay.encode_and_digest(docs, path, public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Stage]] = [

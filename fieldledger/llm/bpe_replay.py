@@ -13,13 +13,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from fieldledger.llm.store import arrow_schema
+from fieldledger.llm.store import arrow_schema, give_back
 from fieldledger.llm.words import buffers, row_blocks
 
 # Distinct words replayed at once, as bytes, and words whose tokens are remembered between replays.
 REPLAY_BYTES = 4 << 20
 TEXT_BYTES = 4 << 20
 REMEMBERED = 100_000
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 class Vocabulary:
@@ -28,10 +29,8 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.size = max(ranks.values()) + 1
         self.ranks = ranks
-        self.bytes_of: list[bytes] = [b""] * self.size
         self.of_byte = np.full(256, -1, dtype=np.int64)
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
             if len(token) == 1:
                 self.of_byte[token[0]] = rank
         if (self.of_byte < 0).any():
@@ -57,11 +56,25 @@ class Vocabulary:
         return np.where(self.pairs[at] == pair, self.merged[at], -1)
 
 
-@lru_cache(maxsize=2)
-def read_vocabulary(path: str) -> Vocabulary:
+def read_ranks(path: str) -> dict[bytes, int]:
     """A vocabulary file: a line per token, its bytes in base 64 and its rank."""
     with open(path, "rb") as lines:
-        return Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=2)
+def read_vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(read_ranks(path))
+
+
+@lru_cache(maxsize=2)
+def read_tokens(path: str) -> list[bytes]:
+    """Token bytes by rank, which is all that decoding needs."""
+    ranks = read_ranks(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
 
 
 def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -228,40 +241,80 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "do
     schema = arrow_schema("doc_id long, token_ids array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_vocabulary(path), pattern)
-        for batch in batches:
-            texts = batch.column(1)
-            for low, high in row_blocks(buffers(texts)[1], TEXT_BYTES):
-                flat, first = encoder.encode([t or "" for t in texts[low:high].to_pylist()])
-                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], lists.cast(schema.field(1).type)], schema=schema)
+        for ids, flat, first in _encoded(batches, path, pattern):
+            yield pa.RecordBatch.from_arrays([ids, _lists(flat, first)], schema=schema)
+
+    return _texts(docs, doc_id, text).mapInArrow(run, "doc_id long, token_ids array<int>")
+
+
+def encode_and_digest(
+    docs: DataFrame, path: str, pattern: str, with_ids: bool = True, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``encode_documents`` with the columns of ``digest_tokens``; without ``with_ids``, no ``token_ids``.
+
+    Both run in one task, so token ids are not sent to a second Python worker and back. Null or empty text has no
+    tokens, and its digests are those of the empty text; other cases are those of ``encode_documents``.
+    """
+    columns = f"doc_id long, token_ids array<int>, {DIGESTS}" if with_ids else f"doc_id long, {DIGESTS}"
+    schema = arrow_schema(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = read_tokens(path)
+        for ids, flat, first in _encoded(batches, path, pattern):
+            lists = [_lists(flat, first)] if with_ids else []
+            own = (flat[a:b].tolist() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([ids, *lists, *_digests(own, tokens)], schema=schema)
 
-    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(
-        run, "doc_id long, token_ids array<int>"
-    )
+    return _texts(docs, doc_id, text).mapInArrow(run, columns)
 
 
 def digest_tokens(tokens: DataFrame, path: str) -> DataFrame:
     """The rows of ``encode_documents`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``; ids are decoded again."""
+    names = [f.name for f in arrow_schema(DIGESTS)]
 
-    @F.arrow_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    @F.arrow_udf(f"struct<{DIGESTS}>")
     def digest(lists: pa.Array) -> pa.Array:
-        vocabulary = read_vocabulary(path)
-        names = _decimal(vocabulary.size)
-        counts, ids_sha, text_sha = [], [], []
-        for ids in lists:
-            own = ids.values.to_numpy().tolist()
-            counts.append(len(own))
-            ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, own)).encode()).hexdigest())
-            text_sha.append(hashlib.sha256(b"".join(map(vocabulary.bytes_of.__getitem__, own))).hexdigest())
         return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-            names=["n_tokens", "ids_sha256", "decoded_sha256"],
+            _digests((ids.values.to_numpy().tolist() for ids in lists), read_tokens(path)), names=names
         )
 
     return tokens.withColumn("_d", digest("token_ids")).select(*tokens.columns, "_d.*")
 
 
+def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
+
+
+def _encoded(
+    batches: Iterator[pa.RecordBatch], path: str, pattern: str
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids of some rows, the tokens of their texts one after the other, and where each text's begin."""
+    encoder = Encoder(read_vocabulary(path), pattern)
+    for batch in batches:
+        texts = batch.column(1)
+        for low, high in row_blocks(buffers(texts)[1], TEXT_BYTES):
+            flat, first = encoder.encode([t or "" for t in texts[low:high].to_pylist()])
+            yield batch.column(0)[low:high], flat, first
+    encoder.forget()
+    give_back()
+
+
+def _lists(flat: np.ndarray, first: np.ndarray) -> pa.Array:
+    lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat, pa.int32()))
+    return lists.cast(arrow_schema("x array<int>").field(0).type)
+
+
+def _digests(rows: Iterable[list[int]], tokens: list[bytes]) -> list[pa.Array]:
+    """Columns of ``DIGESTS``, each row being a list of token ids."""
+    names = _decimal(len(tokens))
+    counts, ids_sha, text_sha = [], [], []
+    for own in rows:
+        counts.append(len(own))
+        ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, own)).encode()).hexdigest())
+        text_sha.append(hashlib.sha256(b"".join(map(tokens.__getitem__, own))).hexdigest())
+    return [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+
+
 @lru_cache(maxsize=2)
 def _decimal(count: int) -> list[str]:
     return [str(k) for k in range(count)]

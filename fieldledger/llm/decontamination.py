@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldledger.llm.store import arrow_schema
+from fieldledger.llm.store import arrow_schema, give_back
 from fieldledger.llm.words import buffers, row_blocks, windows, words_of
 
 K1, B = 1.2, 0.75
@@ -202,6 +202,7 @@ def matches(
         for low, high in row_blocks(offsets, SCAN_BYTES):
             for (row, item), values in sorted(best(data, offsets[low : high + 1]).items()):
                 out[low + row].append(dict(zip(names, (item, *values), strict=True)))
+        give_back()
         return pa.array(out, kind)
 
     return find(text)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fieldledger.llm.components import components
-from fieldledger.llm.store import arrow_schema, keep, row_key
+from fieldledger.llm.store import arrow_schema, give_back, keep, row_key
 from fieldledger.llm.words import buffers, columns, lists_of, mix, numbers, row_blocks, signed, windows, words_of
 
 SHINGLE = 5
@@ -130,6 +130,8 @@ def find_heads(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa
                 held, heads, seen, count = [], [], set(), 0
     if held:
         yield flush()
+    del held, heads, seen
+    give_back()
 
 
 def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldledger.llm.samples import labelled_sample
-from fieldledger.llm.store import is_training
+from fieldledger.llm.store import give_back, is_training
 from fieldledger.llm.words import buffers, row_blocks
 
 # Bytes a filter sees, step between its places, and bytes of half a chunk. Chunks overlap by half.
@@ -221,6 +221,7 @@ def quality_score(text: Column, model: QualityModel) -> Column:
         for low, high in row_blocks(offsets, SCAN_BYTES):
             z = logits(model, data, offsets[low : high + 1]).astype(np.float64)
             out[low:high] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        give_back()
         return pa.array(out)
 
     return score(text)

@@ -69,8 +69,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    tokens = bpe_replay.encode_documents(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe_replay.digest_tokens(tokens, path).drop("token_ids")
+    docs = _table(spark, sf_dir, "documents")
+    return bpe_replay.encode_and_digest(docs, path, public_tokenizers.PATTERN, with_ids=False)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -15,6 +17,14 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system; Spark keeps workers, and their memory, for later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 SIMPLE = {
     "long": pa.int64(),
     "int": pa.int32(),

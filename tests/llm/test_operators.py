@@ -174,6 +174,12 @@ def test_bpe_is_that_of_tiktoken_and_decodes(docs, rows):
         ids = known.encode_ordinary(text or "")
         want[i, len(ids), sha(",".join(map(str, ids))), sha(text or "")] += 1
     assert got == want
+    at_once = bpe_replay.encode_and_digest(docs, path, public_tokenizers.PATTERN)
+    assert at_once.columns == ["doc_id", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert result(at_once, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    assert all(sha(",".join(map(str, r["token_ids"]))) == r["ids_sha256"] for r in at_once.collect())
+    without = bpe_replay.encode_and_digest(docs, path, public_tokenizers.PATTERN, with_ids=False)
+    assert result(without, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
 
 
 def test_merges_of_lower_rank_that_come_up_late():
@@ -378,6 +384,7 @@ def test_empty_tables(spark, no_docs, items):
         decontamination.find_leaks(no_docs, items),
         decontamination.find_leaks(no_docs, items.limit(0)),
         bpe_replay.digest_tokens(tokens, path),
+        bpe_replay.encode_and_digest(no_docs, path, public_tokenizers.PATTERN),
         language_id.identify(no_docs, language_id.train(no_docs)),
         quality_cnn.score_quality(no_docs, quality_cnn.fit([])),
         toxicity.score_toxicity(no_docs, toxicity.fit([])),
