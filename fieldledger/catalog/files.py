@@ -18,7 +18,7 @@ from fieldledger.schemas import POINT, POINT_KEYS
 from fieldledger.session import scratch_dir
 from fieldledger.sinks.stages import write_csv, write_stage
 from fieldledger.sources.landed import read_processed
-from fieldledger.sources.tabular import read_csv, read_stage
+from fieldledger.sources.tabular import read_csv, read_csv_fetches, read_stage
 from fieldledger.streaming.incoming import publish_incoming
 
 _ORDERS = ["o_orderkey", "o_totalprice", "o_orderstatus", f"{inputs.ORDER_PERIOD} AS PERIOD"]
@@ -61,6 +61,44 @@ def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, path, "csv")
 
 
+_ANSWERS = """CASE l_returnflag WHEN 'N' THEN CAST(l_orderkey AS VARCHAR(20)) WHEN 'A' THEN concat(l_orderkey, '.50')
+  ELSE concat('n/a ', l_linenumber) END"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {_ANSWERS} AS answer FROM lineitem")
+def csv_late_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question answered with whole numbers in a first file, with decimals and texts in a later one: no cell is lost."""
+    first, later = scratch_dir(spark, "first"), scratch_dir(spark, "later")
+    answers = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{_ANSWERS} AS answer")
+    write_csv(answers.where("answer RLIKE '^[0-9]+$'"), first)
+    write_csv(answers.where("NOT answer RLIKE '^[0-9]+$'"), later)
+    fetched = read_csv_fetches(spark, [first, later])
+    return fetched.select(F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), "answer")
+
+
+_DRIFT = {
+    "PERIOD < 199500": "o_orderkey, o_custkey AS x, o_orderstatus AS q_a",
+    "PERIOD BETWEEN 199500 AND 199699": "o_orderkey, o_custkey + CAST(0.5 AS DOUBLE) AS x, o_orderkey % 7 AS q_b",
+    "PERIOD >= 199700": "o_orderkey, 'C' || o_custkey AS x",
+}
+
+
+@query(
+    f"""WITH o AS (SELECT *, {inputs.ORDER_PERIOD} AS PERIOD FROM orders)
+    SELECT o_orderkey, CASE WHEN PERIOD < 199500 THEN CAST(o_custkey AS VARCHAR)
+        WHEN PERIOD < 199700 THEN concat(o_custkey, '.5') ELSE concat('C', o_custkey) END AS x,
+      CASE WHEN PERIOD < 199500 THEN o_orderstatus END AS q_a,
+      CASE WHEN PERIOD BETWEEN 199500 AND 199699 THEN o_orderkey % 7 END AS q_b, PERIOD FROM o"""
+)
+def stage_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage whose periods were written with other columns and other types; all rows and cells come back."""
+    path = scratch_dir(spark, "stage")
+    orders = table(spark, sf_dir, "orders").selectExpr("*", f"{inputs.ORDER_PERIOD} AS PERIOD")
+    for periods, columns in _DRIFT.items():
+        write_stage(orders.where(periods).selectExpr(*columns.split(", "), "PERIOD"), path)
+    return read_stage(spark, path)
+
+
 @query("SELECT doc_id, text, lang, n_chars FROM documents")
 def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV with quotes and line breaks inside cells, whole texts."""

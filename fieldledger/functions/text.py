@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession, functions as F
 
 # The characters Unicode calls white space (Spark's trim removes the plain space only).
 WHITESPACE = (
     "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# Fixed value: characters that a cleaned name does not keep.
-NOT_IN_NAMES = re.compile(r"[^\w\s-]")
+# Fixed value: characters that a cleaned name does not keep (all but letters, numbers, ``_``, ``-``, white space).
+NOT_IN_NAMES = rf"[^\p{{L}}\p{{N}}_\-{WHITESPACE}\x1c-\x1f]"
 
 
 def strip(col: Column) -> Column:
@@ -33,22 +32,25 @@ def is_missing(col: Column) -> Column:
     return col.isNull() | is_blank(col)
 
 
-def clean_name(text: str) -> str:
-    """Plain lower-case name: no accents, no punctuation but ``-`` and ``_``, spaces as ``_``.
+def clean_text(col: Column) -> Column:
+    """Plain lower-case names: no accents, no punctuation but ``-`` and ``_``, spaces as ``_``.
 
-    Decomposed accents are combining marks, which are no word characters, so the pattern drops them
-    along with the punctuation.
+    Spark has no Unicode decomposition, hence an Arrow kernel for that step. It turns accents into combining marks, which
+    go along with the punctuation.
     """
-    plain = text if text.isascii() else unicodedata.normalize("NFD", text)
-    return NOT_IN_NAMES.sub("", plain).strip().replace(" ", "_").lower()
 
+    @F.arrow_udf("string")
+    def decomposed(texts: pa.Array) -> pa.Array:
+        return pc.utf8_normalize(texts, "NFD")
 
-def clean_text(col: Column) -> Column:
-    """``clean_name`` on a column. Spark has no Unicode decomposition, hence a vectorised UDF."""
+    kept = F.regexp_replace(decomposed(col), NOT_IN_NAMES, "")
+    return F.lower(F.translate(F.trim(kept, F.lit(WHITESPACE + "\x1c\x1d\x1e\x1f")), " ", "_"))
 
-    @F.pandas_udf(T.StringType())
-    def _clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(clean_name, na_action="ignore")
 
-    return _clean(col)
+def clean_names(spark: SparkSession, names: Sequence[str]) -> list[str]:
+    """``clean_text`` of some names, such as those of columns, in their order."""
+    if not names:
+        return []
+    frame = spark.createDataFrame(list(enumerate(names)), "at int, name string").coalesce(1)
+    rows = frame.select("at", clean_text(F.col("name")).alias("name")).collect()
+    return [row["name"] for row in sorted(rows, key=lambda row: row["at"])]

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fieldledger.functions.text import clean_name
+from fieldledger.functions.text import clean_names
 from fieldledger.operators.columns import quoted
 
 _PAIRS = "array<struct<question:string,element:string>>"
@@ -53,9 +53,10 @@ def one_hot(df: DataFrame, columns: Sequence[str] | None = None, max_columns: in
     if len(found) > max_columns:
         raise ValueError(f"More than {max_columns} distinct choices; they cannot become columns")
     members: dict[str, list] = {}
-    for row in sorted(found):
+    rows = sorted(found)
+    for row, element in zip(rows, clean_names(df.sparkSession, [r.element for r in rows]), strict=True):
         has = F.array_contains(quoted(row.question), row.element)
-        members.setdefault(f"{row.question}_{clean_name(row.element)}", []).append(
+        members.setdefault(f"{row.question}_{element}", []).append(
             F.coalesce(has, F.lit(False)).cast("tinyint")
         )
     kept = [quoted(c) for c in df.columns if c not in set(names)]

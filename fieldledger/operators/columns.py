@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldledger.functions.text import clean_name
+from fieldledger.functions.text import clean_names
 
 
 def quoted(name: str):
@@ -30,9 +30,8 @@ def check_choice(value: str, allowed: Sequence[str], what: str) -> str:
     return value
 
 
-def unique_names(names: Sequence[str]) -> list[str]:
-    """Cleaned names; those that clash get the next free suffix ``_1``, ``_2``, …"""
-    cleaned = [clean_name(name) for name in names]
+def unique_names(cleaned: Sequence[str]) -> list[str]:
+    """Names as they are, but those that clash get the next free suffix ``_1``, ``_2``, …"""
     times = Counter(cleaned)
     taken = {name for name in cleaned if times[name] == 1}
     result = []
@@ -49,7 +48,7 @@ def unique_names(names: Sequence[str]) -> list[str]:
 
 def clean_columns(df: DataFrame) -> DataFrame:
     """``df`` with cleaned, unique column names (schema only; no data is read)."""
-    return df.toDF(*unique_names(df.columns))
+    return df.toDF(*unique_names(clean_names(df.sparkSession, df.columns)))
 
 
 def sort_columns(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
-from fieldledger.functions.numbers import is_nan_text, value_to_string, widen_float
+from fieldledger.functions.numbers import DECIMAL_PATTERN, is_nan_text, value_to_string, widen_float
 from fieldledger.functions.text import is_blank
 from fieldledger.operators.columns import quoted
 
@@ -37,11 +37,17 @@ def _explode_values(df: DataFrame, ids: Sequence[str], values: Sequence[str]) ->
     )
 
 
-def _value() -> Column:
-    """Text of an exploded value; at most one of its two parts is given."""
-    return F.when(F.col("_number").isNotNull(), value_to_string(F.col("_number"), T.DoubleType())).otherwise(
-        F.col("_text")
-    )
+def _value(texts_too: bool = False) -> Column:
+    """Text of an exploded value; at most one of its two parts is given.
+
+    With ``texts_too``, a text that reads as a decimal number gets the format of a number, so that a value does not
+    depend on whether its column was read as numbers or as texts.
+    """
+    number, text = F.col("_number"), F.col("_text")
+    if texts_too:
+        is_decimal = text.rlike("[.eE]") & text.rlike(DECIMAL_PATTERN)
+        number = F.when(number.isNotNull(), number).when(is_decimal, text.try_cast("double"))
+    return F.when(number.isNotNull(), value_to_string(number, T.DoubleType())).otherwise(text)
 
 
 def _order(df: DataFrame, values: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -96,7 +102,7 @@ def unpivot_mapped(
         *[quoted(c) for c in ids],
         _lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
         _lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
-        _value().alias(value),
+        _value(texts_too=True).alias(value),
     )
 
 
@@ -128,18 +134,28 @@ def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         if frame.columns != names:
             raise ValueError(f"Columns differ: {names} and {frame.columns}")
-    kinds = [common_type([frame.schema[i].dataType for frame in frames]) for i in range(len(names))]
+    return union_wide(frames)
+
+
+def union_wide(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union of frames whose columns may differ: all columns, null where a frame has none, each of a common type."""
+    own = [{field.name: field.dataType for field in frame.schema.fields} for frame in frames]
+    names = list(dict.fromkeys(name for kinds in own for name in kinds))
+    common = {name: common_type([kinds[name] for kinds in own if name in kinds]) for name in names}
 
-    def widen(frame: DataFrame) -> DataFrame:
+    def widened(frame: DataFrame, kinds: dict[str, T.DataType]) -> DataFrame:
         columns = []
-        for i, name in enumerate(names):
-            own = frame.schema[i].dataType
-            text = isinstance(kinds[i], T.StringType)
-            col = value_to_string(quoted(name), own) if text else quoted(name).cast(kinds[i])
+        for name in names:
+            if name not in kinds:
+                col = F.lit(None).cast(common[name])
+            elif isinstance(common[name], T.StringType):
+                col = value_to_string(quoted(name), kinds[name])
+            else:
+                col = quoted(name).cast(common[name])
             columns.append(col.alias(name))
         return frame.select(*columns)
 
-    return reduce(DataFrame.unionByName, [widen(frame) for frame in frames])
+    return reduce(DataFrame.unionByName, [widened(f, k) for f, k in zip(frames, own, strict=True)])
 
 
 def read_targets(

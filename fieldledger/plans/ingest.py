@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fieldledger.functions.periods import select_periods
 from fieldledger.operators.choices import one_hot, replace_labels
-from fieldledger.operators.columns import clean_columns, require_columns, sort_columns
+from fieldledger.operators.columns import clean_columns, quoted, require_columns, sort_columns
 from fieldledger.sinks.stages import write_stage
 from fieldledger.sources.tabular import read_csv_fetches
 
@@ -53,11 +53,23 @@ def ingest(
     choices: DataFrame | None = None,
     multiple: Sequence[str] = (),
     period: str = "periode",
+    only: int | None = None,
+    periods: Sequence[int] | None = None,
+    start: int | None = None,
+    end: int | None = None,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
 ) -> bool:
-    """Landed CSV files to the raw stage, a partition per period; False if no file has data."""
-    submissions = read_csv_fetches(spark, paths)
+    """Landed CSV files to the raw stage, a partition per period; False if no file has data.
+
+    Cells stay text. Only the periods asked for are written: one, a list, or those from ``start`` to ``end``. Without
+    line breaks inside cells, ``multi_line=False`` lets Spark split large files.
+    """
+    submissions = read_csv_fetches(spark, paths, schema, multi_line)
     if submissions is None:
         return False
     cleaned = require_columns(clean_submissions(submissions, choices, multiple), [period])
-    write_stage(cleaned, raw_path, file_format, period, ordered=True)
+    # A period that is no number raises: its rows would be lost.
+    dated = cleaned.withColumn(period, quoted(period).cast("double").cast("int"))
+    write_stage(select_submissions(dated, only, periods, start, end, period=period), raw_path, file_format, period)
     return True

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fieldledger.functions.numbers import BOOLEAN_PATTERN, DECIMAL_PATTERN, INTEGER_PATTERN, SPECIAL_PATTERN
 from fieldledger.functions.periods import select_periods
-from fieldledger.operators.columns import check_choice
-from fieldledger.operators.reshape import union_relaxed
-from fieldledger.sources.paths import has_data
+from fieldledger.operators.columns import check_choice, quoted
+from fieldledger.operators.reshape import union_wide
+from fieldledger.sources.paths import has_data, list_periods
 
-# Formats of stage files, and rows looked at to find column types.
+# Formats of stage files.
 FORMATS = ["csv", "parquet"]
-FETCH_PREFIX = 10_000
-STAGE_PREFIX = 1_000
 # Fixed value: the period at the end of a flat stage file's name.
 PERIOD_IN_NAME = r"_([0-9]{6})\.[^/]*(/[^/]*)?$"
 
@@ -35,26 +37,8 @@ def header_names(raw: Sequence[str | None]) -> list[str]:
     return names
 
 
-def first_rows(texts: DataFrame, prefix: int, multi_line: bool) -> DataFrame:
-    """The first ``prefix`` rows of a CSV dataset, files taken in order of path.
-
-    Files are opened one, two, four, … at a time until there are enough rows, so that a large dataset
-    is not touched as a whole; what comes back is at most ``prefix`` rows.
-    """
-    spark = texts.sparkSession
-    files = sorted(texts.inputFiles())
-    reader = _csv(spark, multi_line).schema(texts.schema).option("header", True)
-    count, rows = 1, []
-    while files:
-        rows = reader.csv(files[:count]).take(prefix)
-        if len(rows) >= prefix or count >= len(files):
-            break
-        count *= 2
-    return spark.createDataFrame(rows, texts.schema)
-
-
 def infer_types(texts: DataFrame) -> list[T.DataType]:
-    """Types that every given cell fits; one small aggregate over the prefix of a dataset.
+    """Types that every cell fits; one aggregate over all rows, so that no later cell can be lost.
 
     Tried in the order whole number, number, boolean; a column without a value is text.
     """
@@ -94,41 +78,86 @@ def lenient_cell(cell: Column, kind: T.DataType) -> Column:
     return F.when(cell.rlike(INTEGER_PATTERN), cell.try_cast(kind))
 
 
+def _cells(spark: SparkSession, names: Sequence[str], files: Sequence[str], multi_line: bool, base: str | None = None) -> DataFrame:
+    """CSV files of one header with every cell as text, and ``PERIOD`` from the folders below ``base`` if given."""
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+    reader = _csv(spark, multi_line).option("header", True)
+    if base is None:
+        return reader.schema(T.StructType(fields)).csv(list(files)).toDF(*names)
+    schema = T.StructType([*fields, T.StructField("PERIOD", T.IntegerType())])
+    return reader.schema(schema).option("basePath", base).csv(list(files)).toDF(*names, "PERIOD")
+
+
+def _header(spark: SparkSession, files: str | Sequence[str], multi_line: bool) -> list[str]:
+    first = _csv(spark, multi_line).option("header", False).csv(files).first()
+    return header_names(list(first)) if first is not None else []
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files by their first line, found in one job however many files there are; empty ones are left out.
+
+    A first line that ends inside quotes does not tell the whole header; such a file is a group of its own.
+    """
+    # The path comes with percent codes; a plus sign in it stands for itself.
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = spark.read.text(list(paths)).select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    # The first line of a file is in the task that reads its beginning, where ids ascend.
+    begins = lines.where((F.col("at") == 0) & (F.trim("value") != "")).withColumn("nth", F.monotonically_increasing_id())
+    first = begins.groupBy("file").agg(F.min_by("value", "nth").alias("line"))
+    is_open = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
+    groups = first.groupBy("line", F.when(is_open, F.col("file")).alias("_own")).agg(
+        F.sort_array(F.collect_list("file")).alias("files")
+    )
+    return sorted(list(row.files) for row in groups.select("files").collect())
+
+
+def _typed(texts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``texts`` with columns ``names`` as the types that all their cells fit, and the other columns as they are."""
+    slots = [f"c{i}" for i in range(len(names))]
+    others = [c for c in texts.columns if c not in set(names)]
+    slotted = texts.select(*[quoted(n).alias(s) for n, s in zip(names, slots, strict=True)], *others)
+    kinds = infer_types(slotted.select(*slots))
+    cells = [lenient_cell(F.col(s), k).alias(s) for s, k in zip(slots, kinds, strict=True)]
+    return slotted.select(*cells, *others).toDF(*names, *others)
+
+
 def read_csv(
-    spark: SparkSession,
-    path: str,
-    prefix: int = FETCH_PREFIX,
-    schema: T.StructType | None = None,
-    multi_line: bool = True,
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
     """A landed CSV file, or a folder of parts with the same header.
 
-    Types come from the first ``prefix`` rows; later cells that do not fit become null and their row
-    stays. With a ``schema`` nothing is read ahead, which is the way for large input. Answers may hold
-    line breaks, so quoted cells span lines unless ``multi_line`` is off; then large files are split.
+    Types come from all rows, in one more pass, so that every cell fits its column. With a ``schema`` there is no such
+    pass. Answers may hold line breaks, so quoted cells span lines unless ``multi_line`` is off; then large files
+    are split.
     """
     if schema is not None:
         return _csv(spark, multi_line).schema(schema).option("header", True).csv(path)
-    first = _csv(spark, multi_line).option("header", False).csv(path).first()
-    if first is None:
+    names = _header(spark, path, multi_line)
+    if not names:
         return spark.createDataFrame([], T.StructType([]))
-    names = header_names(list(first))
-    slots = [f"c{i}" for i in range(len(names))]
-    text_schema = T.StructType([T.StructField(slot, T.StringType()) for slot in slots])
-    texts = _csv(spark, multi_line).schema(text_schema).option("header", True).csv(path)
-    kinds = infer_types(first_rows(texts, prefix, multi_line))
-    cells = [lenient_cell(F.col(slot), kind).alias(slot) for slot, kind in zip(slots, kinds, strict=True)]
-    return texts.select(*cells).toDF(*names)
+    return _typed(_cells(spark, names, [path], multi_line), names)
 
 
-def read_csv_fetches(spark: SparkSession, paths: Sequence[str], prefix: int = FETCH_PREFIX) -> DataFrame | None:
-    """Several fetched CSV files (one per period), each with its own types, as one frame.
+def read_csv_fetches(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+) -> DataFrame | None:
+    """Several fetched CSV files (one per period) as one frame with every cell as text.
 
-    Files without a data row are left out; None if no file has any.
+    A cell keeps its text whatever the other cells of its column are. Files with the same header are one read, and a
+    column that a header lacks is null there. None if no file has a data row. With a ``schema`` no header is looked at.
     """
-    frames = [read_csv(spark, path, prefix) for path in paths]
-    frames = [frame for frame in frames if frame.columns and not frame.isEmpty()]
-    return union_relaxed(frames) if frames else None
+    if schema is not None:
+        frame = _csv(spark, multi_line).schema(schema).option("header", True).csv(list(paths))
+        return None if frame.isEmpty() else frame
+    groups = header_groups(spark, paths)
+    if not groups:
+        return None
+    frames = [_cells(spark, _header(spark, files[0], multi_line), files, multi_line) for files in groups]
+    union = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    return None if union.isEmpty() else union
 
 
 def read_stage(
@@ -139,29 +168,54 @@ def read_stage(
     periods: Sequence[int] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame | None:
-    """A stage dataset partitioned by ``PERIOD``, pruned to the wanted periods; None if it is absent."""
+    """A stage dataset partitioned by ``PERIOD``, pruned to the wanted periods; None if it is absent.
+
+    Periods written by different runs may differ in columns and types: all columns come back, null where a period
+    has none, and types are widened (``common_type``). With a ``schema`` no footer or header is looked at.
+    """
     check_choice(file_format, FORMATS, "file format")
     if not has_data(spark, path):
         return None
     if file_format == "csv":
         df = _read_csv_stage(spark, path, schema)
+    elif schema is not None:
+        df = spark.read.schema(schema).parquet(path)
     else:
-        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        df = _read_parquet_stage(spark, path)
     return select_periods(df, only, list(periods) if periods else None)
 
 
+def _read_parquet_stage(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of all periods; one job reads the footers."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    # Types differ: a period is written by one job, so its own schema is known from any of its files.
+    folders = [f"{path.rstrip('/')}/PERIOD={period}" for period in list_periods(spark, path)]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda folder: spark.read.parquet(folder).schema.json(), folders))
+    groups: dict[str, list[str]] = {}
+    for schema, folder in zip(schemas, folders, strict=True):
+        groups.setdefault(schema, []).append(folder)
+    reader = spark.read.option("basePath", path)
+    return union_wide([reader.parquet(*same) for same in groups.values()])
+
+
 def _read_csv_stage(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    reader = _csv(spark, True).option("header", True)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    named = reader.csv(path)
-    names = [name for name in named.columns if name != "PERIOD"]
-    slots = [f"c{i}" for i in range(len(names))]
-    cells = T.StructType([T.StructField(slot, T.StringType()) for slot in slots])
-    texts = reader.schema(T.StructType([*cells.fields, T.StructField("PERIOD", T.IntegerType())])).csv(path)
-    kinds = infer_types(first_rows(texts.select(*slots), STAGE_PREFIX, True))
-    typed = [lenient_cell(F.col(s), k).alias(s) for s, k in zip(slots, kinds, strict=True)]
-    return texts.select(*typed, "PERIOD").toDF(*names, "PERIOD")
+        return _csv(spark, True).option("header", True).schema(schema).csv(path)
+    groups = header_groups(spark, [path])
+    if len(groups) == 1:
+        groups = [[path]]
+    frames = []
+    for files in groups:
+        names = [n for n in _csv(spark, True).option("header", True).csv(files[0]).columns if n != "PERIOD"]
+        frames.append(_cells(spark, names, files, True, base=path))
+    texts = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    typed = _typed(texts, [n for n in texts.columns if n != "PERIOD"])
+    return typed.select(*[quoted(n) for n in typed.columns if n != "PERIOD"], "PERIOD")
 
 
 def period_in_name(path: Column) -> Column:

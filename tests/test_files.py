@@ -26,30 +26,77 @@ def types(df):
     return dict(df.dtypes)
 
 
-def test_csv_types_come_from_the_prefix(spark, tmp_path):
+def test_csv_types_fit_all_rows(spark, tmp_path):
     path = tmp_path / "a.csv"
-    path.write_text('Âge,n,f,b,t,e,t\n1,1,1.5,true,x,,u\n2,,2,false,"a ""q"",\nb",,v\nx,9999999999,y,no,z,,w\n', encoding="utf-8")
-    df = tabular.read_csv(spark, str(path), prefix=2)
+    path.write_text('Âge,n,f,b,t,e,t\n1,1,1.5,true,x,,u\n2,,2,false,"a ""q"",\nb",,v\nx,9999999999,3,no,z,,w\n', encoding="utf-8")
+    df = tabular.read_csv(spark, str(path))
     assert df.columns == ["Âge", "n", "f", "b", "t", "e", "t_duplicated_0"]
-    assert [t for _, t in df.dtypes] == ["bigint", "bigint", "double", "boolean", "string", "string", "string"]
+    assert [t for _, t in df.dtypes] == ["string", "bigint", "double", "string", "string", "string", "string"]
     rows = [tuple(r) for r in df.collect()]
-    assert rows[1] == (2, None, 2.0, False, 'a "q",\nb', None, "v")
-    assert rows[2] == (None, 9999999999, None, None, "z", None, "w")
-    assert [t for _, t in tabular.read_csv(spark, str(path)).dtypes][:4] == ["string", "bigint", "string", "string"]
+    assert rows[1] == ("2", None, 2.0, "false", 'a "q",\nb', None, "v")
+    assert rows[2] == ("x", 9999999999, 3.0, "no", "z", None, "w")
 
 
-def test_csv_fetches(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("k,v\n1,2\n")
+def test_csv_fetches_keep_every_cell(spark, tmp_path):
+    (tmp_path / "a +%20b.csv").write_text("k,v\n1,2\n")
     (tmp_path / "b.csv").write_text("k,v\n2,2.5\n")
     (tmp_path / "c.csv").write_text("k,v\n")
-    files = [str(tmp_path / f"{n}.csv") for n in "abc"]
+    (tmp_path / "d.csv").write_text('w,"k ""\nx",k\n"a\nb",,007\n')
+    (tmp_path / "e.csv").write_text("")
+    files = [str(tmp_path / f"{n}.csv") for n in ("a +%20b", "b", "c", "d", "e")]
     df = tabular.read_csv_fetches(spark, files)
-    assert types(df) == {"k": "bigint", "v": "double"} and df.count() == 2
-    assert tabular.read_csv_fetches(spark, files[2:]) is None
+    assert types(df) == {"k": "string", "v": "string", "w": "string", 'k "\nx': "string"}
+    got = df.select("k", "v", "w").collect()
+    assert sorted(map(tuple, got)) == [("007", None, "a\nb"), ("1", "2", None), ("2", "2.5", None)]
+    assert tabular.read_csv_fetches(spark, files[2:3]) is None
+    assert tabular.read_csv_fetches(spark, files[4:]) is None
     known = tabular.read_csv(spark, files[0], schema="k int, v string")
     assert [tuple(r) for r in known.collect()] == [(1, "2")]
 
 
+def test_number_of_jobs_does_not_follow_the_files(spark, tmp_path):
+    def jobs(count):
+        folder = tmp_path / str(count)
+        folder.mkdir()
+        for i in range(count):
+            (folder / f"{i}.csv").write_text(f"periode,a\n2024{1 + i % 12:02},{i}\n")
+        group = f"ingest-{count}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert ingest(spark, [str(folder / f"{i}.csv") for i in range(count)], str(folder / "raw"))
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        assert tabular.read_stage(spark, str(folder / "raw")).count() == count
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert 0 < jobs(24) <= jobs(2) + 2
+
+
+def test_ingest_selects_periods(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("periode,a\n" + "".join(f"{p},1\n" for p in range(202401, 202407)))
+    for name, asked, want in (
+        ("one", {"only": 202402}, [202402]),
+        ("list", {"periods": [202401, 202405]}, [202401, 202405]),
+        ("range", {"start": 202403, "end": 202404}, [202403, 202404]),
+    ):
+        assert ingest(spark, [str(tmp_path / "a.csv")], str(tmp_path / name), multi_line=False, **asked)
+        assert paths.list_periods(spark, str(tmp_path / name)) == want
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_stage_keeps_columns_and_types_of_every_period(spark, tmp_path, file_format):
+    path = str(tmp_path / "stage")
+    write_stage(spark.sql("SELECT 202401 AS PERIOD, 1L AS x, 'p' AS q_a"), path, file_format)
+    write_stage(spark.sql("SELECT 202402 AS PERIOD, 2.5D AS x, 9L AS q_b"), path, file_format)
+    df = tabular.read_stage(spark, path, file_format)
+    assert types(df) == {"x": "double", "q_a": "string", "q_b": "bigint", "PERIOD": "int"}
+    want = [(202401, 1.0, "p", None), (202402, 2.5, None, 9)]
+    assert sorted(map(tuple, df.select("PERIOD", "x", "q_a", "q_b").collect())) == want
+    write_stage(spark.sql("SELECT 202403 AS PERIOD, 'text' AS x"), path, file_format)
+    third = tabular.read_stage(spark, path, file_format, only=202403).select("x", "q_a", "q_b")
+    assert [tuple(r) for r in third.collect()] == [("text", None, None)]
+
+
 def test_stage_replaces_only_its_periods(spark, tmp_path):
     path = str(tmp_path / "stage")
     df = spark.createDataFrame([(202401, "a"), (202402, "b"), (None, "c")], "PERIOD int, x string")
