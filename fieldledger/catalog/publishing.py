@@ -133,8 +133,8 @@ def rejected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT batch_id, status_code, CASE WHEN period % 100 = 5 THEN 'Server error: out of memory'
-      ELSE 'Server error: HTTP 503 error with no message' END AS message FROM ({_JSON_SQL}) WHERE period % 100 IN (5, 7)"""
+    f"""SELECT batch_id, status_code, CASE WHEN period % 100 = 5 THEN 'Import stopped by the server: out of memory'
+      ELSE 'Import stopped by the server: HTTP 503 without a message' END AS message FROM ({_JSON_SQL}) WHERE period % 100 IN (5, 7)"""
 )
 def server_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses that must stop a publish."""
