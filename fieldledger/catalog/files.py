@@ -77,18 +77,18 @@ def csv_late_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DRIFT = {
-    "PERIOD < 199500": "o_orderkey, o_custkey AS x, o_orderstatus AS q_a",
-    "PERIOD BETWEEN 199500 AND 199699": "o_orderkey, o_custkey + CAST(0.5 AS DOUBLE) AS x, o_orderkey % 7 AS q_b",
-    "PERIOD >= 199700": "o_orderkey, 'C' || o_custkey AS x",
+    "PERIOD < 199700": "o_orderkey, o_custkey AS x, o_orderstatus AS q_a",
+    "PERIOD BETWEEN 199700 AND 199899": "o_orderkey, o_custkey + CAST(0.5 AS DOUBLE) AS x, o_orderkey % 7 AS q_b",
+    "PERIOD >= 199900": "o_orderkey, 'C' || o_custkey AS x",
 }
 
 
 @query(
     f"""WITH o AS (SELECT *, {inputs.ORDER_PERIOD} AS PERIOD FROM orders)
-    SELECT o_orderkey, CASE WHEN PERIOD < 199500 THEN CAST(o_custkey AS VARCHAR)
-        WHEN PERIOD < 199700 THEN concat(o_custkey, '.5') ELSE concat('C', o_custkey) END AS x,
-      CASE WHEN PERIOD < 199500 THEN o_orderstatus END AS q_a,
-      CASE WHEN PERIOD BETWEEN 199500 AND 199699 THEN o_orderkey % 7 END AS q_b, PERIOD FROM o"""
+    SELECT o_orderkey, CASE WHEN PERIOD < 199700 THEN CAST(o_custkey AS VARCHAR)
+        WHEN PERIOD < 199900 THEN concat(o_custkey, '.5') ELSE concat('C', o_custkey) END AS x,
+      CASE WHEN PERIOD < 199700 THEN o_orderstatus END AS q_a,
+      CASE WHEN PERIOD BETWEEN 199700 AND 199899 THEN o_orderkey % 7 END AS q_b, PERIOD FROM o"""
 )
 def stage_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stage whose periods were written with other columns and other types; all rows and cells come back."""
