@@ -184,6 +184,52 @@ def incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, pushed, schema=POINT)
 
 
+_MONTH = "PERIOD % 100"
+# What a file brings, and the answers to the batches of each run: months without one, and what is rejected of the others.
+_LATER_ROWS = f"{_MONTH} NOT IN (4, 5)"
+_UNANSWERED = {0: "period % 100 IN (2, 4)", 1: "period % 100 = 2"}
+_REJECTED = {
+    0: "period % 100 IN (1, 5) AND categoryOptionCombo = 'cocLow'",
+    1: "period % 100 = 5 AND categoryOptionCombo = 'cocLow' OR period % 100 = 6 AND categoryOptionCombo = 'cocHigh'",
+}
+
+
+def _replies(epoch: int, paths: PublishPaths) -> DataFrame:
+    """Responses of two runs; batches of March fail in the first."""
+    batched = SparkSession.getActiveSession().read.parquet(paths.points).where(f"NOT ({_UNANSWERED[epoch]})")
+    # The positions of one batch are at most its size.
+    positions = F.collect_list(F.when(F.expr(_REJECTED[epoch]), F.col("batch_pos"))).alias("rejectedIndexes")
+    failed = F.min("period") % 100 == (3 if epoch == 0 else -1)
+    good = F.to_json(F.struct(F.struct("rejectedIndexes").alias("response")))
+    return batched.groupBy("batch_id").agg(positions, failed.alias("failed")).select(
+        "batch_id",
+        F.when(F.col("failed"), 409).otherwise(200).alias("status_code"),
+        F.when(F.col("failed"), '{"status":"ERROR"}').otherwise(good).alias("body"),
+    )
+
+
+@query(
+    f"""SELECT * FROM ({inputs.ORDER_POINTS_SQL})
+      WHERE {_MONTH} NOT IN (2, 4, 5, 6) OR ({_MONTH} = 6 AND CATEGORY_OPTION_COMBO = 'cocLow')
+    UNION ALL SELECT * FROM ({inputs.ORDER_EARLIER_SQL}) WHERE VALUE IS NOT NULL
+      AND ({_MONTH} = 4 OR ({_MONTH} IN (5, 6) AND CATEGORY_OPTION_COMBO = 'cocHigh'))"""
+)
+def incremental_settle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files published in two runs whose batches are rejected, fail or get no answer.
+
+    February is never answered, April only on the second run, whose file lacks it; what is rejected of May is lacking there
+    as well, and of June the values posted first stay.
+    """
+    landing, pushed, out, state = (scratch_dir(spark, n) for n in ("landing", "pushed", "out", "state"))
+    later = inputs.order_points(spark, sf_dir).where(_LATER_ROWS)
+    for points in (inputs.order_earlier(spark, sf_dir), later):
+        points.coalesce(1).write.mode("append").parquet(landing)
+        publish_incoming(
+            spark, landing, POINT, lambda df: df, pushed, out, state, size=inputs.BATCH_SIZE, answers=_replies
+        ).awaitTermination()
+    return read_stage(spark, pushed, schema=POINT)
+
+
 @query(
     f"""SELECT DX_UID, count(*) AS count, min(VALUE) AS sample_alpha_value FROM ({inputs.POINTS_SQL})
     WHERE NOT regexp_matches(VALUE, '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') GROUP BY DX_UID"""

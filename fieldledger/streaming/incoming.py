@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldledger.functions.periods import of_periods, period_values, previous_months
-from fieldledger.operators.delta import delta
+from fieldledger.operators.canonical import drop_nulls
+from fieldledger.operators.delta import delta, next_snapshot
 from fieldledger.operators.keys import key_rows, keys_match
-from fieldledger.plans.publish import PublishPaths, plan_changes, write_batches
+from fieldledger.operators.responses import (
+    check_server_errors,
+    held_points,
+    import_errors,
+    parse_responses,
+    rejected_points,
+)
+from fieldledger.plans.publish import PublishPaths, canonical_keys, plan_changes, write_batches
 from fieldledger.schemas import POINT, POINT_KEYS
 from fieldledger.sinks.stages import write_stage
 from fieldledger.sources.paths import is_complete
@@ -39,18 +47,55 @@ def upsert_snapshot(points: DataFrame, posted: DataFrame | None) -> DataFrame:
     return points.unionByName(posted.join(keys, keys_match(posted, keys, POINT_KEYS), "left_anti"))
 
 
+def pending_path(out_path: str, epoch: int) -> str:
+    """Points of an epoch that nobody accepted."""
+    return f"{out_path}/epoch={epoch}/pending"
+
+
+def settle_arrivals(points: DataFrame, posted: DataFrame | None, paths: PublishPaths, pending: str, responses: DataFrame) -> DataFrame:
+    """The snapshot after the responses to an epoch's batches; points without a good answer go to ``pending``.
+
+    Follows ``settle_publish``: a server error raises, and a point that is not accepted keeps what was posted before.
+    """
+    spark = points.sparkSession
+    parse_responses(responses).write.mode("overwrite").parquet(paths.responses)
+    parsed = spark.read.parquet(paths.responses)
+    check_server_errors(parsed)
+    batched = spark.read.parquet(paths.points)
+    import_errors(parsed).write.mode("overwrite").parquet(paths.errors)
+    rejected_points(batched, parsed).write.mode("overwrite").parquet(paths.rejected)
+    held_points(batched, parsed).write.mode("overwrite").parquet(paths.held)
+    held = canonical_keys(spark.read.parquet(paths.held))
+    keys = key_rows(held, POINT_KEYS)
+    points.join(keys, keys_match(points, keys, POINT_KEYS), "left_semi").write.mode("overwrite").parquet(pending)
+    # Of the posted rows, those of keys that were not accepted stay, whether they arrived or not.
+    return upsert_snapshot(next_snapshot(drop_nulls(points), None, held), posted)
+
+
 def publish_arrivals(
-    arrived: DataFrame, epoch: int, pushed_path: str, out_path: str, size: int, dry_run: bool
+    arrived: DataFrame,
+    epoch: int,
+    pushed_path: str,
+    out_path: str,
+    size: int,
+    dry_run: bool,
+    answers: Callable[[int, PublishPaths], DataFrame] | None = None,
 ) -> None:
     """Publish one micro-batch of canonical points under ``out_path/epoch=<n>``.
 
+    ``answers`` gives the responses to the batches of an epoch; only accepted points enter the snapshot. The others are
+    points of the next epoch too, unless their keys arrive there again, until they are accepted. Without ``answers``,
+    batches count as accepted once they are written.
+
     A repeated epoch does no harm: its points are written once, its batches come from them, and the
     snapshot update gives the same snapshot again.
     """
     spark = arrived.sparkSession
     root = f"{out_path}/epoch={epoch}"
     if not is_complete(spark, f"{root}/arrived"):
-        arrived.write.mode("overwrite").parquet(f"{root}/arrived")
+        before = pending_path(out_path, epoch - 1)
+        waiting = spark.read.schema(POINT).parquet(before) if is_complete(spark, before) else None
+        upsert_snapshot(arrived, waiting).write.mode("overwrite").parquet(f"{root}/arrived")
     points = spark.read.schema(POINT).parquet(f"{root}/arrived")
     posted = read_stage(spark, pushed_path, schema=POINT)
     if posted is not None:
@@ -60,8 +105,13 @@ def publish_arrivals(
         plan_changes(points, posted).write.mode("overwrite").parquet(paths.changes)
     changes = spark.read.parquet(paths.changes).drop("change_type")
     write_batches(changes, paths, size, "CREATE_AND_UPDATE", dry_run)
-    if not dry_run:
-        write_stage(upsert_snapshot(points, posted), pushed_path)
+    if dry_run:
+        return
+    if answers is None:
+        snapshot = upsert_snapshot(points, posted)
+    else:
+        snapshot = settle_arrivals(points, posted, paths, pending_path(out_path, epoch), answers(epoch, paths))
+    write_stage(snapshot, pushed_path)
 
 
 def publish_incoming(
@@ -75,16 +125,18 @@ def publish_incoming(
     size: int = 1_000,
     dry_run: bool = False,
     files_per_batch: int = 1,
+    answers: Callable[[int, PublishPaths], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Publish every Parquet file of ``landing_path`` that no earlier run has taken in, then stop.
 
     Files are taken in order of arrival, one per micro-batch, so that a later file for the same keys
-    wins; more per micro-batch are fine where files never share keys.
+    wins; more per micro-batch are fine where files never share keys. ``answers`` sends the batches of an epoch and gives
+    their responses, one row per batch as ``schemas.RESPONSE``; see ``publish_arrivals``.
     """
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_path)
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        publish_arrivals(to_points(batch), epoch, pushed_path, out_path, size, dry_run)
+        publish_arrivals(to_points(batch), epoch, pushed_path, out_path, size, dry_run, answers)
 
     return (
         files.writeStream.foreachBatch(publish)

@@ -323,6 +323,36 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     assert delta(snapshot, snapshot).count() == 0
 
 
+def test_stream_sends_unaccepted_points_again(spark, tmp_path):
+    landing, pushed, out, state = (str(tmp_path / n) for n in ("in", "pushed", "out", "state"))
+    bodies = {
+        (0, 202401): '{"response":{"rejectedIndexes":[0]}}',
+        (1, 202401): "{}", (1, 202402): '{"status":"ERROR"}', (1, 202403): "{}",
+        (2, 202402): "{}", (2, 202404): "{}",
+    }
+
+    def answers(epoch, paths):
+        sent = spark.read.parquet(paths.points).select("batch_id", "period").distinct().collect()
+        rows = [(r.batch_id, 200, bodies[epoch, r.period]) for r in sent if (epoch, r.period) in bodies]
+        return spark.createDataFrame(rows, schemas.RESPONSE)
+
+    def run(rows):
+        points = spark.createDataFrame([(p, u, "dx", "c", "a", v, "DATA_ELEMENT") for p, u, v in rows], schemas.POINT)
+        points.coalesce(1).write.mode("append").parquet(landing)
+        publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, answers=answers).awaitTermination()
+        snapshot = tabular.read_stage(spark, pushed, schema=schemas.POINT)
+        found = snapshot.collect() if snapshot is not None else []
+        return sorted((r.PERIOD, r.ORG_UNIT, r.VALUE) for r in found)
+
+    assert run([(202401, "a", "1"), (202402, "a", "1"), (202402, "b", "1")]) == []
+    assert run([(202403, "a", "1")]) == [(202401, "a", "1"), (202403, "a", "1")]
+    assert run([(202404, "a", "1"), (202402, "b", "2")]) == [
+        (202401, "a", "1"), (202402, "a", "1"), (202402, "b", "2"), (202403, "a", "1"), (202404, "a", "1"),
+    ]
+    sent = spark.read.parquet(f"{out}/epoch=2/points")
+    assert sorted((r.period, r.orgUnit, r.value) for r in sent.collect()) == [(202402, "a", "1"), (202402, "b", "2"), (202404, "a", "1")]
+
+
 def test_scratch(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
