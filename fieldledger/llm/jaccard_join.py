@@ -20,6 +20,13 @@ WALK = 256
 HEADS = "doc_id long, row long, n long, key long, known long, code array<long>, fresh int"
 SETS = "key long, n long, code array<long>"
 LINKS = "a long, b long, shared long"
+# Elements of a block of sets that is compared with another one at once; a set counts as LEAST_SET at least.
+BLOCK_CODES, LEAST_SET = 1 << 18, 64
+# A component of more elements than this has several blocks, so that it is spread over tasks.
+SPREAD_CODES, SPREAD_BLOCKS = 1 << 14, 8
+# Overlaps that are held at once.
+TILE = 1 << 21
+DEGREES = "key long, n_links long"
 
 
 class Bounds:
@@ -333,8 +340,99 @@ def find_links(sets: DataFrame, bounds: Bounds, rounds: int = 2) -> DataFrame:
     return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared").distinct()
 
 
-def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str) -> DataFrame:
-    """Per row: ``doc_id``, ``row`` (its key), ``n``, the ``first`` row of its component and the links of its set."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Number of common elements of each set on the left with each on the right, for ranges of the left ones."""
+    lengths = np.array([len(x) for x in right])
+    code = np.concatenate(right)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], np.repeat(np.arange(len(right)), lengths)[order]
+    wanted = np.concatenate(left)
+    low, high = np.searchsorted(code, wanted), np.searchsorted(code, wanted, side="right")
+    first = np.concatenate([[0], np.cumsum([len(x) for x in left])])
+    found = np.concatenate([[0], np.cumsum(high - low)])[first]
+    begin = 0
+    while begin < len(left):
+        end = int(np.searchsorted(found, found[begin] + TILE, side="right")) - 1
+        end = min(max(end, begin + 1), begin + max(1, TILE // len(right)), len(left))
+        span = slice(first[begin], first[end])
+        sizes = high[span] - low[span]
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low[span], sizes)
+        row = np.repeat(np.repeat(np.arange(end - begin), np.diff(first[begin : end + 1])), sizes)
+        cells = np.bincount(row * len(right) + owner[place], minlength=(end - begin) * len(right))
+        yield begin, end, cells.reshape(end - begin, len(right))
+        begin = end
+
+
+def count_block_links(table: pa.Table, bounds: Bounds) -> pa.Table:
+    """For the sets of two blocks of a component, or of one, the copies of all similar sets on the other side."""
+    schema = arrow_schema(DEGREES)
+    one = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    codes = table.column("codes").combine_chunks()
+    flat = codes.flatten().to_numpy(zero_copy_only=False)
+    edges = np.concatenate([[0], np.cumsum(codes.value_lengths().to_numpy(zero_copy_only=False))])
+    key, n, copies, block = (table.column(c).to_numpy() for c in ("key", "n", "copies", "block"))
+    own = np.flatnonzero(block == table.column("i")[0].as_py())
+    other = np.flatnonzero(block == table.column("j")[0].as_py())
+    degree = np.zeros(len(key), np.int64)
+    if len(own) and len(other):
+        sets = [flat[edges[k] : edges[k + 1]] for k in range(len(key))]
+        for begin, end, both in overlaps([sets[k] for k in own], [sets[k] for k in other]):
+            part = own[begin:end]
+            similar = both >= bounds.overlap(n[part][:, None], n[other][None, :])
+            if one:
+                similar &= part[:, None] != other[None, :]
+            degree[part] += similar @ copies[other]
+            if not one:
+                degree[other] += copies[part] @ similar
+    at = np.flatnonzero(degree)
+    give_back()
+    return pa.table([pa.array(key[at], pa.int64()), pa.array(degree[at])], schema=schema)
+
+
+def link_counts(links: DataFrame, groups: DataFrame, sets: DataFrame, copies: DataFrame, bounds: Bounds) -> DataFrame:
+    """``key`` and ``n_links``: for each set, the rows whose sets are similar, but not equal.
+
+    ``links`` connect each component; where they are all its pairs, they are counted as they are. The sets of other
+    components are dealt into blocks by hash, and each pair of blocks is compared as a whole in one task: no pair of a
+    component is left out, and no row is made for a pair. ``copies`` has the rows of each set.
+    """
+    sized = copies.select(F.col("key").alias("_key"), "copies")
+    member = groups.select(F.col("key").alias("_member"), "component")
+    own = keep(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n_sets")), "components")
+    held = links.join(member, links["a"] == member["_member"]).groupBy("component").agg(F.count(F.lit(1)).alias("n_found"))
+    pairs = F.col("n_sets") * (F.col("n_sets") - 1) / 2
+    state = keep(
+        own.join(held, "component").select(F.col("component").alias("_component"), (F.col("n_found") == pairs).alias("whole")),
+        "states",
+    )
+    known = keep(
+        groups.join(state, groups["component"] == state["_component"]).select(F.col("key").alias("_member"), "component", "whole"),
+        "members",
+    )
+    whole = known.where("whole").select(F.col("_member").alias("_whole"))
+    closed = links.join(whole, links["a"] == whole["_whole"])
+    ends = closed.select(F.col("a").alias("k"), F.col("b").alias("o")).unionByName(closed.select(F.col("b").alias("k"), F.col("a").alias("o")))
+    direct = ends.join(sized, ends["o"] == sized["_key"]).select(F.col("k").alias("key"), F.col("copies").alias("n_links"))
+
+    some = known.where("NOT whole").select("_member", "component")
+    dealt = sets.join(some, sets["key"] == some["_member"]).join(sized, sets["key"] == sized["_key"])
+    dealt = keep(dealt.select("component", "key", "n", "codes", "copies"), "open-sets")
+    total = F.sum(F.greatest(F.size("codes"), F.lit(LEAST_SET)))
+    blocks = F.greatest(F.ceil(total / BLOCK_CODES), F.least(F.ceil(total / SPREAD_CODES), F.lit(SPREAD_BLOCKS)))
+    sizes = keep(dealt.groupBy(F.col("component").alias("_component")).agg(blocks.cast("int").alias("blocks")), "blocks")
+    placed = dealt.join(sizes, dealt["component"] == sizes["_component"]).withColumn(
+        "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    )
+    against = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = against.select(
+        "component", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"), "block", "key", "n", "copies", "codes"
+    )
+    counted = both.groupBy("component", "i", "j").applyInArrow(lambda table: count_block_links(table, bounds), DEGREES)
+    return direct.unionByName(counted).groupBy("key").agg(F.sum("n_links").alias("n_links"))
+
+
+def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_links: bool = False) -> DataFrame:
+    """Per row: ``doc_id``, ``row`` (its key), ``n``, the ``first`` row of its component and, if asked for, ``n_links``."""
     bounds = Bounds(per_cent)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     keyed = rows.select("doc_id", row_key().alias("row"), "text")
@@ -342,24 +440,24 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str) -> DataFr
     sets = keep(candidate_sets(rows, heads, bounds), "sets")
     links = keep(find_links(sets, bounds), "links")
     groups = components(links.select("a", "b"))
-    ends = links.select(F.col("a").alias("k")).unionByName(links.select(F.col("b").alias("k")))
-    degree = ends.groupBy(F.col("k").alias("_k")).agg(F.count(F.lit(1)).alias("n_links"))
     # The first row of a class: the one with the smallest id; rows without an id come last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    classes = (
-        heads.where("n > 0")
-        .groupBy("key")
-        .agg(first.alias("first"))
-        .join(groups.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left")
-        .select("key", "first", F.coalesce("component", "key").alias("component"))
+    sized = heads.where("n > 0").groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    if count_links:
+        groups, sized = keep(groups, "groups"), keep(sized, "sizes")
+        degree = keep(link_counts(links, groups, sets, sized.select("key", "copies"), bounds), "degrees")
+    classes = sized.join(groups.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").select(
+        "key", "first", "copies", F.coalesce("component", "key").alias("component")
     )
     smallest = classes.groupBy(F.col("component").alias("_component")).agg(F.min("first").alias("first_of_all"))
-    named = (
-        classes.join(smallest, classes["component"] == smallest["_component"])
-        .join(degree, classes["key"] == degree["_k"], "left")
-        .select(F.col("key").alias("_key"), "first_of_all", "n_links")
-    )
-    named = keep(named, "classes")
+    named = classes.join(smallest, classes["component"] == smallest["_component"])
+    linked = F.lit(None).cast("long")
+    if count_links:
+        degree = degree.withColumnRenamed("key", "_k")
+        named = named.join(degree, named["key"] == degree["_k"], "left")
+        # Equal sets are similar as well.
+        linked = F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1
+    named = keep(named.select(F.col("key").alias("_key"), "first_of_all", linked.alias("n_links")), "classes")
     own = heads.select("doc_id", "row", "n", "key")
     return own.join(named, own["key"] == named["_key"], "left").select(
         "doc_id",
@@ -371,7 +469,7 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str) -> DataFr
 
 
 def jaccard_classes(docs: DataFrame, per_cent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row's ``doc_id``, ``n_shingles``, ``component_id`` and ``n_links`` (compared links of its set).
+    """Each row's ``doc_id``, ``n_shingles``, ``component_id`` and ``n_links`` (the other rows it is linked with).
 
     A document's set holds its distinct shingles of five words, in ASCII lower case; fewer words are one shingle. Two
     documents are linked when their sets have a Jaccard similarity of ``per_cent`` or more, and ``component_id`` is the
@@ -380,13 +478,14 @@ def jaccard_classes(docs: DataFrame, per_cent: int = 80, doc_id: str = "doc_id",
     Sets are ordered globally, rare shingles first. Candidates share a shingle of their prefixes, and overlaps are computed
     by walking tries of ordered sets, which share partial overlaps and are pruned by what remains. All steps are joins and
     aggregates over shingles; shingles and copies that a task sees twice are joined before the first shuffle. No group is
-    collected: a shingle or a group of copies with a third of all rows is compared with leaders, in blocks.
+    collected: a shingle or a group of copies with a third of all rows is compared with leaders, in blocks. Components are
+    known then, and all pairs inside each are compared, block by block, to count links.
 
     Null, empty or blank text: no shingles, linked with nothing, its own component. Rows that repeat an id, and rows
     with a null id, are linked by their texts; a component of null ids only has a null id. An empty table gives no rows.
     Other columns are not carried.
     """
-    return classes_of(docs, per_cent, doc_id, text).select(
+    return classes_of(docs, per_cent, doc_id, text, count_links=True).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("first.doc_id", "doc_id").alias("component_id"),

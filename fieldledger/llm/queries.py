@@ -39,6 +39,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for q in (
         op1_quality_classifier,
         op2_jaccard_join,
+        op2_jaccard_links,
         op3_substring_dedup,
         op4_language_id,
         op5_line_dedup,
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_jaccard_join": sql.JACCARD,
+    "op2_jaccard_links": sql.JACCARD_LINKS,
     "op3_substring_dedup": sql.SUBSTRINGS,
     "op5_line_dedup": sql.LINE_DEDUP,
     "op7_quality_rules": sql.QUALITY_RULES,

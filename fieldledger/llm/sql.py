@@ -48,6 +48,11 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM sets s JOIN reach r ON r.x = s.doc_id GROUP BY ALL
 """
 
+# With the links of each document.
+JACCARD_LINKS = JACCARD.replace("AS component_id", "AS component_id, count(DISTINCT l.y) AS n_links").replace(
+    "reach r ON r.x = s.doc_id", "reach r ON r.x = s.doc_id LEFT JOIN links l ON l.x = s.doc_id"
+)
+
 SUBSTRINGS = f"""
 WITH words AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 placed AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS pos FROM words WHERE len(ws) >= 35),

@@ -117,6 +117,31 @@ def test_jaccard_join(docs, rows):
     assert got == want
 
 
+def test_jaccard_links_are_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(300)]
+    texts = [" ".join(base)] * 2
+    for _ in range(40):  # similar to each other, but not to all
+        words = list(base)
+        for k in rng.choice(300, rng.integers(1, 9), replace=False):
+            words[k] = f"x{rng.integers(5)}"
+        texts.append(" ".join(words))
+    texts += ["a b c d e f", "A b c d e f", "a  b c d e f", "alone in here without any link", "", None]
+    rows = list(enumerate(texts))
+    sets, _ = similar(rows)
+    want = {}
+    for a in range(len(rows)):
+        linked = [b for b in range(len(rows)) if b != a and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+        want[a] = len(linked)
+    assert len(set(want.values())) > 5 and max(want.values()) > 10 and want[42] == 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for spread in (1 << 14, 1 << 10):
+        monkeypatch.setattr(jaccard_join, "SPREAD_CODES", spread)
+        monkeypatch.setattr(jaccard_join, "TILE", spread)
+        got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_classes(docs).collect()}
+        assert got == want
+
+
 def test_near_duplicates_leave_one_of_each_group(docs, rows):
     sets, group = similar(rows)
     kept = jaccard_join.drop_near_duplicates(docs)
