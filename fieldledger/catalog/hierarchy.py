@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog.registry import query, table
 from fieldledger.operators import hierarchy
+from fieldledger.session import scratch_dir
+from fieldledger.sources.landed import read_units
 
 # Source: every customer is a unit under its nation; some fields are missing, some geometry is bad.
 SOURCE = [
@@ -105,6 +107,30 @@ def pyramid_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed(units: DataFrame, label: str) -> DataFrame:
+    """Units written as one JSON list per parent, older rows of an id first, and read again."""
+    path = scratch_dir(units.sparkSession, label)
+    row = F.struct(*[c for c in units.columns if c not in ("id", "seq")])
+    # A list has the units of one parent, as one landed file would.
+    listed = units.groupBy(F.coalesce("parent.id", F.lit("none")).alias("file")).agg(
+        F.array_sort(F.collect_list(F.struct("seq", "id", row.alias("row")))).alias("rows")
+    )
+    records = F.transform("rows", lambda r: F.struct(r["id"].alias("id"), *[r["row"][c].alias(c) for c in units.columns if c not in ("id", "seq")]))
+    listed.select("file", F.to_json(records)).repartition("file").write.partitionBy("file").text(path)
+    return read_units(units.sparkSession, path)
+
+
+@query(f"SELECT {_COLUMNS}, {_POINT} IS NOT NULL AS has_geometry FROM ({_UPDATE_SQL})")
+def landed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pyramid_update`` of units read from files, in which ids repeat; the last row of an id counts."""
+    source = hierarchy.prepare_units(_landed(source_units(spark, sf_dir), "source"))
+    target = hierarchy.prepare_units(_landed(target_units(spark, sf_dir), "target"))
+    return hierarchy.units_to_update(source, target).select(
+        "id", "name", "shortName", "openingDate", "closedDate", F.col("parent.id").alias("parent_id"), "level",
+        F.col("geometry").isNotNull().alias("has_geometry"),
+    )
+
+
 @query(f"SELECT {_COLUMNS}, seq FROM ({_LAST_SOURCE_SQL})")
 def last_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last row of each unit."""

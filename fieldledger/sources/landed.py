@@ -22,8 +22,14 @@ def read_choices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_units(spark: SparkSession, path: str) -> DataFrame:
-    """Organisation units: a JSON list of records."""
-    return spark.read.schema(schemas.ORG_UNIT).option("multiLine", True).json(path)
+    """Organisation units: a JSON list of records.
+
+    ``seq`` tells their order: the file's name, then the place inside it. A file is read as a whole, in order, so that
+    the row ids of its records rise.
+    """
+    units = spark.read.schema(schemas.ORG_UNIT).option("multiLine", True).json(path)
+    place = F.struct(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
+    return units.select(*[place.alias("seq") if c == "seq" else F.col(c) for c in schemas.ORG_UNIT.names])
 
 
 def read_audit(spark: SparkSession, path: str, period: int | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldledger import schemas
 from fieldledger.operators.delta import delta
+from fieldledger.operators.hierarchy import last_units
 from fieldledger.plans.align import settle_alignment, write_alignment
 from fieldledger.plans.extract import check_periods, extract
 from fieldledger.plans.ingest import clean_submissions, ingest
@@ -151,6 +152,15 @@ def test_table_export(spark):
         write_table(spark.range(1), "exported", "other")
 
 
+def test_landed_units_keep_their_order(spark, tmp_path):
+    names = {"a.json": [("x", "older"), ("y", "z"), ("x", "later")], "b.json": [("y", "a"), ("z", "b"), ("z", "a")]}
+    for file, rows in names.items():
+        (tmp_path / file).write_text(json.dumps([{"id": i, "name": n} for i, n in rows], indent=1))
+    units = landed.read_units(spark, str(tmp_path))
+    assert units.columns == schemas.ORG_UNIT.names
+    assert {r.id: r.name for r in last_units(units).collect()} == {"x": "later", "y": "a", "z": "a"}
+
+
 def test_landed_json(spark, tmp_path):
     (tmp_path / "map.json").write_text(json.dumps([{"name": "Q", "data_element_id": "dx", "COC": None, "other": 1}], indent=1))
     assert landed.read_mapping(spark, str(tmp_path / "map.json")).first().data_element_id == "dx"
