@@ -109,7 +109,8 @@ def completion_plan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Responses: those for completed units succeed, others are in conflict twice; units of one month get none.
+# Responses: those for completed units succeed, others are in conflict twice. Here only units of one month
+# get one; in the queries below, all but those of that month.
 _STATUS = [
     "PERIOD",
     "ORG_UNIT",
@@ -151,3 +152,40 @@ def processed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log after the run, units without a completion included."""
     new = completion.newly_processed(_outcomes(spark, sf_dir), mark_uncompleted=True)
     return completion.merge_processed(processed(spark, sf_dir), new)
+
+
+_ANSWERED_ROWS = "outcome = 'ready' AND PERIOD <> 199701"
+_ANSWERED_SQL = f"""SELECT PERIOD, ORG_UNIT, CASE WHEN outcome <> 'ready' THEN outcome
+    WHEN PERIOD = 199701 THEN 'parse_failed' WHEN completed THEN 'pushed' ELSE 'failed' END AS outcome,
+    CAST(CASE WHEN outcome = 'missing_keys' THEN 1 WHEN outcome <> 'ready' THEN 0 WHEN PERIOD = 199701 THEN 1
+      WHEN completed THEN 0 ELSE 2 END AS INTEGER) AS push_errors FROM ({_plan_sql(_FIRST_SQL)})"""
+
+
+def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = completion_plan(spark, sf_dir)
+    return completion.completion_outcomes(plan, plan.where(_ANSWERED_ROWS).selectExpr(*_STATUS))
+
+
+@query(_ANSWERED_SQL)
+def answered_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final outcome of each unit, where the units of all months but one are answered."""
+    return _answered(spark, sf_dir)
+
+
+@query(
+    f"""SELECT outcome, count(*) AS n_units, CAST(sum(push_errors) AS BIGINT) AS push_errors
+    FROM ({_ANSWERED_SQL}) GROUP BY outcome"""
+)
+def answered_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units and push errors per outcome, where the units of all months but one are answered."""
+    return completion.outcome_tallies(_answered(spark, sf_dir))
+
+
+@query(
+    f"""SELECT PERIOD, ORG_UNIT FROM ({PROCESSED_SQL})
+    UNION SELECT PERIOD, ORG_UNIT FROM ({_ANSWERED_SQL}) WHERE outcome IN ('pushed', 'no_completion')"""
+)
+def answered_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after a run whose units are answered in all months but one."""
+    new = completion.newly_processed(_answered(spark, sf_dir), mark_uncompleted=True)
+    return completion.merge_processed(processed(spark, sf_dir), new)
