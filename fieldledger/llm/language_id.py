@@ -13,40 +13,56 @@ from pyspark.sql import DataFrame, functions as F
 from fieldledger.llm.store import arrow_schema, is_training
 from fieldledger.llm.words import buffers, row_blocks
 
-SIZES = (1, 2, 3)
-BITS = 15
+SIZES = (1, 2, 3, 4)
+BITS = 17
+# No more bytes than this belong to the letters that an n-gram has behind its first one.
+BEHIND = 4 * (max(SIZES) - 1)
 SCAN_BYTES = 1 << 19
 ROWS = "doc_id long, held_out boolean, lang_pred string, score double"
 has_letter = regex.compile(r"\p{L}").search
-# Bytes as features see them: capital letters are small, and digits, marks and white space are one sign each.
-FOLDED = np.arange(256, dtype=np.uint32)
+# ASCII as features see it: capital letters are small, and digits, marks and white space are one sign each.
+FOLDED = np.arange(128, dtype=np.uint32)
 FOLDED[65:91] += 32
 FOLDED[48:58] = 48
 FOLDED[[b for b in range(128) if not chr(b).isalnum()]] = 32
 
 
-def features(data: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """For each n-gram size the feature at every position of ``data``."""
-    byte = FOLDED[data]
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of whole UTF-8 letters, folded, and where each begins."""
+    if not len(data) or data.max() < 128:
+        return FOLDED[data], np.arange(len(data))
+    begin = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = data[begin].astype(np.uint32)
+    more = (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+    code = lead & np.array([0x7F, 0x1F, 0x0F, 0x07], np.uint32)[more]
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(more >= k)
+        code[longer] = (code[longer] << np.uint32(6)) | (data[begin[longer] + k] & 0x3F)
+    ascii_ = more == 0
+    code[ascii_] = FOLDED[code[ascii_]]
+    return code, begin
+
+
+def features(letters: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """For each n-gram size the feature at every position of ``letters``, which are code points."""
     out = []
-    code = np.zeros(len(byte), dtype=np.uint32)
+    code = np.zeros(len(letters), dtype=np.uint64)
+    wide = letters.astype(np.uint64)
     for size in range(1, max(SIZES) + 1):
-        kept = max(0, len(byte) - size + 1)
-        code = code[:kept] * np.uint32(256) + byte[size - 1 :]
+        kept = max(0, len(letters) - size + 1)
+        code = code[:kept] * np.uint64(0x9E3779B97F4A7C15) + wide[size - 1 :] + np.uint64(1)
         if size in SIZES:
-            mixed = (code + np.uint32(size << 27)) * np.uint32(2654435761)
-            mixed ^= mixed >> np.uint32(15)
-            out.append((size, (mixed * np.uint32(2246822519)) >> np.uint32(32 - BITS)))
+            mixed = (code ^ (code >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            out.append((size, (mixed >> np.uint64(64 - BITS)).astype(np.int64)))
     return out
 
 
 def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of a text and their relative frequencies."""
-    parts = [f for _, f in features(np.frombuffer(text.encode(), dtype=np.uint8))]
-    flat = np.concatenate(parts)
-    counts = np.bincount(flat, minlength=1 << BITS)
-    at = np.flatnonzero(counts)
-    return at, counts[at] / max(1, len(flat))
+    letters, _ = code_points(np.frombuffer(text.encode(), dtype=np.uint8))
+    flat = np.concatenate([f for _, f in features(letters)])
+    at, counts = np.unique(flat, return_counts=True)
+    return at, counts / max(1, len(flat))
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -164,7 +180,7 @@ def identify(
 ) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` (its calibrated probability) of each row.
 
-    A text's features are the 1- to 3-grams of its bytes, hashed, by relative frequency and IDF. Their weights are summed
+    A text's features are the 1- to 4-grams of its letters (code points), hashed, by relative frequency and IDF. Their weights are summed
     over all positions of the whole text. The language is ``und`` with score 0 where the text is null or has no
     letter, or where no language was learned; ties go to the first language in order.
 
@@ -179,15 +195,26 @@ def identify(
         """Per text, the mean weights of its features."""
         total, count = np.zeros((len(offsets) - 1, width)), np.zeros(len(offsets) - 1)
         base = int(offsets[0])
-        lengths = np.diff(offsets)
-        # A long text is summed in pieces; each piece sees the bytes of the n-grams that begin in it.
-        for at in range(base, int(offsets[-1]), SCAN_BYTES):
-            stop = min(at + SCAN_BYTES, int(offsets[-1]))
-            for size, feature in features(data[at : min(stop + max(SIZES) - 1, int(offsets[-1]))]):
-                feature = feature[: stop - at]
-                # n-grams begin in text k at offsets[k] up to offsets[k + 1] - size + 1
-                low = np.clip(offsets[:-1], at, at + len(feature)) - at
-                high = np.clip(offsets[1:] - size + 1, at, at + len(feature)) - at
+        end = int(offsets[-1])
+
+        def whole(at: int) -> int:
+            """The beginning of the letter that holds byte ``at``."""
+            while base < at < end and data[at] & 0xC0 == 0x80:
+                at -= 1
+            return at
+
+        # A long text is summed in pieces; each piece sees the letters of the n-grams that begin in it.
+        at = base
+        while at < end:
+            stop = whole(min(at + SCAN_BYTES, end))
+            letters, begin = code_points(data[at : whole(min(stop + BEHIND, end))])
+            here = np.searchsorted(begin, stop - at)
+            edge = np.searchsorted(begin, np.clip(offsets - at, 0, None))
+            for size, feature in features(letters):
+                # n-grams begin in text k at edge[k] up to edge[k + 1] - size + 1
+                feature = feature[:here]
+                low = np.clip(edge[:-1], 0, len(feature))
+                high = np.clip(edge[1:] - size + 1, 0, len(feature))
                 own = np.flatnonzero(high > low)
                 if not len(own):
                     continue
@@ -195,7 +222,7 @@ def identify(
                 edges = np.column_stack([low[own], high[own]]).ravel()
                 total[own] += np.add.reduceat(weight, edges, axis=0)[::2]
                 count[own] += (high - low)[own]
-        del lengths
+            at = stop
         return total / np.maximum(count, 1)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -361,6 +361,28 @@ def test_languages(docs, rows):
     assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in alone)
 
 
+def test_languages_of_one_script(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    for script in ("कखगघचछजझटठडढतथदध", "กขคงจฉชซดตถทนบปผ", "абвгдежзиклмнопр"):
+        words = ["".join(rng.choice(list(script), 5)) for _ in range(30)]
+        # The same letters as often, each word the other way round.
+        texts = [(" ".join(w[::turn] for w in rng.choice(words, 12)), lang) for _ in range(150) for turn, lang in ((1, "aa"), (-1, "bb"))]
+        model = language_id.fit(texts[:200])
+        docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)] + [(-1, texts[0][0] * 50)], "doc_id long, text string").coalesce(1)
+        got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+        assert all(got[k]["lang_pred"] == texts[k][1] for k in range(200, 300))
+        # Pieces cut anywhere give the sums of whole texts.
+        text = texts[0][0] * 50
+        at, share = language_id.vector(text)
+        logits = (share @ model.weights[at] + model.intercepts) / model.temperature
+        assert abs(got[-1]["score"] - language_id.softmax(logits).max()) < 1e-4
+        monkeypatch.setattr(language_id, "SCAN_BYTES", 101)
+        letters, _ = language_id.code_points(np.frombuffer("Aé1 ก😀".encode(), np.uint8))
+        assert letters.tolist() == [97, 233, 48, 32, ord("ก"), ord("😀")]
+        data, offsets = buffers(pa.array([text]))
+        assert len(language_id.code_points(data)[0]) == len(text)
+
+
 def test_network_sees_long_texts_whole():
     model = quality_cnn.new_model()
     text = np.random.default_rng(6).integers(32, 120, 5 * quality_cnn.SCAN_BYTES + 77).astype(np.uint8)
