@@ -18,6 +18,8 @@ BITS = 17
 # No more bytes than this belong to the letters that an n-gram has behind its first one.
 BEHIND = 4 * (max(SIZES) - 1)
 SCAN_BYTES = 1 << 19
+# Half a megabyte of weights each; while they are fitted, two more.
+MOST_LANGUAGES = 1_000
 ROWS = "doc_id long, held_out boolean, lang_pred string, score double"
 has_letter = regex.compile(r"\p{L}").search
 # ASCII as features see it: capital letters are small, and digits, marks and white space are one sign each.
@@ -94,7 +96,7 @@ def ftrl(
 
     Each coordinate has its own rate, and is exactly zero while its gradients do not outweigh ``l1``.
     """
-    z, n = np.zeros((1 << BITS, classes)), np.zeros((1 << BITS, classes))
+    z, n = np.zeros((1 << BITS, classes), np.float32), np.zeros((1 << BITS, classes), np.float32)
     bias_z, bias_n = np.zeros(classes), np.zeros(classes)
 
     def solved(z, n, l1, l2):
@@ -113,11 +115,13 @@ def ftrl(
             error[label[k]] -= 1
             z[at], n[at] = moved(z[at], n[at], w, value[:, None] * error)
             bias_z, bias_n = moved(bias_z, bias_n, bias, error)
-    return solved(z, n, l1, l2), solved(bias_z, bias_n, 0.0, 0.0)
+    for low in range(0, len(z), 1 << 10):
+        z[low : low + (1 << 10)] = solved(z[low : low + (1 << 10)], n[low : low + (1 << 10)], l1, l2)
+    return z, solved(bias_z, bias_n, 0.0, 0.0)
 
 
 def fit(sample: list[tuple[str, str]]) -> LanguageModel:
-    """Learn from texts and languages; every fifth text sets the temperature only.
+    """Learn from texts and languages; every fifth text, but no language's first, sets the temperature only.
 
     IDF is the logarithm of sample texts per text with the feature. Values are scaled to unit length.
     """
@@ -127,6 +131,7 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
     label = np.array([languages.index(lang) for _, lang in sample])
     raw = [vector(text) for text, _ in sample]
     held = np.arange(len(raw)) % 5 == 4
+    held[np.unique(label, return_index=True)[1]] = False
     found_in = np.zeros(1 << BITS)
     for k in np.flatnonzero(~held):
         found_in[raw[k][0]] += 1
@@ -143,13 +148,13 @@ def fit(sample: list[tuple[str, str]]) -> LanguageModel:
 
     grid = np.exp(np.linspace(-3, 3, 121))
     temperature = float(min(grid, key=loss)) if len(rest) else 1.0
-    return LanguageModel(languages, (scale * idf[:, None] * weights).astype(np.float32), bias, temperature)
+    return LanguageModel(languages, np.multiply(weights, (scale * idf[:, None]).astype(np.float32), out=weights), bias, temperature)
 
 
 def train(
     docs: DataFrame,
     per_language: int = 800,
-    max_languages: int = 200,
+    most_bytes: int = 16 << 20,
     parts: int = 3,
     held_out: int = 1,
     doc_id: str = "doc_id",
@@ -158,21 +163,38 @@ def train(
 ) -> LanguageModel:
     """``fit`` on about ``per_language`` texts of each language, drawn by a hash of the id.
 
-    Languages beyond the ``max_languages`` most frequent ones are not learned. Counts cover all rows that may be learned
-    from; of the texts, only the drawn ones leave their tasks, never more than twice the number asked for.
+    Every language with a row that may be learned from is learned; more than ``MOST_LANGUAGES`` of them raise. Counts cover
+    all rows that may be learned from; of the texts, only the drawn ones leave their tasks, never more than twice the
+    number asked for. Each language has its part of ``most_bytes``; a text that goes beyond it is cut there.
     """
     may, _ = is_training(docs[doc_id], parts, held_out)
     rows = docs.select(docs[doc_id].alias("i"), docs[text].alias("t"), docs[lang].alias("l")).where(may)
     rows = rows.where("t IS NOT NULL AND l IS NOT NULL")
-    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_languages).collect()
-    if not counts:
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1)
+    found = counts.collect()
+    if not found:
         return fit([])
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    part = most_bytes // len(found)
     grain = 1 << 30
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("l") == r["l"], int(grain * min(1.0, per_language / r["n"]))).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("i"), F.lit(grain)) < share).limit(2 * per_language * len(counts))
-    return fit(sorted((r["t"], r["l"]) for r in drawn.select("t", "l").toLocalIterator()))
+    shares = [(r["l"], int(grain * min(1.0, per_language / r["n"])), r["n"]) for r in found]
+    wanted = docs.sparkSession.createDataFrame(shares, "_l string, share long, n long")
+    # One row a language, so at most MOST_LANGUAGES.
+    joined = rows.join(F.broadcast(wanted), rows["l"] == wanted["_l"])
+    draw = F.pmod(F.xxhash64("i"), F.lit(grain))
+    # So many of the first rows by hash that a language is never left without any.
+    drawn = joined.where((draw < F.col("share")) | (F.col("n") * draw < 32 * grain))
+    drawn = drawn.select("l", draw.alias("draw"), F.substring("t", 1, part).alias("t")).orderBy("l", "draw", "t")
+    sample: list[tuple[str, str]] = []
+    left: dict[str, tuple[int, int]] = {}
+    for r in drawn.toLocalIterator():
+        texts, size = left.get(r["l"], (2 * per_language, part))
+        data = r["t"].encode()[:size]
+        if texts and size:
+            sample.append((data.decode(errors="ignore"), r["l"]))
+            left[r["l"]] = (texts - 1, size - len(data))
+    return fit(sorted(sample))
 
 
 def identify(
@@ -184,7 +206,7 @@ def identify(
     over all positions of the whole text. The language is ``und`` with score 0 where the text is null or has no
     letter, or where no language was learned; ties go to the first language in order.
 
-    The model's size is bounded by its languages. There is no shuffle; memory holds half a megabyte or one text. Null
+    The model's size is bounded by its languages, of which there are ``MOST_LANGUAGES`` at most. There is no shuffle; memory holds half a megabyte or one text. Null
     ids are not held out. Rows that repeat get the same answer. An empty table gives no rows. Other columns are not
     carried.
     """

@@ -383,6 +383,22 @@ def test_languages_of_one_script(spark, monkeypatch):
         assert len(language_id.code_points(data)[0]) == len(text)
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:03}": ["".join(rng.choice(list(letters), 6)) for _ in range(8)] for k in range(210)}
+    rows = [(lang, " ".join(rng.choice(words, 10))) for lang, words in own.items() for _ in range(6 if lang < "l205" else 4)]
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    learned = {r["lang"] for r in docs.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").select("lang").distinct().collect()}
+    assert len(learned) > 200 and set(model.languages) == learned
+    small = language_id.train(docs, most_bytes=210 * 20)
+    assert set(small.languages) == learned
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 200)
+    with pytest.raises(ValueError, match="200 languages"):
+        language_id.train(docs)
+
+
 def test_network_sees_long_texts_whole():
     model = quality_cnn.new_model()
     text = np.random.default_rng(6).integers(32, 120, 5 * quality_cnn.SCAN_BYTES + 77).astype(np.uint8)
