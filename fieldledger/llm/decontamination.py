@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldledger.llm.store import arrow_schema, give_back
 from fieldledger.llm.words import buffers, row_blocks, windows, words_of
 
 K1, B = 1.2, 0.75
-# Words are runs of letters, digits and bytes of other scripts; everything else separates them.
+# Words are runs of letters and digits; everything else separates them. In scripts without spaces, every sign is a word.
+UNSPACED = "".join(rf"\p{{{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+MARKS = r"[^\x00-\x7F\p{L}\p{N}\p{M}]+"
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 # Items per index; a larger benchmark is indexed in several blocks, each of which queries all documents.
 ITEMS_PER_INDEX = 5_000
@@ -29,15 +32,28 @@ def split_item(text: str) -> tuple[str, str]:
 
     Shorter last sentences are joined to the ones before them. An item of one sentence is both.
     """
-    parts = [p for p in re.split(r"(?<=[.?!])\s+|\n+", text) if p.strip()]
+    parts = [p for p in regex.split(r"(?<=[.?!…؟۔।])\s+|(?<=[。！？｡])|\n+", text) if p.strip()]
     answer: list[str] = []
-    while parts and len(" ".join(answer).split()) < 3:
+    while parts and len(regex.sub(f"[{UNSPACED}]", r" \g<0> ", " ".join(answer)).split()) < 3:
         answer.insert(0, parts.pop())
     return (" ".join(parts), " ".join(answer)) if parts else (text, text)
 
 
+def plain(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of texts in lower case, in which words stand between ASCII separators."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    texts = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    other = pc.invert(pc.string_is_ascii(texts))
+    if pc.any(other).as_py():
+        some = pc.replace_substring_regex(texts.filter(other), MARKS, " ")
+        some = pc.replace_substring_regex(some, f"([{UNSPACED}])", r" \1 ")
+        texts = pc.replace_with_mask(texts, other, some)
+    return buffers(texts)
+
+
 def codes(text: str) -> np.ndarray:
-    data, offsets = buffers(pa.array([text]), fold=True)
+    data, offsets = plain(pa.array([text]))
     return words_of(data, offsets, separators=SEPARATORS).code
 
 
@@ -73,6 +89,8 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     rows = [(i, code, *map(codes, split_item(t))) for i, t in items if t and len(code := codes(t))]
     if not rows:
         return None
+    # A side without words is the whole item.
+    rows = [(i, code, *(side if len(side) else code for side in sides)) for i, code, *sides in rows]
     lengths = np.array([len(r[1]) for r in rows])
     owner = np.repeat(np.arange(len(rows)), lengths)
     terms, term = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
@@ -196,7 +214,7 @@ def matches(
 
     @F.arrow_udf(MATCH)
     def find(texts: pa.Array) -> pa.Array:
-        data, offsets = buffers(texts, fold=True)
+        data, offsets = plain(texts)
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         names = [f.name for f in kind.value_type]
         for low, high in row_blocks(offsets, SCAN_BYTES):
@@ -224,7 +242,8 @@ def find_leaks(
     Test items are indexed for BM25, with impacts divided by the score an item gives itself, so that ``threshold`` is a
     share of a full match. Every passage of every document is a query; block maxima prune as in block-max WAND, and all
     items at or above the threshold come back. A match is verified by the runs of four words of the item's question
-    and of its answer that stand in the passage. Words are compared in lower case, without punctuation.
+    and of its answer that stand in the passage; a side without words is the whole item. Words are compared in lower case,
+    without punctuation; in scripts without spaces, single characters are words.
 
     An index holds at most about ``ITEMS_PER_INDEX`` items, so its size has a bound; a larger benchmark is taken in
     blocks, each of which queries all documents. Documents are not shuffled; memory holds a megabyte of text or one text.

@@ -289,6 +289,17 @@ def test_decontamination(spark, items):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 7]
 
 
+def test_decontamination_of_other_scripts_and_empty_sides(spark):
+    texts = ["... The answer to this one follows here.", "____. Which word fits here the best?", "这条河叫什么名字？它是北方的银色之河，流过古老的城市。",
+             "แม่น้ำสายนี้ชื่ออะไรและไหลผ่านเมืองใด", "川の名前は何ですか。それは北の銀の川です。", "Qui a écrit « Les Misérables » … c’est Victor Hugo lui-même."]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    around = ["some words before, ", "前面还有别的文字", "mots d’avant—"]
+    rows = [a + t + a for t in texts for a in around] + ["unrelated words about weather", "完全不同的句子，没有共同之处。", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").coalesce(1)
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, items).collect()}
+    assert found == {(k, k // 3) for k in range(18)}
+
+
 def test_search_finds_every_item_above_the_threshold():
     rng = np.random.default_rng(2)
     words = [f"w{k}" for k in range(400)]
