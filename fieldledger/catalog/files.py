@@ -179,8 +179,9 @@ def incremental_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, pushed, out, state = (scratch_dir(spark, n) for n in ("landing", "pushed", "out", "state"))
     earlier, current = inputs.order_earlier(spark, sf_dir), inputs.order_points(spark, sf_dir)
     for points in (earlier, current):
-        points.coalesce(1).write.mode("append").parquet(landing)
-        publish_incoming(spark, landing, POINT, lambda df: df, pushed, out, state).awaitTermination()
+        points.write.mode("append").parquet(landing)
+        # The files of a run share no keys.
+        publish_incoming(spark, landing, POINT, lambda df: df, pushed, out, state, files_per_batch=None).awaitTermination()
     return read_stage(spark, pushed, schema=POINT)
 
 
@@ -223,9 +224,9 @@ def incremental_settle(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, pushed, out, state = (scratch_dir(spark, n) for n in ("landing", "pushed", "out", "state"))
     later = inputs.order_points(spark, sf_dir).where(_LATER_ROWS)
     for points in (inputs.order_earlier(spark, sf_dir), later):
-        points.coalesce(1).write.mode("append").parquet(landing)
+        points.write.mode("append").parquet(landing)
         publish_incoming(
-            spark, landing, POINT, lambda df: df, pushed, out, state, size=inputs.BATCH_SIZE, answers=_replies
+            spark, landing, POINT, lambda df: df, pushed, out, state, inputs.BATCH_SIZE, files_per_batch=None, answers=_replies
         ).awaitTermination()
     return read_stage(spark, pushed, schema=POINT)
 

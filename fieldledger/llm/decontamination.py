@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldledger.llm.store import arrow_schema, give_back
+from fieldledger.llm.store import arrow_schema, give_back, keep
 from fieldledger.llm.words import buffers, row_blocks, windows, words_of
 
 K1, B = 1.2, 0.75
@@ -20,6 +21,8 @@ MARKS = r"[^\x00-\x7F\p{L}\p{N}\p{M}]+"
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 # Items per index; a larger benchmark is indexed in several blocks, each of which queries all documents.
 ITEMS_PER_INDEX = 5_000
+# Bytes of the items of one index, about.
+BYTES_PER_INDEX = 16 << 20
 # An index has at most about so many blocks of items; a block has 16 items at least.
 BLOCKS, LEAST_BLOCK = 64, 16
 GRAM = 4
@@ -181,17 +184,20 @@ def share(wanted: np.ndarray, have: np.ndarray) -> float:
 MATCH = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double>>"
 
 
-def indexes(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> list[Index]:
-    """Indexes of at most about ``ITEMS_PER_INDEX`` items each, with their own statistics."""
+def n_indexes(benchmark: DataFrame, item_text: str = "text") -> int:
+    size = F.octet_length(benchmark[item_text])
+    items = benchmark.where(size.isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return max(1, -(-items["n"] * 5 // (ITEMS_PER_INDEX * 4)), -(-items["size"] * 5 // (BYTES_PER_INDEX * 4)))
+
+
+def indexes(benchmark: DataFrame, blocks: int, item_id: str = "item_id", item_text: str = "text") -> Iterator[Index]:
+    """Indexes of ``blocks`` parts of the items, with their own statistics; each is built when it is asked for."""
     items = benchmark.select(benchmark[item_id].cast("long").alias("i"), benchmark[item_text].alias("t")).where("t IS NOT NULL")
-    blocks = max(1, -(-items.count() * 5 // (ITEMS_PER_INDEX * 4)))
-    out = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t")
         index = build_index([(r["i"], r["t"]) for r in block.toLocalIterator()])
         if index is not None:
-            out.append(index)
-    return out
+            yield index
 
 
 def matches(
@@ -245,17 +251,20 @@ def find_leaks(
     and of its answer that stand in the passage; a side without words is the whole item. Words are compared in lower case,
     without punctuation; in scripts without spaces, single characters are words.
 
-    An index holds at most about ``ITEMS_PER_INDEX`` items, so its size has a bound; a larger benchmark is taken in
-    blocks, each of which queries all documents. Documents are not shuffled; memory holds a megabyte of text or one text.
+    An index holds at most about ``ITEMS_PER_INDEX`` items and ``BYTES_PER_INDEX`` of text, or one longer item; a larger
+    benchmark is taken in blocks, one after the other, each of which queries all documents and writes what it finds. Documents are not shuffled; memory holds a megabyte of text or one text.
 
     Null or empty texts match nothing, nor do items without words. An item id that repeats in one index gives its best
     match. Rows that repeat an id or have a null id give a row for each copy. Empty tables give no rows. Other columns are
     not carried.
     """
+    blocks = n_indexes(benchmark, item_text)
     result = None
-    for index in indexes(benchmark, item_id, item_text):
+    for index in indexes(benchmark, blocks, item_id, item_text):
         found = matches(docs[text], index, threshold, min_question, min_answer)
         part = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.explode(found).alias("m")).select("doc_id", "m.*")
+        if blocks > 1:  # so that the driver and the tasks hold one index at a time
+            part = keep(part, "leaks")
         result = part if result is None else result.unionByName(part)
     return result if result is not None else docs.sparkSession.createDataFrame([], ROWS)
 
@@ -270,7 +279,19 @@ def drop_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` without a verified match, as they are and without a shuffle."""
-    for index in indexes(benchmark, item_id, item_text):
-        docs = docs.where(F.size(matches(docs[text], index, threshold, min_question, min_answer)) == 0)
-    return docs
+    """The rows of ``docs`` without a verified match, as they are and, for a benchmark of one index, without a shuffle.
+
+    With more indexes, the keys of rows with a match are written for one after the other and those rows are left out at last.
+    """
+    blocks = n_indexes(benchmark, item_text)
+    keyed = docs.withColumn("_row", F.xxhash64(docs[text]))
+    leaking = None
+    for index in indexes(benchmark, blocks, item_id, item_text):
+        leaks = F.size(matches(docs[text], index, threshold, min_question, min_answer)) > 0
+        if blocks == 1:
+            return docs.where(~leaks)
+        part = keep(keyed.where(leaks).select(F.col("_row").alias("_leak")).distinct(), "leaks")
+        leaking = part if leaking is None else leaking.unionByName(part)
+    if leaking is None:
+        return docs
+    return keyed.join(leaking.distinct(), keyed["_row"] == F.col("_leak"), "left_anti").drop("_row")

@@ -124,16 +124,20 @@ def publish_incoming(
     checkpoint_path: str,
     size: int = 1_000,
     dry_run: bool = False,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = 1,
     answers: Callable[[int, PublishPaths], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Publish every Parquet file of ``landing_path`` that no earlier run has taken in, then stop.
 
     Files are taken in order of arrival, one per micro-batch, so that a later file for the same keys
-    wins; more per micro-batch are fine where files never share keys. ``answers`` sends the batches of an epoch and gives
+    wins; more per micro-batch, or with None all that have landed, are fine where files that a
+    run finds never share keys. ``answers`` sends the batches of an epoch and gives
     their responses, one row per batch as ``schemas.RESPONSE``; see ``publish_arrivals``.
     """
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_path)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    files = reader.parquet(landing_path)
 
     def publish(batch: DataFrame, epoch: int) -> None:
         publish_arrivals(to_points(batch), epoch, pushed_path, out_path, size, dry_run, answers)

@@ -24,6 +24,7 @@ from fieldledger.llm import (
     toxicity,
 )
 from fieldledger.llm.components import components
+from fieldledger.llm.store import keep
 from fieldledger.llm.words import buffers, words_of
 
 
@@ -289,6 +290,20 @@ def test_decontamination(spark, items):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 7]
 
 
+def test_one_index_at_a_time(spark, monkeypatch):
+    texts = [f"Which town lies at the river {k}? It is the town number {k * 7} of the land {k * 3}." for k in range(40)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(texts[::2]), (100, "other words"), (101, None)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(decontamination, "BYTES_PER_INDEX", 1000)
+    kept = []
+    monkeypatch.setattr(decontamination, "keep", lambda df, label: kept.append(label) or keep(df, label))
+    assert decontamination.n_indexes(items) > 2
+    found = decontamination.find_leaks(docs, items)
+    assert {(k, 2 * k) for k in range(20)} <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(kept) > 2
+    assert sorted(r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()) == [100, 101]
+
+
 def test_decontamination_of_other_scripts_and_empty_sides(spark):
     texts = ["... The answer to this one follows here.", "____. Which word fits here the best?", "这条河叫什么名字？它是北方的银色之河，流过古老的城市。",
              "แม่น้ำสายนี้ชื่ออะไรและไหลผ่านเมืองใด", "川の名前は何ですか。それは北の銀の川です。", "Qui a écrit « Les Misérables » … c’est Victor Hugo lui-même."]
