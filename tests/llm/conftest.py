@@ -1,8 +1,11 @@
-import hashlib
+import os
 import random
+import sys
 
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, code string, n long, row long"
 
 
@@ -40,7 +43,3 @@ def docs(spark, rows):
 @pytest.fixture(scope="session")
 def no_docs(spark):
     return spark.createDataFrame([], SCHEMA)
-
-
-def sha(text):
-    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()

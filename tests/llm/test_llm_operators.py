@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
-from conftest import sha
+from llm_cases import sha
 
 from fieldledger.llm import (
     bpe_replay,

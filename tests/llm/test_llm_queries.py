@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from compare import connect, differences
-from conftest import sha
+from llm_cases import sha
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
@@ -55,7 +55,7 @@ def without_lines(rows):
 
 
 def without_copies(rows):
-    from test_operators import similar
+    from test_llm_operators import similar
 
     sets, group = similar(rows)
     first = {}
