@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldledger.llm import (
     bpe_replay,
     decontamination,
+    hard_negatives,
     jaccard_join,
     language_id,
     line_dedup,
@@ -18,7 +19,9 @@ from fieldledger.llm import (
     sharding,
     sql,
     substring_dedup,
+    topk_search,
     toxicity,
+    whitening,
 )
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -94,6 +97,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    # A long where it fits one; ``deviation_exact`` holds it at any size.
+    exact = F.col("deviation")
+    return done.withColumn("deviation_exact", exact).withColumn("deviation", exact.try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -108,6 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_sharding,
         op10_decontamination,
+        op11_hard_negatives,
+        op12_topk_search,
+        op13_whitening,
     )
 }
 
@@ -117,4 +140,6 @@ ORACLES: dict[str, str] = {
     "op3_substring_dedup": sql.SUBSTRINGS,
     "op5_line_dedup": sql.LINE_DEDUP,
     "op7_quality_rules": sql.QUALITY_RULES,
+    "op11_hard_negatives": sql.HARD_NEGATIVES,
+    "op12_topk_search": sql.TOP_K,
 }
