@@ -214,16 +214,12 @@ def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BATCH_SIZE = 50
-BUCKETS = 256
 _FIELDS = ["dataElement", "period", "orgUnit", "categoryOptionCombo", "attributeOptionCombo", "value", "point_class"]
-_BUCKET = (
-    "CAST(concat('0x', substr(md5(concat_ws(chr(1), " + ", ".join(_FIELDS) + f")), 1, 4)) AS BIGINT) % {BUCKETS}"
-)
+_DIGEST = f"md5(concat_ws(chr(1), {', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(2))' for c in _FIELDS)}))"
 BATCHED_SQL = f"""
   SELECT *, CAST((rn - 1) // {BATCH_SIZE} AS BIGINT) AS batch_no, CAST((rn - 1) % {BATCH_SIZE} AS INTEGER) AS batch_pos,
     concat(period, '-', point_class, '-', (rn - 1) // {BATCH_SIZE}) AS batch_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY period, point_class ORDER BY {_BUCKET}, dataElement, orgUnit,
-      categoryOptionCombo, attributeOptionCombo, value NULLS FIRST) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY period, point_class ORDER BY {_DIGEST}) AS rn
     FROM ({CLASSES_SQL}) WHERE point_class <> 'ignored')"""
 
 # One response per batch of the payload rows; what it says depends on the month of the batch.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog import inputs
-from fieldledger.catalog.registry import query
+from fieldledger.catalog.registry import query, table
 from fieldledger.operators import batches, points, responses
 from fieldledger.schemas import IMPORT_COUNTS
 from fieldledger.plans.publish import plan_changes, point_report
@@ -40,7 +40,7 @@ def ignored_and_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.batch_points(inputs.payload(spark, sf_dir), inputs.BATCH_SIZE, inputs.BUCKETS)
+    return batches.batch_points(inputs.payload(spark, sf_dir), inputs.BATCH_SIZE)
 
 
 @query(f"SELECT * EXCLUDE (rn) FROM ({inputs.BATCHED_SQL})")
@@ -49,6 +49,31 @@ def payload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batched(spark, sf_dir)
 
 
+# One large group whose batches are split by digest, with copies of one row in a third of it.
+_LINE_POINTS = [
+    "CASE WHEN l_linenumber <= 2 THEN 'hot' ELSE concat('L', l_orderkey, '-', l_linenumber) END AS dataElement",
+    "CAST(year(l_shipdate) AS INT) // 100 AS period",
+    "CASE WHEN l_linenumber <= 2 THEN 'U' ELSE concat('U', l_suppkey) END AS orgUnit",
+    "CASE WHEN l_linenumber > 2 AND l_returnflag = 'N' THEN NULL ELSE 'v' END AS value",
+]
+_LINE_FIELDS = ["dataElement", "period", "orgUnit", "value"]
+_LINE_DIGEST = f"md5(concat_ws(chr(1), {', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(2))' for c in _LINE_FIELDS)}))"
+_LINE_BATCH = 100
+
+
+@query(
+    f"""SELECT * EXCLUDE (rn), CAST((rn - 1) // {_LINE_BATCH} AS BIGINT) AS batch_no,
+      CAST((rn - 1) % {_LINE_BATCH} AS INTEGER) AS batch_pos
+    FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY {_LINE_DIGEST}) AS rn
+      FROM (SELECT {', '.join(_LINE_POINTS)} FROM lineitem))"""
+)
+def batches_of_a_large_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of one group that takes many buckets, a third of it copies of one row."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(*[c.replace("//", "DIV") for c in _LINE_POINTS])
+    named = lines.withColumn("period", F.col("period").cast("int"))
+    return batches.number_batches(named, _LINE_BATCH, ["period"], bucket_rows=1_000)
+
+
 @query(
     f"""SELECT batch_id, period, point_class, batch_no, count(*) AS n_points,
       concat('{{"dataValues":[', string_agg({inputs.POINT_JSON_SQL}, ',' ORDER BY batch_pos), ']}}') AS payload,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from fieldledger.sources.paths import file_system
 
 
 def build_session(app_name: str = "fieldledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,10 +30,33 @@ def build_session(app_name: str = "fieldledger", master: str | None = None, **co
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder the cluster shares.
+def _shared_base(spark: SparkSession) -> str:
+    """The folder the cluster shares: ``spark.checkpoint.dir``, or one in the warehouse where that is unset.
 
-    That is ``spark.checkpoint.dir``, or a folder in the warehouse where it is unset; never a machine-local one.
+    A warehouse on the driver's own disk is no shared folder, so outside local mode that raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given.rstrip("/")
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and file_system(spark, base)[1].getScheme() == "file":
+        raise ValueError(f"Set spark.checkpoint.dir to a folder that all nodes share; {base} is local")
+    return f"{base}/_scratch"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path under the folder the cluster shares; what is written there goes when the application ends."""
+    base = _shared_base(spark)
+    root = f"{base}/run-{spark.sparkContext.applicationId}"
+    path, fs = file_system(spark, root)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: computed once, its size known to the planner."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

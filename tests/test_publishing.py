@@ -59,9 +59,16 @@ def many(spark, n=5000):
     )
 
 
-def test_batches_are_full_and_positions_unique(spark):
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+# One bucket; many buckets; many buckets with copies of one row in one of them.
+@pytest.mark.parametrize("bucket_rows", [10_000, 1_000, 100])
+def test_batches_are_full_and_positions_unique(spark, bucket_rows):
     source = many(spark)
-    batched = batches.batch_points(source, size=64, buckets=8).collect()
+    batched = batches.batch_points(source, size=64, bucket_rows=bucket_rows).collect()
     names = source.columns
     assert Counter(tuple(r[n] for n in names) for r in batched) == Counter(tuple(r) for r in source.collect())
     groups = Counter((r.period, r.point_class) for r in batched)
@@ -74,13 +81,34 @@ def test_batches_are_full_and_positions_unique(spark):
 
 
 def test_batches_are_the_same_for_any_partitioning(spark):
-    one = batches.batch_points(many(spark).coalesce(1), 64, 8)
-    other = batches.batch_points(many(spark).repartition(13), 64, 8)
-    assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+    one = batches.batch_points(many(spark).coalesce(1), 64)
+    for other in (batches.batch_points(many(spark).repartition(13), 64, n) for n in (10_000, 900, 100)):
+        assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
+def test_rows_are_shuffled_once_for_batches(spark):
+    """Also with many buckets; copies of one row are counted first, and dealt by batch at the end."""
+    distinct = spark.range(6000).select(F.col("id").cast("string").alias("dataElement"), (F.col("id") % 2).alias("period"))
+    assert exchanges(batches.number_batches(distinct, 64, ["period"])) == 1
+    assert exchanges(batches.number_batches(distinct, 64, ["period"], 500)) <= 2
+    assert exchanges(batches.number_batches(many(spark), 64, ["period"], 100)) <= 4
+
+
+def test_buckets_follow_the_digest(spark):
+    rows = spark.range(3000).select(batches.content_digest(["id"]).alias("d"))
+    for bits in (1, 5, 31, 32):
+        assert all(int(r.d[:8], 16) >> (32 - bits) == r.b for r in rows.select("d", batches._bucket(F.col("d"), bits).alias("b")).collect())
+    assert [batches._bits(n, 100) for n in (0, 100, 101, 200, 201, 400, 10**15)] == [0, 0, 1, 1, 2, 2, 32]
+
+
+def test_digests_tell_null_from_text(spark):
+    rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), ("a", "a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(batches.content_digest(["x", "y"])).distinct().count() == len(rows)
 
 
 def test_payloads(spark):
-    got = batches.batch_payloads(batches.batch_points(many(spark, 300), 50, 4), "UPDATE", False).collect()
+    got = batches.batch_payloads(batches.batch_points(many(spark, 300), 50), "UPDATE", False).collect()
     for row in got:
         values = json.loads(row.payload)["dataValues"]
         assert len(values) == row.n_points <= 50
@@ -94,7 +122,7 @@ def test_bad_batch_arguments(spark):
     with pytest.raises(ValueError):
         batches.number_batches(many(spark), 0)
     with pytest.raises(ValueError):
-        batches.number_batches(many(spark), 5, buckets=0)
+        batches.number_batches(many(spark), 5, bucket_rows=0)
 
 
 BODIES = [
