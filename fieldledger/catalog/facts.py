@@ -22,6 +22,7 @@ from fieldledger.functions.periods import (
 )
 from fieldledger.functions.text import clean_text
 from fieldledger.operators import canonical, choices, columns, derive, quality, reshape, standard
+from fieldledger.plans import transform
 from fieldledger.plans.ingest import select_submissions
 from fieldledger.settings import Derivations
 
@@ -81,6 +82,26 @@ def canonical_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.points(spark, sf_dir)
 
 
+# A mapping of some thousand targets: most are for names of other forms, each name of this one has two.
+_WIDE_COPIES = 500
+_WIDE_MAPPING_SQL = f"""SELECT CASE WHEN i < 2 THEN name ELSE concat(name, ' of system ', i) END AS own, name,
+    CASE WHEN i = 1 THEN data_element_id || '-2' ELSE data_element_id END AS data_element_id, COC, CC, Calcul
+  FROM ({inputs.MAPPING_SQL}) CROSS JOIN (SELECT {{numbers}}) AS n"""
+
+
+@query(
+    f"""WITH m AS ({_WIDE_MAPPING_SQL.format(numbers=f"unnest(range({_WIDE_COPIES})) AS i")})
+    {inputs.points_sql(inputs.SUBMISSIONS_SQL).replace(f"({inputs.MAPPING_SQL}) m", "(SELECT * REPLACE (own AS name) FROM m) m")}"""
+)
+def canonical_points_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points under a mapping that is joined by name and gives several targets a name."""
+    wide = spark.sql(_WIDE_MAPPING_SQL.format(numbers=f"explode(sequence(0, {_WIDE_COPIES - 1})) AS i"))
+    mapping = wide.withColumn("name", F.col("own")).drop("own")
+    return transform.canonical_points(
+        inputs.submissions(spark, sf_dir), mapping, inputs.FORM, inputs.RULES, inputs.AS_OF, literal_targets=5
+    )
+
+
 @query(
     f"""SELECT periode, count(*) AS n_unmapped FROM ({inputs.long_sql(inputs.SUBMISSIONS_SQL)}) l
     WHERE NOT EXISTS (SELECT 1 FROM ({inputs.MAPPING_SQL}) m
@@ -118,6 +139,34 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return choices.one_hot(users)
 
 
+@query(
+    f"""WITH u AS (SELECT user_id, CASE WHEN max(value) < 50 THEN NULL ELSE list(DISTINCT event_type) END AS kinds
+      FROM events GROUP BY user_id)
+    SELECT user_id, {', '.join(f"CAST(coalesce(list_contains(kinds, '{t}'), false) AS TINYINT) AS kinds_{t}"
+                               for t in ('click', 'never', 'view'))},
+      len(list_filter(coalesce(kinds, []), lambda k: k NOT IN ('click', 'view')))::INTEGER AS n_others,
+      array_to_string(list_sort(list_filter(coalesce(kinds, []), lambda k: k NOT IN ('click', 'view'))), ',') AS others FROM u"""
+)
+def one_hot_of_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of known choices, seen or not, without a look at the data; other elements stay in a map."""
+    kinds = F.when(F.max("value") >= 50, F.collect_set("event_type"))
+    users = table(spark, sf_dir, "events").groupBy("user_id").agg(kinds.alias("kinds"))
+    known = spark.createDataFrame([("kinds", k) for k in ("view", "click", "never")], "question string, element string")
+    hot = choices.one_hot(users, elements=known)
+    others = F.map_keys("kinds_others")
+    return hot.withColumns({"n_others": F.size(others), "others": F.array_join(F.array_sort(others), ",")}).drop("kinds_others")
+
+
+@query(
+    """WITH w AS (SELECT p_partkey, list_distinct(string_split(p_name, ' ')) AS ws FROM part)
+    SELECT p_partkey, unnest(ws) AS word, CAST(1 AS TINYINT) AS has FROM w"""
+)
+def choice_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List columns as maps of element to 1, read as rows."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    return choices.choice_maps(part).select("p_partkey", F.explode("words").alias("word", "has"))
+
+
 @query(
     """SELECT DISTINCT 'words' AS question, unnest(string_split(p_name, ' ')) AS element FROM part
     UNION SELECT DISTINCT 'kind', p_type FROM part"""
@@ -164,6 +213,30 @@ def replace_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.withColumn("answers", F.array_join("answers", " "))
 
 
+@query(
+    """WITH labels AS (SELECT CAST(p_partkey AS VARCHAR) AS code, p_name AS label FROM part WHERE p_partkey % 5 > 0),
+    answers AS (SELECT l_orderkey, list(CAST(l_partkey AS VARCHAR) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)) AS codes,
+      min(l_partkey) AS one, max(l_returnflag) AS flag FROM lineitem GROUP BY l_orderkey),
+    parts AS (SELECT l_orderkey, unnest(codes) AS code, generate_subscripts(codes, 1) AS nth FROM answers)
+    SELECT l_orderkey, coalesce(o.label, CAST(one AS VARCHAR)) AS one, flag, many
+    FROM answers LEFT JOIN labels o ON o.code = CAST(one AS VARCHAR) JOIN (
+      SELECT l_orderkey, string_agg(coalesce(label, code), '|' ORDER BY nth) AS many FROM parts LEFT JOIN labels USING (code)
+      GROUP BY l_orderkey) USING (l_orderkey)"""
+)
+def replace_many_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A choice table that is joined: single-select and multi-select answers, in order, some codes without a label."""
+    part = table(spark, sf_dir, "part").where("p_partkey % 5 > 0").withColumn("code", F.col("p_partkey").cast("string"))
+    labels = part.select(F.explode(F.array(F.lit("one"), F.lit("many"))).alias("question"), "code", F.col("p_name").alias("label"))
+    codes = F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_partkey").cast("string").alias("code"))))
+    answers = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.min("l_partkey").alias("one"),
+        F.max("l_returnflag").alias("flag"),
+        F.array_join(F.transform(codes, lambda x: x["code"]), " ").alias("many"),
+    )
+    labelled = choices.replace_labels(answers, labels, ["many"], literal_choices=20)
+    return labelled.withColumn("many", F.array_join("many", "|"))
+
+
 @query(
     """SELECT CAST(o_orderkey AS DOUBLE) AS id, CAST(o_totalprice AS VARCHAR) AS amount, o_orderstatus AS tag FROM orders
     UNION ALL SELECT CAST(event_id AS DOUBLE), CAST(value AS VARCHAR), NULL FROM events

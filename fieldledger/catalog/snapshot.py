@@ -67,8 +67,7 @@ def delta_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def delta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of a delta run."""
-    current = inputs.points(spark, sf_dir)
-    return cdc.delta_counts(current, cdc.delta(current, inputs.earlier_points(spark, sf_dir), join_hint="merge"))
+    return cdc.delta_counts(inputs.points(spark, sf_dir), inputs.earlier_points(spark, sf_dir), join_hint="merge")
 
 
 @query(

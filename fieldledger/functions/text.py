@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, functions as F
 
 # The characters Unicode calls white space (Spark's trim removes the plain space only).
 WHITESPACE = (
@@ -32,25 +32,28 @@ def is_missing(col: Column) -> Column:
     return col.isNull() | is_blank(col)
 
 
+def _plain(texts: pa.Array) -> pa.Array:
+    """Texts without accents and punctuation, trimmed, with ``_`` for spaces; four Arrow kernels.
+
+    The decomposed form turns accents into combining marks, which go along with the punctuation.
+    """
+    letters = pc.replace_substring_regex(pc.utf8_normalize(texts, "NFD"), NOT_IN_NAMES, "")
+    return pc.replace_substring(pc.utf8_trim(letters, WHITESPACE + "\x1c\x1d\x1e\x1f"), " ", "_")
+
+
 def clean_text(col: Column) -> Column:
     """Plain lower-case names: no accents, no punctuation but ``-`` and ``_``, spaces as ``_``.
 
-    Spark has no Unicode decomposition, hence an Arrow kernel for that step. It turns accents into combining marks, which
-    go along with the punctuation.
+    Spark has no Unicode decomposition, hence one Arrow UDF, which takes the steps after it along.
     """
 
     @F.arrow_udf("string")
-    def decomposed(texts: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(texts, "NFD")
+    def plain(texts: pa.Array) -> pa.Array:
+        return _plain(texts)
 
-    kept = F.regexp_replace(decomposed(col), NOT_IN_NAMES, "")
-    return F.lower(F.translate(F.trim(kept, F.lit(WHITESPACE + "\x1c\x1d\x1e\x1f")), " ", "_"))
+    return F.lower(plain(col))
 
 
-def clean_names(spark: SparkSession, names: Sequence[str]) -> list[str]:
-    """``clean_text`` of some names, such as those of columns, in their order."""
-    if not names:
-        return []
-    frame = spark.createDataFrame(list(enumerate(names)), "at int, name string").coalesce(1)
-    rows = frame.select("at", clean_text(F.col("name")).alias("name")).collect()
-    return [row["name"] for row in sorted(rows, key=lambda row: row["at"])]
+def clean_names(names: Sequence[str]) -> list[str]:
+    """``clean_text`` of some names, such as those of columns, in their order; they are schema, so no job is run."""
+    return [text.lower() for text in _plain(pa.array(names, pa.string())).to_pylist()]

@@ -33,7 +33,7 @@ def _bucket(digest: Column, bits: int) -> Column:
 
 def _bits(rows: int, bucket_rows: int) -> int:
     """Bits that split ``rows`` differing rows into buckets of about ``bucket_rows``."""
-    return min(_PREFIX_BITS, max(0, (-(-rows // bucket_rows) - 1).bit_length()))
+    return min(_PREFIX_BITS, max(0, -(-rows // bucket_rows) - 1).bit_length())
 
 
 def number_batches(

@@ -15,6 +15,14 @@ def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused(taken: Sequence[str], name: str) -> str:
+    """``name``, lengthened until none of the taken names is equal to it; case does not tell names apart."""
+    lowered = {t.lower() for t in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
+
+
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """``df`` itself, or an error that lists the missing columns."""
     missing = [name for name in required if name not in df.columns]
@@ -48,7 +56,7 @@ def unique_names(cleaned: Sequence[str]) -> list[str]:
 
 def clean_columns(df: DataFrame) -> DataFrame:
     """``df`` with cleaned, unique column names (schema only; no data is read)."""
-    return df.toDF(*unique_names(clean_names(df.sparkSession, df.columns)))
+    return df.toDF(*unique_names(clean_names(df.columns)))
 
 
 def sort_columns(df: DataFrame) -> DataFrame:

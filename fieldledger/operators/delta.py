@@ -3,14 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from fieldledger.operators.columns import quoted
-from fieldledger.operators.keys import key_columns, key_rows, keys_match
+from fieldledger.operators.keys import key_rows, keys_match
 from fieldledger.schemas import POINT_KEYS
 
 
+def _code(columns: Sequence[Column], at: str) -> list[Column]:
+    """128 bits of hash of some columns as two longs ``<at>1`` and ``<at>2``, null where one of them is null."""
+    given = reduce(and_, [c.isNotNull() for c in columns])
+    seeds = ([], [F.lit(1)])
+    return [F.when(given, F.xxhash64(*seed, *columns)).alias(f"{at}{i}") for i, seed in enumerate(seeds, 1)]
+
+
+def _compared(
+    current: DataFrame, posted: DataFrame, keys: Sequence[str], value: str, posted_unique: bool, join_hint: str | None
+) -> DataFrame:
+    """All current rows, each once, with ``_kind``: ``new``, ``changed``, or null where nothing moved."""
+    kinds = dict(current.dtypes)
+    old_keys = [quoted(k) if dict(posted.dtypes)[k] == kinds[k] else quoted(k).cast(kinds[k]) for k in keys]
+    old = posted.select(*_code(old_keys, "_k"), *_code([quoted(value).cast("string")], "_v")).where("_k1 IS NOT NULL")
+    if posted_unique:
+        old = old.select("_k1", "_k2", *[F.col(f"_v{i}").alias(f"_{end}{i}") for i in (1, 2) for end in ("low", "high")])
+    else:
+        ends = [f(f"_v{i}").alias(f"_{end}{i}") for i in (1, 2) for end, f in (("low", F.min), ("high", F.max))]
+        old = old.groupBy(F.struct("_k1", "_k2").alias("_key")).agg(*ends).select("_key.*", *[f"_{e}{i}" for i in (1, 2) for e in ("low", "high")])
+    if join_hint is not None:
+        old = old.hint(join_hint)
+    now = [c.alias(f"_own{i}") for i, c in enumerate(_code([quoted(k) for k in keys], "_"), 1)]
+    coded = current.select("*", *now)
+    joined = coded.join(old, (F.col("_own1") == F.col("_k1")) & (F.col("_own2") == F.col("_k2")), "left")
+    given = _code([quoted(value).cast("string")], "_")
+    differs = reduce(or_, [c != F.col(f"_{end}{i}") for i, c in enumerate(given, 1) for end in ("low", "high")])
+    return joined.withColumn("_kind", F.when(F.col("_k1").isNull(), "new").when(differs, "changed"))
+
+
 def delta(
     current: DataFrame,
     posted: DataFrame | None,
@@ -18,6 +49,7 @@ def delta(
     value: str = "VALUE",
     posted_unique: bool = False,
     join_hint: str | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Current rows that are new or whose value changed, with a ``change_type``.
 
@@ -26,32 +58,31 @@ def delta(
     different values, every current value differs from one of them, so all current rows of the key are changed until the
     snapshot holds one value again.
 
-    One left join does the work of an anti join and an inner join. Posted rows are first reduced to the least and greatest
-    value of their keys, on the map side too, so the join gives at most the current rows. They are grouped by one struct,
-    which leaves the join a plain shuffle of each side: adaptive execution can split a hot key of the current rows.
-    ``posted_unique`` skips the grouping where the snapshot is known to have unique keys.
+    One left join does the work of an anti join and an inner join. Of a posted row only 128 bits of hash of its keys and of
+    its value take part, as longs: they are reduced to the least and greatest value of a key by a hash aggregate, on the
+    map side too, so the join gives at most the current rows. They are grouped by one struct, which leaves the
+    join a plain shuffle of each side: adaptive execution can split a hot key of the current rows. ``posted_unique`` skips
+    the grouping where the snapshot is known to have unique keys.
 
     The join strategy is Spark's choice. Its size estimate is good for stored snapshots, but does not
     see that an unpivot multiplies rows: ``join_hint="merge"`` keeps such a snapshot from being broadcast.
+
+    ``seen`` counts ``all`` current rows and the ``new`` and ``changed`` ones while the result is written.
     """
+    names = [quoted(c) for c in current.columns]
     if posted is None:
-        return current.withColumn("change_type", F.lit("new"))
-    names = key_columns(posted, keys)
-    old_value = quoted(value).cast("string")
-    if posted_unique:
-        old = posted.select(*names, F.lit(1).cast("bigint").alias("_n"), old_value.alias("_low"), old_value.alias("_high"))
+        compared = current.withColumn("_kind", F.lit("new"))
     else:
-        grouped = posted.groupBy(F.struct(*names).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(old_value).alias("_low"), F.max(old_value).alias("_high")
-        )
-        old = grouped.select("_key.*", "_n", "_low", "_high")
-    if join_hint is not None:
-        old = old.hint(join_hint)
-    joined = current.join(old, keys_match(current, old, keys), "left")
-    now = quoted(value).cast("string")
-    kept = joined.where(F.col("_n").isNull() | (now != F.col("_low")) | (now != F.col("_high")))
-    kind = F.when(F.col("_n").isNull(), "new").otherwise("changed")
-    return kept.select(*[quoted(c) for c in current.columns], kind.alias("change_type"))
+        compared = _compared(current, posted, keys, value, posted_unique, join_hint)
+    if seen is not None:
+        compared = compared.observe(seen, *_counts())
+    return compared.where(F.col("_kind").isNotNull()).select(*names, F.col("_kind").alias("change_type"))
+
+
+def _counts() -> list[Column]:
+    """Counters over compared rows."""
+    kinds = [F.count_if(F.col("_kind") == kind).alias(kind) for kind in ("new", "changed")]
+    return [F.count(F.lit(1)).alias("all"), *kinds]
 
 
 def removed(
@@ -72,23 +103,21 @@ def delta_with_deletes(
     return changes if posted is None else changes.unionByName(removed(current, posted, keys, value))
 
 
-def observe_delta(changes: DataFrame, name: str = "delta") -> tuple[DataFrame, Observation]:
-    """``changes`` with counters of new and changed rows that fill as the result is written."""
-    seen = Observation(name)
-    counted = changes.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("change_type") == "new").alias("new"),
-        F.count_if(F.col("change_type") == "changed").alias("changed"),
-    )
-    return counted, seen
-
+def delta_counts(
+    current: DataFrame,
+    posted: DataFrame,
+    keys: Sequence[str] = POINT_KEYS,
+    value: str = "VALUE",
+    posted_unique: bool = False,
+    join_hint: str | None = None,
+) -> DataFrame:
+    """Row counts of a delta as ``metric``, ``n``: all current rows, and those of each change type that occurs.
 
-def delta_counts(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Row counts as ``metric``, ``n``: all current rows, and the rows of each change type."""
-    everything = current.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("metric"), "n")
-    by_type = changes.groupBy(F.col("change_type").alias("metric")).agg(F.count(F.lit(1)).alias("n"))
-    return everything.unionByName(by_type)
+    One pass over the compared rows. Where the delta itself is written, let ``delta(seen=...)`` count it.
+    """
+    counted = _compared(current, posted, keys, value, posted_unique, join_hint).agg(*_counts())
+    pairs = [F.struct(F.lit(name).alias("metric"), F.col(f"`{name}`").alias("n")) for name in ("all", "new", "changed")]
+    return counted.select(F.inline(F.array(*pairs))).where((F.col("metric") == "all") | (F.col("n") > 0))
 
 
 def duplicate_keys(points: DataFrame, keys: Sequence[str] = POINT_KEYS, value: str = "VALUE") -> DataFrame:

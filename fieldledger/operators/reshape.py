@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fieldledger.functions.numbers import DECIMAL_PATTERN, is_nan_text, value_to_string, widen_float
 from fieldledger.functions.text import is_blank
@@ -84,6 +84,13 @@ def unpivot_long(
     )
 
 
+def _usable_values(df: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Exploded values without those that are null, blank or NaN; they go before numbers are formatted."""
+    number, text = F.col("_number"), F.col("_text")
+    usable = (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
+    return _explode_values(df, ids, names).where(usable)
+
+
 def unpivot_mapped(
     df: DataFrame, ids: Sequence[str], targets: Sequence[tuple[str, str, str | None]], value: str = "VALUE"
 ) -> DataFrame:
@@ -96,9 +103,7 @@ def unpivot_mapped(
     names = [name for name, _, _ in targets]
     numbers, _ = _order(df, names)
     ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
-    number, text = F.col("_number"), F.col("_text")
-    usable = (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
-    return _explode_values(df, ids, [t[0] for t in ordered]).where(usable).select(
+    return _usable_values(df, ids, [t[0] for t in ordered]).select(
         *[quoted(c) for c in ids],
         _lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
         _lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
@@ -106,6 +111,26 @@ def unpivot_mapped(
     )
 
 
+def unpivot_joined(
+    df: DataFrame, ids: Sequence[str], names: Sequence[str], targets: DataFrame, value: str = "VALUE"
+) -> DataFrame:
+    """The rows of ``unpivot_mapped`` where targets are too many for the projection: the name is unpivoted and joined.
+
+    ``targets`` has ``name`` (lower case), ``uid`` and ``combo``; a value comes out once per target of its name. Only
+    the columns ``names`` are read. Spark broadcasts a small target table and shuffles a large one.
+    """
+    numbers, texts = _order(df, names)
+    lowered = [name.lower() for name in numbers + texts]
+    long = _usable_values(df, ids, numbers + texts).select(
+        *[quoted(c) for c in ids],
+        _lookup(lowered, "_at").alias("_name"),
+        # Formatted below an explode of one element, so that it is not done again for each target.
+        F.explode(F.array(_value(texts_too=True))).alias(value),
+    )
+    wanted = targets.select(F.col("name").alias("_target"), F.col("uid").alias("DX_UID"), F.col("combo").alias("COC"))
+    return long.join(wanted, long["_name"] == wanted["_target"]).select(*[quoted(c) for c in ids], "DX_UID", "COC", value)
+
+
 _RANK = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType]
 
 
@@ -158,22 +183,32 @@ def union_wide(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [widened(f, k) for f, k in zip(frames, own, strict=True)])
 
 
-def read_targets(
-    mapping: DataFrame, columns: Sequence[str], max_targets: int = 100_000
-) -> list[tuple[str, str, str | None]]:
-    """Targets of the given columns: (column, target id, combination), names compared in lower case.
+# Targets that go into the projection; a larger mapping is joined.
+LITERAL_TARGETS = 10_000
 
-    Columns exist only as schema, so the rows collected are at most the targets of one form; a
-    mapping with more than ``max_targets`` of them is refused rather than cut.
-    """
+
+def targets_of(mapping: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Targets of the given columns: ``name`` in lower case, ``uid``, ``combo``."""
+    names = sorted({name.lower() for name in columns})
+    targets = mapping.select(F.lower("name").alias("name"), F.col("data_element_id").alias("uid"), F.col("COC").alias("combo"))
+    return targets.where(F.col("name").isin(names) & F.col("uid").isNotNull())
+
+
+def mapped_columns(targets: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of the columns that have a target; the driver sees at most the names of a form's columns."""
+    found = {row.name for row in targets.select("name").distinct().collect()}
+    return [name for name in columns if name.lower() in found]
+
+
+def read_targets(
+    targets: DataFrame, columns: Sequence[str], most: int = LITERAL_TARGETS
+) -> list[tuple[str, str, str | None]] | None:
+    """``targets_of`` as a list of (column, target id, combination), or None if there are more than ``most``."""
+    rows = targets.limit(most + 1).collect()
+    if len(rows) > most:
+        return None
     by_name: dict[str, list[str]] = {}
     for name in columns:
         by_name.setdefault(name.lower(), []).append(name)
-    wanted = mapping.select(
-        F.lower("name").alias("name"), F.col("data_element_id").alias("uid"), F.col("COC").alias("combo")
-    ).where(F.col("name").isin(list(by_name)) & F.col("uid").isNotNull())
-    rows: list[Row] = wanted.limit(max_targets + 1).collect()
-    if len(rows) > max_targets:
-        raise ValueError(f"The mapping has more than {max_targets} targets for this form; join it instead")
     found = [(name, row.uid, row.combo) for row in rows for name in by_name[row.name]]
     return sorted(found, key=lambda t: (t[0], t[1], t[2] or ""))

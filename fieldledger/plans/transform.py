@@ -8,10 +8,18 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.functions.periods import drop_future
-from fieldledger.operators.canonical import as_points, known_units
+from fieldledger.operators.canonical import as_points, default_if_missing, known_units
 from fieldledger.operators.columns import require_columns
 from fieldledger.operators.derive import derive
-from fieldledger.operators.reshape import read_targets, unpivot_mapped
+from fieldledger.operators.reshape import (
+    LITERAL_TARGETS,
+    mapped_columns,
+    read_targets,
+    targets_of,
+    unpivot_joined,
+    unpivot_mapped,
+)
+from fieldledger.session import kept
 from fieldledger.settings import Derivations, PointRules
 from fieldledger.sinks.stages import write_stage
 from fieldledger.sources.tabular import read_stage
@@ -24,11 +32,13 @@ def canonical_points(
     rules: PointRules,
     as_of: date,
     lenient: bool = False,
+    literal_targets: int = LITERAL_TARGETS,
 ) -> DataFrame:
     """Canonical points of wide submissions: derive, map, unpivot, filter. No shuffle.
 
     Only mapped columns are unpivoted, so the scan reads those and the ids alone, and rows that a
-    later filter on period or unit would drop are dropped before they are multiplied.
+    later filter on period or unit would drop are dropped before they are multiplied. Up to ``literal_targets`` targets
+    of the form's columns are put into the projection; more of them are joined by name after the unpivot.
     """
     require_columns(submissions, rules.ids)
     rows = known_units(
@@ -36,7 +46,12 @@ def canonical_points(
     )
     wide = derive(rows, form, lenient)
     names = [name for name in wide.columns if name not in set(rules.ids)]
-    targets = read_targets(mapping, names)
+    wanted = targets_of(mapping, names)
+    targets = read_targets(wanted, names, literal_targets)
+    ids = [rules.period, rules.unit]
+    if targets is None:
+        table = kept(wanted, "targets").withColumn("combo", default_if_missing(F.col("combo"), rules.default_combo))
+        return _points(unpivot_joined(wide, ids, mapped_columns(table, names), table), rules)
     if not targets:
         return as_points(
             rows.where("false").select(
@@ -47,18 +62,25 @@ def canonical_points(
             )
         )
     targets = [(name, uid, combo or rules.default_combo) for name, uid, combo in targets]
-    long = unpivot_mapped(wide, [rules.period, rules.unit], targets)
-    points = long.select(
-        F.col(rules.period).alias("PERIOD"),
-        F.col(rules.unit).alias("ORG_UNIT"),
-        "DX_UID",
-        F.col("COC").alias("CATEGORY_OPTION_COMBO"),
-        F.lit(rules.default_combo).alias("ATTRIBUTE_OPTION_COMBO"),
-        "VALUE",
-        F.lit("DATA_ELEMENT").alias("DATA_TYPE"),
+    return _points(unpivot_mapped(wide, ids, targets), rules)
+
+
+def _points(long: DataFrame, rules: PointRules) -> DataFrame:
+    """Mapped values in the canonical columns.
+
+    Units and values are given by now and the rest is constant, so no further null test is needed.
+    """
+    return as_points(
+        long.select(
+            F.col(rules.period).alias("PERIOD"),
+            F.col(rules.unit).alias("ORG_UNIT"),
+            "DX_UID",
+            F.col("COC").alias("CATEGORY_OPTION_COMBO"),
+            F.lit(rules.default_combo).alias("ATTRIBUTE_OPTION_COMBO"),
+            "VALUE",
+            F.lit("DATA_ELEMENT").alias("DATA_TYPE"),
+        )
     )
-    # Units and values are given by now and the rest is constant, so no further null test is needed.
-    return as_points(points)
 
 
 def transform(

@@ -4,7 +4,7 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from fieldledger.operators import delta as cdc, reconcile
 from fieldledger.schemas import POINT, POINT_KEYS
@@ -120,9 +120,24 @@ def test_snapshot_keeps_rejected(spark):
 
 
 def test_observed_counts(spark, tmp_path):
-    seen_df, seen = cdc.observe_delta(cdc.delta(points(spark, CURRENT), points(spark, POSTED)))
-    seen_df.write.parquet(str(tmp_path / "out"))
-    assert seen.get == {"rows": 5, "new": 2, "changed": 3}
+    current, posted = points(spark, CURRENT), points(spark, POSTED)
+    seen = Observation("delta")
+    cdc.delta(current, posted, seen=seen).write.parquet(str(tmp_path / "out"))
+    assert seen.get == {"all": len(CURRENT), "new": 2, "changed": 3}
+    counts = {r.metric: r.n for r in cdc.delta_counts(current, posted).collect()}
+    assert counts == seen.get
+    assert {r.metric: r.n for r in cdc.delta_counts(current.limit(0), posted).collect()} == {"all": 0}
+
+
+def test_delta_sorts_nothing_but_longs(spark):
+    plan = cdc.delta(points(spark, CURRENT), points(spark, POSTED), join_hint="merge")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_keys_of_other_types(spark):
+    current = points(spark, CURRENT)
+    wide = points(spark, POSTED).withColumn("PERIOD", F.col("PERIOD").cast("long"))
+    assert cdc.delta(current, wide).exceptAll(cdc.delta(current, points(spark, POSTED))).count() == 0
 
 
 def test_duplicate_report(spark):
@@ -140,7 +155,7 @@ def test_delta_plan(spark, tmp_path):
         plan = found._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("partial_count") == 1
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("partial_min") == 2
     assert plan.count("SortMergeJoin") == 1
 
 

@@ -30,7 +30,13 @@ def apply(spark, values, kind, build):
     ],
 )
 def test_clean_names(spark, raw, cleaned):
-    assert text.clean_names(spark, [raw, "Z", raw]) == [cleaned, "z", cleaned]
+    assert text.clean_names([raw, "Z", raw]) == [cleaned, "z", cleaned]
+
+
+def test_names_are_cleaned_as_texts_are(spark):
+    odd = ["İstanbul", "ΟΔΟΣ ΣΑΣ", "ǅ", "ẞ", "\x1c x \x1f", "Ａ１", "한글", "ﬁ", "a\u0301\u00a0b"]
+    assert text.clean_names(odd) == apply(spark, odd, "string", text.clean_text)
+    assert text.clean_names([]) == []
 
 
 def test_cleaning_drops_every_combining_mark(spark):

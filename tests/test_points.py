@@ -1,5 +1,6 @@
 """Wide rows to points: derived columns, reshaping, mapping and filters."""
 
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -123,9 +124,15 @@ def test_mapping_join_is_inner_after_null_filter(spark):
     assert "Join Inner" in plan
 
 
-def test_targets_are_never_cut(spark):
-    with pytest.raises(ValueError, match="more than 2"):
-        reshape.read_targets(mapping_frame(spark), ["num", "txt"], max_targets=2)
+def test_targets_beyond_the_projection_are_joined(spark):
+    wide, mapping = points_frame(spark), mapping_frame(spark)
+    assert reshape.read_targets(reshape.targets_of(mapping, wide.columns), wide.columns, most=2) is None
+
+    def points(most):
+        got = canonical_points(wide, mapping, Derivations(), RULES, date(2024, 2, 1), literal_targets=most)
+        return Counter(tuple(r) for r in got.collect())
+
+    assert points(2) == points(100) and points(2).total() > 2
 
 
 def test_union_relaxed(spark):
@@ -160,9 +167,22 @@ def test_one_hot(spark):
     got = {r.id: (r["q_b"], r["q_deja_vu_x"]) for r in choices.one_hot(df).collect()}
     assert got == {1: (0, 1), 2: (0, 0), 3: (0, 0), 4: (1, 1)}
     assert dict(choices.one_hot(df).dtypes)["q_b"] == "tinyint"
-    with pytest.raises(ValueError, match="More than 1"):
-        choices.one_hot(df, max_columns=1)
     assert choices.one_hot(df.select("id")).columns == ["id"]
+    known = spark.createDataFrame([("q", "b"), ("q", "c"), ("other", "d"), ("q", None)], "question string, element string")
+    hot = choices.one_hot(df, elements=known)
+    assert hot.columns == ["id", "q_b", "q_c", "q_others"]
+    got = {r.id: (r.q_b, r.q_c, r.q_others) for r in hot.collect()}
+    assert got == {1: (0, 0, {"Déjà vu (x)": 1}), 2: (0, 0, {}), 3: (0, 0, {}), 4: (1, 0, {"deja vu x": 1})}
+    maps = {r.id: r.q for r in choices.choice_maps(df).collect()}
+    assert maps == {1: {"Déjà vu (x)": 1}, 2: {}, 3: {}, 4: {"b": 1, "deja vu x": 1}}
+
+
+def test_known_choices_need_no_job(spark):
+    df = spark.createDataFrame([(["a"],)], "q array<string>").select(F.raise_error(F.lit("read")).cast("array<string>").alias("q"))
+    choices.choice_maps(df)
+    choices.one_hot(df, elements=spark.createDataFrame([("q", "a")], "question string, element string"))
+    with pytest.raises(Exception, match="read"):
+        choices.one_hot(df)
 
 
 def test_labels(spark):
@@ -172,6 +192,21 @@ def test_labels(spark):
     assert got == [("Oui", ["A!", "b", "C!"]), ("2", None), (None, [])]
 
 
+def test_joined_labels_are_those_of_the_lookup(spark):
+    rows = [("1", "a b  c", "x"), ("2", None, "x y"), (None, "", None), ("1", "c a", " "), ("3", "zz", "y"), ("3", "c a", "y")]
+    df = spark.createDataFrame(rows, "q string, `m.n` string, `_label` string")
+    labels = [("q", "1", "Oui"), ("q", "1", "Aussi"), ("m.n", "a", "A!"), ("m.n", "c", "C!"), ("q", "2", None), ("none", "1", "x")]
+    table = spark.createDataFrame(labels, "question string, code string, label string")
+
+    def counted(most):
+        got = choices.replace_labels(df, table, ["m.n", "_label"], literal_choices=most)
+        assert got.columns == df.columns
+        return Counter(str(r) for r in got.collect())
+
+    assert counted(1) == counted(100)
+    assert any("A!" in r and "Oui" in r for r in counted(1))
+
+
 def test_standard(spark):
     rates = spark.createDataFrame([("ds.ACTUAL", "202401", "ou", "1"), ("ds", "202401", "ou", "2")], "dx string, pe string, ou string, value string")
     got = standard.to_standard(rates, "REPORTING_RATE").select("DX_UID", "RATE_TYPE", "PERIOD", "ORG_UNIT").collect()
