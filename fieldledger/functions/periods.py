@@ -107,25 +107,18 @@ def distinct_periods(df: DataFrame, column: str = "PERIOD") -> DataFrame:
     return df.select(F.col(column).alias("PERIOD")).where(F.col("PERIOD").isNotNull()).distinct()
 
 
-def period_values(df: DataFrame, column: str = "PERIOD", max_periods: int = 10_000) -> list[int]:
-    """The periods of ``df`` as a list, to prune the partitions of another dataset.
-
-    One number per month, so the list is short by nature; more than ``max_periods`` are refused.
-    """
-    rows = distinct_periods(df, column).limit(max_periods + 1).collect()
-    if len(rows) > max_periods:
-        raise ValueError(f"More than {max_periods} periods")
-    return sorted(row.PERIOD for row in rows)
-
-
-def of_periods(df: DataFrame, periods: list[int], column: str = "PERIOD") -> DataFrame:
-    """Rows of the given periods only; none for an empty list."""
-    return df.where(F.col(column).isin(list(periods)) if periods else F.lit(False))
+def period_values(df: DataFrame, column: str = "PERIOD") -> list[int]:
+    """The periods of ``df`` as a list: the names of the partitions a write replaces, one number per month."""
+    return sorted(row.PERIOD for row in distinct_periods(df, column).collect())
 
 
 def in_periods(df: DataFrame, periods: DataFrame, column: str = "PERIOD") -> DataFrame:
-    """Rows whose period is in a period table. To prune partitions of a stage, see ``period_values``."""
-    wanted = periods.select(F.col(periods.columns[0]).alias("_period"))
+    """Rows whose period is in a period table: a semi join on the period.
+
+    Where ``df`` is partitioned by it, only the partitions of the periods found at run time are read (dynamic partition
+    pruning), however many there are. Spark does so for a table with a filter; the comparison holds for every period.
+    """
+    wanted = periods.select(F.col(periods.columns[0]).alias("_period")).where(F.col("_period") > -1)
     return df.join(wanted, df[column] == wanted["_period"], "left_semi")
 
 

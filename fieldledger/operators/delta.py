@@ -96,10 +96,14 @@ def removed(
 
 
 def delta_with_deletes(
-    current: DataFrame, posted: DataFrame | None, keys: Sequence[str] = POINT_KEYS, value: str = "VALUE"
+    current: DataFrame,
+    posted: DataFrame | None,
+    keys: Sequence[str] = POINT_KEYS,
+    value: str = "VALUE",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """``delta`` plus the points to delete."""
-    changes = delta(current, posted, keys, value)
+    changes = delta(current, posted, keys, value, seen=seen)
     return changes if posted is None else changes.unionByName(removed(current, posted, keys, value))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldledger.functions.periods import of_periods, period_values
+from fieldledger.functions.periods import distinct_periods, in_periods
 from fieldledger.operators.columns import check_choice
 from fieldledger.operators.completion import (
     completion_outcomes,
@@ -15,6 +15,7 @@ from fieldledger.operators.completion import (
 )
 from fieldledger.operators.responses import completion_status, parse_responses
 from fieldledger.schemas import IMPORT_COUNTS, IMPORT_STRATEGIES
+from fieldledger.session import kept
 from fieldledger.sinks.stages import write_stage
 from fieldledger.sources.landed import read_processed
 
@@ -69,7 +70,7 @@ def settle_completion(
     outcomes = spark.read.parquet(f"{out_path}/outcomes")
     if log_path:
         new = newly_processed(outcomes, mark_uncompleted)
-        existing = of_periods(read_processed(spark, log_path), period_values(new))
+        existing = in_periods(read_processed(spark, log_path), kept(distinct_periods(new), "periods"))
         write_stage(merge_processed(existing, new), log_path)
     counts = statuses.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in IMPORT_COUNTS])
     return outcome_tallies(outcomes), counts

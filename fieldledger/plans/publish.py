@@ -10,9 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from fieldledger.functions.periods import of_periods, period_values
+from fieldledger.functions.periods import distinct_periods, in_periods, period_values
 from fieldledger.operators.batches import batch_payloads, batch_points
 from fieldledger.operators.canonical import drop_nulls
 from fieldledger.operators.columns import check_choice
@@ -27,11 +27,19 @@ from fieldledger.operators.responses import (
     rejected_points,
 )
 from fieldledger.schemas import IMPORT_STRATEGIES, PAYLOAD_FIELDS, POINT
-from fieldledger.sinks.stages import drop_periods, write_payloads, write_stage
+from fieldledger.session import kept
+from fieldledger.sinks.snapshots import commit_snapshot
+from fieldledger.sinks.stages import write_payloads
+from fieldledger.sources.snapshots import read_snapshot
 from fieldledger.sources.tabular import read_stage
 
 # Fixed value: points per batch of the main job.
 BATCH_SIZE = 1_000
+# A written delta: payload rows, how they changed, and what is done with them.
+CHANGES = T.StructType(
+    [T.StructField(field, POINT[name].dataType) for name, field in PAYLOAD_FIELDS.items()]
+    + [T.StructField(name, T.StringType()) for name in ("change_type", "point_class")]
+)
 
 
 @dataclass(frozen=True)
@@ -77,19 +85,45 @@ class PublishPaths:
         return f"{self.root}/errors"
 
 
-def plan_changes(current: DataFrame, posted: DataFrame | None, detect_deletes: bool = False) -> DataFrame:
-    """Payload rows of the points to publish, with their ``change_type``."""
-    changes = (delta_with_deletes if detect_deletes else delta)(current, posted)
+def plan_changes(
+    current: DataFrame, posted: DataFrame | None, detect_deletes: bool = False, seen: Observation | None = None
+) -> DataFrame:
+    """Payload rows of the points to publish, with their ``change_type``; ``seen`` counts as in ``delta``."""
+    changes = (delta_with_deletes if detect_deletes else delta)(current, posted, seen=seen)
     fields = [F.col(name).alias(field) for name, field in PAYLOAD_FIELDS.items()]
     return changes.select(*fields, "change_type")
 
 
+# Points of a delta by what is done with them.
+CLASSES = ("valid", "delete", "ignored")
+
+
+def write_changes(
+    current: DataFrame | None, posted: DataFrame | None, paths: PublishPaths, detect_deletes: bool = False
+) -> dict[str, int]:
+    """Write the delta once, with the class of each point, and count it as it is written.
+
+    Returns the number of points looked at (``all``), of ``changes``, and of those by type and by class.
+    """
+    names = ("all", "changes", "new", "changed", "removed", *CLASSES)
+    if current is None:
+        return dict.fromkeys(names, 0)
+    seen, written = Observation("delta"), Observation("changes")
+    changes = classify_points(plan_changes(current, posted, detect_deletes, seen))
+    counts = [F.count(F.lit(1)).alias("changes"), F.count_if(F.col("change_type") == "removed").alias("removed")]
+    counts += [F.count_if(F.col("point_class") == kind).alias(kind) for kind in CLASSES]
+    changes.observe(written, *counts).write.mode("overwrite").parquet(paths.changes)
+    got = {**seen.get, **written.get}
+    return {name: got.get(name, 0) for name in names}
+
+
 def write_batches(
     changes: DataFrame, paths: PublishPaths, size: int, import_strategy: str, dry_run: bool
 ) -> None:
     """Write batches, payloads and the reports of ignored and deleted points.
 
-    ``changes`` must be written data: it is read once per output.
+    ``changes`` must be written data: it is read once per output. All outputs are replaced, by empty ones if there is
+    nothing to send, so that no batch of an earlier run is sent again.
     """
     spark = changes.sparkSession
     batch_points(changes, size).write.mode("overwrite").parquet(paths.points)
@@ -100,6 +134,11 @@ def write_batches(
         classes.where(F.col("point_class") == kind).write.mode("overwrite").parquet(path)
 
 
+def read_changes(spark: SparkSession, paths: PublishPaths) -> DataFrame:
+    """The written delta as payload rows."""
+    return spark.read.schema(CHANGES).parquet(paths.changes)
+
+
 def prepare_publish(
     spark: SparkSession,
     transformed_path: str,
@@ -112,20 +151,20 @@ def prepare_publish(
     import_strategy: str = "CREATE_AND_UPDATE",
     dry_run: bool = True,
     detect_deletes: bool = False,
-) -> int:
-    """Write the delta and its batches; returns the number of points in the delta."""
+) -> dict[str, int]:
+    """Write the delta and its batches; returns the totals of ``write_changes``.
+
+    Without a transformed stage, or without changes, all outputs are empty.
+    """
     check_choice(import_strategy, IMPORT_STRATEGIES, "import strategy")
     current = read_stage(spark, transformed_path, file_format, only, periods, POINT)
+    posted = read_snapshot(spark, pushed_path, POINT, only, periods, file_format)
     if current is None:
-        return 0
-    posted = read_stage(spark, pushed_path, file_format, only, periods, POINT)
+        spark.createDataFrame([], CHANGES).write.mode("overwrite").parquet(paths.changes)
     # The delta is written once: batches, payloads and reports then read it instead of joining again.
-    plan_changes(current, posted, detect_deletes).write.mode("overwrite").parquet(paths.changes)
-    changes = spark.read.parquet(paths.changes)
-    n_changes = changes.count()
-    if n_changes:
-        write_batches(changes.drop("change_type"), paths, size, import_strategy, dry_run)
-    return n_changes
+    totals = write_changes(current, posted, paths, detect_deletes)
+    write_batches(read_changes(spark, paths).drop("change_type"), paths, size, import_strategy, dry_run)
+    return totals
 
 
 def canonical_keys(payload: DataFrame) -> DataFrame:
@@ -134,6 +173,30 @@ def canonical_keys(payload: DataFrame) -> DataFrame:
     return payload.withColumnsRenamed({f: n for f, n in back.items() if f in payload.columns})
 
 
+def write_held(paths: PublishPaths, responses: DataFrame) -> dict[str, int]:
+    """Write the parsed responses, their errors, the rejected points, and all points that nobody accepted (``held``).
+
+    A server error raises. Returns the folded import counts with the numbers of rejected and held points, which are counted
+    as they are written.
+    """
+    spark = responses.sparkSession
+    # Written once, as the other steps read them.
+    parse_responses(responses).write.mode("overwrite").parquet(paths.responses)
+    parsed = spark.read.parquet(paths.responses)
+    check_server_errors(parsed)
+    batched = spark.read.parquet(paths.points)
+    import_errors(parsed).write.mode("overwrite").parquet(paths.errors)
+    summary = fold_counts(parsed).first().asDict()
+    for name, points, path in (
+        ("rejected", rejected_points(batched, parsed), paths.rejected),
+        ("held", held_points(batched, parsed), paths.held),
+    ):
+        seen = Observation(name)
+        points.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        summary[name] = seen.get.get("n", 0)
+    return summary
+
+
 def settle_publish(
     spark: SparkSession,
     transformed_path: str,
@@ -149,32 +212,23 @@ def settle_publish(
 
     A server error raises before the snapshot moves. A dry run never moves it. A point is accepted only if its batch has
     an answer that is no error and does not reject its position; every other point keeps what was posted before and is
-    sent again. Only periods with changes are rewritten, and a period that has no points left is dropped.
+    sent again. Only periods with changes are rewritten, in one commit of the versioned snapshot, and a period that has
+    no points left is dropped by it; a run that dies leaves the snapshot as it was.
+
+    Returns the import counts, with the numbers of rejected and held points.
     """
-    # Written once, as four steps read them.
-    parse_responses(responses).write.mode("overwrite").parquet(paths.responses)
-    parsed = spark.read.parquet(paths.responses)
-    check_server_errors(parsed)
-    batched = spark.read.parquet(paths.points)
-    import_errors(parsed).write.mode("overwrite").parquet(paths.errors)
-    rejected_points(batched, parsed).write.mode("overwrite").parquet(paths.rejected)
-    summary = fold_counts(parsed).first().asDict()
+    summary = write_held(paths, responses)
     if dry_run:
         return summary
-    held_points(batched, parsed).write.mode("overwrite").parquet(paths.held)
     held = canonical_keys(spark.read.parquet(paths.held))
-    touched = period_values(spark.read.parquet(paths.changes), "period")
-    stages = [
-        read_stage(spark, path, file_format, only, periods, POINT)
-        for path in (transformed_path, pushed_path)
-    ]
-    current, posted = [of_periods(df, touched) if df is not None else None for df in stages]
-    if current is None:
-        current = spark.createDataFrame([], POINT)
-    snapshot = next_snapshot(drop_nulls(current), posted, held)
-    left = set(period_values(snapshot, "PERIOD"))
-    write_stage(snapshot, pushed_path, file_format)
-    drop_periods(spark, pushed_path, [p for p in touched if p not in left])
+    table = kept(distinct_periods(read_changes(spark, paths), "period"), "touched")
+    touched = period_values(table)
+    if not touched:
+        return summary
+    current = read_stage(spark, transformed_path, file_format, only, periods, POINT)
+    current = in_periods(current, table) if current is not None else spark.createDataFrame([], POINT)
+    posted = read_snapshot(spark, pushed_path, POINT, periods=touched, file_format=file_format)
+    commit_snapshot(next_snapshot(drop_nulls(current), posted, held), pushed_path, touched, file_format=file_format)
     return summary
 
 

@@ -34,13 +34,6 @@ def write_stage(
         writer.parquet(path)
 
 
-def drop_periods(spark: SparkSession, path: str, periods: Sequence[int]) -> None:
-    """Remove the partitions of ``periods``, where there are any."""
-    for period in periods:
-        target, fs = file_system(spark, f"{path.rstrip('/')}/PERIOD={period}")
-        fs.delete(target, True)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """A report as CSV with a header."""
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)

@@ -38,3 +38,8 @@ def list_periods(spark: SparkSession, path: str, column: str = "PERIOD") -> list
         return []
     found = [re.fullmatch(rf"{column}=(\d+)", s.getPath().getName()) for s in fs.listStatus(hadoop_path)]
     return sorted(int(match.group(1)) for match in found if match)
+
+
+def list_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers ``n`` of the folders ``<prefix>=<n>`` below ``path``."""
+    return list_periods(spark, path, prefix)

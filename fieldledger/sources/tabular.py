@@ -15,6 +15,7 @@ from fieldledger.functions.periods import select_periods
 from fieldledger.operators.columns import check_choice, quoted
 from fieldledger.operators.reshape import union_wide
 from fieldledger.sources.paths import has_data, list_periods
+from fieldledger.sources.snapshots import read_snapshot, versions
 
 # Formats of stage files.
 FORMATS = ["csv", "parquet"]
@@ -172,8 +173,13 @@ def read_stage(
 
     Periods written by different runs may differ in columns and types: all columns come back, null where a period
     has none, and types are widened (``common_type``). With a ``schema`` no footer or header is looked at.
+    A versioned snapshot is read by its last manifest and needs a schema.
     """
     check_choice(file_format, FORMATS, "file format")
+    if versions(spark, path):
+        if schema is None:
+            raise ValueError(f"{path} is a versioned snapshot; give its schema")
+        return read_snapshot(spark, path, schema, only, list(periods) if periods else None)
     if not has_data(spark, path):
         return None
     if file_format == "csv":

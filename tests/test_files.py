@@ -5,7 +5,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from fieldledger import schemas
 from fieldledger.operators.delta import delta
@@ -16,10 +16,14 @@ from fieldledger.plans.ingest import clean_submissions, ingest
 from fieldledger.plans.publish import PublishPaths, prepare_publish, settle_publish
 from fieldledger.plans.quality import report_non_numeric
 from fieldledger.plans.transform import transform
-from fieldledger.session import scratch_dir
+from fieldledger.functions.periods import in_periods
+from fieldledger.session import kept, scratch_dir
 from fieldledger.settings import Derivations, PointRules
+from fieldledger.sinks import snapshots as sink_snapshots
+from fieldledger.sinks.snapshots import commit_snapshot
 from fieldledger.sinks.stages import replace_parquet, write_stage, write_table
-from fieldledger.sources import landed, paths, tabular
+from fieldledger.sources import landed, paths, snapshots, tabular
+from fieldledger.streaming import incoming
 from fieldledger.streaming.incoming import publish_incoming
 
 
@@ -273,7 +277,8 @@ def test_publish_and_settle(spark, tmp_path):
     _, done = whole_run(spark, tmp_path, "parquet")
     pushed = str(tmp_path / "pushed")
     first = PublishPaths(str(tmp_path / "run1"))
-    assert prepare_publish(spark, done, pushed, first, size=2, dry_run=False) == 5
+    totals = prepare_publish(spark, done, pushed, first, size=2, dry_run=False)
+    assert totals == {"all": 5, "changes": 5, "new": 5, "changed": 0, "removed": 0, "valid": 5, "delete": 0, "ignored": 0}
     payloads = spark.read.json(first.payloads).collect()
     assert sorted(p.n_points for p in payloads) == [1, 2, 2]
     sent = [v for p in payloads for v in json.loads(p.payload)["dataValues"]]
@@ -291,13 +296,20 @@ def test_publish_and_settle(spark, tmp_path):
         settle_publish(spark, done, pushed, first, server_error, False)
     assert settle_publish(spark, done, pushed, first, reply(first, "none"), True)["imported"] == 5
     assert not paths.path_exists(spark, pushed)
-    assert settle_publish(spark, done, pushed, first, reply(first, "dxSum"), False)["imported"] == 5
+    settled = settle_publish(spark, done, pushed, first, reply(first, "dxSum"), False)
+    assert (settled["imported"], settled["rejected"], settled["held"]) == (5, 1, 1)
     assert spark.read.parquet(first.rejected).count() == 1
     second = PublishPaths(str(tmp_path / "run2"))
-    assert prepare_publish(spark, done, pushed, second, dry_run=False) == 1
+    assert prepare_publish(spark, done, pushed, second, dry_run=False)["new"] == 1
     settle_publish(spark, done, pushed, second, reply(second, "none"), False)
-    assert prepare_publish(spark, done, pushed, PublishPaths(str(tmp_path / "run3"))) == 0
-    assert prepare_publish(spark, str(tmp_path / "absent"), pushed, second) == 0
+    # Nothing of an earlier run is left to be sent, be it that nothing changed or that there is no stage.
+    for root, stage in ((first, done), (second, str(tmp_path / "absent"))):
+        assert prepare_publish(spark, stage, pushed, root)["changes"] == 0
+        assert [spark.read.schema("batch_id string").parquet(p).count() for p in (root.changes, root.points, root.ignored, root.deleted)] == [0] * 4
+        assert not [f for f in Path(root.payloads).glob("*.json") if f.read_text()]
+        none = spark.createDataFrame([], schemas.RESPONSE)
+        assert settle_publish(spark, stage, pushed, root, none, False)["responses"] == 0
+    assert tabular.read_stage(spark, pushed, schema=schemas.POINT).count() == 5
     assert report_non_numeric(spark, done, str(tmp_path / "report")) and not report_non_numeric(spark, str(tmp_path / "absent"), "x")
 
 
@@ -310,13 +322,19 @@ def test_alignment_run(spark, tmp_path):
     assert [tuple(r) for r in totals.collect()] == [("CREATE", "OK", 1)]
 
 
+def accept_all(epoch, paths):
+    """A good answer to every batch."""
+    batched = SparkSession.getActiveSession().read.parquet(paths.points).select("batch_id").distinct()
+    return batched.select("batch_id", F.lit(200).alias("status_code"), F.lit("{}").alias("body"))
+
+
 def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     landing, pushed, out, state = (str(tmp_path / n) for n in ("in", "pushed", "out", "state"))
     def points(rows):
         return spark.createDataFrame([(p, u, "dx", "c", "a", v, "DATA_ELEMENT") for p, u, v in rows], schemas.POINT).coalesce(1)
 
     def run():
-        publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, size=2).awaitTermination()
+        publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, accept_all, size=2).awaitTermination()
 
     points([(202401, "a", "1"), (202401, "b", "1"), (202402, "a", "1")]).write.mode("append").parquet(landing)
     run()
@@ -349,7 +367,7 @@ def test_stream_sends_unaccepted_points_again(spark, tmp_path):
     def run(rows):
         points = spark.createDataFrame([(p, u, "dx", "c", "a", v, "DATA_ELEMENT") for p, u, v in rows], schemas.POINT)
         points.coalesce(1).write.mode("append").parquet(landing)
-        publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, answers=answers).awaitTermination()
+        publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, answers).awaitTermination()
         snapshot = tabular.read_stage(spark, pushed, schema=schemas.POINT)
         found = snapshot.collect() if snapshot is not None else []
         return sorted((r.PERIOD, r.ORG_UNIT, r.VALUE) for r in found)
@@ -359,10 +377,107 @@ def test_stream_sends_unaccepted_points_again(spark, tmp_path):
     assert run([(202404, "a", "1"), (202402, "b", "2")]) == [
         (202401, "a", "1"), (202402, "a", "1"), (202402, "b", "2"), (202403, "a", "1"), (202404, "a", "1"),
     ]
+    assert incoming.retry_pending(spark, pushed, out, accept_all) is None
     sent = spark.read.parquet(f"{out}/epoch=2/points")
     assert sorted((r.period, r.orgUnit, r.value) for r in sent.collect()) == [(202402, "a", "1"), (202402, "b", "2"), (202404, "a", "1")]
 
 
+def test_pending_points_are_sent_without_a_file(spark, tmp_path):
+    landing, pushed, out, state = (str(tmp_path / n) for n in ("in", "pushed", "out", "state"))
+    rows = [(p, u, "dx", "c", "a", "1", "DATA_ELEMENT") for p in (202401, 202402, 202403) for u in "ab"]
+    rows.append((None, "a", "dx", "c", "a", "1", "DATA_ELEMENT"))
+    spark.createDataFrame(rows, schemas.POINT).coalesce(1).write.parquet(landing)
+
+    def only(*good):
+        return lambda epoch, paths: accept_all(epoch, paths).where(F.substring("batch_id", 1, 6).isin([str(p) for p in good]))
+
+    def fails(epoch, paths):
+        raise RuntimeError("no transport")
+
+    def posted():
+        return sorted({r.PERIOD for r in tabular.read_stage(spark, pushed, schema=schemas.POINT).collect()})
+
+    publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, only(202401)).awaitTermination()
+    assert posted() == [202401]
+    with pytest.raises(RuntimeError, match="no transport"):
+        incoming.retry_pending(spark, pushed, out, fails)
+    assert posted() == [202401] and incoming.read_pending(spark, out, 0).count() == 4
+    totals = incoming.retry_pending(spark, pushed, out, only(202402))
+    assert (totals["held"], totals["responses"]) == (2, 1) and posted() == [202401, 202402]
+    more = [(202404, "a", "dx", "c", "a", "1", "DATA_ELEMENT")]
+    spark.createDataFrame(more, schemas.POINT).coalesce(1).write.mode("append").parquet(landing)
+    publish_incoming(spark, landing, schemas.POINT, lambda df: df, pushed, out, state, only(202404)).awaitTermination()
+    assert posted() == [202401, 202402, 202404]
+    assert incoming.retry_pending(spark, pushed, out, accept_all)["held"] == 0
+    assert posted() == [202401, 202402, 202403, 202404]
+    assert incoming.retry_pending(spark, pushed, out, accept_all) is None
+
+
+def points_of(spark, *rows):
+    return spark.createDataFrame([(p, u, "dx", "c", "a", v, "DATA_ELEMENT") for p, u, v in rows], schemas.POINT)
+
+
+def test_snapshot_versions(spark, tmp_path):
+    """A commit replaces, adds and drops periods at once; a plain stage found there is taken over."""
+    path = str(tmp_path / "pushed")
+
+    def rows(**which):
+        df = snapshots.read_snapshot(spark, path, schemas.POINT, **which)
+        return None if df is None else sorted((r.PERIOD, r.ORG_UNIT, r.VALUE) for r in df.collect())
+
+    assert rows() is None
+    write_stage(points_of(spark, (202401, "a", "1"), (202402, "a", "1"), (202403, "a", "1")), path)
+    assert rows(only=202402) == [(202402, "a", "1")]
+    first = commit_snapshot(points_of(spark, (202402, "a", "2"), (202404, "a", "1")), path, [202402, 202403, 202404])
+    want = [(202401, "a", "1"), (202402, "a", "2"), (202404, "a", "1")]
+    assert first.version == 1 and rows() == want
+    assert sorted(map(tuple, tabular.read_stage(spark, path, schema=schemas.POINT).select("PERIOD", "ORG_UNIT", "VALUE").collect())) == want
+    assert rows(periods=[202401, 202404]) == [want[0], want[2]] and rows(periods=[]) is None
+    with pytest.raises(ValueError, match="not to be replaced"):
+        commit_snapshot(points_of(spark, (202401, "a", "9")), path, [202402])
+    with pytest.raises(ValueError, match="not to be replaced"):
+        commit_snapshot(points_of(spark, (None, "a", "9")), path, [202402])
+    with pytest.raises(ValueError, match="schema"):
+        tabular.read_stage(spark, path)
+    assert rows() == want
+    commit_snapshot(points_of(spark, (202401, "b", "1")), path, [202401])
+    assert rows(version=1) == want and rows() == [(202401, "b", "1"), *want[1:]]
+    commit_snapshot(points_of(spark), path, [202401, 202402])
+    assert rows() == [(202404, "a", "1")] and snapshots.versions(spark, path) == [2, 3]
+    # Folders that neither of the last two versions names are gone.
+    assert not list(Path(path).glob("PERIOD=*"))
+    named = {f for v in (2, 3) for f, _ in snapshots.read_manifest(spark, path, v).parts.values()}
+    assert {str(p.relative_to(path)) for p in Path(path).glob("data/*/of_period=*")} == named
+
+
+@pytest.mark.parametrize("dies", ["write", "publish"])
+def test_a_commit_that_dies_leaves_the_old_snapshot(spark, tmp_path, monkeypatch, dies):
+    path = str(tmp_path / "pushed")
+    commit_snapshot(points_of(spark, (202401, "a", "1"), (202402, "a", "1")), path, [202401, 202402])
+    new = points_of(spark, (202401, "a", "2"))
+    if dies == "write":
+        new = new.withColumn("VALUE", F.raise_error(F.lit("lost")).cast("string"))
+    else:
+        monkeypatch.setattr(sink_snapshots, "_publish", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(Exception, match="lost|killed"):
+        commit_snapshot(new, path, [202401, 202402])
+    got = snapshots.read_snapshot(spark, path, schemas.POINT).collect()
+    assert sorted((r.PERIOD, r.VALUE) for r in got) == [(202401, "1"), (202402, "1")]
+    monkeypatch.undo()
+    commit_snapshot(points_of(spark, (202401, "a", "3")), path, [202401, 202402])
+    assert [(r.PERIOD, r.VALUE) for r in snapshots.read_snapshot(spark, path, schemas.POINT).collect()] == [(202401, "3")]
+    assert len(list(Path(path).glob("data/*"))) == 2
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    write_stage(points_of(spark, *[(202400 + m, "a", "1") for m in range(1, 13)]), path)
+    periods = kept(points_of(spark, (202403, "x", "")).select("PERIOD"), "periods")
+    found = in_periods(tabular.read_stage(spark, path, schema=schemas.POINT), periods)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.PERIOD for r in found.collect()] == [202403]
+
+
 def test_scratch(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
