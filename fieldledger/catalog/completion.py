@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from fieldledger.catalog import inputs
 from fieldledger.catalog.registry import query, table
 from fieldledger.functions.periods import months_between
 from fieldledger.operators import completion
-from fieldledger.sources.landed import explode_registrations
+from fieldledger.session import scratch_dir
+from fieldledger.sources.landed import explode_registrations, read_registrations
 
 # Every order registers its customer for its month; later orders of the month are repeats.
 REGISTRATIONS = [
@@ -62,6 +63,23 @@ def registration_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_registrations(documents, F.col("seq")).drop("seq")
 
 
+@query(
+    f"""SELECT "organisationUnit", period, completed, date, "dataSet", doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY seq) AS INTEGER) AS place
+    FROM (SELECT *, CAST(seq % 20 AS INTEGER) AS doc FROM ({REGISTRATIONS_SQL}))"""
+)
+def registration_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents of many registrations each, read in pieces; their order is kept."""
+    path = scratch_dir(spark, "documents")
+    every = registrations(spark, sf_dir).withColumn("doc", (F.col("seq") % 20).cast("int"))
+    row = F.struct("organisationUnit", "period", "completed", "date", "dataSet")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", row.alias("row")))), lambda x: x["row"])
+    documents = every.groupBy("doc").agg(F.to_json(F.struct(ordered.alias("completeDataSetRegistrations"))).alias("value"))
+    documents.write.partitionBy("doc").text(path)
+    read = read_registrations(spark, path).withColumn("doc", F.regexp_extract("seq._file", "doc=([0-9]+)", 1).cast("int"))
+    place = F.row_number().over(W.partitionBy("doc").orderBy("seq"))
+    return read.withColumn("place", place).drop("seq")
+
+
 _UNPROCESSED_SQL = f"""SELECT r.* FROM ({REQUESTED_SQL}) r ANTI JOIN ({PROCESSED_SQL}) p
   ON r.PERIOD = p.PERIOD AND r.ORG_UNIT = p.ORG_UNIT"""
 
@@ -109,18 +127,18 @@ def completion_plan_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Responses: those for completed units succeed, others are in conflict twice. Here only units of one month
-# get one; in the queries below, all but those of that month.
+# Responses: those for completed units succeed, others are in conflict twice. Units of every February get none;
+# in the queries below, those of one month.
 _STATUS = [
     "PERIOD",
     "ORG_UNIT",
     "CASE WHEN completed THEN 'pushed' ELSE 'failed' END AS outcome",
     "CAST(CASE WHEN completed THEN 0 ELSE 2 END AS INT) AS push_errors",
 ]
-_STATUS_ROWS = "outcome = 'ready' AND PERIOD = 199701"
+_STATUS_ROWS = "outcome = 'ready' AND PERIOD % 100 <> 2"
 _OUTCOMES_SQL = f"""SELECT PERIOD, ORG_UNIT, CASE WHEN outcome <> 'ready' THEN outcome
-    WHEN PERIOD <> 199701 THEN 'parse_failed' WHEN completed THEN 'pushed' ELSE 'failed' END AS outcome,
-    CAST(CASE WHEN outcome = 'missing_keys' THEN 1 WHEN outcome <> 'ready' THEN 0 WHEN PERIOD <> 199701 THEN 1
+    WHEN PERIOD % 100 = 2 THEN 'parse_failed' WHEN completed THEN 'pushed' ELSE 'failed' END AS outcome,
+    CAST(CASE WHEN outcome = 'missing_keys' THEN 1 WHEN outcome <> 'ready' THEN 0 WHEN PERIOD % 100 = 2 THEN 1
       WHEN completed THEN 0 ELSE 2 END AS INTEGER) AS push_errors FROM ({_plan_sql(_FIRST_SQL)})"""
 
 

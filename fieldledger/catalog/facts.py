@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog import inputs
 from fieldledger.catalog.registry import query, table
-from fieldledger.functions.numbers import DECIMAL_PATTERN, is_numeric, value_to_string
+from fieldledger.functions.numbers import DECIMAL_PATTERN, SPECIAL_PATTERN, is_numeric, value_to_string
 from fieldledger.functions.periods import (
     distinct_periods,
     in_periods,
@@ -265,6 +265,16 @@ def sorted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.sort_rows(columns.sort_columns(supplier))
 
 
+@query(
+    """SELECT s_suppkey AS age_ans_1, s_name AS age_ans_3, s_acctbal AS age_ans_2, s_nationkey AS deja_vu FROM supplier"""
+)
+def clean_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned column names; those that clash get a suffix that no other has."""
+    names = ["Âge (ans)", "age ans", "AGE_ANS_2", "Déjà vu?"]
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    return columns.clean_columns(supplier.toDF(*names))
+
+
 _STANDARD_SQL = """SELECT 'DATA_ELEMENT' AS DATA_TYPE, event_type AS DX_UID, strftime(ts, '%Y%m') AS PERIOD,
     concat('U', user_id) AS ORG_UNIT, 'coc' AS CATEGORY_OPTION_COMBO, 'aoc' AS ATTRIBUTE_OPTION_COMBO,
     CAST(NULL AS VARCHAR) AS RATE_TYPE, 'AGGREGATED' AS DOMAIN_TYPE, CAST(value AS VARCHAR) AS VALUE FROM events
@@ -327,9 +337,11 @@ _TEXTS_SQL = """SELECT 'props' AS DX_UID, props AS VALUE FROM events
   UNION ALL SELECT 'name', p_name FROM part
   UNION ALL SELECT 'size', CASE WHEN p_size < 10 THEN concat(p_size, 'd') WHEN p_size < 20 THEN concat(' ', p_size)
     WHEN p_size < 30 THEN concat(p_size, '_0') WHEN p_size < 40 THEN concat('-', p_size, 'e2')
+    WHEN p_size = 40 THEN 'NaN' WHEN p_size = 41 THEN '-nan' WHEN p_size = 42 THEN 'Infinity' WHEN p_size = 43 THEN '-inf'
+    WHEN p_size = 44 THEN 'nano' WHEN p_size = 45 THEN '+Infinit'
     ELSE concat('.', p_size) END FROM part
   UNION ALL SELECT 'status', nullif(o_orderstatus, 'F') FROM orders"""
-_NUMERIC_SQL = f"coalesce(regexp_matches(VALUE, '{DECIMAL_PATTERN}'), false)"
+_NUMERIC_SQL = f"coalesce(regexp_matches(VALUE, '{DECIMAL_PATTERN}') OR regexp_matches(VALUE, '{SPECIAL_PATTERN}'), false)"
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:

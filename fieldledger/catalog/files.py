@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog import inputs
 from fieldledger.catalog.completion import registrations, requested
 from fieldledger.catalog.facts import _event_values
 from fieldledger.catalog.registry import query, table
+from fieldledger.functions.periods import distinct_periods
+from fieldledger.operators.reconcile import stage_gate
 from fieldledger.plans import completion as completion_plan
 from fieldledger.plans.extract import extract
 from fieldledger.plans.ingest import ingest
@@ -16,9 +21,11 @@ from fieldledger.plans.quality import report_non_numeric
 from fieldledger.plans.transform import transform
 from fieldledger.schemas import POINT, POINT_KEYS
 from fieldledger.session import scratch_dir
-from fieldledger.sinks.stages import write_csv, write_stage
-from fieldledger.sources.landed import read_processed
-from fieldledger.sources.tabular import read_csv, read_csv_fetches, read_stage
+from fieldledger.sinks.audit import read_counts, write_counts
+from fieldledger.sinks.stages import replace_parquet, write_csv, write_stage, write_table
+from fieldledger.sources.landed import read_mapping, read_processed
+from fieldledger.sources.paths import file_system, list_periods
+from fieldledger.sources.tabular import read_csv, read_csv_fetches, read_flat_stage, read_stage
 from fieldledger.streaming.incoming import last_epoch, publish_incoming, read_pending, retry_pending
 
 _ORDERS = ["o_orderkey", "o_totalprice", "o_orderstatus", f"{inputs.ORDER_PERIOD} AS PERIOD"]
@@ -127,6 +134,95 @@ def extract_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stage(spark, out)
 
 
+def _extracted_sql(data_type: str, rate: str) -> str:
+    return f"""SELECT '{data_type}' AS DATA_TYPE, event_type AS DX_UID, CAST(strftime(ts, '%Y%m') AS INTEGER) AS PERIOD,
+      concat('U', user_id) AS ORG_UNIT, CAST(NULL AS VARCHAR) AS CATEGORY_OPTION_COMBO, CAST(NULL AS VARCHAR) AS ATTRIBUTE_OPTION_COMBO,
+      {rate} AS RATE_TYPE, 'AGGREGATED' AS DOMAIN_TYPE, CAST(value AS VARCHAR) AS VALUE FROM events"""
+
+
+def _extracted(spark: SparkSession, sf_dir: str, data_type: str, suffix: str) -> DataFrame:
+    """Landed analytics values of all event types as JSON, extracted period by period and read back."""
+    landed, out = scratch_dir(spark, "landed"), scratch_dir(spark, "extract")
+    values = _event_values(spark, sf_dir).withColumnsRenamed({"event_type": "dx", "period": "pe", "orgUnit": "ou"})
+    values.withColumn("dx", F.concat("dx", F.lit(suffix))).write.json(landed)
+    products = values.select(F.concat("dx", F.lit(suffix)).alias("dx")).distinct()
+    periods = [r[0] for r in values.select("pe").distinct().collect()]
+    extract(spark, landed, out, data_type, products, values.select("ou").distinct(), periods, file_format="json")
+    return read_stage(spark, out)
+
+
+@query(_extracted_sql("INDICATOR", "CAST(NULL AS VARCHAR)"))
+def extract_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicator values from landed JSON to standard points."""
+    return _extracted(spark, sf_dir, "INDICATOR", "")
+
+
+@query(_extracted_sql("REPORTING_RATE", "'ACTUAL_REPORTS'"))
+def extract_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reporting rates from landed JSON to standard points; the rate is parted from the dataset."""
+    return _extracted(spark, sf_dir, "REPORTING_RATE", ".ACTUAL_REPORTS")
+
+
+@query(
+    f"""WITH o AS (SELECT {', '.join(_ORDERS)} FROM orders)
+    SELECT 'one' AS choice, * FROM o WHERE PERIOD = 199605 UNION ALL SELECT 'some', * FROM o WHERE PERIOD IN (199605, 199712)
+    UNION ALL SELECT 'all', * FROM o"""
+)
+def flat_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage files with the period at the end of their names: one period, some, and all."""
+    path = scratch_dir(spark, "flat")
+    write_stage(table(spark, sf_dir, "orders").selectExpr(*_ORDERS), path)
+    for period in list_periods(spark, path):
+        old, fs = file_system(spark, f"{path}/PERIOD={period}")
+        fs.rename(old, file_system(spark, f"{path}/orders_v2_{period}.parquet")[0])
+    chosen = {"one": {"only": 199605}, "some": {"periods": [199605, 199712]}, "all": {}}
+    parts = [read_flat_stage(spark, path, **which).select(F.lit(name).alias("choice"), "*") for name, which in chosen.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    """SELECT concat('Q', p_partkey) AS name, nullif(p_type, 'PROMO') AS data_element_id, CAST(p_size AS VARCHAR) AS "COC",
+      CAST(NULL AS VARCHAR) AS "CC", CAST(NULL AS VARCHAR) AS "Calcul" FROM part"""
+)
+def mapping_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mappings landed as JSON lists, one per file, with fields that are not asked for."""
+    path = scratch_dir(spark, "mapping")
+    part = table(spark, sf_dir, "part").select(
+        (F.col("p_partkey") % 8).alias("file"),
+        F.concat(F.lit("Q"), "p_partkey").alias("name"),
+        F.expr("nullif(p_type, 'PROMO')").alias("data_element_id"),
+        F.col("p_size").cast("string").alias("COC"),
+        F.col("p_name").alias("note"),
+    )
+    lists = part.groupBy("file").agg(F.to_json(F.collect_list(F.struct("name", "data_element_id", "COC", "note"))).alias("value"))
+    lists.write.partitionBy("file").text(path)
+    return read_mapping(spark, path)
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer")
+def replaced_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset replaced as a whole, and left alone by a job that fails."""
+    path = scratch_dir(spark, "dataset")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    replace_parquet(customers.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.lit(0.0)), path)
+    replace_parquet(customers, path)
+    broken = F.when(F.col("c_custkey") < 0, F.col("c_acctbal")).otherwise(F.raise_error(F.lit("a job that fails")))
+    with suppress(Exception):
+        replace_parquet(customers.withColumn("c_acctbal", broken.cast("double")), path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def table_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced, then appended to with its columns in another order."""
+    name = f"export_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_table(orders.where("o_orderstatus = 'P'"), name)
+    write_table(orders.where("o_orderstatus = 'F'"), name)
+    write_table(orders.where("o_orderstatus <> 'F'").select("o_orderstatus", "o_orderkey", "o_custkey"), name, "append")
+    return spark.table(name)
+
+
 @query(inputs.POINTS_SQL)
 def form_to_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed CSV to raw stage to transformed stage, read back as points."""
@@ -174,6 +270,43 @@ def publish_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MONTH = "PERIOD % 100"
+_DONE_PERIODS = "PERIOD % 2 = 0"
+
+
+@query(
+    f"""WITH t AS (SELECT PERIOD, ORG_UNIT, count(*) AS n FROM ({inputs.ORDER_POINTS_SQL}) GROUP BY ALL),
+    p AS (SELECT PERIOD, ORG_UNIT, count(*) AS n FROM ({inputs.ORDER_POINTS_SQL})
+      WHERE {_DONE_PERIODS} AND NOT (PERIOD % 100 = 6 AND CATEGORY_OPTION_COMBO = 'cocHigh') GROUP BY ALL)
+    SELECT t.PERIOD, count(*) AS n_units, CAST(sum(t.n) AS BIGINT) AS n_transformed, CAST(coalesce(sum(p.n), 0) AS BIGINT) AS n_pushed,
+      coalesce(sum(p.n), 0) = 0 AS process
+    FROM t LEFT JOIN p USING (PERIOD, ORG_UNIT) GROUP BY t.PERIOD"""
+)
+def stored_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that runs store: all periods transformed, some of them published, and the periods still to push."""
+    done, pushed, out, audit = (scratch_dir(spark, n) for n in ("transformed", "pushed", "out", "audit"))
+    points = inputs.order_points(spark, sf_dir)
+    write_stage(points, done)
+    periods = list_periods(spark, done)
+    write_counts(points, audit, "transformed", periods)
+    chosen = [p for p in periods if p % 2 == 0]
+    paths = PublishPaths(out)
+    prepare_publish(spark, done, pushed, paths, periods=chosen, dry_run=False)
+    batched = spark.read.parquet(paths.points)
+    refused = (F.col("period") % 100 == 6) & (F.col("categoryOptionCombo") == "cocHigh")
+    # The positions of one batch are at most its size.
+    positions = F.collect_list(F.when(refused, F.col("batch_pos"))).alias("rejectedIndexes")
+    replies = batched.groupBy("batch_id").agg(positions).select(
+        "batch_id", F.lit(200).alias("status_code"), F.to_json(F.struct("rejectedIndexes")).alias("body")
+    )
+    settle_publish(spark, done, pushed, paths, replies, False, periods=chosen, audit_path=audit)
+    counts = read_counts(spark, audit)
+    per_period = counts.groupBy(F.col("period").alias("_period")).agg(
+        F.count(F.lit(1)).alias("n_units"), F.sum("transformed_count").alias("n_transformed"), F.sum("pushed_count").alias("n_pushed")
+    )
+    gate = stage_gate(distinct_periods(points), counts, "pushed")
+    return gate.join(per_period, gate["PERIOD"] == per_period["_period"]).select("PERIOD", "n_units", "n_transformed", "n_pushed", "process")
+
+
 # What a file brings, and the answers to the batches of each run: months without one, and what is rejected of the others.
 _LATER_ROWS = f"{_MONTH} NOT IN (4, 5)"
 _UNANSWERED = {0: "period % 100 IN (2, 4)", 1: "period % 100 = 2"}

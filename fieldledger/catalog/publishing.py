@@ -138,14 +138,16 @@ def response_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT batch_id, status_code, 'conflict' AS kind, 'bad unit' AS value, 'E1' AS "errorCode" FROM ({_JSON_SQL}) WHERE period % 100 = 1
-    UNION ALL SELECT batch_id, status_code, 'conflict', unnest(['late', 'closed']), NULL FROM ({_JSON_SQL}) WHERE period % 100 = 4
-    UNION ALL SELECT batch_id, status_code, 'error_report', NULL, 'E4' FROM ({_JSON_SQL}) WHERE period % 100 = 4
-    UNION ALL SELECT batch_id, status_code, 'request_error', NULL, CAST(status_code AS VARCHAR) FROM ({_JSON_SQL}) WHERE period % 100 IN (3, 7)"""
+    f"""SELECT batch_id, status_code, 'conflict' AS kind, 'bad unit' AS value, 'E1' AS "errorCode",
+      '{{"object":"o1","value":"bad unit","errorCode":"E1"}}' AS detail FROM ({_JSON_SQL}) WHERE period % 100 = 1
+    UNION ALL SELECT batch_id, status_code, 'conflict', value, NULL, concat('{{"object":"', object, '","value":"', value, '"}}')
+      FROM ({_JSON_SQL}), (VALUES ('o2', 'late'), ('o3', 'closed')) AS v(object, value) WHERE period % 100 = 4
+    UNION ALL SELECT batch_id, status_code, 'error_report', NULL, 'E4', '{{"message":"m1","errorCode":"E4"}}' FROM ({_JSON_SQL}) WHERE period % 100 = 4
+    UNION ALL SELECT batch_id, status_code, 'request_error', NULL, CAST(status_code AS VARCHAR), NULL FROM ({_JSON_SQL}) WHERE period % 100 IN (3, 7)"""
 )
 def import_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conflicts and error reports, at the top and nested, and requests without an answer."""
-    return responses.import_errors(_parsed(spark, sf_dir)).drop("detail")
+    return responses.import_errors(_parsed(spark, sf_dir))
 
 
 @query(

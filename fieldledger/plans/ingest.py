@@ -59,11 +59,14 @@ def ingest(
     end: int | None = None,
     schema: T.StructType | None = None,
     multi_line: bool = True,
+    updated_since: str | None = None,
+    updated: str = "updated_at",
 ) -> bool:
     """Landed CSV files to the raw stage, a partition per period; False if no file has data.
 
-    Cells stay text. Only the periods asked for are written: one, a list, or those from ``start`` to ``end``. Without
-    line breaks inside cells, ``multi_line=False`` lets Spark split large files.
+    Cells stay text. Only the periods asked for are written: one, a list, or those from ``start`` to ``end``; and only
+    submissions of which ``updated`` (an ISO date or time) is not before ``updated_since``. Without line breaks inside cells,
+    ``multi_line=False`` lets Spark split large files.
     """
     submissions = read_csv_fetches(spark, paths, schema, multi_line)
     if submissions is None:
@@ -71,5 +74,6 @@ def ingest(
     cleaned = require_columns(clean_submissions(submissions, choices, multiple), [period])
     # A period that is no number raises: its rows would be lost.
     dated = cleaned.withColumn(period, quoted(period).cast("double").cast("int"))
-    write_stage(select_submissions(dated, only, periods, start, end, period=period), raw_path, file_format, period)
+    chosen = select_submissions(dated, only, periods, start, end, updated_since, period, updated)
+    write_stage(chosen, raw_path, file_format, period)
     return True

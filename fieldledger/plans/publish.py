@@ -28,6 +28,7 @@ from fieldledger.operators.responses import (
 )
 from fieldledger.schemas import IMPORT_STRATEGIES, PAYLOAD_FIELDS, POINT
 from fieldledger.session import kept
+from fieldledger.sinks.audit import write_counts
 from fieldledger.sinks.snapshots import commit_snapshot
 from fieldledger.sinks.stages import write_payloads
 from fieldledger.sources.snapshots import read_snapshot
@@ -207,6 +208,7 @@ def settle_publish(
     file_format: str = "parquet",
     only: int | None = None,
     periods: Sequence[int] | None = None,
+    audit_path: str | None = None,
 ) -> dict[str, int]:
     """Fold the responses, report errors and rejected points, and move the snapshot on.
 
@@ -215,7 +217,8 @@ def settle_publish(
     sent again. Only periods with changes are rewritten, in one commit of the versioned snapshot, and a period that has
     no points left is dropped by it; a run that dies leaves the snapshot as it was.
 
-    Returns the import counts, with the numbers of rejected and held points.
+    Returns the import counts, with the numbers of rejected and held points. With ``audit_path``, the points of each unit
+    that are posted afterwards are stored as pushed.
     """
     summary = write_held(paths, responses)
     if dry_run:
@@ -229,6 +232,9 @@ def settle_publish(
     current = in_periods(current, table) if current is not None else spark.createDataFrame([], POINT)
     posted = read_snapshot(spark, pushed_path, POINT, periods=touched, file_format=file_format)
     commit_snapshot(next_snapshot(drop_nulls(current), posted, held), pushed_path, touched, file_format=file_format)
+    if audit_path is not None:
+        now = read_snapshot(spark, pushed_path, POINT, periods=touched, file_format=file_format)
+        write_counts(now if now is not None else spark.createDataFrame([], POINT), audit_path, "pushed", touched)
     return summary
 
 

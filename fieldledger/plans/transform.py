@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldledger.functions.periods import drop_future
+from fieldledger.functions.periods import drop_future, period_values
 from fieldledger.operators.canonical import as_points, default_if_missing, known_units
 from fieldledger.operators.columns import require_columns
 from fieldledger.operators.derive import derive
@@ -19,8 +19,10 @@ from fieldledger.operators.reshape import (
     unpivot_joined,
     unpivot_mapped,
 )
+from fieldledger.schemas import POINT
 from fieldledger.session import kept
 from fieldledger.settings import Derivations, PointRules
+from fieldledger.sinks.audit import write_counts
 from fieldledger.sinks.stages import write_stage
 from fieldledger.sources.tabular import read_stage
 
@@ -95,8 +97,12 @@ def transform(
     only: int | None = None,
     periods: Sequence[int] | None = None,
     lenient: bool = False,
+    audit_path: str | None = None,
 ) -> bool:
-    """Raw stage to transformed stage for the wanted periods; False if there is no raw stage."""
+    """Raw stage to transformed stage for the wanted periods; False if there is no raw stage.
+
+    With ``audit_path``, the rows of each unit are stored as extracted, and its points as transformed.
+    """
     raw = read_stage(spark, raw_path, file_format, only, periods)
     if raw is None:
         return False
@@ -105,4 +111,11 @@ def transform(
         raw = raw.drop(rules.period).withColumnRenamed("PERIOD", rules.period)
     points = canonical_points(raw, mapping, form, rules, as_of, lenient)
     write_stage(points, transformed_path, file_format)
+    if audit_path is not None:
+        rows = raw.select(F.col(rules.period).alias("PERIOD"), F.col(rules.unit).alias("ORG_UNIT"))
+        touched = period_values(rows)
+        write_counts(rows, audit_path, "extracted", touched)
+        done = read_stage(spark, transformed_path, file_format, periods=touched, schema=POINT)
+        if done is not None:
+            write_counts(done, audit_path, "transformed", touched)
     return True

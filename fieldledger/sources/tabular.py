@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -14,7 +15,7 @@ from fieldledger.functions.numbers import BOOLEAN_PATTERN, DECIMAL_PATTERN, INTE
 from fieldledger.functions.periods import select_periods
 from fieldledger.operators.columns import check_choice, quoted
 from fieldledger.operators.reshape import union_wide
-from fieldledger.sources.paths import has_data, list_periods
+from fieldledger.sources.paths import file_system, has_data, list_periods
 from fieldledger.sources.snapshots import read_snapshot, versions
 
 # Formats of stage files.
@@ -229,23 +230,41 @@ def period_in_name(path: Column) -> Column:
     return F.regexp_extract(path, PERIOD_IN_NAME, 1).try_cast("int")
 
 
+def list_flat_files(spark: SparkSession, path: str, file_format: str) -> dict[str, int]:
+    """Stage files ``<name>_<YYYYMM>.<format>`` below ``path`` and their periods; names alone tell, no file is opened."""
+    found: dict[str, int] = {}
+    folder, fs = file_system(spark, path)
+    waiting = [folder]
+    while waiting:
+        for status in fs.listStatus(waiting.pop()):
+            entry = status.getPath()
+            match = re.search(rf"_([0-9]{{6}})\.{file_format}$", entry.getName())
+            if match:
+                found[entry.toString()] = int(match.group(1))
+            elif status.isDirectory() and not entry.getName().startswith(("_", ".")):
+                waiting.append(entry)
+    return found
+
+
 def read_flat_stage(
     spark: SparkSession,
     path: str,
     file_format: str = "parquet",
     only: int | None = None,
     periods: Sequence[int] | None = None,
-) -> DataFrame:
-    """Flat stage files named ``<name>_<YYYYMM>.<format>``, with ``PERIOD`` taken from the name.
+) -> DataFrame | None:
+    """Flat stage files named ``<name>_<YYYYMM>.<format>``, with ``PERIOD`` taken from the name; None if there are none.
 
-    Such a file may be a folder of parts. Files of other formats are passed over.
+    Such a file may be a folder of parts. Files of other formats, and of periods that are not asked for, are not opened.
     """
     check_choice(file_format, FORMATS, "file format")
+    wanted = {only} if only else set(periods) if periods else None
+    files = list_flat_files(spark, path, file_format)
+    chosen = sorted(file for file, period in files.items() if wanted is None or period in wanted)
+    if not chosen:
+        return None
     if file_format == "csv":
-        reader = _csv(spark, True).option("header", True).option("pathGlobFilter", "*.csv")
-        df = reader.option("recursiveFileLookup", True).csv(path)
+        df = _csv(spark, True).option("header", True).option("recursiveFileLookup", True).csv(chosen)
     else:
-        reader = spark.read.option("pathGlobFilter", "*.parquet")
-        df = reader.option("recursiveFileLookup", True).parquet(path)
-    named = df.select("*", period_in_name(F.col("_metadata.file_path")).alias("PERIOD"))
-    return select_periods(named.where(F.col("PERIOD").isNotNull()), only, list(periods) if periods else None)
+        df = spark.read.option("recursiveFileLookup", True).parquet(*chosen)
+    return df.select("*", period_in_name(F.col("_metadata.file_path")).alias("PERIOD"))

@@ -19,7 +19,7 @@ from fieldledger.plans.transform import transform
 from fieldledger.functions.periods import in_periods
 from fieldledger.session import kept, scratch_dir
 from fieldledger.settings import Derivations, PointRules
-from fieldledger.sinks import snapshots as sink_snapshots
+from fieldledger.sinks import audit, snapshots as sink_snapshots
 from fieldledger.sinks.snapshots import commit_snapshot
 from fieldledger.sinks.stages import replace_parquet, write_stage, write_table
 from fieldledger.sources import landed, paths, snapshots, tabular
@@ -78,11 +78,12 @@ def test_number_of_jobs_does_not_follow_the_files(spark, tmp_path):
 
 
 def test_ingest_selects_periods(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("periode,a\n" + "".join(f"{p},1\n" for p in range(202401, 202407)))
+    (tmp_path / "a.csv").write_text("periode,a\n" + "".join(f"{p},{p % 10}\n" for p in range(202401, 202407)))
     for name, asked, want in (
         ("one", {"only": 202402}, [202402]),
         ("list", {"periods": [202401, 202405]}, [202401, 202405]),
         ("range", {"start": 202403, "end": 202404}, [202403, 202404]),
+        ("since", {"updated_since": "4", "updated": "a"}, [202404, 202405, 202406]),
     ):
         assert ingest(spark, [str(tmp_path / "a.csv")], str(tmp_path / name), multi_line=False, **asked)
         assert paths.list_periods(spark, str(tmp_path / name)) == want
@@ -130,6 +131,10 @@ def test_flat_stage_takes_the_period_from_the_name(spark, tmp_path):
         df = tabular.read_flat_stage(spark, str(tmp_path), file_format)
         assert sorted((int(r.x), r.PERIOD) for r in df.collect()) == [(202401, 202401), (202402, 202402)]
     assert tabular.read_flat_stage(spark, str(tmp_path), only=202402).count() == 1
+    assert tabular.read_flat_stage(spark, str(tmp_path), periods=[202405]) is None
+    # Files of other periods are not opened: this one is no Parquet at all.
+    (tmp_path / "form_v3_202403.parquet").write_text("x")
+    assert tabular.read_flat_stage(spark, str(tmp_path), periods=[202401, 202402]).count() == 2
 
 
 def test_replace_is_all_or_nothing(spark, tmp_path):
@@ -184,6 +189,52 @@ def test_landed_json(spark, tmp_path):
     assert landed.read_responses(spark, str(tmp_path / "resp.json")).first().body == '{"a":1}'
 
 
+def test_units_have_the_schema_of_units(spark, tmp_path):
+    for name in ("a", "b +%20c"):
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"id": name}, {"id": name + "2"}]))
+    units = landed.read_units(spark, str(tmp_path))
+    assert dict(units.dtypes)["seq"] == "bigint"
+    table = spark.createDataFrame([("z", -1)], "id string, seq long")
+    both = units.select("id", "seq").unionByName(table)
+    assert [r.id for r in both.orderBy("seq").collect()] == ["z", "a", "a2", "b +%20c", "b +%20c2"]
+
+
+def test_large_documents_are_read_in_pieces(spark, tmp_path):
+    """Many small splits of one file; files with braces in texts, other layouts and no list beside it."""
+    def row(i, date="2024"):
+        return {"organisationUnit": f"u{i}", "period": "202401", "completed": i % 2 == 0, "date": date, "dataSet": 'a "b" [c], d'}
+
+    rows = {"a": [row(i) for i in range(500)], "b": [row(0, "x}y{"), row(1)], "c +%20d": [row(2), row(3)], "e": [], "f": [row(9)]}
+    texts = {n: json.dumps({"completeDataSetRegistrations": r}, indent=3 if n == "a" else None) for n, r in rows.items()}
+    texts["f"] = json.dumps({"pager": {"page": 1}, "completeDataSetRegistrations": rows["f"]})
+    texts["g"], texts["h"], texts["i"] = "{}", '{"completeDataSetRegistrations": null}\n', " "
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        df = landed.read_registrations(spark, str(tmp_path))
+        got = df.orderBy("seq").collect()
+        assert df.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [r for name in sorted(rows) for r in rows[name]]
+    assert [{k: r[k] for k in row(0)} for r in got] == want
+    assert [r.seq._pos for r in got if r.organisationUnit in ("u0", "u1") and "b.json" in r.seq._file] == [0, 1]
+
+
+def test_stored_counts(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    assert audit.read_counts(spark, path).count() == 0
+    audit.write_counts(points_of(spark, (202401, "a", "1"), (202401, "a", "2"), (202402, "b", "1")), path, "transformed", [202401, 202402])
+    audit.write_counts(points_of(spark, (202401, "a", "1")), path, "pushed", [202401])
+    audit.write_counts(points_of(spark), path, "transformed", [202402])
+    assert [tuple(r) for r in audit.read_counts(spark, path).collect()] == [(202401, "a", 0, 2, 1)]
+    assert audit.read_counts(spark, path, 202402).count() == 0
+    assert audit.read_counts(spark, path).schema == schemas.AUDIT
+    with pytest.raises(ValueError, match="stage"):
+        audit.write_counts(points_of(spark), path, "other", [])
+
+
 def test_processed_log(spark, tmp_path):
     assert landed.read_processed(spark, str(tmp_path / "absent")).count() == 0
     spark.range(1).withColumn("PERIOD", F.lit(1)).write.parquet(str(tmp_path / "odd"))
@@ -244,7 +295,9 @@ def whole_run(spark, tmp_path, file_format):
     form = Derivations(sums=[["nombre_a", "b"]], flags=[("oui", "count yes oui")])
     mapping = landed.read_mapping(spark, str(base / "map.json"))
     rules = PointRules(unmapped_prefixes=("src#",))
-    assert transform(spark, raw, done, mapping, form, rules, date(2024, 3, 1), file_format)
+    assert transform(spark, raw, done, mapping, form, rules, date(2024, 3, 1), file_format, audit_path=str(base / "audit"))
+    counts = sorted(tuple(r) for r in audit.read_counts(spark, str(base / "audit")).collect())
+    assert counts == [(202401, "ou1", 1, 3, 0), (202401, "src#7", 1, 0, 0), (202402, "ou2", 1, 2, 0)]
     return raw, done
 
 
