@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldledger.llm.store import is_training
+from fieldledger.llm.store import is_training, keep
 
 
 def labelled_sample(
@@ -12,10 +12,12 @@ def labelled_sample(
 ) -> list[tuple[str, int]]:
     """At most ``rows`` texts with their label, drawn by a hash of the id among the rows that may be learned from.
 
-    Texts that would take the sample over ``most_bytes`` are left out of it; scoring knows no such bound.
+    In the order of that hash, a text that would take the sample over ``most_bytes`` is left out of it; scoring knows no
+    such bound. The sample is the same for any partitioning of the tables, and takes the same number of jobs.
 
-    Labels are cut to that number before they meet the texts, so the broadcast side has a proven bound and the texts
-    are not shuffled. Null texts and labels other than 0 and 1 are left out. An id with both labels is left out.
+    Labels are cut to that number before they meet the texts, so the broadcast side has a proven bound. Of an id that
+    repeats one text takes part, found on the map side, so at most ``rows`` texts are shuffled and written. Null texts and
+    labels other than 0 and 1 are left out. An id with both labels is left out.
     """
     train, _ = is_training(labels[doc_id], parts, held_out)
     drawn = (
@@ -28,14 +30,17 @@ def labelled_sample(
         .select("_id", "_label")
     )
     found = docs.select(docs[doc_id].alias("_doc"), docs["text"].alias("_text")).where("_text IS NOT NULL")
-    joined = found.join(F.broadcast(drawn), F.col("_doc") == F.col("_id")).select("_id", "_label", "_text")
-    got, size = {}, 0
-    for r in joined.toLocalIterator():
-        length = len(r["_text"].encode())
-        if size + length <= most_bytes and (r["_id"], r["_text"]) not in got:
-            got[r["_id"], r["_text"]] = r["_label"]
-            size += length
-    return [(text, label) for (_, text), label in sorted(got.items(), key=lambda x: x[0])]
+    joined = found.join(F.broadcast(drawn), F.col("_doc") == F.col("_id"))
+    one = F.min(F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("t")))["t"]
+    texts = keep(joined.groupBy("_id", "_label").agg(one.alias("_text")), "sample")
+    sized = texts.select("_id", F.xxhash64("_id").alias("_at"), F.octet_length("_text").alias("_size")).collect()
+    chosen, size = [], 0
+    for r in sorted(sized, key=lambda r: (r["_at"], r["_id"])):
+        if size + r["_size"] <= most_bytes:
+            chosen.append(r["_id"])
+            size += r["_size"]
+    wanted = texts.join(F.broadcast(texts.sparkSession.createDataFrame([(i,) for i in chosen], texts.select("_id").schema)), "_id")
+    return [(r["_text"], r["_label"]) for r in sorted(wanted.collect(), key=lambda r: r["_id"])]
 
 
 def logistic_fit(features, labels, weights=None, steps: int = 60, penalty: float = 1e-3):
