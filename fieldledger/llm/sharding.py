@@ -8,17 +8,18 @@ from fieldledger.llm.store import keep
 
 BLOCK_ROWS = 20_000
 LARGE_GROUP = 1_000
+NODE = ("node", "doc_id", "size", "text_crc32", "hub", "own")
 
 
 def node_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One small row per document: node, id, size, CRC and the hub (equal texts have the same hub).
 
-    The node number is only a tie-break among rows that repeat, so it need not be the same in every run.
+    The node number only tells rows apart that repeat both id and text, so it need not be the same in every run.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(docs[text], F.lit(""))
     return docs.select(
         F.monotonically_increasing_id().alias("node"),
-        F.col(doc_id).alias("doc_id"),
+        docs[doc_id].alias("doc_id"),
         (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")).alias("hub"),
@@ -84,7 +85,7 @@ def place(nodes: DataFrame, rows: int, shards: int, blocks: int) -> DataFrame:
     numbered = blocked.withColumn("no", F.row_number().over(inside) - 1)
     same = (F.col("want") == F.col("_w")) & (F.col("rank") == F.col("_r")) & (F.col("block") == F.col("_b"))
     at = numbered.join(shifts, same).select(
-        *[numbered[c] for c in ("node", "doc_id", "size", "text_crc32", "hub", "want")],
+        *[numbered[c] for c in (*NODE, "want")],
         (F.col("shift") + F.col("no")).alias("at"),
         F.get(F.array(*[F.lit(q) for q in quotas]), F.col("want")).alias("quota"),
         F.get(F.array(*[F.lit(o) for o in over_before]), F.col("want")).alias("over_before"),
@@ -94,7 +95,7 @@ def place(nodes: DataFrame, rows: int, shards: int, blocks: int) -> DataFrame:
     home = F.get(F.filter(spaces, lambda x: (F.col("beyond") >= x["a"]) & (F.col("beyond") < x["b"])), F.lit(0))
     homes = beyond.withColumn("home", F.when(~stays, home))
     return homes.select(
-        *["node", "doc_id", "size", "text_crc32", "hub"],
+        *NODE,
         F.when(stays, F.col("want")).otherwise(F.col("home.shard")).cast("int").alias("shard"),
         F.when(stays, F.col("at"))
         .otherwise(F.col("home.used") + F.col("beyond") - F.col("home.a"))
@@ -104,14 +105,31 @@ def place(nodes: DataFrame, rows: int, shards: int, blocks: int) -> DataFrame:
 
 
 def first_shards(nodes: DataFrame, shards: int) -> DataFrame:
-    return nodes.withColumn("shard", F.pmod(F.xxhash64("doc_id", "hub"), F.lit(shards)).cast("int"))
+    return nodes.withColumn("shard", F.pmod("own", F.lit(shards)).cast("int"))
+
+
+def many_repeats(nodes: DataFrame) -> DataFrame:
+    """Ids and hubs that very many rows repeat."""
+    counted = nodes.groupBy("doc_id", "hub").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGE_GROUP)
+    return counted.select(F.col("doc_id").alias("_id"), F.col("hub").alias("_repeated"))
+
+
+def with_own(nodes: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Add ``own``, a number by which rows of the same wish are drawn and ordered.
+
+    It follows from id and text, so the same documents go to the same shards and slots however they are partitioned. Only
+    where more than ``LARGE_GROUP`` rows repeat both, which nothing tells apart, the node spreads them over tasks.
+    """
+    same = nodes["doc_id"].eqNullSafe(repeats["_id"]) & (nodes["hub"] == repeats["_repeated"])
+    own = F.when(F.col("_repeated").isNull(), F.xxhash64("doc_id", "hub")).otherwise(F.xxhash64("doc_id", "hub", "node"))
+    return nodes.join(repeats, same, "left").withColumn("own", own).drop("_id", "_repeated")
 
 
 def wishes(nodes: DataFrame, votes: DataFrame, shards: int) -> DataFrame:
     """What every node wants: its hub's shards if it is linked, else to stay where it is, last in the queue."""
     linked = F.col("members").isNotNull()
     large = F.col("members") > LARGE_GROUP
-    own = F.xxhash64("node")
+    own = F.col("own")
     pick = F.get("wants", F.pmod(own, F.size("wants")).cast("int"))
     want = F.when(linked, F.when(F.array_contains("wants", F.col("shard")), F.col("shard")).otherwise(pick))
     return (
@@ -120,7 +138,7 @@ def wishes(nodes: DataFrame, votes: DataFrame, shards: int) -> DataFrame:
         .withColumn("rank", F.when(linked, 0).otherwise(1))
         # Members of a small hub stay together in a block; a large one is spread over the blocks.
         .withColumn("mass", F.when(linked & ~large, F.xxhash64("hub")).otherwise(own))
-        .select("node", "doc_id", "size", "text_crc32", "hub", "want", "rank", "mass")
+        .select(*NODE, "want", "rank", "mass")
     )
 
 
@@ -138,10 +156,16 @@ def shard_documents(
     before it is gathered; the join that brings its vote back is one that adaptive execution splits. Each round is
     written to the shared folder, so a lost executor repeats a round at most.
 
+    The same documents get the same shards and slots however the table is partitioned; of more than ``LARGE_GROUP`` rows
+    that repeat both id and text, only how many lie in which shard may differ.
+
     Null text: size 16 and the CRC of nothing, linked with the empty text. Null ids and rows that repeat are placed like
     others. An empty table gives no rows. Other columns are not carried.
     """
-    nodes = keep(first_shards(node_rows(docs, doc_id, text), shards), "shard-nodes")
+    nodes = keep(node_rows(docs, doc_id, text), "shard-rows")
+    # Written first: a join straight on an aggregate of the same keys could not split what very many rows repeat.
+    repeats = keep(many_repeats(nodes), "shard-repeats")
+    nodes = keep(first_shards(with_own(nodes, repeats), shards), "shard-nodes")
     rows = nodes.count()
     blocks = rows // (shards * BLOCK_ROWS) + 4
     quota = max(1, rows // shards)
@@ -149,4 +173,4 @@ def shard_documents(
         # Written first: a join straight on an aggregate of the same key could not split a large hub.
         votes = keep(hub_votes(nodes, shards, quota), "hub-votes")
         nodes = keep(place(wishes(nodes, votes, shards), rows, shards, blocks), f"shard-{turn}")
-    return nodes
+    return nodes.drop("own")
