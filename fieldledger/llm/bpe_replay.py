@@ -20,6 +20,8 @@ from fieldledger.llm.words import buffers, row_blocks
 REPLAY_BYTES = 4 << 20
 TEXT_BYTES = 4 << 20
 REMEMBERED = 100_000
+# A word with more positions of one merge takes them in turn where the merge may bring up one of lower rank.
+IN_TURN = 64
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -44,6 +46,7 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left * self.size + right] = rank
                     self.steady[[x for x in (left, right) if x > rank]] = False
+        self.rank_of_pair = pairs
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.merged = np.array([pairs[p] for p in self.pairs.tolist()], dtype=np.int64)
 
@@ -77,13 +80,49 @@ def read_tokens(path: str) -> list[bytes]:
     return tokens
 
 
+def merge_in_turn(
+    at: np.ndarray, r: int, vocabulary: Vocabulary, token: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray
+) -> np.ndarray:
+    """Apply a merge at its positions in one word, from the left, and each time first what it brings up of lower rank.
+
+    All pairs of lower rank are gone before, so what comes up stands around the merge just made and is taken from a small
+    heap. Returns the positions whose pairs, of higher rank, have changed.
+    """
+    pairs, size = vocabulary.rank_of_pair, vocabulary.size
+    tokens, lefts, rights, ranks = (memoryview(x) for x in (token, left, right, rank))
+    changed = set()
+    for begin in at.tolist():
+        heap = [(r, begin)]
+        while heap:
+            now, here = heapq.heappop(heap)
+            if ranks[here] != now:
+                continue
+            gone = rights[here]
+            after, before = rights[gone], lefts[here]
+            tokens[here], tokens[gone] = now, -1
+            rights[here], ranks[gone] = after, -1
+            if after >= 0:
+                lefts[after] = here
+            ranks[here] = pairs.get(now * size + tokens[after], -1) if after >= 0 else -1
+            if before >= 0:
+                ranks[before] = pairs.get(tokens[before] * size + now, -1)
+            for place in (before, here):
+                if place >= 0 and ranks[place] >= 0:
+                    if ranks[place] <= r:
+                        heapq.heappush(heap, (ranks[place], place))
+                    else:
+                        changed.add(place)
+    return np.array(sorted(changed), dtype=np.int64)
+
+
 def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of all words, one after the other, and where each word's begin (one entry more than words).
 
     An inverted index leads from a merge to the positions where its pair stands. Merges are taken in rank order;
     one is applied at all its positions, and only the two pairs around each of them are looked up anew and put in the
     index. A merge may bring up a pair of lower rank; it is then taken next. Where that can happen, only the first
-    position of a word is merged at a time, which is what merging word by word does.
+    position of a word is merged at a time, which is what merging word by word does; a word with very many positions of
+    such a merge takes them one after the other instead (``merge_in_turn``), so that a turn never goes over all of them.
     """
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     first = np.concatenate([[0], np.cumsum(lengths)])
@@ -144,6 +183,17 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.n
                     at = at[~odd]
         else:
             leads = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
+            edges = np.append(np.flatnonzero(leads), len(at))
+            many = np.flatnonzero(np.diff(edges) > IN_TURN)
+            if len(many):
+                parts = [at[edges[k] : edges[k + 1]] for k in many]
+                for part in parts:
+                    touched = merge_in_turn(part, r, vocabulary, token, left, right, rank)
+                    post(touched, rank[touched])
+                at = np.setdiff1d(at, np.concatenate(parts), assume_unique=True)
+                if not len(at):
+                    continue
+                leads = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
             at, later = at[leads], at[~leads]
         gone = right[at]
         after = right[gone]
