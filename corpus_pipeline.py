@@ -22,14 +22,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many hold. A null text stays null; ``n_chars`` follows the text."""
-    cut = line_dedup.dedup_lines(docs)
-    text = F.when(F.col("text").isNull(), F.lit(None).cast("string")).otherwise(F.col("kept_text"))
-    now = {"text": text}
+    cut = line_dedup.cut_lines(docs)
+    before = F.col("row").getField("text")
+    now = {"text": F.when(before.isNull(), F.lit(None).cast("string")).otherwise(F.col("kept_text"))}
     if "n_chars" in docs.columns:
-        now["n_chars"] = F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(
-            F.char_length("kept_text").cast("long")
-        )
-    return cut.select(*[now[c].alias(c) if c in now else cut[c] for c in docs.columns])
+        own = F.col("row").getField("n_chars")
+        now["n_chars"] = F.when(F.col("n_dropped") == 0, own).otherwise(F.char_length("kept_text").cast("long"))
+    return cut.select(*[now.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

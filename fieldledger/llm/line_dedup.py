@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldledger.llm.store import keep
+from fieldledger.llm.store import keep, packed, unpacked
+from fieldledger.operators.columns import quoted
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,9 +42,18 @@ def dedup_lines(
 
     Null or empty text: one empty line, which stays (``kept_text`` is the empty text). Rows that repeat an id
     count as one document and are cut alike. A null id counts as no document and is never the largest one: its
-    lines go where others reach ``min_docs``. An empty table gives no rows. Other columns pass through.
+    lines go where others reach ``min_docs``. An empty table gives no rows. Other columns pass through, whatever their
+    names; columns named like one of those added are replaced.
     """
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    cut = cut_lines(docs, min_docs, min_chars, doc_id, text)
+    return cut.select(*unpacked(docs.columns, {name: F.col(name) for name in ("kept_text", "n_lines", "n_dropped")}))
+
+
+def cut_lines(
+    docs: DataFrame, min_docs: int = 5, min_chars: int = 40, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``dedup_lines`` with the columns of ``docs`` as one struct, ``row``."""
+    rows = docs.select(quoted(doc_id).alias("_id"), quoted(text).alias("_text"))
     long_enough = F.char_length(F.col("_key")) >= min_chars
     lines = (
         rows.where(F.octet_length("_text") >= min_chars)
@@ -68,14 +78,15 @@ def dedup_lines(
         .groupBy(F.col("_id").alias("_gid"), F.col("_row").alias("_grow"))
         .agg(F.collect_set("_at").alias("_drop"))
     )
-    same = docs[doc_id].eqNullSafe(gone["_gid"]) & (F.xxhash64(docs[text]) == gone["_grow"])
-    joined = docs.join(gone, same, "left")
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole_rows = packed(docs, id=quoted(doc_id), text=F.coalesce(quoted(text), F.lit("")), code=F.xxhash64(quoted(text)))
+    same = F.col("id").eqNullSafe(F.col("_gid")) & (F.col("code") == F.col("_grow"))
+    joined = whole_rows.join(gone, same, "left")
+    whole = F.col("text")
     lines_now = lines_of(whole)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines_now) - 1), F.col("_drop"))
     cut = F.transform(F.array(F.struct(lines_now.alias("l"), stay.alias("s"))), _joined_lines)[0]
     return joined.select(
-        *[docs[c] for c in docs.columns],
+        "row",
         F.when(F.col("_drop").isNull(), whole).otherwise(cut).alias("kept_text"),
         (1 + F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit("\n"), F.lit("")))).cast("long").alias("n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long").alias("n_dropped"),

@@ -6,9 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldledger.llm.store import packed, unpacked
+from fieldledger.operators.columns import quoted
+
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[^#*$%&|<>]+"
 WINDOW = 8
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -132,44 +136,44 @@ def apply_rules(docs: DataFrame, rules: LineRules | None = None, text: str = "te
     more than n log n of a text's length. Sorting for repeated windows is done only where some code occurs twice.
 
     A null or empty text has no words and fails the base rules; ``cleaned_text`` is then empty. Rows that repeat
-    get the same verdict. An empty table gives no rows. Other columns pass through.
+    get the same verdict. An empty table gives no rows. Other columns pass through, whatever their names; columns named like
+    one of those added are replaced.
     """
     rules = rules or LineRules()
-    whole = F.coalesce(F.col(text), F.lit(""))
-    measured = docs.select(
-        *[docs[c] for c in docs.columns],
-        word_chars(whole).cast("long").alias("word_chars"),
-        count_symbols(whole).cast("long").alias("n_symbols"),
-        let(words_of(whole), lambda w: F.struct(F.size(w).alias("n"), window_codes(w).alias("codes"))).alias("_w"),
-        F.filter(F.split(whole, "\n", -1), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]"))).alias("_lines"),
+    whole = F.coalesce(quoted(text), F.lit(""))
+    measured = packed(
+        docs,
+        word_chars=word_chars(whole).cast("long"),
+        n_symbols=count_symbols(whole).cast("long"),
+        words=let(words_of(whole), lambda w: F.struct(F.size(w).alias("n"), window_codes(w).alias("codes"))),
+        lines=F.filter(F.split(whole, "\n", -1), lambda x: F.regexp_like(x, F.lit("[^\\x20\\x09-\\x0D]"))),
     )
     counted = measured.select(
-        *[measured[c] for c in docs.columns],
-        F.col("_w.n").cast("long").alias("n_words"),
+        "row",
+        F.col("words.n").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct("_w.codes")) == F.size("_w.codes"), F.lit(0))
-        .otherwise(covered(F.col("_w.codes")))
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.when(F.size(F.array_distinct("words.codes")) == F.size("words.codes"), F.lit(0))
+        .otherwise(covered(F.col("words.codes")))
         .cast("long")
         .alias("n_repeat_words"),
-        F.transform(
-            "_lines",
-            lambda x: F.struct(line_fails(x, rules).alias("fails"), x.alias("line")),
-        ).alias("_judged"),
+        F.transform("lines", lambda x: F.struct(line_fails(x, rules).alias("fails"), x.alias("line"))).alias("judged"),
     )
-    good = F.filter("_judged", lambda x: ~x["fails"])
+    good = F.filter("judged", lambda x: ~x["fails"])
     lost = F.aggregate(
-        F.filter("_judged", lambda x: x["fails"]),
+        F.filter("judged", lambda x: x["fails"]),
         F.lit(0).cast("long"),
         lambda total, x: total + word_chars(x["line"]),
     )
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     verdict = counted.select(
-        *[c for c in counted.columns if c != "_judged"],
+        "row",
+        *COUNTS,
         base_failed.alias("base_failed"),
         lost.alias("lost_chars"),
         F.array_join(F.transform(good, lambda x: x["line"]), "\n").alias("cleaned_text"),
     )
     kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= rules.max_lost * F.col("word_chars"))
-    return verdict.withColumn("kept", kept)
+    added = {name: F.col(name) for name in (*COUNTS, "base_failed", "lost_chars", "cleaned_text")}
+    return verdict.select(*unpacked(docs.columns, {**added, "kept": kept}))

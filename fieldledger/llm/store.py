@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldledger.operators.columns import quoted
 from fieldledger.session import scratch_dir
 
 
@@ -17,6 +19,18 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """All columns of ``docs`` as one struct, ``row``, beside columns of an operator's own, whose names then clash with none."""
+    return docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), *[c.alias(name) for name, c in own.items()])
+
+
+def unpacked(names: Sequence[str], added: dict[str, Column]) -> list[Column]:
+    """The columns ``names`` out of ``row``, and ``added`` ones, which take the place of columns of the same name."""
+    taken = {name.lower() for name in added}
+    rest = [F.col("row").getField(c).alias(c) for c in names if c.lower() not in taken]
+    return rest + [c.alias(name) for name, c in added.items()]
+
+
 def give_back() -> None:
     """Return what a Python worker has freed to the system; Spark keeps workers, and their memory, for later stages."""
     pa.default_memory_pool().release_unused()
