@@ -11,14 +11,17 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldledger.llm.store import arrow_schema, give_back, keep
+from fieldledger.llm.store import arrow_schema, give_back, keep, packed, unpacked
 from fieldledger.llm.words import buffers, row_blocks, windows, words_of
+from fieldledger.operators.columns import quoted
 
 K1, B = 1.2, 0.75
 # Words are runs of letters and digits; everything else separates them. In scripts without spaces, every sign is a word.
 UNSPACED = "".join(rf"\p{{{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
 MARKS = r"[^\x00-\x7F\p{L}\p{N}\p{M}]+"
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
+# Items of fewer words say too little: a document that holds them need not have them from the benchmark.
+MIN_WORDS = 4
 # Items per index; a larger benchmark is indexed in several blocks, each of which queries all documents.
 ITEMS_PER_INDEX = 5_000
 # Bytes of the items of one index, about.
@@ -76,7 +79,7 @@ class Index:
     """
 
     ids: np.ndarray
-    length: int  # words of the longest item
+    length: int  # words of the longest item of all
     block: int
     terms: np.ndarray
     first: np.ndarray
@@ -87,9 +90,28 @@ class Index:
     answer: list[np.ndarray]
 
 
-def build_index(items: list[tuple[int, str]]) -> Index | None:
-    """BM25 index of the items that have words; None if there are none."""
-    rows = [(i, code, *map(codes, split_item(t))) for i, t in items if t and len(code := codes(t))]
+@dataclass(frozen=True)
+class Statistics:
+    """What BM25 weighs terms by, over all items: their number, lengths, and in how many of them each term stands."""
+
+    items: int
+    mean_length: float
+    longest: int
+    terms: np.ndarray
+    found_in: np.ndarray
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        return self.found_in[np.searchsorted(self.terms, terms)]
+
+
+def build_index(
+    items: list[tuple[int, str]], statistics: Statistics | None = None, min_words: int = MIN_WORDS
+) -> Index | None:
+    """BM25 index of the items that have ``min_words`` or more; None if there are none.
+
+    ``statistics`` are those of all items where these are a part of them; without, those of ``items``.
+    """
+    rows = [(i, code, *map(codes, split_item(t))) for i, t in items if t and len(code := codes(t)) >= min_words]
     if not rows:
         return None
     # A side without words is the whole item.
@@ -99,16 +121,18 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     terms, term = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
     pairs, counts = np.unique(term * len(rows) + owner, return_counts=True)
     term, item = pairs // len(rows), pairs % len(rows)
-    found_in = np.bincount(term, minlength=len(terms))
-    idf = np.log1p((len(rows) - found_in + 0.5) / (found_in + 0.5))
-    weight = idf[term] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[item] / lengths.mean()))
+    if statistics is None:
+        statistics = Statistics(len(rows), float(lengths.mean()), int(lengths.max()), terms, np.bincount(term, minlength=len(terms)))
+    found_in = statistics.of(terms)
+    idf = np.log1p((statistics.items - found_in + 0.5) / (found_in + 0.5))
+    weight = idf[term] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[item] / statistics.mean_length))
     impact = (weight / np.bincount(item, weights=weight, minlength=len(rows))[item]).astype(np.float32)
     block = max(LEAST_BLOCK, -(-len(rows) // BLOCKS))
     peak = np.zeros((len(terms), -(-len(rows) // block)), dtype=np.float32)
     np.maximum.at(peak, (term, item // block), impact)
     return Index(
         np.array([r[0] for r in rows], dtype=np.int64),
-        int(lengths.max()),
+        statistics.longest,
         block,
         terms,
         np.searchsorted(term, np.arange(len(terms) + 1)),
@@ -190,16 +214,60 @@ def n_indexes(benchmark: DataFrame, item_text: str = "text") -> int:
     return max(1, -(-items["n"] * 5 // (ITEMS_PER_INDEX * 4)), -(-items["size"] * 5 // (BYTES_PER_INDEX * 4)))
 
 
-def indexes(benchmark: DataFrame, blocks: int, item_id: str = "item_id", item_text: str = "text") -> Iterator[Index]:
-    """Indexes of ``blocks`` parts of the items, with their own statistics; each is built when it is asked for."""
+def item_terms(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """Number of words and distinct terms of each item of ``min_words`` or more, with its block."""
+    schema = arrow_schema(TERMS)
+    for batch in batches:
+        own = [(block, codes(t)) for block, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        rows = [{"block": b, "n": len(c), "code": np.unique(c).view(np.int64).tolist()} for b, c in own if len(c) >= min_words]
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+TERMS = "block long, n long, code array<long>"
+
+
+def indexes(
+    benchmark: DataFrame, blocks: int, item_id: str = "item_id", item_text: str = "text", min_words: int = MIN_WORDS
+) -> Iterator[Index]:
+    """Indexes of ``blocks`` parts of the items; each is built when it is asked for.
+
+    All of them weigh terms by the statistics of the whole benchmark, which Spark counts, so that a match has the same
+    score whatever the number of parts. The driver holds the items of one part and the counts of its terms.
+    """
+    block = F.pmod(F.xxhash64("i"), F.lit(blocks)).alias("block")
     items = benchmark.select(benchmark[item_id].cast("long").alias("i"), benchmark[item_text].alias("t")).where("t IS NOT NULL")
+    items = items.select(block, "i", "t")
+    if blocks > 1:
+        terms = keep(items.select("block", "t").mapInArrow(lambda x: item_terms(x, min_words), TERMS), "item-terms")
+        total = terms.agg(F.count(F.lit(1)).alias("items"), F.avg("n").alias("mean_length"), F.max("n").alias("longest")).first()
+        placed = terms.select("block", F.explode("code").alias("code"))
+        found_in = keep(placed.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("n")), "term-counts")
+        counts_of = keep(placed.distinct().join(found_in, placed["code"] == found_in["_code"]).select("block", "code", "n"), "block-counts")
     for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).orderBy("i", "t")
-        index = build_index([(r["i"], r["t"]) for r in block.toLocalIterator()])
+        rows = [(r["i"], r["t"]) for r in items.where(F.col("block") == k).orderBy("i", "t").toLocalIterator()]
+        statistics = None
+        if blocks > 1:
+            counts = counts_of.where(F.col("block") == k).select("code", "n").toPandas()
+            # Terms are in the order of unsigned numbers.
+            code = counts["code"].to_numpy(dtype=np.int64).view(np.uint64)
+            order = np.argsort(code)
+            statistics = Statistics(*total, code[order], counts["n"].to_numpy()[order])
+        index = build_index(rows, statistics, min_words)
         if index is not None:
             yield index
 
 
+def short_items(benchmark: DataFrame, min_words: int = MIN_WORDS, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The items that are too short to be searched, with their number of words: a report beside the matches."""
+
+    @F.arrow_udf("long")
+    def n_words(texts: pa.Array) -> pa.Array:
+        return pa.array([len(codes(t or "")) for t in texts.to_pylist()], pa.int64())
+
+    counted = benchmark.select(benchmark[item_id].cast("long").alias("item_id"), n_words(benchmark[item_text]).alias("n_words"))
+    return counted.where(F.col("n_words") < min_words)
+
+
 def matches(
     text: Column, index: Index, threshold: float = 0.6, min_question: float = 0.6, min_answer: float = 0.5
 ) -> Column:
@@ -242,6 +310,7 @@ def find_leaks(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """One row per document and item found in it: ``doc_id``, ``item_id``, ``score`` and both overlaps.
 
@@ -252,15 +321,17 @@ def find_leaks(
     without punctuation; in scripts without spaces, single characters are words.
 
     An index holds at most about ``ITEMS_PER_INDEX`` items and ``BYTES_PER_INDEX`` of text, or one longer item; a larger
-    benchmark is taken in blocks, one after the other, each of which queries all documents and writes what it finds. Documents are not shuffled; memory holds a megabyte of text or one text.
+    benchmark is taken in blocks, one after the other, each of which queries all documents and writes what it finds. Terms
+    are weighed over the whole benchmark, so the matches are the same for any number of blocks. Documents are not shuffled;
+    memory holds a megabyte of text or one text.
 
-    Null or empty texts match nothing, nor do items without words. An item id that repeats in one index gives its best
-    match. Rows that repeat an id or have a null id give a row for each copy. Empty tables give no rows. Other columns are
+    Null or empty texts match nothing, nor do items of fewer than ``min_words`` words, which ``short_items`` lists. An item id
+    that repeats gives its best match. Rows that repeat an id or have a null id give a row for each copy. Empty tables give no rows. Other columns are
     not carried.
     """
     blocks = n_indexes(benchmark, item_text)
     result = None
-    for index in indexes(benchmark, blocks, item_id, item_text):
+    for index in indexes(benchmark, blocks, item_id, item_text, min_words):
         found = matches(docs[text], index, threshold, min_question, min_answer)
         part = docs.select(docs[doc_id].cast("long").alias("doc_id"), F.explode(found).alias("m")).select("doc_id", "m.*")
         if blocks > 1:  # so that the driver and the tasks hold one index at a time
@@ -278,20 +349,24 @@ def drop_leaks(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` without a verified match, as they are and, for a benchmark of one index, without a shuffle.
 
-    With more indexes, the keys of rows with a match are written for one after the other and those rows are left out at last.
+    With more indexes, texts with a match are written for one after the other, as 128 bits of hash, and the rows that have
+    such a text are left out at last.
     """
     blocks = n_indexes(benchmark, item_text)
-    keyed = docs.withColumn("_row", F.xxhash64(docs[text]))
+    code = {"code": F.xxhash64(quoted(text)), "more": F.xxhash64(F.lit(1), quoted(text))}
     leaking = None
-    for index in indexes(benchmark, blocks, item_id, item_text):
-        leaks = F.size(matches(docs[text], index, threshold, min_question, min_answer)) > 0
+    for index in indexes(benchmark, blocks, item_id, item_text, min_words):
+        leaks = F.size(matches(quoted(text), index, threshold, min_question, min_answer)) > 0
         if blocks == 1:
             return docs.where(~leaks)
-        part = keep(keyed.where(leaks).select(F.col("_row").alias("_leak")).distinct(), "leaks")
+        part = keep(docs.where(leaks).select(*[c.alias(f"leak_{name}") for name, c in code.items()]).distinct(), "leaks")
         leaking = part if leaking is None else leaking.unionByName(part)
     if leaking is None:
         return docs
-    return keyed.join(leaking.distinct(), keyed["_row"] == F.col("_leak"), "left_anti").drop("_row")
+    same = (F.col("code") == F.col("leak_code")) & (F.col("more") == F.col("leak_more"))
+    stay = packed(docs, **code).join(leaking.distinct(), same, "left_anti")
+    return stay.select(*unpacked(docs.columns, {}))
