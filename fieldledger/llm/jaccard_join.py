@@ -9,15 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fieldledger.llm.components import components
-from fieldledger.llm.store import arrow_schema, give_back, keep, row_key
+from fieldledger.llm.store import arrow_schema, give_back, keep, packed, row_key, unpacked
 from fieldledger.llm.words import buffers, columns, lists_of, mix, numbers, row_blocks, signed, windows, words_of
+from fieldledger.operators.columns import quoted
 
 SHINGLE = 5
 SCAN_BYTES = 1 << 20
 FLUSH_CODES = 2_000_000
 # Members of a probe that are walked together.
 WALK = 256
-HEADS = "doc_id long, row long, n long, key long, known long, code array<long>, fresh int"
+HEADS = "doc_id long, row long, n long, key long, check long, known long, code array<long>, fresh int"
 SETS = "key long, n long, code array<long>"
 LINKS = "a long, b long, shared long"
 # Elements of a block of sets that is compared with another one at once; a set counts as LEAST_SET at least.
@@ -70,12 +71,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     return out
 
 
-SALT = numbers(1, 77)[0]
+SALT, CHECK_SALT = numbers(2, 77)
 
 
-def set_key(codes: np.ndarray) -> int:
+def set_key(codes: np.ndarray, salt: np.uint64 = SALT) -> int:
     """One number for a set, from its elements and their count."""
-    total = np.array([mix(codes ^ SALT).sum(dtype=np.uint64) + np.uint64(len(codes))], dtype=np.uint64)
+    total = np.array([mix(codes ^ salt).sum(dtype=np.uint64) + np.uint64(len(codes))], dtype=np.uint64)
     return int(signed(mix(total))[0])
 
 
@@ -112,6 +113,7 @@ def find_heads(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa
                 "row": pa.concat_arrays([x[1] for x in held]),
                 "n": [n for x in held for n in x[2]],
                 "key": [k for x in held for k in x[3]],
+                "check": [k for x in held for k in x[4]],
                 "known": known,
                 "code": lists_of(signed(sent_code[again]), first),
                 "fresh": fresh.astype(np.int32),
@@ -122,16 +124,17 @@ def find_heads(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[pa
     for batch in batches:
         data, offsets = buffers(batch.column(2))
         for low, high in row_blocks(offsets, SCAN_BYTES):
-            sizes, keys = [], []
+            sizes, keys, checks = [], [], []
             for codes in shingle_sets(data, offsets[low : high + 1]):
                 key = set_key(codes)
                 sizes.append(len(codes))
                 keys.append(key if len(codes) else None)
+                checks.append(set_key(codes, CHECK_SALT) if len(codes) else None)
                 new = len(codes) > 0 and key not in seen
                 seen.add(key)
                 heads.append(codes[: bounds.head(len(codes))] if new else codes[:0])
                 count += len(heads[-1])
-            held.append((batch.column(0)[low:high], batch.column(1)[low:high], sizes, keys))
+            held.append((batch.column(0)[low:high], batch.column(1)[low:high], sizes, keys, checks))
             if count >= FLUSH_CODES:
                 yield flush()
                 held, heads, seen, count = [], [], set(), 0
@@ -442,12 +445,15 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_lin
     groups = components(links.select("a", "b"))
     # The first row of a class: the one with the smallest id; rows without an id come last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    sized = heads.where("n > 0").groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    # A key is 64 bits of a set; rows that share it but have another check are other sets, which stay by themselves.
+    sized = heads.where("n > 0").groupBy("key", "check").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    least = F.min(F.struct("check", "first", "copies")).alias("own")
+    sized = sized.groupBy("key").agg(least).select("key", "own.check", "own.first", "own.copies")
     if count_links:
         groups, sized = keep(groups, "groups"), keep(sized, "sizes")
         degree = keep(link_counts(links, groups, sets, sized.select("key", "copies"), bounds), "degrees")
     classes = sized.join(groups.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").select(
-        "key", "first", "copies", F.coalesce("component", "key").alias("component")
+        "key", "check", "first", "copies", F.coalesce("component", "key").alias("component")
     )
     smallest = classes.groupBy(F.col("component").alias("_component")).agg(F.min("first").alias("first_of_all"))
     named = classes.join(smallest, classes["component"] == smallest["_component"])
@@ -457,9 +463,11 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_lin
         named = named.join(degree, named["key"] == degree["_k"], "left")
         # Equal sets are similar as well.
         linked = F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1
-    named = keep(named.select(F.col("key").alias("_key"), "first_of_all", linked.alias("n_links")), "classes")
-    own = heads.select("doc_id", "row", "n", "key")
-    return own.join(named, own["key"] == named["_key"], "left").select(
+    named = named.select(F.col("key").alias("_key"), F.col("check").alias("_check"), "first_of_all", linked.alias("n_links"))
+    named = keep(named, "classes")
+    own = heads.select("doc_id", "row", "n", "key", "check")
+    same = (own["key"] == named["_key"]) & (own["check"] == named["_check"])
+    return own.join(named, same, "left").select(
         "doc_id",
         "row",
         "n",
@@ -498,6 +506,10 @@ def drop_near_duplicates(docs: DataFrame, per_cent: int = 80, doc_id: str = "doc
 
     Rows without words are linked with nothing, so all of them stay, apart from repeats. Columns stay as they are.
     """
-    stay = classes_of(docs, per_cent, doc_id, text).where("n = 0 OR row = first.row").select(F.col("row").alias("_stay")).distinct()
-    keyed = docs.withColumn("_row", row_key(doc_id, text))
-    return keyed.join(stay, keyed["_row"] == stay["_stay"], "left_semi").dropDuplicates(["_row"]).drop("_row")
+    stay = classes_of(docs, per_cent, doc_id, text).where("first IS NULL OR row = first.row")
+    # The id stands beside the key of the row, so that no key that two documents share takes one of them along.
+    stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("row").alias("stay_row")).distinct()
+    keyed = packed(docs, own_id=quoted(doc_id).cast("long"), own_row=F.xxhash64(quoted(doc_id).cast("long"), quoted(text)))
+    same = F.col("own_id").eqNullSafe(F.col("stay_id")) & (F.col("own_row") == F.col("stay_row"))
+    kept = keyed.join(stay, same, "left_semi").dropDuplicates(["own_id", "own_row"])
+    return kept.select(*unpacked(docs.columns, {}))
