@@ -1,6 +1,7 @@
 """Each operator against plain Python on a small table with nulls, empty and long texts, ties and repeated rows."""
 
 import base64
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,9 @@ import pyarrow as pa
 import pytest
 import tiktoken
 from llm_cases import sha
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 
 from fieldledger.llm import (
     bpe_replay,
@@ -24,6 +28,7 @@ from fieldledger.llm import (
     toxicity,
 )
 from fieldledger.llm.components import components
+from fieldledger.llm.samples import labelled_sample
 from fieldledger.llm.store import keep
 from fieldledger.llm.words import buffers, words_of
 
@@ -304,6 +309,149 @@ def test_one_index_at_a_time(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()) == [100, 101]
 
 
+def test_matches_are_the_same_for_any_number_of_indexes(spark, monkeypatch):
+    """Edited copies, whose scores lie about the threshold, of items of different lengths; one id in several parts."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(150)]
+    texts = [" ".join(rng.choice(words, rng.integers(6, 60))) + "? " + " ".join(rng.choice(words, 8)) + "." for _ in range(60)]
+    items = spark.createDataFrame([(k // 2 if k > 50 else k, t) for k, t in enumerate(texts)], "item_id long, text string")
+    copies = []
+    for k in range(150):
+        own = texts[k % 60].split()
+        for at in rng.choice(len(own), int(len(own) * rng.uniform(0, 0.6)), replace=False):
+            own[at] = str(rng.choice(words))
+        copies.append((k, " ".join(rng.choice(words, 30)) + " " + " ".join(own)))
+    docs = spark.createDataFrame(copies, "doc_id long, text string").coalesce(2)
+    found, left = [], []
+    for parts in (1, 3, 10):
+        monkeypatch.setattr(decontamination, "n_indexes", lambda *a, n=parts: n)
+        found.append(Counter(tuple(r) for r in decontamination.find_leaks(docs, items, min_question=0, min_answer=0).collect()))
+        left.append(Counter(r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()))
+    assert 60 < len(found[0]) and found[0] == found[1] == found[2]
+    assert 0 < len(left[0]) < 150 and left[0] == left[1] == left[2]
+
+
+def test_items_of_few_words_match_nothing(spark):
+    items = spark.createDataFrame([(0, "Paris"), (1, "Who knows?"), (2, "Which river flows through Paris in France?"), (3, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, "I saw Paris, who knows"), (1, "Which river flows through Paris in France?")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_leaks(docs, items).collect()} == {(1, 2)}
+    assert [r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()] == [0]
+    assert sorted(tuple(r) for r in decontamination.short_items(items).collect()) == [(0, 1), (1, 2), (3, 0)]
+
+
+def test_samples_do_not_depend_on_the_layout(spark):
+    rows = [(k, f"text {k} " * (1 + k % 7)) for k in range(900)] + [(5, "another text"), (5, "a third text"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(0, 900, 2)] + [(4, 1), (6, None)], "doc_id long, quality int")
+    samples, jobs = [], []
+    for n in (1, 10, 60):
+        group = f"sample-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            samples.append(labelled_sample(docs.repartition(n), labels.repartition(3), "quality", 200, 3, 1, most_bytes=4000))
+        finally:
+            spark.sparkContext.setJobGroup("", "")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    assert samples[0] == samples[1] == samples[2] and 20 < len(samples[0]) <= 200
+    assert sum(len(t.encode()) for t, _ in samples[0]) <= 4000
+    assert max(jobs) - min(jobs) <= 1 and max(jobs) < 15
+
+
+def test_shards_do_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k if k % 11 else None, f"text {rng.integers(0, 300)}" if k % 3 else "one text") for k in range(2500)]
+    rows += [(9, "repeated")] * 20
+    got = []
+    for n in (1, 4, 9):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        placed = sharding.shard_documents(docs, shards=8)
+        got.append(Counter(tuple(r) for r in placed.select("doc_id", "size", "text_crc32", "shard", "slot").collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_many_exact_repeats_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LARGE_GROUP", 50)
+    rows = [(1, "same")] * 700 + [(k, f"text {k}") for k in range(300)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=10).collect()
+    assert set(Counter(r["shard"] for r in got).values()) == {100} and "own" not in got[0]
+    for shard in range(10):
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(100))
+
+
+@pytest.fixture(scope="module")
+def known():
+    """The tokenizer whose results ours must equal."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_long_words(known):
+    """A word of a megabyte, also where a merge can bring up one of lower rank, in time that grows with its length."""
+    vocabulary = bpe_replay.Vocabulary(known._mergeable_ranks)
+    rng = np.random.default_rng(6)
+    words = ["ab" * 500_000, "".join(rng.choice(list("etaoin"), 200_000)), "the" * 100_000, "é" * 100_000]
+    for word in words:
+        began = time.perf_counter()
+        got, _ = bpe_replay.replay([word.encode()], vocabulary)
+        assert time.perf_counter() - began < 5
+        assert got.tolist() == known.encode_ordinary(word)
+
+
+def test_merges_in_turn(known, monkeypatch):
+    monkeypatch.setattr(bpe_replay, "IN_TURN", 2)
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdeth"), rng.integers(50, 1500))) for _ in range(150)]
+    got, first = bpe_replay.replay([w.encode() for w in words], bpe_replay.Vocabulary(known._mergeable_ranks))
+    assert all(got[first[k] : first[k + 1]].tolist() == known.encode_ordinary(w) for k, w in enumerate(words))
+
+
+def test_column_names_never_clash(spark):
+    """Every operator that keeps columns, with its own inner and output names, and a dotted one, as columns of the table."""
+    names = ["_drop", "_row", "kept_text", "n_lines", "n_dropped", "_w", "_lines", "_judged", "n_words", "word_chars", "lost_chars", "base_failed",
+             "kept", "cleaned_text", "row", "code", "lines", "words", "id", "_id", "_text", "key", "first", "stay_row", "a.b", "n_chars", "item_id", "m"]
+    line = "This very common line is longer than forty characters."
+    texts = [f"{line}\nown text {k} of this document with some more words" for k in range(6)] + [None, "", line]
+    rows = [(k, t, *[f"{name}-{k}" for name in names]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names]).withColumn("n_chars", F.length("text").cast("long"))
+    items = spark.createDataFrame([(0, "own text 3 of this document with some more words")], "item_id long, text string")
+    model = quality_cnn.fit([])
+    kept = [jaccard_join.drop_near_duplicates(docs), decontamination.drop_leaks(docs, items), quality_cnn.keep_good(docs, model),
+            corpus_pipeline.without_common_lines(spark, docs, "")]
+    for df in kept:
+        assert df.columns == docs.columns
+        for r in df.collect():
+            assert all(r[n] == f"{n}-{r['doc_id']}" for n in names if n != "n_chars")
+    added = {line_dedup.dedup_lines: {"kept_text", "n_lines", "n_dropped"},
+             quality_rules.apply_rules: {*quality_rules.COUNTS, "base_failed", "lost_chars", "cleaned_text", "kept"}}
+    for operator, own in added.items():
+        df = operator(docs)
+        assert len(set(df.columns)) == len(df.columns) and set(df.columns) == {*docs.columns, *own}
+        for r in df.collect():
+            assert all(r[n] == f"{n}-{r['doc_id']}" for n in names if n not in own and n != "n_chars")
+            assert all(r[n] != f"{n}-{r['doc_id']}" for n in own)
+    for df in (jaccard_join.jaccard_classes(docs), decontamination.find_leaks(docs, items), sharding.shard_documents(docs, 3),
+               substring_dedup.dedup_substrings(docs), quality_cnn.score_quality(docs, model), toxicity.score_toxicity(docs, toxicity.fit([])),
+               language_id.identify(docs.withColumn("lang", F.lit("en")), language_id.train(docs.withColumn("lang", F.lit("en"))))):
+        df.collect()
+
+
+def test_sets_of_one_key_are_told_apart(spark, monkeypatch):
+    """Two documents whose sets share the 64-bit key but not its check are not taken for copies, and neither is dropped."""
+    texts = ["one two three four five six seven", "some other words that have nothing in common", "ONE two three four five six seven"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def clash(codes, salt=jaccard_join.SALT):
+        return 7 if salt == jaccard_join.SALT else int(codes.sum() % np.uint64(1000003))
+
+    heads = {}
+    rows = docs.select("doc_id", F.lit(1).cast("long").alias("row"), "text").toArrow().to_batches()
+    monkeypatch.setattr(jaccard_join, "set_key", clash)
+    for batch in jaccard_join.find_heads(iter(rows), jaccard_join.Bounds(80)):
+        heads |= {r["doc_id"]: (r["key"], r["check"]) for r in batch.to_pylist()}
+    assert heads[0] == heads[2] and heads[0][0] == heads[1][0] and heads[0][1] != heads[1][1]
+
+
 def test_decontamination_of_other_scripts_and_empty_sides(spark):
     texts = ["... The answer to this one follows here.", "____. Which word fits here the best?", "这条河叫什么名字？它是北方的银色之河，流过古老的城市。",
              "แม่น้ำสายนี้ชื่ออะไรและไหลผ่านเมืองใด", "川の名前は何ですか。それは北の銀の川です。", "Qui a écrit « Les Misérables » … c’est Victor Hugo lui-même."]

@@ -16,6 +16,7 @@ import corpus_pipeline
 from fieldledger.llm.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("FIELDLEDGER_SF_DIR", "/root/testdata/sf0.001")
+LARGER = "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -33,11 +34,23 @@ def test_held_out_quality_and_language(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     got = QUERIES["op1_quality_classifier"](spark, SF_DIR).collect()
     held = [r for r in got if r["held_out"] and r["doc_id"] in labels]
-    assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.8 * len(held)
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.95 * len(held)
     got = [r for r in QUERIES["op4_language_id"](spark, SF_DIR).collect() if r["held_out"]]
     assert sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in got) >= 0.95 * len(got)
 
 
+@pytest.mark.skipif(not os.path.exists(LARGER), reason="the smallest tables have two toxic labels held out and five to learn from")
+def test_held_out_toxicity(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
+    got = QUERIES["op6_toxicity"](spark, LARGER).collect()
+    held = [(r["score"], r["predicted"], labels[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = ([s for s, _, y in held if y == value] for value in (1, 0))
+    assert toxic and clean
+    above = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) / (len(toxic) * len(clean))
+    assert above >= 0.9
+    assert sum(p == y for _, p, y in held) >= 0.9 * len(held)
+
+
 def lower(text):
     return "".join(c.lower() if c.isascii() else c for c in text)
 
