@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -46,7 +47,6 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left * self.size + right] = rank
                     self.steady[[x for x in (left, right) if x > rank]] = False
-        self.rank_of_pair = pairs
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
         self.merged = np.array([pairs[p] for p in self.pairs.tolist()], dtype=np.int64)
 
@@ -88,7 +88,13 @@ def merge_in_turn(
     All pairs of lower rank are gone before, so what comes up stands around the merge just made and is taken from a small
     heap. Returns the positions whose pairs, of higher rank, have changed.
     """
-    pairs, size = vocabulary.rank_of_pair, vocabulary.size
+    size, pairs, merged = vocabulary.size, memoryview(vocabulary.pairs), memoryview(vocabulary.merged)
+
+    def rank_of(one: int, other: int) -> int:
+        pair = one * size + other
+        k = bisect_left(pairs, pair)
+        return merged[k] if k < len(pairs) and pairs[k] == pair else -1
+
     tokens, lefts, rights, ranks = (memoryview(x) for x in (token, left, right, rank))
     changed = set()
     for begin in at.tolist():
@@ -103,9 +109,9 @@ def merge_in_turn(
             rights[here], ranks[gone] = after, -1
             if after >= 0:
                 lefts[after] = here
-            ranks[here] = pairs.get(now * size + tokens[after], -1) if after >= 0 else -1
+            ranks[here] = rank_of(now, tokens[after]) if after >= 0 else -1
             if before >= 0:
-                ranks[before] = pairs.get(tokens[before] * size + now, -1)
+                ranks[before] = rank_of(tokens[before], now)
             for place in (before, here):
                 if place >= 0 and ranks[place] >= 0:
                     if ranks[place] <= r:

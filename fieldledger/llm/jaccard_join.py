@@ -507,9 +507,8 @@ def drop_near_duplicates(docs: DataFrame, per_cent: int = 80, doc_id: str = "doc
     Rows without words are linked with nothing, so all of them stay, apart from repeats. Columns stay as they are.
     """
     stay = classes_of(docs, per_cent, doc_id, text).where("first IS NULL OR row = first.row")
-    # The id stands beside the key of the row, so that no key that two documents share takes one of them along.
-    stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("row").alias("stay_row")).distinct()
-    keyed = packed(docs, own_id=quoted(doc_id).cast("long"), own_row=F.xxhash64(quoted(doc_id).cast("long"), quoted(text)))
-    same = F.col("own_id").eqNullSafe(F.col("stay_id")) & (F.col("own_row") == F.col("stay_row"))
-    kept = keyed.join(stay, same, "left_semi").dropDuplicates(["own_id", "own_row"])
+    stay = stay.select(F.col("row").alias("stay")).distinct()
+    # Rows are dealt by their key once, for the join and for the repeats. Of rows that share a key, those of another id stay.
+    keyed = packed(docs, own_id=quoted(doc_id), own=F.xxhash64(quoted(doc_id).cast("long"), quoted(text)))
+    kept = keyed.join(stay, F.col("own") == F.col("stay"), "left_semi").dropDuplicates(["own", "own_id"])
     return kept.select(*unpacked(docs.columns, {}))
