@@ -78,10 +78,10 @@ def cut_lines(
         .groupBy(F.col("_id").alias("_gid"), F.col("_row").alias("_grow"))
         .agg(F.collect_set("_at").alias("_drop"))
     )
-    whole_rows = packed(docs, id=quoted(doc_id), text=F.coalesce(quoted(text), F.lit("")), code=F.xxhash64(quoted(text)))
+    whole_rows = packed(docs, id=quoted(doc_id), code=F.xxhash64(quoted(text)))
     same = F.col("id").eqNullSafe(F.col("_gid")) & (F.col("code") == F.col("_grow"))
     joined = whole_rows.join(gone, same, "left")
-    whole = F.col("text")
+    whole = F.coalesce(F.col("row").getField(text), F.lit(""))
     lines_now = lines_of(whole)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines_now) - 1), F.col("_drop"))
     cut = F.transform(F.array(F.struct(lines_now.alias("l"), stay.alias("s"))), _joined_lines)[0]
