@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldledger.catalog.registry import table
 from fieldledger.operators.canonical import as_points
-from fieldledger.plans.transform import canonical_points
+from fieldledger.operators.packs import Packs
+from fieldledger.plans.transform import canonical_points, packed_points
 from fieldledger.settings import DEFAULT_COMBO, Derivations, PointRules
 
 AS_OF = date(2000, 12, 31)
@@ -152,6 +153,15 @@ def earlier_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_points(earlier_submissions(spark, sf_dir), mapping(spark), FORM, RULES, AS_OF)
 
 
+def packs(spark: SparkSession, sf_dir: str) -> Packs | DataFrame:
+    """The rows of ``points``, one per submission."""
+    return packed_points(submissions(spark, sf_dir), mapping(spark), FORM, RULES, AS_OF)
+
+
+def earlier_packs(spark: SparkSession, sf_dir: str) -> Packs | DataFrame:
+    return packed_points(earlier_submissions(spark, sf_dir), mapping(spark), FORM, RULES, AS_OF)
+
+
 # Orders as canonical points: one point per order, keys unique.
 ORDER_POINTS = [
     f"{ORDER_PERIOD} AS PERIOD",

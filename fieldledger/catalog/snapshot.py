@@ -39,7 +39,7 @@ def delta_unique_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_delta_sql(inputs.POINTS_SQL, inputs.EARLIER_POINTS_SQL))
 def delta_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submissions to canonical points to delta, with keys that repeat on both sides."""
-    return cdc.delta(inputs.points(spark, sf_dir), inputs.earlier_points(spark, sf_dir), join_hint="merge")
+    return cdc.delta(inputs.packs(spark, sf_dir), inputs.earlier_packs(spark, sf_dir), join_hint="merge")
 
 
 _BY_UNIT = [

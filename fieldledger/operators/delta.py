@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from fieldledger.operators.columns import quoted
 from fieldledger.operators.keys import key_rows, keys_match
-from fieldledger.schemas import POINT_KEYS
+from fieldledger.operators.packs import Packs, matched, repeated_units
+from fieldledger.schemas import POINT, POINT_KEYS
 
 
 def _code(columns: Sequence[Column], at: str) -> list[Column]:
@@ -42,9 +43,34 @@ def _compared(
     return joined.withColumn("_kind", F.when(F.col("_k1").isNull(), "new").when(differs, "changed"))
 
 
+def _rows(points: DataFrame | Packs) -> DataFrame:
+    return points.points() if isinstance(points, Packs) else points
+
+
+def _kinds(
+    current: DataFrame | Packs,
+    posted: DataFrame | Packs,
+    keys: Sequence[str],
+    value: str,
+    posted_unique: bool,
+    join_hint: str | None,
+) -> DataFrame:
+    """``_compared``; where both sides are packs they are matched by unit, apart from units that are posted several times."""
+    packed = isinstance(current, Packs) and isinstance(posted, Packs)
+    if not packed or list(keys) != POINT_KEYS or value != "VALUE":
+        return _compared(_rows(current), _rows(posted), keys, value, posted_unique, join_hint)
+    several = None if posted_unique else repeated_units(posted)
+    if several is None:
+        return matched(current, posted, join_hint)
+    once = matched(current.only(several, "left_anti"), posted.only(several, "left_anti"), join_hint)
+    parts = [packs.only(several, "left_semi").points() for packs in (current, posted)]
+    rest = _compared(*parts, keys, value, False, join_hint).select(*[quoted(c) for c in POINT.names], "_kind")
+    return once.unionByName(rest)
+
+
 def delta(
-    current: DataFrame,
-    posted: DataFrame | None,
+    current: DataFrame | Packs,
+    posted: DataFrame | Packs | None,
     keys: Sequence[str] = POINT_KEYS,
     value: str = "VALUE",
     posted_unique: bool = False,
@@ -67,13 +93,16 @@ def delta(
     The join strategy is Spark's choice. Its size estimate is good for stored snapshots, but does not
     see that an unpivot multiplies rows: ``join_hint="merge"`` keeps such a snapshot from being broadcast.
 
+    Where both sides are ``Packs``, one row per submission is shuffled instead of one per point, and a point is looked for
+    in the row of its unit. Units that are posted several times go the way above.
+
     ``seen`` counts ``all`` current rows and the ``new`` and ``changed`` ones while the result is written.
     """
-    names = [quoted(c) for c in current.columns]
+    names = [quoted(c) for c in (POINT.names if isinstance(current, Packs) else current.columns)]
     if posted is None:
-        compared = current.withColumn("_kind", F.lit("new"))
+        compared = _rows(current).withColumn("_kind", F.lit("new"))
     else:
-        compared = _compared(current, posted, keys, value, posted_unique, join_hint)
+        compared = _kinds(current, posted, keys, value, posted_unique, join_hint)
     if seen is not None:
         compared = compared.observe(seen, *_counts())
     return compared.where(F.col("_kind").isNotNull()).select(*names, F.col("_kind").alias("change_type"))
@@ -108,8 +137,8 @@ def delta_with_deletes(
 
 
 def delta_counts(
-    current: DataFrame,
-    posted: DataFrame,
+    current: DataFrame | Packs,
+    posted: DataFrame | Packs,
     keys: Sequence[str] = POINT_KEYS,
     value: str = "VALUE",
     posted_unique: bool = False,
@@ -119,13 +148,27 @@ def delta_counts(
 
     One pass over the compared rows. Where the delta itself is written, let ``delta(seen=...)`` count it.
     """
-    counted = _compared(current, posted, keys, value, posted_unique, join_hint).agg(*_counts())
+    counted = _kinds(current, posted, keys, value, posted_unique, join_hint).agg(*_counts())
     pairs = [F.struct(F.lit(name).alias("metric"), F.col(f"`{name}`").alias("n")) for name in ("all", "new", "changed")]
     return counted.select(F.inline(F.array(*pairs))).where((F.col("metric") == "all") | (F.col("n") > 0))
 
 
-def duplicate_keys(points: DataFrame, keys: Sequence[str] = POINT_KEYS, value: str = "VALUE") -> DataFrame:
-    """Keys that occur more than once, with their number of rows and least and greatest value."""
+def duplicate_keys(points: DataFrame | Packs, keys: Sequence[str] = POINT_KEYS, value: str = "VALUE") -> DataFrame:
+    """Keys that occur more than once, with their number of rows and least and greatest value.
+
+    A key of ``Packs`` can only repeat in a unit of several rows, or where a target stands at several positions, so the
+    points of other rows are not looked at.
+    """
+    if isinstance(points, Packs):
+        if list(keys) == POINT_KEYS and len({t[:3] for t in points.targets}) == len(points.targets):
+            several = repeated_units(points)
+            if several is None:
+                return _repeats(points.points().where("false"), keys, value)
+            points = points.only(several, "left_semi", nulls=True)
+    return _repeats(_rows(points), keys, value)
+
+
+def _repeats(points: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     grouped = points.groupBy(*[quoted(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(quoted(value)).alias("min_value"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -20,30 +20,42 @@ def _explode_values(df: DataFrame, ids: Sequence[str], values: Sequence[str]) ->
     grows with all of them is soon too long for the JVM to optimise. The arrays are built below the
     explode, hence once per row.
     """
+    numbers, _ = _order(df, values)
+    exploded = _value_arrays(df, ids, values).select("*", F.explode(_positions(values)).alias("_at"))
+    number, text = _parts(F.col("_at"), len(numbers))
+    return exploded.select(*[quoted(c) for c in ids], "_at", number.alias("_number"), text.alias("_text"))
+
+
+def _value_arrays(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The ids with the value columns as ``_numbers`` and ``_texts``, in the order of ``_order``."""
     kinds = {field.name: field.dataType for field in df.schema.fields}
     numbers, texts = _order(df, values)
     doubles = [widen_float(quoted(c)) if isinstance(kinds[c], T.FloatType) else quoted(c) for c in numbers]
     strings = [quoted(c).cast("string") for c in texts]
-    exploded = df.select(
+    return df.select(
         *[quoted(c) for c in ids],
         F.array(*doubles).cast("array<double>").alias("_numbers"),
         F.array(*strings).cast("array<string>").alias("_texts"),
-    ).select("*", F.explode(F.array(*[F.lit(i) for i in range(len(doubles) + len(strings))])).alias("_at"))
-    return exploded.select(
-        *[quoted(c) for c in ids],
-        "_at",
-        F.get("_numbers", F.col("_at")).alias("_number"),
-        F.get("_texts", F.col("_at") - len(doubles)).alias("_text"),
     )
 
 
-def _value(texts_too: bool = False) -> Column:
+def _positions(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(i) for i in range(len(values))])
+
+
+def _parts(at: Column, n_numbers: int) -> tuple[Column, Column]:
+    """Number and text at a position of ``_value_arrays``."""
+    return F.get("_numbers", at), F.get("_texts", at - n_numbers)
+
+
+def _value(texts_too: bool = False, number: Column | None = None, text: Column | None = None) -> Column:
     """Text of an exploded value; at most one of its two parts is given.
 
     With ``texts_too``, a text that reads as a decimal number gets the format of a number, so that a value does not
     depend on whether its column was read as numbers or as texts.
     """
-    number, text = F.col("_number"), F.col("_text")
+    number = F.col("_number") if number is None else number
+    text = F.col("_text") if text is None else text
     if texts_too:
         is_decimal = text.rlike("[.eE]") & text.rlike(DECIMAL_PATTERN)
         number = F.when(number.isNotNull(), number).when(is_decimal, text.try_cast("double"))
@@ -86,9 +98,11 @@ def unpivot_long(
 
 def _usable_values(df: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Exploded values without those that are null, blank or NaN; they go before numbers are formatted."""
-    number, text = F.col("_number"), F.col("_text")
-    usable = (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
-    return _explode_values(df, ids, names).where(usable)
+    return _explode_values(df, ids, names).where(_usable(F.col("_number"), F.col("_text")))
+
+
+def _usable(number: Column, text: Column) -> Column:
+    return (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
 
 
 def unpivot_mapped(
@@ -111,6 +125,29 @@ def unpivot_mapped(
     )
 
 
+def unpivot_packed(
+    df: DataFrame, ids: Sequence[str], targets: Sequence[tuple[str, str, str | None]]
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], list[tuple[str, str | None]]]:
+    """The rows of ``unpivot_mapped`` as one row per id row, and the (target id, combination) of each position.
+
+    First come the ids with the value columns as they are, which are cheap to filter, and then what turns them into
+    ``at``, the positions of the usable values, and ``value``, their texts. A shuffle of these moves ids once per id row
+    and no target at all.
+    """
+    names = [name for name, _, _ in targets]
+    numbers, _ = _order(df, names)
+    ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
+    count = len([name for name in names if name in set(numbers)])
+    others = [quoted(c) for c in ids]
+
+    def packed(arrays: DataFrame) -> DataFrame:
+        usable = F.filter(_positions(names), lambda at: _usable(*_parts(at, count)))
+        texts = F.transform("at", lambda at: _value(True, *_parts(at, count)))
+        return arrays.select("*", usable.alias("at")).select(*others, "at", texts.alias("value"))
+
+    return _value_arrays(df, ids, [t[0] for t in ordered]), packed, [(uid, combo) for _, uid, combo in ordered]
+
+
 def unpivot_joined(
     df: DataFrame, ids: Sequence[str], names: Sequence[str], targets: DataFrame, value: str = "VALUE"
 ) -> DataFrame:

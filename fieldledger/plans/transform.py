@@ -11,6 +11,7 @@ from fieldledger.functions.periods import drop_future, period_values
 from fieldledger.operators.canonical import as_points, default_if_missing, known_units
 from fieldledger.operators.columns import require_columns
 from fieldledger.operators.derive import derive
+from fieldledger.operators.packs import UNIT, Packs
 from fieldledger.operators.reshape import (
     LITERAL_TARGETS,
     mapped_columns,
@@ -18,6 +19,7 @@ from fieldledger.operators.reshape import (
     targets_of,
     unpivot_joined,
     unpivot_mapped,
+    unpivot_packed,
 )
 from fieldledger.schemas import POINT
 from fieldledger.session import kept
@@ -42,29 +44,58 @@ def canonical_points(
     later filter on period or unit would drop are dropped before they are multiplied. Up to ``literal_targets`` targets
     of the form's columns are put into the projection; more of them are joined by name after the unpivot.
     """
-    require_columns(submissions, rules.ids)
-    rows = known_units(
-        drop_future(submissions, as_of, rules.period), rules.unmapped_prefixes, rules.unit
-    )
-    wide = derive(rows, form, lenient)
-    names = [name for name in wide.columns if name not in set(rules.ids)]
-    wanted = targets_of(mapping, names)
-    targets = read_targets(wanted, names, literal_targets)
+    wide, names, wanted, targets = _mapped(submissions, mapping, form, rules, as_of, lenient, literal_targets)
     ids = [rules.period, rules.unit]
     if targets is None:
         table = kept(wanted, "targets").withColumn("combo", default_if_missing(F.col("combo"), rules.default_combo))
         return _points(unpivot_joined(wide, ids, mapped_columns(table, names), table), rules)
     if not targets:
         return as_points(
-            rows.where("false").select(
+            wide.where("false").select(
                 F.col(rules.period).alias("PERIOD"),
                 F.col(rules.unit).alias("ORG_UNIT"),
                 *[F.lit(None).alias(c) for c in ("DX_UID", "CATEGORY_OPTION_COMBO", "ATTRIBUTE_OPTION_COMBO")],
                 *[F.lit(None).alias(c) for c in ("VALUE", "DATA_TYPE")],
             )
         )
-    targets = [(name, uid, combo or rules.default_combo) for name, uid, combo in targets]
-    return _points(unpivot_mapped(wide, ids, targets), rules)
+    return _points(unpivot_mapped(wide, ids, _with_combo(targets, rules)), rules)
+
+
+def packed_points(
+    submissions: DataFrame,
+    mapping: DataFrame,
+    form: Derivations,
+    rules: PointRules,
+    as_of: date,
+    lenient: bool = False,
+    literal_targets: int = LITERAL_TARGETS,
+) -> Packs | DataFrame:
+    """The points of ``canonical_points`` as one row per submission; plain points where targets have to be joined."""
+    wide, _, _, targets = _mapped(submissions, mapping, form, rules, as_of, lenient, literal_targets)
+    if not targets:
+        return canonical_points(submissions, mapping, form, rules, as_of, lenient, literal_targets)
+    named = wide.withColumnsRenamed({rules.period: "PERIOD", rules.unit: "ORG_UNIT"})
+    named = named.withColumns({"PERIOD": F.col("PERIOD").cast("int"), "ORG_UNIT": F.col("ORG_UNIT").cast("string")})
+    source, packed, places = unpivot_packed(named, UNIT, _with_combo(targets, rules))
+    return Packs(source, packed, [(uid, combo, rules.default_combo, "DATA_ELEMENT") for uid, combo in places])
+
+
+def _mapped(
+    submissions: DataFrame, mapping: DataFrame, form: Derivations, rules: PointRules, as_of: date, lenient: bool, most: int
+) -> tuple[DataFrame, list[str], DataFrame, list[tuple[str, str, str | None]] | None]:
+    """Derived submissions with their value columns, the targets of these, and those as a list unless more than ``most``."""
+    require_columns(submissions, rules.ids)
+    rows = known_units(
+        drop_future(submissions, as_of, rules.period), rules.unmapped_prefixes, rules.unit
+    )
+    wide = derive(rows, form, lenient)
+    names = [name for name in wide.columns if name not in set(rules.ids)]
+    wanted = targets_of(mapping, names)
+    return wide, names, wanted, read_targets(wanted, names, most)
+
+
+def _with_combo(targets: Sequence[tuple[str, str, str | None]], rules: PointRules) -> list[tuple[str, str, str]]:
+    return [(name, uid, combo or rules.default_combo) for name, uid, combo in targets]
 
 
 def _points(long: DataFrame, rules: PointRules) -> DataFrame:

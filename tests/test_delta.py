@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from fieldledger.operators import delta as cdc, reconcile
+from fieldledger.operators.packs import Packs
 from fieldledger.schemas import POINT, POINT_KEYS
 from fieldledger.streaming.incoming import upsert_snapshot
 
@@ -181,3 +182,64 @@ def test_audit(spark):
     assert got == {"ou1": (2, 0, 1), "ou2": (1, 0, 0)}
     assert len(list(itertools.chain(table.columns))) == 5
     assert table.select(F.sum("pushed_count")).first()[0] == 1
+
+
+def packs(spark, rows, targets):
+    """Packs of (period, unit, {position: value})."""
+    full = [(p, u, list(v), list(v.values())) for p, u, v in rows]
+    frame = spark.createDataFrame(full, "PERIOD int, ORG_UNIT string, at array<int>, value array<string>")
+    return Packs(frame, lambda df: df, [(dx, "c", "a", "DATA_ELEMENT") for dx in targets])
+
+
+# dx1 stands at two positions; the posted side has its targets in another order.
+PACKS = [
+    (202401, "ou1", {0: "5", 1: "7"}),
+    (202401, "ou2", {0: "1", 2: "1"}),
+    (202401, "ou3", {0: "1"}),
+    (202401, "ou3", {0: "1", 1: "2"}),
+    (202401, "ou4", {0: "3", 1: "3"}),
+    (202401, "ou5", {}),
+    (202402, "ou1", {0: "5"}),
+    (202401, "ou6", {0: "1", 1: "4"}),
+    (202401, None, {0: "1"}),
+]
+POSTED_PACKS = [
+    (202401, "ou1", {1: "5", 0: "6"}),
+    (202401, "ou2", {1: "1"}),
+    (202401, "ou3", {1: "1", 0: "3"}),
+    (202401, "ou4", {1: "3"}),
+    (202401, "ou4", {1: "4", 0: "3"}),
+    (202401, "ou6", {}),
+    (202401, None, {1: "1"}),
+    (202401, None, {1: "1"}),
+    (202401, "gone", {1: "1"}),
+]
+
+
+@pytest.mark.parametrize("targets", [["dx1", "dx2", "dx1"], ["dx1", "dx2", "dx3"]])
+@pytest.mark.parametrize("old", [["dx2", "dx1"], ["dx1", "dx1"]])
+@pytest.mark.parametrize("posted", [POSTED_PACKS, [r for r in POSTED_PACKS if r[1] not in ("ou4", None)]])
+def test_packs_give_the_rows_of_their_points(spark, targets, old, posted):
+    now, before = packs(spark, PACKS, targets), packs(spark, posted, old)
+    want = short(cdc.delta(now.points(), before.points()))
+    assert want and short(cdc.delta(now, before)) == want
+    counted = sorted(map(tuple, cdc.delta_counts(now, before, join_hint="merge").collect()))
+    assert counted == sorted(map(tuple, cdc.delta_counts(now.points(), before.points()).collect()))
+    for side in (now, before, packs(spark, posted[:3], ["dx2", "dx1"])):
+        repeats = sorted(map(tuple, cdc.duplicate_keys(side.points()).collect()), key=str)
+        assert sorted(map(tuple, cdc.duplicate_keys(side).collect()), key=str) == repeats
+
+
+def exchanged(df):
+    """Columns of each shuffle of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_packs_are_shuffled_by_unit(spark):
+    """One row per submission moves, not one per point: no shuffle is by target."""
+    now, before = packs(spark, PACKS, ["dx1", "dx2", "dx3"]), packs(spark, [POSTED_PACKS[0]], ["dx2", "dx1"])
+    shuffles = exchanged(cdc.delta(now, before, join_hint="merge"))
+    assert shuffles and all("PERIOD" in line and "DX_UID" not in line and "_own" not in line for line in shuffles)
+    once = packs(spark, PACKS[:3], ["dx1", "dx2", "dx3"])
+    assert not any("Exchange" in line and "ORG_UNIT" not in line for line in exchanged(cdc.duplicate_keys(once)))
