@@ -67,7 +67,7 @@ def delta_heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def delta_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of a delta run."""
-    return cdc.delta_counts(inputs.points(spark, sf_dir), inputs.earlier_points(spark, sf_dir), join_hint="merge")
+    return cdc.delta_counts(inputs.packs(spark, sf_dir), inputs.earlier_packs(spark, sf_dir), join_hint="merge")
 
 
 @query(
