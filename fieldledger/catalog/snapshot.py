@@ -87,7 +87,7 @@ def delta_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that occur more than once."""
-    return cdc.duplicate_keys(inputs.points(spark, sf_dir))
+    return cdc.duplicate_keys(inputs.packs(spark, sf_dir))
 
 
 _REJECTED = "PERIOD % 100 IN (1, 2) AND CATEGORY_OPTION_COMBO = 'cocLow'"
