@@ -66,7 +66,10 @@ def settle_completion(
         "overwrite"
     ).parquet(f"{out_path}/statuses")
     statuses = spark.read.parquet(f"{out_path}/statuses")
-    completion_outcomes(plan, statuses).write.mode("overwrite").parquet(f"{out_path}/outcomes")
+    # Only units that were sent can have a response: the others, most of a plan, are not joined.
+    is_sent = F.col("outcome").eqNullSafe("ready")
+    outcomes = completion_outcomes(plan.where(is_sent), statuses).unionByName(completion_outcomes(plan.where(~is_sent)))
+    outcomes.write.mode("overwrite").parquet(f"{out_path}/outcomes")
     outcomes = spark.read.parquet(f"{out_path}/outcomes")
     if log_path:
         new = newly_processed(outcomes, mark_uncompleted)

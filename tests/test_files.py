@@ -534,3 +534,30 @@ def test_only_touched_partitions_are_read(spark, tmp_path):
 def test_scratch(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(shared) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_completion_run_spreads_its_units(spark, tmp_path):
+    """Units of a small file, one scan task, are dealt out before the months multiply them."""
+    from fieldledger.catalog.completion import requested
+
+    days = "timestamp'2024-01-05 00:00:00' + make_interval(0, 0, 0, cast(id * 40 as int)) AS o_orderdate"
+    spark.range(4).selectExpr(days).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(200).selectExpr("id AS c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    units = requested(spark, str(tmp_path))
+    assert units.count() == units.distinct().count() == 200 * 5
+    assert units.rdd.getNumPartitions() > 1
+
+
+def test_settled_completion_joins_only_sent_units(spark, tmp_path):
+    from fieldledger.plans.completion import settle_completion
+
+    rows = [(202401, "a", "ready"), (202401, "b", "ready"), (202401, "c", "no_completion"), (202401, "d", "missing_keys"), (202401, None, "no_completion")]
+    plan = spark.createDataFrame(rows, "PERIOD int, ORG_UNIT string, outcome string")
+    # An answer for a unit that was not sent counts for nothing.
+    body = '{"status":"SUCCESS","importCount":{"imported":1}}'
+    replies = spark.createDataFrame([(202401, u, 200, body) for u in "ac"], "PERIOD int, ORG_UNIT string, status_code int, body string")
+    settle_completion(spark, plan, replies, None, f"{tmp_path}/out")
+    got = spark.read.parquet(f"{tmp_path}/out/outcomes").collect()
+    assert sorted(((r.ORG_UNIT, r.outcome, r.push_errors) for r in got), key=str) == sorted(
+        [("a", "pushed", 0), ("b", "parse_failed", 1), ("c", "no_completion", 0), ("d", "missing_keys", 1), (None, "no_completion", 0)], key=str
+    )
