@@ -23,8 +23,12 @@ def strip(col: Column) -> Column:
 
 
 def is_blank(col: Column) -> Column:
-    """True for a text of white space only, null for null. Looks no further than the first other character."""
-    return F.ltrim(col, F.lit(WHITESPACE)) == ""
+    """True for a text of white space only, null for null. Looks no further than the first other character.
+
+    A text that starts with a visible ASCII character is told by two comparisons, without a search in the white space.
+    """
+    text = col.cast("string")
+    return ~((text >= "!") & (text < "\x7f")) & (F.ltrim(text, F.lit(WHITESPACE)) == "")
 
 
 def is_missing(col: Column) -> Column:

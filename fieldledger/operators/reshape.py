@@ -48,6 +48,12 @@ def _parts(at: Column, n_numbers: int) -> tuple[Column, Column]:
     return F.get("_numbers", at), F.get("_texts", at - n_numbers)
 
 
+def _read_number(number: Column, text: Column) -> Column:
+    """The number of a value, or that of its text if it reads as a decimal number."""
+    is_decimal = (text.contains(".") | text.contains("e") | text.contains("E")) & text.rlike(DECIMAL_PATTERN)
+    return F.when(number.isNotNull(), number).when(is_decimal, text.try_cast("double"))
+
+
 def _value(texts_too: bool = False, number: Column | None = None, text: Column | None = None) -> Column:
     """Text of an exploded value; at most one of its two parts is given.
 
@@ -57,8 +63,7 @@ def _value(texts_too: bool = False, number: Column | None = None, text: Column |
     number = F.col("_number") if number is None else number
     text = F.col("_text") if text is None else text
     if texts_too:
-        is_decimal = text.rlike("[.eE]") & text.rlike(DECIMAL_PATTERN)
-        number = F.when(number.isNotNull(), number).when(is_decimal, text.try_cast("double"))
+        number = _read_number(number, text)
     return F.when(number.isNotNull(), value_to_string(number, T.DoubleType())).otherwise(text)
 
 
@@ -117,11 +122,13 @@ def unpivot_mapped(
     names = [name for name, _, _ in targets]
     numbers, _ = _order(df, names)
     ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
-    return _usable_values(df, ids, [t[0] for t in ordered]).select(
+    # The format looks at the number several times; as a column of its own it is read from the text once.
+    read = _read_number(F.col("_number"), F.col("_text")).alias("_read")
+    return _usable_values(df, ids, [t[0] for t in ordered]).select("*", read).select(
         *[quoted(c) for c in ids],
         _lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
         _lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
-        _value(texts_too=True).alias(value),
+        _value(number=F.col("_read")).alias(value),
     )
 
 

@@ -44,21 +44,27 @@ def canonical_points(
     later filter on period or unit would drop are dropped before they are multiplied. Up to ``literal_targets`` targets
     of the form's columns are put into the projection; more of them are joined by name after the unpivot.
     """
+    return _canonical(submissions, mapping, form, rules, as_of, lenient, literal_targets)[0]
+
+
+def _canonical(
+    submissions: DataFrame, mapping: DataFrame, form: Derivations, rules: PointRules, as_of: date, lenient: bool, literal_targets: int
+) -> tuple[DataFrame, bool]:
+    """``canonical_points``, and whether targets were joined, which may shuffle the rows."""
     wide, names, wanted, targets = _mapped(submissions, mapping, form, rules, as_of, lenient, literal_targets)
     ids = [rules.period, rules.unit]
     if targets is None:
         table = kept(wanted, "targets").withColumn("combo", default_if_missing(F.col("combo"), rules.default_combo))
-        return _points(unpivot_joined(wide, ids, mapped_columns(table, names), table), rules)
+        return _points(unpivot_joined(wide, ids, mapped_columns(table, names), table), rules), True
     if not targets:
-        return as_points(
-            wide.where("false").select(
-                F.col(rules.period).alias("PERIOD"),
-                F.col(rules.unit).alias("ORG_UNIT"),
-                *[F.lit(None).alias(c) for c in ("DX_UID", "CATEGORY_OPTION_COMBO", "ATTRIBUTE_OPTION_COMBO")],
-                *[F.lit(None).alias(c) for c in ("VALUE", "DATA_TYPE")],
-            )
+        none = wide.where("false").select(
+            F.col(rules.period).alias("PERIOD"),
+            F.col(rules.unit).alias("ORG_UNIT"),
+            *[F.lit(None).alias(c) for c in ("DX_UID", "CATEGORY_OPTION_COMBO", "ATTRIBUTE_OPTION_COMBO")],
+            *[F.lit(None).alias(c) for c in ("VALUE", "DATA_TYPE")],
         )
-    return _points(unpivot_mapped(wide, ids, _with_combo(targets, rules)), rules)
+        return as_points(none), False
+    return _points(unpivot_mapped(wide, ids, _with_combo(targets, rules)), rules), False
 
 
 def packed_points(
@@ -140,8 +146,9 @@ def transform(
     if rules.period != "PERIOD":
         # The partition column holds the same period: use it, so that period tests prune partitions.
         raw = raw.drop(rules.period).withColumnRenamed("PERIOD", rules.period)
-    points = canonical_points(raw, mapping, form, rules, as_of, lenient)
-    write_stage(points, transformed_path, file_format)
+    points, joined = _canonical(raw, mapping, form, rules, as_of, lenient, LITERAL_TARGETS)
+    # The raw stage holds a period per file, and points stay with their submission: they need no shuffle.
+    write_stage(points, transformed_path, file_format, gathered=not joined)
     if audit_path is not None:
         rows = raw.select(F.col(rules.period).alias("PERIOD"), F.col(rules.unit).alias("ORG_UNIT"))
         touched = period_values(rows)

@@ -8,12 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldledger.operators.columns import check_choice, quoted, sort_rows
+from fieldledger.session import settings
 from fieldledger.sources.paths import file_system
 from fieldledger.sources.tabular import FORMATS
 
+# How gathered rows are read and written: small splits, since rows may multiply, and a file per period of a split. Spark
+# counts 4 MB for opening a file, so that a split holds at most 4; beyond these periods it sorts what is left.
+GATHERED = {"spark_sql_files_maxPartitionBytes": "16m", "spark_sql_maxConcurrentOutputFileWriters": "16"}
+
 
 def write_stage(
-    df: DataFrame, path: str, file_format: str = "parquet", period: str = "PERIOD", ordered: bool = False
+    df: DataFrame, path: str, file_format: str = "parquet", period: str = "PERIOD", ordered: bool = False, gathered: bool = False
 ) -> None:
     """Replace the partitions of the periods in ``df``; other periods, and an empty ``df``, change nothing.
 
@@ -21,17 +26,25 @@ def write_stage(
     commits, so a failed job leaves the old partitions. Rows are gathered by period with a rebalance:
     small periods share files, and a period of any size spreads over many tasks. ``ordered`` sorts
     rows by every column instead (range partitions that start with the period).
+
+    ``gathered`` says that rows come straight from files of one period each, such as those of a stage, without a shuffle:
+    then none is needed. A task reads a few files and keeps one file open for each of their periods, so that rows need no
+    sorting either; there are at most as many files as were read, or splits of them.
     """
     check_choice(file_format, FORMATS, "file format")
     df = df.where(quoted(period).isNotNull())
     if period != "PERIOD":
         df = df.withColumn("PERIOD", quoted(period).cast("int"))
-    shaped = sort_rows(df, within="PERIOD") if ordered else df.hint("rebalance", "PERIOD")
-    writer = shaped.write.mode("overwrite").partitionBy("PERIOD").option("partitionOverwriteMode", "dynamic")
-    if file_format == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    if ordered:
+        shaped = sort_rows(df, within="PERIOD")
     else:
-        writer.parquet(path)
+        shaped = df if gathered else df.hint("rebalance", "PERIOD")
+    writer = shaped.write.mode("overwrite").partitionBy("PERIOD").option("partitionOverwriteMode", "dynamic")
+    with settings(df.sparkSession, **(GATHERED if gathered else {})):
+        if file_format == "csv":
+            writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        else:
+            writer.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

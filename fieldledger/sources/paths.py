@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +45,32 @@ def list_periods(spark: SparkSession, path: str, column: str = "PERIOD") -> list
 def list_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     """Numbers ``n`` of the folders ``<prefix>=<n>`` below ``path``."""
     return list_periods(spark, path, prefix)
+
+
+def first_lines(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """The first line of each text file that is not blank; a file without one is left out.
+
+    Files are opened side by side and no more than their beginnings is read, packed files included.
+    """
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(file: str) -> str | None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(file)
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            codec = codecs.getCodec(target)
+            plain = stream if codec is None else codec.createInputStream(stream)
+            lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(plain, "UTF-8"))
+            line = lines.readLine()
+            if line is not None:
+                line = line.removeprefix("\ufeff")
+            while line is not None and not line.strip(" "):
+                line = lines.readLine()
+            return line
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(first, files))
+    return {file: line for file, line in zip(files, found, strict=True) if line is not None}

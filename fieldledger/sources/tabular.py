@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -15,7 +16,7 @@ from fieldledger.functions.numbers import BOOLEAN_PATTERN, DECIMAL_PATTERN, INTE
 from fieldledger.functions.periods import select_periods
 from fieldledger.operators.columns import check_choice, quoted
 from fieldledger.operators.reshape import union_wide
-from fieldledger.sources.paths import file_system, has_data, list_periods
+from fieldledger.sources.paths import file_system, first_lines, has_data, list_periods
 from fieldledger.sources.snapshots import read_snapshot, versions
 
 # Formats of stage files.
@@ -96,21 +97,16 @@ def _header(spark: SparkSession, files: str | Sequence[str], multi_line: bool) -
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Files by their first line, found in one job however many files there are; empty ones are left out.
+    """Files by their first line, of which the beginnings alone are read and no job is run; empty ones are left out.
 
     A first line that ends inside quotes does not tell the whole header; such a file is a group of its own.
     """
-    # The path comes with percent codes; a plus sign in it stands for itself.
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    lines = spark.read.text(list(paths)).select("value", file.alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # The first line of a file is in the task that reads its beginning, where ids ascend.
-    begins = lines.where((F.col("at") == 0) & (F.trim("value") != "")).withColumn("nth", F.monotonically_increasing_id())
-    first = begins.groupBy("file").agg(F.min_by("value", "nth").alias("line"))
-    is_open = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
-    groups = first.groupBy("line", F.when(is_open, F.col("file")).alias("_own")).agg(
-        F.sort_array(F.collect_list("file")).alias("files")
-    )
-    return sorted(list(row.files) for row in groups.select("files").collect())
+    # The paths come with percent codes.
+    files = [unquote(file) for file in spark.read.text(list(paths)).inputFiles()]
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    for file, line in first_lines(spark, files).items():
+        groups.setdefault((line, file if line.count('"') % 2 else None), []).append(file)
+    return sorted(sorted(same) for same in groups.values())
 
 
 def _typed(texts: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -1,6 +1,8 @@
 """Readers, writers, composite jobs and the stream, on files in temporary folders."""
 
+import gzip
 import json
+import uuid
 from datetime import date
 from pathlib import Path
 
@@ -314,6 +316,50 @@ def test_form_to_points(spark, tmp_path, file_format):
     ]
 
 
+def jobs_of(spark, run):
+    """Numbers of stages of the jobs that ``run`` starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    return [len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup(group)]
+
+
+def test_headers_are_found_without_a_job(spark, tmp_path):
+    plain, packed, spaced, other, empty, quotes = (str(tmp_path / n) for n in ("a b+%.csv", "b.csv.gz", "c.csv", "d.csv", "e.csv", "f.csv"))
+    Path(plain).write_text("x,é\r\n1,2\r\n", newline="")
+    with gzip.open(packed, "wt", encoding="utf-8") as file:
+        file.write("x,é\n3,4\n")
+    Path(spaced).write_text("\n  \n\ufeffx,é\n")
+    Path(other).write_text("\ufeffx,y\n5,6\n")
+    Path(empty).write_text("")
+    Path(quotes).write_text('x,"a\nb"\n')
+    groups = []
+    assert jobs_of(spark, lambda: groups.extend(tabular.header_groups(spark, [str(tmp_path)]))) == []
+    found = sorted([file.removeprefix("file://") for file in group] for group in groups)
+    assert found == [[plain, packed], [spaced], [other], [quotes]]
+
+
+def test_points_of_a_stage_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    raw, done, joined = (str(tmp_path / n) for n in ("raw", "done", "joined"))
+    rows = spark.range(400).selectExpr("id AS export_id", "CAST(202401 + id % 12 AS INT) AS periode", "concat('u', id) AS reference_externe", "CAST(id AS STRING) AS q")
+    write_stage(rows, raw, period="periode")
+    mapping = spark.createDataFrame([("q", "dxQ", None, None, None), ("Q", "dxR", None, None, None)], schemas.MAPPING)
+    arguments = (mapping, Derivations(), PointRules(()), date(2024, 12, 31))
+    assert max(jobs_of(spark, lambda: transform(spark, raw, done, *arguments))) == 1
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    # Joined targets may shuffle the rows, which are then gathered.
+    monkeypatch.setattr("fieldledger.plans.transform.LITERAL_TARGETS", 0)
+    assert max(jobs_of(spark, lambda: transform(spark, raw, joined, *arguments))) > 1
+    read = [sorted(tuple(r) for r in tabular.read_stage(spark, path, schema=schemas.POINT).collect()) for path in (done, joined)]
+    assert read[0] == read[1] and len(read[0]) == 800
+    assert paths.list_periods(spark, done) == [202400 + m for m in range(1, 13)]
+    assert all(len(list(Path(done, f"PERIOD={202400 + m}").glob("*.parquet"))) == 1 for m in range(1, 13))
+
+
 def test_ingest_without_data(spark, tmp_path):
     (tmp_path / "e.csv").write_text("periode,a\n")
     assert not ingest(spark, [str(tmp_path / "e.csv")], str(tmp_path / "raw"))
