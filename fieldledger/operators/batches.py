@@ -128,7 +128,7 @@ def batch_payloads(
     point = F.struct("batch_pos", point_struct().alias("point"))
     grouped = batched.groupBy("period", "point_class", "batch_no").agg(
         F.count(F.lit(1)).alias("n_points"),
-        F.array_sort(F.collect_list(point)).alias("_points"),
+        F.sort_array(F.collect_list(point)).alias("_points"),
     )
     values = F.transform("_points", lambda p: p["point"]).alias("dataValues")
     return grouped.select(

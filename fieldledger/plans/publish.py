@@ -124,13 +124,14 @@ def write_batches(
     """Write batches, payloads and the reports of ignored and deleted points.
 
     ``changes`` must be written data: it is read once per output. All outputs are replaced, by empty ones if there is
-    nothing to send, so that no batch of an earlier run is sent again.
+    nothing to send, so that no batch of an earlier run is sent again. A ``point_class`` that was written with them is
+    taken as it is, so that the reports read only the files that hold theirs.
     """
     spark = changes.sparkSession
     batch_points(changes, size).write.mode("overwrite").parquet(paths.points)
     batched = spark.read.parquet(paths.points)
     write_payloads(batch_payloads(batched, import_strategy, dry_run), paths.payloads)
-    classes = classify_points(changes)
+    classes = changes if "point_class" in changes.columns else classify_points(changes)
     for kind, path in (("ignored", paths.ignored), ("delete", paths.deleted)):
         classes.where(F.col("point_class") == kind).write.mode("overwrite").parquet(path)
 
@@ -188,16 +189,19 @@ def write_held(paths: PublishPaths, responses: DataFrame) -> dict[str, int]:
     batched = spark.read.parquet(paths.points)
     import_errors(parsed).write.mode("overwrite").parquet(paths.errors)
     summary = fold_counts(parsed).first().asDict()
-    for name, points, path in (
-        ("rejected", rejected_points(batched, parsed), paths.rejected),
-        ("held", held_points(batched, parsed), paths.held),
-    ):
-        seen = Observation(name)
-        points.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-        summary[name] = seen.get.get("n", 0)
+    summary["held"] = _write_counted(held_points(batched, parsed), paths.held)
+    # Rejected points are held, too, and these are fewer than all.
+    summary["rejected"] = _write_counted(rejected_points(spark.read.parquet(paths.held), parsed), paths.rejected)
     return summary
 
 
+def _write_counted(points: DataFrame, path: str) -> int:
+    """Write points; their number is counted as they are written."""
+    seen = Observation()
+    points.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get.get("n", 0)
+
+
 def settle_publish(
     spark: SparkSession,
     transformed_path: str,

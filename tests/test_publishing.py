@@ -186,3 +186,20 @@ def test_points_without_a_good_answer_are_held(spark):
     batched = spark.createDataFrame([(n, k, f"{n}{k}") for n in names for k in (0, 1)], "batch_id string, batch_pos int, dx string")
     got = sorted(r.dx for r in responses.held_points(batched, parsed(spark)).collect())
     assert got == ["conflict0", "conflict1", "nested1", "none0", "none1", "text0", "text1"]
+
+
+def test_held_points_take_one_join(spark):
+    """Many points with few answers: one join per point, and a point held for two reasons comes out once."""
+    batched = spark.range(1000).selectExpr("concat('b', id div 10) AS batch_id", "CAST(id % 10 AS INT) AS batch_pos", "concat('d', id) AS dx")
+    rows = [(f"b{n}", 409 if n % 2 else 200, json.dumps({"rejectedIndexes": [0, 3, 40], "response": {"rejectedIndexes": [3]}})) for n in range(90)]
+    rows += [("b2", 200, json.dumps({"rejectedIndexes": [5, None]})), ("b4", 500, "{}"), (None, 200, "{}")]
+    answers = responses.parse_responses(spark.createDataFrame(rows, "batch_id string, status_code int, body string"))
+    held = responses.held_points(batched, answers)
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    good = [n for n in range(0, 90, 2) if n != 4]
+    accepted = {f"d{n * 10 + k}" for n in good for k in range(10) if k not in (0, 3) and (n, k) != (2, 5)}
+    got = [r.dx for r in held.collect()]
+    assert len(got) == len(set(got)) and set(got) == {f"d{i}" for i in range(1000)} - accepted
+    rejected = sorted(r.dx for r in responses.rejected_points(held, answers).collect())
+    assert rejected == sorted(r.dx for r in responses.rejected_points(batched, answers).collect())
