@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from fieldledger.llm.components import components
-from fieldledger.llm.store import arrow_schema, give_back, keep, packed, row_key, unpacked
+from fieldledger.llm.store import arrow_schema, give_back, keep, packed, row_key, short_lived, unpacked
 from fieldledger.llm.words import buffers, columns, lists_of, mix, numbers, row_blocks, signed, windows, words_of
 from fieldledger.operators.columns import quoted
 
@@ -224,12 +224,11 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     return ordered.select("a", "role", "key", "n", "codes").mapInArrow(lambda x: walk_trie(x, bounds), LINKS)
 
 
-def candidate_sets(docs: DataFrame, heads: DataFrame, bounds: Bounds) -> DataFrame:
-    """Sets that may have a similar one: ``key``, ``n``, ``codes`` (shared shingles, rare ones first).
+def chosen_rows(heads: DataFrame, bounds: Bounds) -> DataFrame:
+    """``_row``: one row of each set that may have a similar one.
 
     Two similar sets share at least ``1 + n // 16`` shingles of their heads, n being that of the set whose head ends first.
-    Most sets do not share so many with any other and go. Of those left, whole sets are fetched and shingles that no
-    other has are dropped, which do not count for an overlap; where too few are left, the set goes as well.
+    Most sets do not share so many with any other and go.
     """
     # A task hands a shingle on once, so one in a third of all texts has a row per task here.
     same = W.partitionBy("code")
@@ -245,24 +244,34 @@ def candidate_sets(docs: DataFrame, heads: DataFrame, bounds: Bounds) -> DataFra
         F.max("n").alias("n"), F.sum("known").alias("n_known"), F.min("row").alias("row")
     )
     needed = F.lit(1) + F.floor(F.ceil(F.col("n") * bounds.per_cent / 100) / 16)
-    chosen = (
+    return (
         classes.join(shared, classes["_key"] == shared["key"], "left")
         .where(F.col("n_known") + F.coalesce("n_shared", F.lit(0)) >= needed)
         .select(F.col("row").alias("_row"))
     )
+
+
+def candidate_sets(docs: DataFrame, chosen: DataFrame, bounds: Bounds) -> DataFrame:
+    """Sets that may have a similar one, written: ``key``, ``n``, ``codes`` (shared shingles, rare ones first).
+
+    The whole sets of the chosen rows are fetched and shingles that no other has are dropped, which do not count for an
+    overlap; where too few are left, the set goes as well.
+    """
     texts = docs.select(row_key().alias("row"), "text")
     # Of rows that repeat, one is enough; the join has already brought them together.
     texts = texts.join(chosen, texts["row"] == chosen["_row"], "left_semi").groupBy("row").agg(F.first("text").alias("text"))
     whole = texts.select("text").mapInArrow(whole_sets, SETS).select("key", "n", F.explode("code").alias("code"))
-    # Written first: a join straight on an aggregate of the same key could not split a frequent shingle.
-    whole = keep(whole, "survivors")
-    counts = keep(whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
-    ranked = whole.join(counts, whole["code"] == counts["_code"]).select("key", "n", "df", "code")
-    sets = ranked.groupBy("key").agg(
-        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "code"))).alias("ranked")
-    )
-    enough = F.size("ranked") >= F.ceil(F.col("n") * bounds.per_cent / 100)
-    return sets.where(enough).select("key", "n", F.transform("ranked", lambda x: x["code"]).alias("codes"))
+    with short_lived(docs.sparkSession) as keep_meanwhile:
+        # Written first: a join straight on an aggregate of the same key could not split a frequent shingle.
+        whole = keep_meanwhile(whole, "survivors")
+        counts = whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        counts = keep_meanwhile(counts, "counts")
+        ranked = whole.join(counts, whole["code"] == counts["_code"]).select("key", "n", "df", "code")
+        sets = ranked.groupBy("key").agg(
+            F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "code"))).alias("ranked")
+        )
+        enough = F.size("ranked") >= F.ceil(F.col("n") * bounds.per_cent / 100)
+        return keep(sets.where(enough).select("key", "n", F.transform("ranked", lambda x: x["code"]).alias("codes")), "sets")
 
 
 def prefix_rows(sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -439,14 +448,18 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_lin
     bounds = Bounds(per_cent)
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     keyed = rows.select("doc_id", row_key().alias("row"), "text")
-    heads = keep(keyed.mapInArrow(lambda x: find_heads(x, bounds), HEADS), "heads")
-    sets = keep(candidate_sets(rows, heads, bounds), "sets")
+    with short_lived(docs.sparkSession) as keep_meanwhile:
+        heads = keep_meanwhile(keyed.mapInArrow(lambda x: find_heads(x, bounds), HEADS), "heads")
+        # Written by itself, so that the shingles' shuffle has gone before the texts' begins.
+        chosen = keep(chosen_rows(heads, bounds), "chosen")
+        own = keep(heads.select("doc_id", "row", "n", "key", "check"), "keys")
+    sets = candidate_sets(rows, chosen, bounds)
     links = keep(find_links(sets, bounds), "links")
     groups = components(links.select("a", "b"))
     # The first row of a class: the one with the smallest id; rows without an id come last.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     # A key is 64 bits of a set; rows that share it but have another check are other sets, which stay by themselves.
-    sized = heads.where("n > 0").groupBy("key", "check").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    sized = own.where("n > 0").groupBy("key", "check").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
     least = F.min(F.struct("check", "first", "copies")).alias("own")
     sized = sized.groupBy("key").agg(least).select("key", "own.check", "own.first", "own.copies")
     if count_links:
@@ -465,7 +478,6 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_lin
         linked = F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1
     named = named.select(F.col("key").alias("_key"), F.col("check").alias("_check"), "first_of_all", linked.alias("n_links"))
     named = keep(named, "classes")
-    own = heads.select("doc_id", "row", "n", "key", "check")
     same = (own["key"] == named["_key"]) & (own["check"] == named["_check"])
     return own.join(named, same, "left").select(
         "doc_id",

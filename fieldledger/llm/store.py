@@ -3,22 +3,48 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldledger.operators.columns import quoted
-from fieldledger.session import scratch_dir
+from fieldledger.session import scratch_dir, settings
+from fieldledger.sources.paths import file_system
+
+# Nobody reads the shuffles of a table that has been written; else they stay until the driver collects its garbage.
+SHUFFLES_GO = {"spark_sql_classic_shuffleDependency_fileCleanup_enabled": "true"}
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet under ``spark.checkpoint.dir`` and read again, which cuts its lineage."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    return _kept_at(df, scratch_dir(df.sparkSession, label))
+
+
+def _kept_at(df: DataFrame, path: str) -> DataFrame:
+    with settings(df.sparkSession, **SHUFFLES_GO):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_lived(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``keep`` whose tables go when the block ends; nothing that is read later may come from them."""
+    paths: list[str] = []
+
+    def keep_meanwhile(df: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_dir(spark, label))
+        return _kept_at(df, paths[-1])
+
+    try:
+        yield keep_meanwhile
+    finally:
+        for path in paths:
+            where, fs = file_system(spark, path)
+            fs.delete(where, True)
+
+
 def packed(docs: DataFrame, **own: Column) -> DataFrame:
     """All columns of ``docs`` as one struct, ``row``, beside columns of an operator's own, whose names then clash with none."""
     return docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), *[c.alias(name) for name, c in own.items()])
