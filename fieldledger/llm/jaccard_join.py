@@ -28,6 +28,10 @@ SPREAD_CODES, SPREAD_BLOCKS = 1 << 14, 8
 # Overlaps that are held at once.
 TILE = 1 << 21
 DEGREES = "key long, n_links long"
+# Shingles are shuffled in so many turns, one part of the codes or sets each, so that a turn's shuffles are small.
+HEAD_TURNS, SET_TURNS = 2, 4
+# Bits of a mark for each chosen row, of one row of marks, and of all of them (8 MB, whatever the number of rows).
+BITS_A_ROW, MARK_BITS, MOST_BITS = 16, 1 << 15, 1 << 26
 
 
 class Bounds:
@@ -224,31 +228,68 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     return ordered.select("a", "role", "key", "n", "codes").mapInArrow(lambda x: walk_trie(x, bounds), LINKS)
 
 
-def chosen_rows(heads: DataFrame, bounds: Bounds) -> DataFrame:
-    """``_row``: one row of each set that may have a similar one.
+def in_turns(df: DataFrame, column: str, turns: int) -> list[DataFrame]:
+    """The rows of ``df`` in parts, by a column of hashes."""
+    return [df.where(F.pmod(column, F.lit(turns)) == turn) for turn in range(turns)]
 
-    Two similar sets share at least ``1 + n // 16`` shingles of their heads, n being that of the set whose head ends first.
-    Most sets do not share so many with any other and go.
-    """
+
+def shared_heads(sent: DataFrame) -> DataFrame:
+    """``key`` and ``n_shared``: how many of a set's fresh shingles another set, or a task, has handed on as well."""
     # A task hands a shingle on once, so one in a third of all texts has a row per task here.
     same = W.partitionBy("code")
-    sent = heads.select("key", "fresh", F.posexplode("code").alias("at", "code"))
     seen = sent.select(
         "key",
-        (F.col("at") < F.col("fresh")).alias("is_fresh"),
+        "is_fresh",
         (F.min("key").over(same) != F.max("key").over(same)).alias("others"),
-        F.max(F.col("at") >= F.col("fresh")).over(same).alias("twice"),
-    )
-    shared = seen.where("is_fresh AND (others OR twice)").groupBy("key").agg(F.count(F.lit(1)).alias("n_shared"))
-    classes = heads.where("n > 0").groupBy(F.col("key").alias("_key")).agg(
-        F.max("n").alias("n"), F.sum("known").alias("n_known"), F.min("row").alias("row")
+        F.max(~F.col("is_fresh")).over(same).alias("twice"),
     )
-    needed = F.lit(1) + F.floor(F.ceil(F.col("n") * bounds.per_cent / 100) / 16)
-    return (
-        classes.join(shared, classes["_key"] == shared["key"], "left")
-        .where(F.col("n_known") + F.coalesce("n_shared", F.lit(0)) >= needed)
-        .select(F.col("row").alias("_row"))
+    return seen.where("is_fresh AND (others OR twice)").groupBy("key").agg(F.count(F.lit(1)).alias("n_shared"))
+
+
+def chosen_rows(heads: DataFrame, bounds: Bounds) -> DataFrame:
+    """``_row``, written: one row of each set that may have a similar one.
+
+    Two similar sets share at least ``1 + n // 16`` shingles of their heads, n being that of the set whose head ends first.
+    Most sets do not share so many with any other and go.
+    """
+    sent = heads.select("key", "fresh", F.posexplode("code").alias("at", "code"))
+    sent = sent.select("key", "code", (F.col("at") < F.col("fresh")).alias("is_fresh"))
+    with short_lived(heads.sparkSession) as keep_meanwhile:
+        parts = [shared_heads(part) for part in in_turns(sent, "code", HEAD_TURNS)]
+        shared = keep_meanwhile(parts[0], "shared", *parts[1:])
+        shared = shared.groupBy("key").agg(F.sum("n_shared").alias("n_shared"))
+        classes = heads.where("n > 0").groupBy(F.col("key").alias("_key")).agg(
+            F.max("n").alias("n"), F.sum("known").alias("n_known"), F.min("row").alias("row")
+        )
+        needed = F.lit(1) + F.floor(F.ceil(F.col("n") * bounds.per_cent / 100) / 16)
+        return keep(
+            classes.join(shared, classes["_key"] == shared["key"], "left")
+            .where(F.col("n_known") + F.coalesce("n_shared", F.lit(0)) >= needed)
+            .select(F.col("row").alias("_row")),
+            "chosen",
+        )
+
+
+def chosen_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``row`` and ``text`` of the chosen rows, each once.
+
+    A bit for each chosen row goes to all tasks, so that few other texts are shuffled. The bits have a fixed limit; rows that
+    share one are told apart by the join that follows, which is exact at any number of rows.
+    """
+    wanted = BITS_A_ROW * chosen.count()
+    bits = min(max(MARK_BITS, 1 << wanted.bit_length()), MOST_BITS)
+    place = F.pmod("_row", F.lit(bits))
+    marks = chosen.groupBy(F.floor(place / MARK_BITS).alias("_mark")).agg(
+        F.bitmap_construct_agg(place % MARK_BITS).alias("_bits")
     )
+    texts = docs.select(row_key().alias("row"), "text")
+    place = F.pmod("row", F.lit(bits))
+    byte = F.substring("_bits", (F.floor(place % MARK_BITS / 8) + 1).cast("int"), F.lit(1))
+    marked = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (place % 8).cast("int")) == 1
+    texts = texts.join(F.broadcast(marks), F.floor(place / MARK_BITS) == marks["_mark"]).where(marked).select("row", "text")
+    # An inner join: Spark would move a semi join below the one before. Of rows that repeat, one is enough; the join has
+    # already brought them together.
+    return texts.join(chosen, texts["row"] == chosen["_row"]).groupBy("row").agg(F.first("text").alias("text"))
 
 
 def candidate_sets(docs: DataFrame, chosen: DataFrame, bounds: Bounds) -> DataFrame:
@@ -257,21 +298,24 @@ def candidate_sets(docs: DataFrame, chosen: DataFrame, bounds: Bounds) -> DataFr
     The whole sets of the chosen rows are fetched and shingles that no other has are dropped, which do not count for an
     overlap; where too few are left, the set goes as well.
     """
-    texts = docs.select(row_key().alias("row"), "text")
-    # Of rows that repeat, one is enough; the join has already brought them together.
-    texts = texts.join(chosen, texts["row"] == chosen["_row"], "left_semi").groupBy("row").agg(F.first("text").alias("text"))
+    texts = chosen_texts(docs, chosen)
     whole = texts.select("text").mapInArrow(whole_sets, SETS).select("key", "n", F.explode("code").alias("code"))
     with short_lived(docs.sparkSession) as keep_meanwhile:
         # Written first: a join straight on an aggregate of the same key could not split a frequent shingle.
         whole = keep_meanwhile(whole, "survivors")
         counts = whole.groupBy(F.col("code").alias("_code")).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
         counts = keep_meanwhile(counts, "counts")
-        ranked = whole.join(counts, whole["code"] == counts["_code"]).select("key", "n", "df", "code")
-        sets = ranked.groupBy("key").agg(
-            F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "code"))).alias("ranked")
-        )
-        enough = F.size("ranked") >= F.ceil(F.col("n") * bounds.per_cent / 100)
-        return keep(sets.where(enough).select("key", "n", F.transform("ranked", lambda x: x["code"]).alias("codes")), "sets")
+
+        def ordered(some: DataFrame) -> DataFrame:
+            ranked = some.join(counts, some["code"] == counts["_code"]).select("key", "n", "df", "code")
+            sets = ranked.groupBy("key").agg(
+                F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "code"))).alias("ranked")
+            )
+            enough = F.size("ranked") >= F.ceil(F.col("n") * bounds.per_cent / 100)
+            return sets.where(enough).select("key", "n", F.transform("ranked", lambda x: x["code"]).alias("codes"))
+
+        parts = [ordered(part) for part in in_turns(whole, "key", SET_TURNS)]
+        return keep(parts[0], "sets", *parts[1:])
 
 
 def prefix_rows(sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -451,7 +495,7 @@ def classes_of(docs: DataFrame, per_cent: int, doc_id: str, text: str, count_lin
     with short_lived(docs.sparkSession) as keep_meanwhile:
         heads = keep_meanwhile(keyed.mapInArrow(lambda x: find_heads(x, bounds), HEADS), "heads")
         # Written by itself, so that the shingles' shuffle has gone before the texts' begins.
-        chosen = keep(chosen_rows(heads, bounds), "chosen")
+        chosen = chosen_rows(heads, bounds)
         own = keep(heads.select("doc_id", "row", "n", "key", "check"), "keys")
     sets = candidate_sets(rows, chosen, bounds)
     links = keep(find_links(sets, bounds), "links")

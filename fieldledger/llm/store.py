@@ -17,25 +17,33 @@ from fieldledger.sources.paths import file_system
 SHUFFLES_GO = {"spark_sql_classic_shuffleDependency_fileCleanup_enabled": "true"}
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read again, which cuts its lineage."""
-    return _kept_at(df, scratch_dir(df.sparkSession, label))
+def keep(df: DataFrame, label: str, *more: DataFrame) -> DataFrame:
+    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read again, which cuts its lineage.
 
+    ``more`` frames of the same columns go into the same table in turn: the shuffles of one go before the next begins.
+    """
+    return _kept_at([df, *more], scratch_dir(df.sparkSession, label))
 
-def _kept_at(df: DataFrame, path: str) -> DataFrame:
+
+def _kept_at(parts: Sequence[DataFrame], path: str) -> DataFrame:
+    for part in parts:
+        _add(part, path)
+    return parts[0].sparkSession.read.schema(parts[0].schema).parquet(path)
+
+
+def _add(df: DataFrame, path: str) -> None:
     with settings(df.sparkSession, **SHUFFLES_GO):
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.mode("append").parquet(path)
 
 
 @contextmanager
-def short_lived(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+def short_lived(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """A ``keep`` whose tables go when the block ends; nothing that is read later may come from them."""
     paths: list[str] = []
 
-    def keep_meanwhile(df: DataFrame, label: str) -> DataFrame:
+    def keep_meanwhile(df: DataFrame, label: str, *more: DataFrame) -> DataFrame:
         paths.append(scratch_dir(spark, label))
-        return _kept_at(df, paths[-1])
+        return _kept_at([df, *more], paths[-1])
 
     try:
         yield keep_meanwhile

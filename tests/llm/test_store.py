@@ -1,13 +1,14 @@
 """What operators leave on disk: shuffles of written tables and short-lived tables go as soon as nothing reads them."""
 
 import os
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from fieldledger.llm import jaccard_join, store
-from fieldledger.session import scratch_dir
+from fieldledger.session import scratch_dir, settings
 
 
 def shuffles(spark):
@@ -74,6 +75,61 @@ def test_short_lived_tables_go_with_their_block(spark):
     assert names(spark) == before
 
 
+def test_parts_of_a_table_are_written_in_turn(spark, monkeypatch):
+    """The shuffles of one part have gone when the next begins, so disk follows the largest part."""
+    before, add, clean = shuffles(spark), store._add, []
+    monkeypatch.setattr(store, "_add", lambda df, path: (clean.append(gone(spark, before)), add(df, path))[1])
+    df = summed(spark)
+    parts = [df.where(F.col("k") % 3 == k) for k in range(3)]
+    kept = store.keep(parts[0], "sums", *parts[1:])
+    assert clean == [True] * 3 and gone(spark, before)
+    assert kept.count() == 1009 and kept.exceptAll(df).isEmpty() and df.exceptAll(kept).isEmpty()
+
+
+@pytest.fixture
+def shuffles_stay(spark, monkeypatch):
+    """No small table is broadcast by itself, and files of shuffles stay; gives the MB that have come since."""
+    monkeypatch.setattr(store, "SHUFFLES_GO", {})
+    before = shuffles(spark)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_autoBroadcastJoinThreshold="-1"):
+        yield lambda: sum(manager.getFile(name).length() for name in shuffles(spark) - before) / 1e6
+
+
+def test_only_texts_of_chosen_rows_are_shuffled(spark, shuffles_stay):
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(64):x}" for _ in range(120)) for _ in range(2_000)]
+    near = [" ".join([*texts[k].split()[:-2], "other", "end"]) for k in range(20)]
+    rows = [(k, text) for k, text in enumerate(texts + near)] + [(0, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    docs = store.keep(docs, "docs")
+    chosen = docs.where("doc_id < 20 OR doc_id >= 2000").select(store.row_key().alias("_row")).distinct()
+    chosen, before = store.keep(chosen, "chosen"), shuffles_stay()
+    got = store.keep(jaccard_join.chosen_texts(docs, chosen), "texts")
+    # All texts have 4 MB, which a semi join of them shuffles; those of chosen rows have 0.1 MB.
+    assert shuffles_stay() - before < 1
+    wanted = {text for k, text in rows if k < 20 or k >= 2_000}
+    assert got.count() == 40 and {r["text"] for r in got.collect()} == wanted
+    sets = jaccard_join.candidate_sets(docs, chosen, jaccard_join.Bounds(80))
+    assert sorted(r["n"] for r in sets.collect()) == [116] * 40
+
+
+def test_bits_that_rows_share_lose_and_add_no_text(spark, monkeypatch):
+    rows = [(k, f"text {k}") for k in range(3_000)] + [(7, "text 7"), (None, "no id"), (None, None), (5_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = docs.where("doc_id IS NULL OR doc_id % 10 = 7 OR doc_id = 5000")
+    chosen = store.keep(wanted.select(store.row_key().alias("_row")).distinct(), "chosen")
+    none = chosen.limit(0)
+    expected = sorted({("" if t is None else t) for k, t in rows if k is None or k % 10 == 7 or k == 5_000})
+    for most in (jaccard_join.MOST_BITS, 64):  # 64: each bit stands for several rows
+        monkeypatch.setattr(jaccard_join, "MARK_BITS", min(jaccard_join.MARK_BITS, most))
+        monkeypatch.setattr(jaccard_join, "MOST_BITS", most)
+        got = jaccard_join.chosen_texts(docs, chosen).collect()
+        # The texts of two rows without one: (null, null) and (5000, null).
+        assert sorted({r["text"] or "" for r in got}) == expected and len(got) == len(expected) + 1
+        assert jaccard_join.chosen_texts(docs, none).count() == 0
+
+
 def test_the_join_leaves_no_shingles_of_all_texts(spark, docs, no_docs):
     for rows in (docs, no_docs):
         tables = names(spark)
