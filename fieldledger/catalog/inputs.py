@@ -133,12 +133,20 @@ EARLIER_POINTS_SQL = points_sql(EARLIER_SQL)
 KEYS_SQL = "PERIOD, ORG_UNIT, DX_UID, CATEGORY_OPTION_COMBO, ATTRIBUTE_OPTION_COMBO"
 
 
+def _form_rows(rows: DataFrame, form: list[str]) -> DataFrame:
+    """The columns of a form. The unit comes out of an explode of one element: it is made once per row, as if it had been
+    read, where each test on it would be pushed down into an evaluation of its own and make a method too long for the JVM
+    to compile."""
+    wide = rows.selectExpr(*form)
+    return wide.select(*[F.explode(F.array(c)).alias(c) if c == RULES.unit else c for c in wide.columns])
+
+
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(*SUBMISSIONS)
+    return _form_rows(table(spark, sf_dir, "lineitem"), SUBMISSIONS)
 
 
 def earlier_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(EARLIER_ROWS).selectExpr(*EARLIER)
+    return _form_rows(table(spark, sf_dir, "lineitem").where(EARLIER_ROWS), EARLIER)
 
 
 def mapping(spark: SparkSession) -> DataFrame:

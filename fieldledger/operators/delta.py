@@ -56,7 +56,7 @@ def _kinds(
     join_hint: str | None,
 ) -> DataFrame:
     """``_compared``; where both sides are packs they are matched by unit, apart from units that are posted several times."""
-    packed = isinstance(current, Packs) and isinstance(posted, Packs)
+    packed = isinstance(current, Packs) and isinstance(posted, Packs) and (current.numbers is None) == (posted.numbers is None)
     if not packed or list(keys) != POINT_KEYS or value != "VALUE":
         return _compared(_rows(current), _rows(posted), keys, value, posted_unique, join_hint)
     several = None if posted_unique else repeated_units(posted)
@@ -164,7 +164,7 @@ def duplicate_keys(points: DataFrame | Packs, keys: Sequence[str] = POINT_KEYS,
             several = repeated_units(points)
             if several is None:
                 return _repeats(points.points().where("false"), keys, value)
-            points = points.only(several, "left_semi", nulls=True)
+            points = points.only(several, "left_semi")
     return _repeats(_rows(points), keys, value)
 
 

@@ -4,96 +4,163 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldledger.operators.canonical import as_points
 from fieldledger.operators.keys import PREFIX, key_columns, keys_match
+from fieldledger.operators.reshape import lookup, parts, positions, read_number, usable, value_text
 from fieldledger.schemas import POINT
 from fieldledger.session import kept
 
 UNIT = ["PERIOD", "ORG_UNIT"]
 # The columns of a point that its target gives.
 TARGET = ["DX_UID", "CATEGORY_OPTION_COMBO", "ATTRIBUTE_OPTION_COMBO", "DATA_TYPE"]
+# Name of a hash of the unit.
+CODE = PREFIX + "code"
+
+
+def unit_code() -> Column:
+    """64 bits of hash of the unit, never null."""
+    return F.xxhash64(*UNIT)
 
 
 @dataclass(frozen=True)
 class Packs:
-    """Rows of ``PERIOD``, ``ORG_UNIT``, ``at``, ``value``: point ``i`` has target ``targets[at[i]]`` and text ``value[i]``.
+    """Submissions with one value per target, or none: position ``i`` belongs to ``targets[i]``, which holds the ``TARGET`` columns.
 
-    ``packed`` makes the two arrays out of the other columns of ``source``. A target holds the ``TARGET`` columns. Every
-    value is given. A unit may have any number of rows, and a target may stand at several positions.
+    ``packed`` makes out of ``source``, which has ``PERIOD`` and ``ORG_UNIT``, what tells the values. With ``numbers``
+    these are ``_numbers`` with the first ``numbers`` positions and ``_texts`` with the others, as a form holds them: some
+    are not usable, and they get their format only where they come out. Without, they are ``at``, the positions that are
+    given, each once, and ``value``, their texts. A unit may have any number of rows, and a target may stand at several positions.
     """
 
     source: DataFrame
     packed: Callable[[DataFrame], DataFrame]
     targets: Sequence[tuple[str | None, ...]]
+    numbers: int | None = None
 
     @property
     def rows(self) -> DataFrame:
-        return self.packed(self.source)
+        """The unit with ``_numbers`` and ``_texts``, which are looked at by position alone."""
+        rows = self.packed(self.source)
+        if self.numbers is not None:
+            return rows.select(*UNIT, "_numbers", "_texts")
+        texts = [F.get("value", F.array_position("at", F.lit(i)).cast("int") - 1) for i in range(len(self.targets))]
+        return rows.select(
+            *UNIT, F.array().cast("array<double>").alias("_numbers"), F.array(*texts).cast("array<string>").alias("_texts")
+        )
+
+    def parts(self, at: Column, before: str = "") -> tuple[Column, Column]:
+        """Number and text at a position of ``rows``, whose arrays may have a prefix."""
+        return parts(at, self.numbers or 0, before)
+
+    def usable(self, number: Column, text: Column) -> Column:
+        """Whether such parts give a value; false or null if not."""
+        return text.isNotNull() if self.numbers is None else usable(number, text)
+
+    def read(self, number: Column, text: Column) -> Column:
+        """The number of a usable value, null where it is a text."""
+        return number if self.numbers is None else read_number(number, text)
 
     def points(self) -> DataFrame:
         """One row per point."""
-        return as_points(opened(self.rows, self.targets, UNIT))
+        each = opened(self, self.rows, UNIT)
+        return as_points(each.select(*UNIT, value_text().alias("VALUE"), *self.given()))
+
+    def given(self) -> list[Column]:
+        """The ``TARGET`` columns of position ``_at``."""
+        return [lookup([t[k] for t in self.targets], "_at").alias(name) for k, name in enumerate(TARGET)]
 
-    def only(self, units: DataFrame, how: str, nulls: bool = False) -> Packs:
-        """The rows whose unit is among ``units`` (``left_semi``), or is not (``left_anti``); nulls match on request."""
-        match = keys_match(self.source, units, UNIT)
-        if nulls:
-            match = reduce(and_, [self.source[c].eqNullSafe(units[PREFIX + c]) for c in UNIT])
-        return replace(self, source=self.source.join(units, match, how))
+    def only(self, units: DataFrame, how: str) -> Packs:
+        """The rows whose unit has its code among ``units`` (``left_semi``), or has not (``left_anti``); null is a unit too."""
+        return replace(self, source=self.source.join(units, unit_code() == units[CODE], how))
 
 
-def opened(rows: DataFrame, targets: Sequence[tuple[str | None, ...]], others: Sequence[str | Column]) -> DataFrame:
-    """Packed rows as points: ``others`` of each row, ``_at``, ``VALUE`` and the columns of the target."""
-    each = rows.select("*", F.explode(F.arrays_zip("at", "value")).alias("_point"))
-    flat = each.select(*others, F.col("_point.at").alias("_at"), F.col("_point.value").alias("VALUE"))
-    given = [
-        F.get(F.array(*[F.lit(t[k]).cast("string") for t in targets]), F.col("_at")).alias(name)
-        for k, name in enumerate(TARGET)
-    ]
-    return flat.select("*", *given)
+def opened(packs: Packs, rows: DataFrame, others: Sequence[str]) -> DataFrame:
+    """One row per usable value: ``others`` of each row, ``_at``, and ``_number`` and ``_text`` as ``value_text`` takes them.
+
+    Positions are exploded, so that tests and formats are compiled once and not once per target.
+    """
+    number, text = packs.parts(F.col("_at"))
+    each = rows.select("*", F.explode(positions(packs.targets)).alias("_at"))
+    flat = each.select(*others, "_at", number.alias("_number"), text.alias("_text"))
+    given = flat.where(packs.usable(F.col("_number"), F.col("_text")))
+    return given.withColumn("_number", packs.read(F.col("_number"), F.col("_text")))
 
 
 def repeated_units(packs: Packs) -> DataFrame | None:
-    """Units with more than one row, each once, under the names of ``key_rows``; None if there are none.
+    """Codes of the units with more than one row, each once; None if there are none.
 
-    Counted from the unit columns alone, on the map side too.
+    Counted from the unit columns alone, on the map side too. Another unit with the same code may come along, so what is
+    done with these units has to be right for any unit.
     """
-    counted = packs.source.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    units = kept(counted.select(*key_columns(counted, UNIT)), "units")
+    counted = packs.source.groupBy(unit_code().alias(CODE)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = kept(counted.select(CODE), "units")
     return None if units.isEmpty() else units
 
 
 def matched(current: Packs, posted: Packs, join_hint: str | None = None) -> DataFrame:
     """Current points, each once, with ``_kind`` as ``delta`` tells it; a posted unit has one row at most.
 
-    Units are matched as a whole, and a point is looked for in the row of its unit. Targets take part as numbers that
-    are the same on both sides.
+    Units are matched as a whole, and a point is looked for in the row of its unit. The code of the unit goes first, as
+    sorts compare its bits and seldom the unit itself.
     """
-    numbers = {key: i for i, key in enumerate(dict.fromkeys(t[:3] for t in [*current.targets, *posted.targets]))}
-    old_numbers = F.array(*[F.lit(numbers[t[:3]]) for t in posted.targets])
-    old = posted.rows.select(
-        *key_columns(posted.source, UNIT),
-        F.transform("at", lambda at: F.get(old_numbers, at)).alias("_old"),
-        F.col("value").alias("_old_value"),
+    old = posted.rows
+    old = old.select(
+        unit_code().alias(CODE),
+        *key_columns(old, UNIT),
+        F.col("_numbers").alias("_old_numbers"),
+        F.col("_texts").alias("_old_texts"),
     )
     if join_hint is not None:
         old = old.hint(join_hint)
-    now = current.rows
-    joined = now.join(old, keys_match(now, old, UNIT), "left")
-    points = opened(joined, current.targets, [*UNIT, "_old", "_old_value"])
-    own = F.get(F.array(*[F.lit(numbers[t[:3]]) for t in current.targets]), F.col("_at"))
-    # Null where the unit was not posted, 0 where its row lacks the target.
-    place = F.coalesce(F.array_position("_old", own), F.lit(0))
-    if len({t[:3] for t in posted.targets}) == len(posted.targets):
-        differs = F.get("_old_value", (F.col("_place") - 1).cast("int")) != F.col("VALUE")
-    else:
-        pairs = F.arrays_zip("_old", "_old_value")
-        differs = F.exists(pairs, lambda x: (x["_old"] == own) & (x["_old_value"] != F.col("VALUE")))
-    kind = F.when(F.col("_place") == 0, "new").when(differs, "changed")
-    compared = points.withColumn("_place", place).withColumn("_kind", kind)
+    now = current.rows.select("*", unit_code().alias("_code"))
+    joined = now.join(old, (now["_code"] == old[CODE]) & keys_match(now, old, UNIT), "left")
+    each = _compared(opened(current, joined, [*UNIT, "_old_numbers", "_old_texts"]), current, posted)
+    compared = each.select(*UNIT, value_text().alias("VALUE"), *current.given(), "_kind")
     return compared.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in POINT.fields], "_kind")
+
+
+def _compared(each: DataFrame, current: Packs, posted: Packs) -> DataFrame:
+    """Opened current points beside the arrays of their posted unit, with ``_kind``.
+
+    It comes out of an explode of one element: a test on it is not pushed down into a second comparison, and what is made
+    of the points that pass is made of no other.
+    """
+    places: dict[tuple[str | None, ...], list[int]] = {}
+    for i, target in enumerate(posted.targets):
+        places.setdefault(target[:3], []).append(i)
+    wanted = [places.get(target[:3], []) for target in current.targets]
+    if max(map(len, wanted), default=0) <= 1:
+        place = F.get(F.array(*[F.lit(at[0] if at else None).cast("int") for at in wanted]), F.col("_at"))
+        number, text = posted.parts(F.col("_place"), "_old")
+        each = each.withColumn("_place", place)
+        each = each.withColumns({"_old_number": number, "_old_text": text})
+        found = posted.usable(F.col("_old_number"), F.col("_old_text"))
+        each = each.withColumns({"_old_number": posted.read(F.col("_old_number"), F.col("_old_text")), "_found": found})
+        found, differs = F.col("_found"), _differs(F.col("_old_number"), F.col("_old_text"))
+    else:
+        several = F.get(F.array(*[F.array(*map(F.lit, at)).cast("array<int>") for at in wanted]), F.col("_at"))
+
+        def other(at: Column) -> Column:
+            number, text = posted.parts(at, "_old")
+            return posted.usable(number, text) & _differs(posted.read(number, text), text)
+
+        found = F.exists(several, lambda at: posted.usable(*posted.parts(at, "_old")))
+        differs = F.exists(several, other)
+    # Nothing is found where the unit was not posted.
+    kind = F.when(~F.coalesce(found, F.lit(False)), "new").when(differs, "changed")
+    return each.select("*", F.explode(F.array(kind)).alias("_kind"))
+
+
+def _differs(old_number: Column, old_text: Column) -> Column:
+    """Whether an old value reads otherwise than ``_number`` and ``_text``, without a format.
+
+    Two numbers have the same text where they are equal, apart from the two zeros. Among the others a number and a text
+    read alike for infinities only, which a plain cast writes as the format does.
+    """
+    number = F.col("_number")
+    plain = F.coalesce(number.cast("string"), F.col("_text"))
+    old_plain = F.coalesce(old_number.cast("string"), old_text)
+    return F.when((number != 0) & old_number.isNotNull(), number != old_number).otherwise(plain != old_plain)

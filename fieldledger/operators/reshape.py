@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -21,8 +21,8 @@ def _explode_values(df: DataFrame, ids: Sequence[str], values: Sequence[str]) ->
     explode, hence once per row.
     """
     numbers, _ = _order(df, values)
-    exploded = _value_arrays(df, ids, values).select("*", F.explode(_positions(values)).alias("_at"))
-    number, text = _parts(F.col("_at"), len(numbers))
+    exploded = _value_arrays(df, ids, values).select("*", F.explode(positions(values)).alias("_at"))
+    number, text = parts(F.col("_at"), len(numbers))
     return exploded.select(*[quoted(c) for c in ids], "_at", number.alias("_number"), text.alias("_text"))
 
 
@@ -39,22 +39,22 @@ def _value_arrays(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> D
     )
 
 
-def _positions(values: Sequence[str]) -> Column:
+def positions(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(i) for i in range(len(values))])
 
 
-def _parts(at: Column, n_numbers: int) -> tuple[Column, Column]:
-    """Number and text at a position of ``_value_arrays``."""
-    return F.get("_numbers", at), F.get("_texts", at - n_numbers)
+def parts(at: Column, n_numbers: int, before: str = "") -> tuple[Column, Column]:
+    """Number and text at a position of ``_value_arrays``, whose names may have a prefix."""
+    return F.get(f"{before}_numbers", at), F.get(f"{before}_texts", at - n_numbers)
 
 
-def _read_number(number: Column, text: Column) -> Column:
+def read_number(number: Column, text: Column) -> Column:
     """The number of a value, or that of its text if it reads as a decimal number."""
     is_decimal = (text.contains(".") | text.contains("e") | text.contains("E")) & text.rlike(DECIMAL_PATTERN)
     return F.when(number.isNotNull(), number).when(is_decimal, text.try_cast("double"))
 
 
-def _value(texts_too: bool = False, number: Column | None = None, text: Column | None = None) -> Column:
+def value_text(texts_too: bool = False, number: Column | None = None, text: Column | None = None) -> Column:
     """Text of an exploded value; at most one of its two parts is given.
 
     With ``texts_too``, a text that reads as a decimal number gets the format of a number, so that a value does not
@@ -63,7 +63,7 @@ def _value(texts_too: bool = False, number: Column | None = None, text: Column |
     number = F.col("_number") if number is None else number
     text = F.col("_text") if text is None else text
     if texts_too:
-        number = _read_number(number, text)
+        number = read_number(number, text)
     return F.when(number.isNotNull(), value_to_string(number, T.DoubleType())).otherwise(text)
 
 
@@ -74,7 +74,7 @@ def _order(df: DataFrame, values: Sequence[str]) -> tuple[list[str], list[str]]:
     return numbers, [c for c in values if c not in set(numbers)]
 
 
-def _lookup(items: Sequence[str | None], at: str) -> Column:
+def lookup(items: Sequence[str | None], at: str) -> Column:
     """Item at a position of a constant list."""
     return F.get(F.array(*[F.lit(item).cast("string") for item in items]), F.col(at))
 
@@ -96,17 +96,17 @@ def unpivot_long(
     # down into a second evaluation of the formatting.
     return _explode_values(df, ids, names).select(
         *[quoted(c) for c in ids],
-        _lookup(numbers + texts, "_at").alias(variable),
-        F.explode(F.array(_value())).alias(value),
+        lookup(numbers + texts, "_at").alias(variable),
+        F.explode(F.array(value_text())).alias(value),
     )
 
 
 def _usable_values(df: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Exploded values without those that are null, blank or NaN; they go before numbers are formatted."""
-    return _explode_values(df, ids, names).where(_usable(F.col("_number"), F.col("_text")))
+    return _explode_values(df, ids, names).where(usable(F.col("_number"), F.col("_text")))
 
 
-def _usable(number: Column, text: Column) -> Column:
+def usable(number: Column, text: Column) -> Column:
     return (number.isNotNull() & ~F.isnan(number)) | (~is_blank(text) & ~is_nan_text(text))
 
 
@@ -123,36 +123,28 @@ def unpivot_mapped(
     numbers, _ = _order(df, names)
     ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
     # The format looks at the number several times; as a column of its own it is read from the text once.
-    read = _read_number(F.col("_number"), F.col("_text")).alias("_read")
+    read = read_number(F.col("_number"), F.col("_text")).alias("_read")
     return _usable_values(df, ids, [t[0] for t in ordered]).select("*", read).select(
         *[quoted(c) for c in ids],
-        _lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
-        _lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
-        _value(number=F.col("_read")).alias(value),
+        lookup([uid for _, uid, _ in ordered], "_at").alias("DX_UID"),
+        lookup([combo for _, _, combo in ordered], "_at").alias("COC"),
+        value_text(number=F.col("_read")).alias(value),
     )
 
 
 def unpivot_packed(
     df: DataFrame, ids: Sequence[str], targets: Sequence[tuple[str, str, str | None]]
-) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], list[tuple[str, str | None]]]:
-    """The rows of ``unpivot_mapped`` as one row per id row, and the (target id, combination) of each position.
+) -> tuple[DataFrame, int, list[tuple[str, str | None]]]:
+    """What ``unpivot_mapped`` explodes, one row per id row: the ids and ``_numbers`` and ``_texts``, a value per target.
 
-    First come the ids with the value columns as they are, which are cheap to filter, and then what turns them into
-    ``at``, the positions of the usable values, and ``value``, their texts. A shuffle of these moves ids once per id row
-    and no target at all.
+    With it come the number of targets held in ``_numbers``, which stand first, and the (target id, combination) of each
+    position. A shuffle of these rows moves ids once per id row and no target at all, and numbers as they are.
     """
     names = [name for name, _, _ in targets]
     numbers, _ = _order(df, names)
     ordered = [t for t in targets if t[0] in set(numbers)] + [t for t in targets if t[0] not in set(numbers)]
     count = len([name for name in names if name in set(numbers)])
-    others = [quoted(c) for c in ids]
-
-    def packed(arrays: DataFrame) -> DataFrame:
-        usable = F.filter(_positions(names), lambda at: _usable(*_parts(at, count)))
-        texts = F.transform("at", lambda at: _value(True, *_parts(at, count)))
-        return arrays.select("*", usable.alias("at")).select(*others, "at", texts.alias("value"))
-
-    return _value_arrays(df, ids, [t[0] for t in ordered]), packed, [(uid, combo) for _, uid, combo in ordered]
+    return _value_arrays(df, ids, [t[0] for t in ordered]), count, [(uid, combo) for _, uid, combo in ordered]
 
 
 def unpivot_joined(
@@ -167,9 +159,9 @@ def unpivot_joined(
     lowered = [name.lower() for name in numbers + texts]
     long = _usable_values(df, ids, numbers + texts).select(
         *[quoted(c) for c in ids],
-        _lookup(lowered, "_at").alias("_name"),
+        lookup(lowered, "_at").alias("_name"),
         # Formatted below an explode of one element, so that it is not done again for each target.
-        F.explode(F.array(_value(texts_too=True))).alias(value),
+        F.explode(F.array(value_text(texts_too=True))).alias(value),
     )
     wanted = targets.select(F.col("name").alias("_target"), F.col("uid").alias("DX_UID"), F.col("combo").alias("COC"))
     return long.join(wanted, long["_name"] == wanted["_target"]).select(*[quoted(c) for c in ids], "DX_UID", "COC", value)

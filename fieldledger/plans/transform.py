@@ -82,8 +82,9 @@ def packed_points(
         return canonical_points(submissions, mapping, form, rules, as_of, lenient, literal_targets)
     named = wide.withColumnsRenamed({rules.period: "PERIOD", rules.unit: "ORG_UNIT"})
     named = named.withColumns({"PERIOD": F.col("PERIOD").cast("int"), "ORG_UNIT": F.col("ORG_UNIT").cast("string")})
-    source, packed, places = unpivot_packed(named, UNIT, _with_combo(targets, rules))
-    return Packs(source, packed, [(uid, combo, rules.default_combo, "DATA_ELEMENT") for uid, combo in places])
+    source, numbers, places = unpivot_packed(named, UNIT, _with_combo(targets, rules))
+    given = [(uid, combo, rules.default_combo, "DATA_ELEMENT") for uid, combo in places]
+    return Packs(source, lambda rows: rows, given, numbers)
 
 
 def _mapped(

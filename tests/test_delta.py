@@ -2,13 +2,18 @@
 
 import itertools
 import random
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import Observation, functions as F
 
+from fieldledger.catalog import inputs
 from fieldledger.operators import delta as cdc, reconcile
 from fieldledger.operators.packs import Packs
-from fieldledger.schemas import POINT, POINT_KEYS
+from fieldledger.plans.transform import canonical_points, packed_points
+from fieldledger.schemas import MAPPING, POINT, POINT_KEYS
+from fieldledger.settings import Derivations, PointRules
 from fieldledger.streaming.incoming import upsert_snapshot
 
 
@@ -243,3 +248,83 @@ def test_packs_are_shuffled_by_unit(spark):
     assert shuffles and all("PERIOD" in line and "DX_UID" not in line and "_own" not in line for line in shuffles)
     once = packs(spark, PACKS[:3], ["dx1", "dx2", "dx3"])
     assert not any("Exchange" in line and "ORG_UNIT" not in line for line in exchanged(cdc.duplicate_keys(once)))
+
+
+NUMBERS = [0.0, -0.0, 1.0, 5.0, 12345678.0, 1e-5, 1e20, 0.1 + 0.2, float("inf"), float("-inf"), float("nan"), None]
+TEXTS = ["0.0", "-0.0", "1.00", "5", "12345678", "1e-5", "100000000000000000000.0", "Infinity", "-Infinity", "nan", " ", None, "x"]
+
+
+def wide(spark, numbers, texts, kinds):
+    """One submission per pair of values; those of the second half of the numbers come twice."""
+    rows = [(202401, f"ou{i}-{j}", n, t) for i, n in enumerate(numbers) for j, t in enumerate(texts)]
+    rows += rows[len(rows) // 2 :]
+    number, text = kinds
+    frame = spark.createDataFrame(rows, "periode int, reference_externe string, n double, t string")
+    return frame.select(F.lit(1).alias("export_id"), "periode", "reference_externe", F.col("n").cast(number), F.expr(f"try_cast(t AS {text})").alias("t"))
+
+
+@pytest.mark.parametrize(
+    ("uids", "kinds", "twice"),
+    [
+        (("dx1", "dx2"), ("double", "string"), False),
+        (("dx1", "dx2"), ("string", "double"), True),
+        (("dx1", "dx1"), ("string", "string"), False),
+        (("dx1", "dx1"), ("float", "string"), True),
+    ],
+)
+def test_packs_compare_values_as_their_texts(spark, uids, kinds, twice):
+    """Numbers are compared before they have a format, also where a column was texts on one side; the rows are the same."""
+    mapping = spark.createDataFrame([(name, uid, "", None, None) for name, uid in zip("nt", uids, strict=True)], MAPPING)
+    now = wide(spark, NUMBERS, TEXTS, ("double", "string"))
+    before = wide(spark, NUMBERS[1:] + NUMBERS[:1], TEXTS[2:] + TEXTS[:2], kinds)
+    before = before if twice else before.dropDuplicates(["reference_externe"])
+    given = mapping, Derivations(), PointRules(unmapped_prefixes=()), date(2024, 12, 31)
+    packed = [packed_points(df, *given) for df in (now, before)]
+    want = short(cdc.delta(*[sides.points() for sides in packed]))
+    assert len({kind for *_, kind in want}) == 2 and short(cdc.delta(*packed)) == want
+    counted = sorted(map(tuple, cdc.delta_counts(*packed).collect()))
+    assert counted == sorted(map(tuple, cdc.delta_counts(*[sides.points() for sides in packed]).collect()))
+
+
+def test_packs_of_a_form_hold_the_canonical_points(spark):
+    mapping = spark.createDataFrame([("n", "dx1", "", None, None), ("t", "dx2", "c", None, None)], MAPPING)
+    given = wide(spark, NUMBERS, TEXTS, ("double", "string")), mapping, Derivations(), PointRules(unmapped_prefixes=()), date(2024, 12, 31)
+    want = sorted(map(tuple, canonical_points(*given).collect()))
+    assert want and sorted(map(tuple, packed_points(*given).points().collect())) == want
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Lines of orders, some of them twice."""
+    rows = [(k, k % 9, k % 5 + 1, float(k % 51), 10.5 * k, k % 11 / 100, k % 9 / 100, "NAR"[k % 3], "OF"[k % 2]) for k in range(120)]
+    names = "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double"
+    frame = spark.createDataFrame(rows + rows[:20], f"{names}, l_tax double, l_returnflag string, l_linestatus string")
+    frame.withColumn("l_shipdate", F.expr("timestamp_ntz '1999-03-04 00:00:00'")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
+
+
+def compiled(df):
+    """Plan without adaptive parts, and the greatest number of bytes of a generated method."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return plan.toString(), max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+
+
+def test_delta_of_packs_is_compiled(spark, lines):
+    """The JVM leaves methods of more than 8,000 bytes to its interpreter; higher-order functions are no generated code."""
+    now, before = inputs.packs(spark, lines), inputs.earlier_packs(spark, lines)
+    plan, size = compiled(cdc.delta(now, before, join_hint="merge"))
+    assert size < 8000 and "lambda" not in plan
+    source, size = compiled(now.source)
+    assert size < 8000 and source.count("concat(U") == 1
+
+
+def test_lines_give_the_delta_of_their_points(spark, lines):
+    now, before = inputs.packs(spark, lines), inputs.earlier_packs(spark, lines)
+    want = short(cdc.delta(inputs.points(spark, lines), inputs.earlier_points(spark, lines)))
+    assert {kind for *_, kind in want} == {"new", "changed"} and short(cdc.delta(now, before, join_hint="merge")) == want
