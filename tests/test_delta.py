@@ -324,6 +324,13 @@ def test_delta_of_packs_is_compiled(spark, lines):
     assert size < 8000 and source.count("concat(U") == 1
 
 
+def test_counts_of_packs_format_nothing(spark, lines):
+    """Numbers are counted as new or changed by themselves, in compiled code."""
+    now, before = inputs.packs(spark, lines), inputs.earlier_packs(spark, lines)
+    plan, size = compiled(cdc.delta_counts(now, before, posted_unique=True, join_hint="merge"))
+    assert size < 8000 and "format_string" not in plan and "lambda" not in plan
+
+
 def test_lines_give_the_delta_of_their_points(spark, lines):
     now, before = inputs.packs(spark, lines), inputs.earlier_packs(spark, lines)
     want = short(cdc.delta(inputs.points(spark, lines), inputs.earlier_points(spark, lines)))
